@@ -56,7 +56,8 @@ def html_to_text(df: DataFrame, html_col: str = "html", out: str = "text") -> Da
 
 def filing_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
     """TXT2: ``(filing_id, pos, line)`` - stripped non-blank lines in order."""
-    return df.select("filing_id", F.posexplode(tx.clean_lines(text_col)).alias("pos", "line"))
+    return (df.select("filing_id", F.posexplode(tx.clean_lines(text_col)).alias("pos", "line"))
+            .withColumn("pos", F.col("pos").cast("long")))
 
 
 def _fields_step(acc: Column, line: Column) -> Column:
@@ -103,7 +104,7 @@ def line_header_score(lines: DataFrame, header: str = HEADER_REFERENCE) -> DataF
 
 def line_header_lev(lines: DataFrame, header: str = HEADER_REFERENCE) -> DataFrame:
     """TXT5 (native twin): Levenshtein ratio of every line against the header."""
-    return lines.withColumn("score", levenshtein_ratio(F.col("line"), F.lit(header)))
+    return lines.withColumn("score", levenshtein_ratio(F.col("line"), header))
 
 
 def _chunk(lines: Column, pos: Column, max_lines: int, above: int) -> Column:
@@ -120,9 +121,8 @@ def best_chunk(df: DataFrame, text_col: str = "text", header: str = HEADER_REFER
     reaches ``threshold``. Scoring and arg-max run row-locally in one Arrow
     UDF call per batch of filings.
     """
-    lines = tx.clean_lines(text_col)
-    best = best_line_udf(header, threshold)(lines)
-    return (df.select("filing_id", lines.alias("_lines"))
+    best = best_line_udf(header, threshold)(F.col("_lines"))
+    return (df.select("filing_id", tx.clean_lines(text_col).alias("_lines"))
             .withColumn("_best", best)
             .select("filing_id",
                     F.col("_best.pos").alias("best_pos"),
@@ -136,13 +136,11 @@ def best_chunk_lev(df: DataFrame, text_col: str = "text", header: str = HEADER_R
                    above: int = LINES_ABOVE) -> DataFrame:
     """TXT6 with the Levenshtein ratio, entirely JVM-side: the arg-max is a
     fold over the line array (first maximum wins), no explode/shuffle."""
-    lines = tx.clean_lines(text_col)
-    hdr = F.lit(header)
-    scored = F.transform(lines, lambda l, i: F.struct(i.alias("pos"), levenshtein_ratio(l, hdr).alias("score")))
+    scored = F.transform(F.col("_lines"), lambda l, i: F.struct(i.alias("pos"), levenshtein_ratio(l, header).alias("score")))
     init = F.struct(F.lit(-1).alias("pos"), F.lit(0.0).alias("score"))
     best = F.aggregate(scored, init, lambda acc, x: F.when(x["score"] > acc["score"], x).otherwise(acc))
-    ok = (best["pos"] >= 0) & (best["score"] >= threshold)
-    return (df.select("filing_id", lines.alias("_lines"))
+    ok = (F.col("_best.pos") >= 0) & (F.col("_best.score") >= threshold)
+    return (df.select("filing_id", tx.clean_lines(text_col).alias("_lines"))
             .withColumn("_best", best)
             .select("filing_id",
                     F.when(ok, F.col("_best.pos")).alias("best_pos"),

@@ -81,7 +81,8 @@ def pipe_table_cells(df: DataFrame, answer_col: str = "answer", **kw) -> DataFra
     p = parse_pipe_answers(df, answer_col, **kw).where(F.col("status") == STATUS_OK)
     r = p.select("filing_id", "header", F.posexplode("rows").alias("row_no", "row"))
     c = r.select("filing_id", "row_no", "header", F.posexplode("row").alias("col_no", "value"))
-    return c.select("filing_id", F.lit(1).alias("table_no"), "row_no", "col_no",
+    return c.select("filing_id", F.lit(1).alias("table_no"), F.col("row_no").cast("long").alias("row_no"),
+                    F.col("col_no").cast("long").alias("col_no"),
                     F.element_at("header", F.col("col_no") + 1).alias("col_name"), "value")
 
 
@@ -159,7 +160,8 @@ def csv_table_cells(df: DataFrame, answer_col: str = "answer") -> DataFrame:
     c = r.select("filing_id", "table_no", "row_no", "header",
                  F.posexplode(F.transform(F.sequence(F.lit(1), F.size("header")),
                                           lambda k: F.element_at("row", k))).alias("col_no", "value"))
-    return c.select("filing_id", "table_no", "row_no", "col_no",
+    return c.select("filing_id", "table_no", F.col("row_no").cast("long").alias("row_no"),
+                    F.col("col_no").cast("long").alias("col_no"),
                     F.element_at("header", F.col("col_no") + 1).alias("col_name"),
                     F.when(F.col("value").isin(NA_TOKENS), F.lit(None).cast("string"))
                     .otherwise(F.col("value")).alias("value"))
@@ -179,7 +181,7 @@ def _csv_tables(df: DataFrame, answer_col: str) -> DataFrame:
     header = F.element_at(fields, 1)
     rows = F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(0)))
     ok = (F.size(lines) > 0) & ~F.exists(rows, lambda r: F.size(r) > F.size(header))
-    return pieces.select("filing_id", (F.col("i") + 1).alias("table_no"),
+    return pieces.select("filing_id", (F.col("i") + 1).cast("long").alias("table_no"),
                          _dedupe_names(header, ".", 1).alias("header"), rows.alias("rows"), ok.alias("ok"))
 
 

@@ -8,6 +8,8 @@ rules (text rules via ``sqltext``), not translations of Spark plans.
 from __future__ import annotations
 
 from ledgerlens.operators.tables import NA_TOKENS
+from ledgerlens.operators import filings as fo
+from ledgerlens.plans import oracle_filings as OF
 from ledgerlens.plans import sqltext as S
 from ledgerlens.plans.profiles import PROFILED
 
@@ -90,8 +92,31 @@ def normalize_numbers_sql(mode: str) -> str:
     return f"SELECT id, raw, round(n, 6) AS number FROM ({src})"
 
 
+COMBINED_COLUMNS = ["Start Date", "End Date", "Class of Shares", "Number of Shares",
+                    "Dollar Value of Shares Repurchased", "Average Price per Share"]
+
+
 def oracle_sql() -> dict[str, str]:
+    pt = OF.PAGES_TEXT
     return {
+        "html_to_text": pt,
+        "filing_lines": OF.filing_lines_sql(pt),
+        "filing_fields": OF.filing_fields(),
+        "item_section": OF.item_section(),
+        "line_header_lev": f"SELECT filing_id, pos, line, round({OF.lev_ratio('line')}, 6) AS score "
+                           f"FROM ({OF.filing_lines_sql(pt)})",
+        "best_chunk_lev": OF.best_chunk_lev(pt),
+        "extraction_prompts": f"SELECT filing_id, {S.q(fo.PROMPT_V2_HEAD)} || chunk || {S.q(fo.PROMPT_V2_TAIL)} AS prompt "
+                              f"FROM ({OF.best_chunk_lev(pt)}) WHERE chunk IS NOT NULL",
+        "extraction_prompts_v1": f"SELECT filing_id, {S.q(fo.PROMPT_V1_HEAD)} || substr(section, 1, {fo.V1_TEXT_BUDGET}) || "
+                                 f"{S.q(fo.PROMPT_V1_TAIL)} AS prompt FROM ({OF.item_section()}) WHERE section <> ''",
+        "truncate_tokens": f"SELECT doc_id, {OF.truncate_tokens('text', 1024)} AS text FROM documents",
+        "shorten_text": f"SELECT doc_id, {OF.shorten('text')} AS text FROM documents",
+        "answer_extract": OF.answers_sql(),
+        "pipe_table_cells": OF.pipe_table_cells(),
+        "extraction_status": OF.extraction_status(),
+        "combine_tables": OF.combine_tables(COMBINED_COLUMNS),
+        "csv_tables_cells": OF.csv_tables(),
         "unpivot_columns": f"SELECT * FROM ({long_sql(['part'])})",
         "sample_per_column": sample_sql(100, "docs"),
         "column_documents": column_documents_sql(),

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import columns as colops
+from ledgerlens.operators import filings as fo
+from ledgerlens.operators import tables as tb
+from ledgerlens.sources import filings as src
 from ledgerlens.plans.profiles import profiled_columns, profiled_long
 from ledgerlens.sources.tables import table
 
@@ -62,8 +65,114 @@ def _numbers(mode):
     return run
 
 
+# ------------------------------------------------------------ filings ------
+
+def pages_text(spark, sf_dir):
+    return fo.html_to_text(src.pages_as_filings(spark, sf_dir)).select("filing_id", "text")
+
+
+def q_html_to_text(spark, sf_dir):
+    return pages_text(spark, sf_dir)
+
+
+def q_filing_lines(spark, sf_dir):
+    return fo.filing_lines(pages_text(spark, sf_dir))
+
+
+def q_filing_fields(spark, sf_dir):
+    return fo.filing_fields(src.derived_filings(spark, sf_dir))
+
+
+def q_item_section(spark, sf_dir):
+    return fo.item_section(src.derived_filings(spark, sf_dir))
+
+
+def q_line_header_score(spark, sf_dir):
+    return fo.line_header_score(fo.filing_lines(pages_text(spark, sf_dir)))
+
+
+def q_line_header_lev(spark, sf_dir):
+    out = fo.line_header_lev(fo.filing_lines(pages_text(spark, sf_dir)))
+    return out.withColumn("score", F.round("score", 6))
+
+
+def q_best_chunk(spark, sf_dir):
+    return fo.best_chunk(pages_text(spark, sf_dir)).withColumn("best_score", F.round("best_score", 6))
+
+
+def q_best_chunk_lev(spark, sf_dir):
+    out = fo.best_chunk_lev(pages_text(spark, sf_dir))
+    return out.withColumn("best_pos", F.col("best_pos").cast("long")).withColumn("best_score", F.round("best_score", 6))
+
+
+def q_extraction_prompts(spark, sf_dir):
+    ch = fo.best_chunk_lev(pages_text(spark, sf_dir))
+    return ch.where(F.col("chunk").isNotNull()).select("filing_id", fo.prompt_v2("chunk").alias("prompt"))
+
+
+def q_extraction_prompts_v1(spark, sf_dir):
+    sec = fo.item_section(src.derived_filings(spark, sf_dir))
+    return sec.where(F.col("section") != "").select("filing_id", fo.prompt_v1("section").alias("prompt"))
+
+
+def q_truncate_tokens(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", fo.truncate_tokens(F.col("text"), 1024).alias("text"))
+
+
+def q_shorten_text(spark, sf_dir):
+    from ledgerlens.functions.text import shorten
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", shorten(F.col("text")).alias("text"))
+
+
+def answers(spark, sf_dir):
+    return tb.answers_from_responses(src.derived_responses(spark, sf_dir))
+
+
+def q_answer_extract(spark, sf_dir):
+    return answers(spark, sf_dir)
+
+
+def q_pipe_table_cells(spark, sf_dir):
+    return tb.pipe_table_cells(answers(spark, sf_dir))
+
+
+def q_extraction_status(spark, sf_dir):
+    return tb.extraction_status(answers(spark, sf_dir))
+
+
+COMBINED_COLUMNS = ["Start Date", "End Date", "Class of Shares", "Number of Shares",
+                    "Dollar Value of Shares Repurchased", "Average Price per Share"]
+
+
+def q_combine_tables(spark, sf_dir):
+    return tb.combine_tables(tb.pipe_table_cells(answers(spark, sf_dir)), COMBINED_COLUMNS)
+
+
+def q_csv_tables_cells(spark, sf_dir):
+    return tb.csv_table_cells(src.derived_csv_answers(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "html_to_text": q_html_to_text,
+        "filing_lines": q_filing_lines,
+        "filing_fields": q_filing_fields,
+        "item_section": q_item_section,
+        "line_header_score": q_line_header_score,
+        "line_header_lev": q_line_header_lev,
+        "best_chunk": q_best_chunk,
+        "best_chunk_lev": q_best_chunk_lev,
+        "extraction_prompts": q_extraction_prompts,
+        "extraction_prompts_v1": q_extraction_prompts_v1,
+        "truncate_tokens": q_truncate_tokens,
+        "shorten_text": q_shorten_text,
+        "answer_extract": q_answer_extract,
+        "pipe_table_cells": q_pipe_table_cells,
+        "extraction_status": q_extraction_status,
+        "combine_tables": q_combine_tables,
+        "csv_tables_cells": q_csv_tables_cells,
         "unpivot_columns": q_unpivot_columns,
         "sample_per_column": q_sample_per_column,
         "column_documents": q_column_documents,

@@ -66,6 +66,7 @@ def _order_lines(spark: SparkSession, sf_dir: str, row_fmt) -> DataFrame:
     one order's lines (bounded)."""
     li = table(spark, sf_dir, "lineitem")
     rows = li.select("l_orderkey", "l_linenumber", row_fmt(li).alias("row"))
+    # ties on the line number are ordered by the rendered row (stable result)
     return (rows.groupBy("l_orderkey")
             .agg(F.array_join(F.transform(
                 F.array_sort(F.collect_list(F.struct("l_linenumber", "row"))),
@@ -87,7 +88,7 @@ def derived_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("on"), _d(li.l_shipdate)))
     pr = o.o_orderpriority
     part2 = (F.when(pr == "1-URGENT", F.lit(""))
-             .when(pr == "2-HIGH", F.lit("PART II. OTHER INFORMATION\n"))
+             .when(pr == "2-HIGH", F.lit("PART\u00a0II. OTHER INFORMATION\n"))
              .otherwise(F.lit("Part II - Other Information\n")))
     item2 = F.when(pr == "4-NOT SPECIFIED", F.lit("Item 20")).otherwise(F.lit("ITEM 2"))
     tail = F.when(pr == "3-MEDIUM", F.lit("")).otherwise(F.lit("Item 3. Defaults Upon Senior Securities\nNone.\n"))
