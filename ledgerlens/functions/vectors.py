@@ -42,5 +42,13 @@ def l2_normalize(v, mode: str = "batch") -> Column:
     raise ValueError(f"unknown normalisation mode {mode!r}")
 
 
+def round_half(x, digits: int = 6) -> Column:
+    """``round(x * 10^d) / 10^d`` on the double itself (half away from zero),
+    the rounding SQL engines apply to doubles; ``F.round`` instead rounds the
+    shortest decimal spelling, which differs when that spelling ends in 5."""
+    p = float(10 ** digits)
+    return F.round(col_(x) * F.lit(p), 0) / F.lit(p)
+
+
 def round_vec(v, digits: int = 6) -> Column:
-    return F.transform(col_(v), lambda x: F.round(x, digits))
+    return F.transform(col_(v), lambda x: round_half(x, digits))

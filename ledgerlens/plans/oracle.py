@@ -97,8 +97,41 @@ COMBINED_COLUMNS = ["Start Date", "End Date", "Class of Shares", "Number of Shar
 
 
 def oracle_sql() -> dict[str, str]:
+    from ledgerlens.plans import oracle_vectors as OV
     pt = OF.PAGES_TEXT
+    docs = f"SELECT doc_id AS id, text FROM documents"
+
+    def by(col, long):
+        return f"SELECT id AS {col}, dim, round(value, 6) AS value FROM ({long})"
+
+    emb = OV.embeddings_long()
+    cent = ("SELECT e.id, e.dim, (e.value + c.value) / 2 AS value FROM (" + emb + ") e "
+            "JOIN embeddings x ON x.vec_id = e.id JOIN (SELECT x.label, e.dim, avg(e.value) AS value FROM ("
+            + emb + ") e JOIN embeddings x ON x.vec_id = e.id GROUP BY x.label, e.dim) c "
+            "ON c.label = x.label AND c.dim = e.dim")
+    ix = OV.column_index_src()
+    col_vecs = OV.pooled(f"SELECT id, doc FROM ({ix})", "doc")
+    cell_vecs = OV.pooled(f"SELECT cid AS id, cell FROM ({OV.cells_src()})", "cell")
+    dims = ", ".join(f"round(max(value) FILTER (WHERE dim = {i}), 6) AS dim_{i}" for i in range(32))
+    merge = f"""
+SELECT 'column' AS type, ix.name, CAST(ix.id AS BIGINT) AS row_index, {dims}
+FROM ({col_vecs}) v JOIN ({ix}) ix ON ix.id = v.id GROUP BY ix.name, ix.id
+UNION ALL
+SELECT 'cell' AS type, c.column_name AS name, CAST(c.rank - 1 AS BIGINT) AS row_index, {dims}
+FROM ({cell_vecs}) v JOIN ({OV.cells_src()}) c ON c.cid = v.id GROUP BY c.column_name, c.rank"""
     return {
+        "embed_documents": by("doc_id", OV.pooled(docs, "text")),
+        "pool_mean": by("doc_id", OV.pooled(docs, "text", "mean", normalize=False)),
+        "pool_first": by("doc_id", OV.pooled(docs, "text", "first", normalize=False)),
+        "pool_max": by("doc_id", OV.pooled(docs, "text", "max", normalize=False)),
+        "l2_normalize": by("vec_id", OV.normalized(emb)),
+        "project_vectors": by("vec_id", OV.projected(emb, 64, 256)),
+        "ensemble_vectors": by("vec_id", OV.normalized(cent)),
+        "topk_search": f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({OV.topk(emb, emb, 5, 0.5)})",
+        "topk_search_blocked": f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({OV.topk(emb, emb, 5, 0.0)})",
+        "merge_embeddings": merge,
+        "cell_prompts": OV.cell_prompts(),
+        "cell_embeddings": OV.cell_embeddings(),
         "html_to_text": pt,
         "filing_lines": OF.filing_lines_sql(pt),
         "filing_fields": OF.filing_fields(),

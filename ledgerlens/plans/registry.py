@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import columns as colops
 from ledgerlens.operators import filings as fo
 from ledgerlens.operators import tables as tb
+from ledgerlens.operators import vectors as vx
+from ledgerlens.operators import retrieval as rt
+from ledgerlens.operators import cells as ce
 from ledgerlens.sources import filings as src
 from ledgerlens.plans.profiles import profiled_columns, profiled_long
 from ledgerlens.sources.tables import table
+from ledgerlens.functions.vectors import round_half
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +65,7 @@ def number_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _numbers(mode):
     def run(spark, sf_dir):
         df = colops.normalize_numbers(number_strings(spark, sf_dir), "raw", mode)
-        return df.select("id", "raw", F.round("number", 6).alias("number"))
+        return df.select("id", "raw", round_half("number", 6).alias("number"))
     return run
 
 
@@ -93,16 +97,16 @@ def q_line_header_score(spark, sf_dir):
 
 def q_line_header_lev(spark, sf_dir):
     out = fo.line_header_lev(fo.filing_lines(pages_text(spark, sf_dir)))
-    return out.withColumn("score", F.round("score", 6))
+    return out.withColumn("score", round_half("score", 6))
 
 
 def q_best_chunk(spark, sf_dir):
-    return fo.best_chunk(pages_text(spark, sf_dir)).withColumn("best_score", F.round("best_score", 6))
+    return fo.best_chunk(pages_text(spark, sf_dir)).withColumn("best_score", round_half("best_score", 6))
 
 
 def q_best_chunk_lev(spark, sf_dir):
     out = fo.best_chunk_lev(pages_text(spark, sf_dir))
-    return out.withColumn("best_pos", F.col("best_pos").cast("long")).withColumn("best_score", F.round("best_score", 6))
+    return out.withColumn("best_pos", F.col("best_pos").cast("long")).withColumn("best_score", round_half("best_score", 6))
 
 
 def q_extraction_prompts(spark, sf_dir):
@@ -154,8 +158,108 @@ def q_csv_tables_cells(spark, sf_dir):
     return tb.csv_table_cells(src.derived_csv_answers(spark, sf_dir))
 
 
+# ------------------------------------------------------------ vectors ------
+
+ENC_DIM = 32
+PROJ_DIM = 256
+
+
+def documents_with_tokens(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.where(F.size(vx.tokens(F.col("text"))) > 0)
+
+
+def q_embed_documents(spark, sf_dir):
+    d = vx.embed(documents_with_tokens(spark, sf_dir), "text", vx.HashTokenEncoder(ENC_DIM))
+    return vx.vectors_long(d, ["doc_id"])
+
+
+def _pool(how):
+    def run(spark, sf_dir):
+        d = vx.pool(documents_with_tokens(spark, sf_dir), "text", how, ENC_DIM)
+        return vx.vectors_long(d, ["doc_id"])
+    return run
+
+
+def embeddings(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
+
+
+def q_l2_normalize(spark, sf_dir):
+    return vx.vectors_long(vx.normalize(embeddings(spark, sf_dir), "vec"), ["vec_id"])
+
+
+def q_project_vectors(spark, sf_dir):
+    e = embeddings(spark, sf_dir)
+    w = vx.projection_weights(spark, 64, PROJ_DIM)
+    return vx.vectors_long(vx.project(e, "vec", w), ["vec_id"])
+
+
+def q_ensemble_vectors(spark, sf_dir):
+    e = embeddings(spark, sf_dir)
+    cent = vx.group_centroids(e, "label", "vec")
+    by_label = e.select("vec_id", "label").join(cent, "label").select("vec_id", "vec")
+    ens = vx.ensemble([e.select("vec_id", "vec"), by_label], "vec_id")
+    return vx.vectors_long(ens, ["vec_id"])
+
+
+def _search(strategy, k, floor, **kw):
+    def run(spark, sf_dir):
+        e = embeddings(spark, sf_dir)
+        hits = rt.topk_search(e, e, k=k, floor=floor, query_id="vec_id", index_id="vec_id",
+                              strategy=strategy, **kw)
+        return hits.withColumn("score", round_half("score", 6))
+    return run
+
+
+def column_docs(spark, sf_dir):
+    return colops.column_documents(spark, profiled_long(spark, sf_dir), profiled_columns())
+
+
+def cells(spark, sf_dir):
+    return colops.normalized_cells(profiled_long(spark, sf_dir))
+
+
+def q_merge_embeddings(spark, sf_dir):
+    enc = vx.HashTokenEncoder(ENC_DIM)
+    idx = ce.column_index(column_docs(spark, sf_dir), enc)
+    cols = idx.select("name", "vec", F.col("id").alias("rank"))
+    cv = vx.embed(cells(spark, sf_dir), "cell", enc).select(F.col("column_name").alias("name"), "vec", "rank")
+    m = vx.merge_embeddings(cols, cv, ENC_DIM)
+    return m.select("type", "name", "row_index", *[round_half(f"dim_{i}", 6).alias(f"dim_{i}") for i in range(ENC_DIM)])
+
+
+def _cell_prompts(spark, sf_dir):
+    enc = vx.HashTokenEncoder(ENC_DIM)
+    w = vx.projection_weights(spark, ENC_DIM, PROJ_DIM)
+    idx = ce.column_index(column_docs(spark, sf_dir), enc, w)
+    return ce.cell_prompts(cells(spark, sf_dir).select("table_name", "column_name", "rank", "cell"), idx, enc, w), enc, w
+
+
+def q_cell_prompts(spark, sf_dir):
+    return _cell_prompts(spark, sf_dir)[0]
+
+
+def q_cell_embeddings(spark, sf_dir):
+    p, enc, w = _cell_prompts(spark, sf_dir)
+    return vx.vectors_long(ce.cell_embeddings(p, enc, w), ["table_name", "column_name", "rank"])
+
+
 def queries() -> dict[str, Query]:
     return {
+        "embed_documents": q_embed_documents,
+        "pool_mean": _pool("mean"),
+        "pool_first": _pool("first"),
+        "pool_max": _pool("max"),
+        "l2_normalize": q_l2_normalize,
+        "project_vectors": q_project_vectors,
+        "ensemble_vectors": q_ensemble_vectors,
+        "topk_search": _search("auto", rt.DEFAULT_K, rt.DEFAULT_FLOOR),
+        "topk_search_blocked": _search("blocked", rt.DEFAULT_K, 0.0, query_block=128, index_block=128),
+        "merge_embeddings": q_merge_embeddings,
+        "cell_prompts": q_cell_prompts,
+        "cell_embeddings": q_cell_embeddings,
         "html_to_text": q_html_to_text,
         "filing_lines": q_filing_lines,
         "filing_fields": q_filing_fields,
