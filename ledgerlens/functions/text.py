@@ -29,6 +29,16 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def with_once(df, **cols):
+    """Add columns computed exactly once per row.
+
+    Higher-order functions re-evaluate an outer expression each time a
+    lambda mentions it; emitting the values through a generator turns them
+    into plain attributes that later lambdas can read for free.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[e.alias(n) for n, e in cols.items()]))))
+
+
 def py_strip(c) -> Column:
     """Python ``s.strip()``: remove the 29 whitespace characters at both ends."""
     return F.btrim(col_(c), F.lit(WS_CHARS))
@@ -112,7 +122,8 @@ def _codepoint_char(n: Column) -> Column:
 
 def decode_entities(c) -> Column:
     """Decode named (fixed set) and numeric character references."""
-    s = col_(c)
+    raw = col_(c)
+    s = raw
     dec = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#([0-9]{1,8});"), 1))
     s = F.aggregate(dec, s, lambda acc, d: F.replace(
         acc, F.concat(F.lit("&#"), d, F.lit(";")), _codepoint_char(d.cast("long"))))
@@ -122,7 +133,7 @@ def decode_entities(c) -> Column:
         _codepoint_char(F.conv(F.substring(h, 2, 8), 16, 10).cast("long"))))
     for name, ch in NAMED_ENTITIES:
         s = F.replace(s, F.lit("&" + name + ";"), F.lit(ch))
-    return s
+    return F.when(F.instr(raw, "&") > 0, s).otherwise(raw)
 
 
 def html_text_nodes(c) -> Column:

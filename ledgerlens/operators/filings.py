@@ -75,11 +75,16 @@ def filing_fields(df: DataFrame, text_col: str = "text") -> DataFrame:
     token; the scan stops once neither is ``N/A``. A fold over the line
     array inside the row: no explode, no shuffle.
     """
-    init = F.struct(F.lit("N/A").alias("cik"), F.lit("N/A").alias("date"))
-    res = F.aggregate(tx.split_lines(text_col), init, _fields_step)
+    res = fields_struct(text_col)
     return df.select("filing_id", res["cik"].alias("cik"), res["date"].alias("filing_date"))
 
 
+def fields_struct(text_col: str = "text") -> Column:
+    """``struct(cik, date)`` of the line scan (column form of TXT3)."""
+    init = F.struct(F.lit("N/A").alias("cik"), F.lit("N/A").alias("date"))
+    return F.aggregate(tx.split_lines(text_col), init, _fields_step)
+
+
 def item_section(df: DataFrame, item: str = "2", text_col: str = "text",
                  out: str = "section") -> DataFrame:
     """TXT4: the part II item section (empty string = not found).

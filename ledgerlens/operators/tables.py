@@ -58,22 +58,22 @@ def parse_pipe_answers(df: DataFrame, answer_col: str = "answer",
         i = F.instr(a, END_MARKER)
         a = F.when(i > 0, F.substring(a, F.lit(1), i - 1)).otherwise(a)
     lines = F.filter(F.split(a, "\n", -1), lambda l: l.contains("|") & ~l.contains("---"))
-    fields = F.transform(lines, pipe_fields)
-    header = F.element_at(fields, 1)
-    n = F.size(header)
-    rows = F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(0)))
-    too_long = F.exists(rows, lambda r: F.size(r) > n)
-    padded = F.transform(rows, lambda r: F.concat(
+    d = tx.with_once(df.select("filing_id", answer_col), _lines=lines)
+    d = tx.with_once(d, _fields=F.transform("_lines", pipe_fields))
+    d = tx.with_once(d, _header=F.coalesce(F.try_element_at("_fields", F.lit(1)), F.array().cast("array<string>")),
+                     _rows=F.slice("_fields", 2, F.greatest(F.size("_fields") - 1, F.lit(0))))
+    n = F.size("_header")
+    too_long = F.exists("_rows", lambda r: F.size(r) > n)
+    padded = F.transform("_rows", lambda r: F.concat(
         r, F.array_repeat(F.lit(FILLER), F.greatest(n - F.size(r), F.lit(0)))))
     status = (F.when(tx.py_strip(F.col(answer_col)) == F.lit(""), F.lit("empty_answer"))
-              .when(F.size(lines) == 0, F.lit("no_table"))
-              .when(F.size(rows) == 0, F.lit("header_only"))
+              .when(F.size("_lines") == 0, F.lit("no_table"))
+              .when(F.size("_rows") == 0, F.lit("header_only"))
               .when(too_long, F.lit("parse_failed"))
               .otherwise(F.lit(STATUS_OK)))
-    out = df.select("filing_id",
-                    (_dedupe_names(header) if dedupe_headers else header).alias("header"),
+    return d.select("filing_id",
+                    (_dedupe_names(F.col("_header")) if dedupe_headers else F.col("_header")).alias("header"),
                     padded.alias("rows"), status.alias("status"))
-    return out
 
 
 def pipe_table_cells(df: DataFrame, answer_col: str = "answer", **kw) -> DataFrame:
@@ -177,12 +177,14 @@ def _csv_tables(df: DataFrame, answer_col: str) -> DataFrame:
                        .alias("i", "piece"))
     body = tx.py_strip(F.col("piece"))
     lines = F.filter(F.split(body, r"\r?\n", -1), lambda l: tx.py_strip(l) != F.lit(""))
-    fields = F.transform(lines, csv_fields)
-    header = F.element_at(fields, 1)
-    rows = F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(0)))
-    ok = (F.size(lines) > 0) & ~F.exists(rows, lambda r: F.size(r) > F.size(header))
-    return pieces.select("filing_id", (F.col("i") + 1).cast("long").alias("table_no"),
-                         _dedupe_names(header, ".", 1).alias("header"), rows.alias("rows"), ok.alias("ok"))
+    d = tx.with_once(pieces, _lines=lines)
+    d = tx.with_once(d, _fields=F.transform("_lines", csv_fields))
+    d = tx.with_once(d, _header=F.coalesce(F.try_element_at("_fields", F.lit(1)), F.array().cast("array<string>")),
+                     _rows=F.slice("_fields", 2, F.greatest(F.size("_fields") - 1, F.lit(0))))
+    ok = (F.size("_lines") > 0) & ~F.exists("_rows", lambda r: F.size(r) > F.size("_header"))
+    return d.select("filing_id", (F.col("i") + 1).cast("long").alias("table_no"),
+                    _dedupe_names(F.col("_header"), ".", 1).alias("header"), F.col("_rows").alias("rows"),
+                    ok.alias("ok"))
 
 
 def v1_table_names(tables: DataFrame, item: str = "2") -> DataFrame:

@@ -119,7 +119,46 @@ FROM ({col_vecs}) v JOIN ({ix}) ix ON ix.id = v.id GROUP BY ix.name, ix.id
 UNION ALL
 SELECT 'cell' AS type, c.column_name AS name, CAST(c.rank - 1 AS BIGINT) AS row_index, {dims}
 FROM ({cell_vecs}) v JOIN ({OV.cells_src()}) c ON c.cid = v.id GROUP BY c.column_name, c.rank"""
+    toks = OV.tokens("text")
+    tok = f"""
+WITH d AS (SELECT doc_id, {toks} AS toks FROM documents WHERE len({toks}) > 0),
+t AS (SELECT doc_id, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos FROM d),
+v AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) AS token_id FROM t GROUP BY token)
+SELECT doc_id, count(*) AS n_tokens, string_agg(CAST(token_id AS VARCHAR), ',' ORDER BY pos) AS input_ids
+FROM t JOIN v USING (token) GROUP BY doc_id"""
+    batches = f"""
+SELECT CAST(epoch AS BIGINT) AS epoch, CAST((rn - 1) // 2 AS BIGINT) AS batch_id, doc_id, CAST((rn - 1) % 2 AS BIGINT) AS pos_in_batch
+FROM (SELECT epoch, doc_id, row_number() OVER (PARTITION BY epoch ORDER BY
+        md5(concat_ws('|', '42', CAST(epoch AS VARCHAR), CAST(doc_id AS VARCHAR))), doc_id) AS rn
+      FROM documents, range(0, 2) r(epoch) WHERE len({toks}) > 0)"""
+    padded = f"""
+WITH t AS ({tok}), b AS ({batches}),
+j AS (SELECT b.*, t.n_tokens, t.input_ids, max(t.n_tokens) OVER (PARTITION BY b.epoch, b.batch_id) AS mx
+      FROM b JOIN t USING (doc_id))
+SELECT epoch, batch_id, pos_in_batch, doc_id,
+       input_ids || repeat(',0', CAST(mx - n_tokens AS INTEGER)) AS input_ids,
+       array_to_string(list_transform(range(n_tokens), lambda z: '1'), ',') || repeat(',0', CAST(mx - n_tokens AS INTEGER)) AS attention_mask,
+       input_ids || repeat(',0', CAST(mx - n_tokens AS INTEGER)) AS labels
+FROM j"""
+    manifest = ("SELECT 'filings/' || CAST(o_orderkey AS VARCHAR) || '.txt' AS path, "
+                "lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, strftime(o_orderdate, '%Y-%m-%d') AS filing_date, "
+                "CASE WHEN starts_with(o_orderpriority, '1') THEN '5' ELSE '2' END AS item_number FROM orders")
+    mj = (f"SELECT f.filing_id, m.path, m.cik, m.filing_date, m.item_number, CAST(length(f.text) AS BIGINT) AS n_chars "
+          f"FROM ({OF.derived_filings()}) f JOIN ({manifest}) m ON m.path = 'filings/' || f.filing_id || '.txt'")
+    csv = (f"SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
+           f"{S.float_text('c_acctbal')} AS c_acctbal, "
+           f"CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer")
+    names = (f"SELECT t.filing_id, t.table_no, f.cik || '_' || f.filing_date || '_item2_table' || "
+             f"CAST(t.table_no AS VARCHAR) || '.csv' AS file_name "
+             f"FROM ({OF.csv_ok_tables()}) t "
+             f"JOIN ({OF.filing_fields()}) f USING (filing_id)")
     return {
+        "filing_manifest_join": mj,
+        "csv_all_string": csv,
+        "v1_table_names": names,
+        "tokenized_docs": tok,
+        "shuffled_batches": batches,
+        "padded_batches": padded,
         "embed_documents": by("doc_id", OV.pooled(docs, "text")),
         "pool_mean": by("doc_id", OV.pooled(docs, "text", "mean", normalize=False)),
         "pool_first": by("doc_id", OV.pooled(docs, "text", "first", normalize=False)),

@@ -233,8 +233,7 @@ def combine_tables(columns: list[str]) -> str:
 CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
 
 
-def csv_tables() -> str:
-    na = "(" + ", ".join(q(t) for t in NA_TOKENS) + ")"
+def _csv_base() -> str:
     fields = (f"list_transform(regexp_extract_all(l, {q(CSV_FIELD)}, 1), lambda f: CASE WHEN starts_with(f, '\"') "
               f"AND ends_with(f, '\"') AND length(f) >= 2 THEN replace(substr(f, 2, length(f) - 2), '\"\"', '\"') ELSE f END)")
     return f"""
@@ -246,7 +245,18 @@ f AS (SELECT filing_id, table_no, ls, list_transform(ls, lambda l: {fields}) AS
 g AS (SELECT filing_id, table_no, fs[1] AS header, fs[2:] AS rows,
              len(ls) > 0 AND len(list_filter(fs[2:], lambda r: len(r) > len(fs[1]))) = 0 AS ok FROM f),
 ok AS (SELECT filing_id, CAST(table_no AS BIGINT) AS table_no, {dedupe('header', '.', 1)} AS header, rows FROM g WHERE ok),
-r AS (SELECT filing_id, table_no, header, unnest(rows) AS row, generate_subscripts(rows, 1) AS rn FROM ok),
+{{tail}}
+"""
+
+
+def csv_tables() -> str:
+    na = "(" + ", ".join(q(t) for t in NA_TOKENS) + ")"
+    tail = f"""r AS (SELECT filing_id, table_no, header, unnest(rows) AS row, generate_subscripts(rows, 1) AS rn FROM ok),
 c AS (SELECT filing_id, table_no, header, rn, row, unnest(range(1, len(header) + 1)) AS cn FROM r)
 SELECT filing_id, table_no, CAST(rn - 1 AS BIGINT) AS row_no, CAST(cn - 1 AS BIGINT) AS col_no, header[cn] AS col_name,
        CASE WHEN row[cn] IN {na} THEN NULL ELSE row[cn] END AS value FROM c"""
+    return _csv_base().replace("{tail}", tail)
+
+
+def csv_ok_tables() -> str:
+    return _csv_base().replace("{tail}", "x AS (SELECT 1)\nSELECT filing_id, table_no FROM ok")

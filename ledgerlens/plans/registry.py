@@ -18,6 +18,10 @@ from ledgerlens.operators import tables as tb
 from ledgerlens.operators import vectors as vx
 from ledgerlens.operators import retrieval as rt
 from ledgerlens.operators import cells as ce
+from ledgerlens.operators import trainprep as tp
+from ledgerlens.operators import htmltables as ht
+from ledgerlens.sources import csvio
+from ledgerlens.session import scratch_dir
 from ledgerlens.sources import filings as src
 from ledgerlens.plans.profiles import profiled_columns, profiled_long
 from ledgerlens.sources.tables import table
@@ -246,8 +250,107 @@ def q_cell_embeddings(spark, sf_dir):
     return vx.vectors_long(ce.cell_embeddings(p, enc, w), ["table_name", "column_name", "rank"])
 
 
+# ------------------------------------------------------- training data ----
+
+TRAIN_EPOCHS = 2
+
+
+def q_tokenized_docs(spark, sf_dir):
+    d = documents_with_tokens(spark, sf_dir)
+    t = tp.tokenized(d, tp.vocabulary(d))
+    return t.select("doc_id", "n_tokens", tp.as_text("input_ids").alias("input_ids"))
+
+
+def q_shuffled_batches(spark, sf_dir):
+    return tp.shuffled_batches(documents_with_tokens(spark, sf_dir), epochs=TRAIN_EPOCHS)
+
+
+def q_padded_batches(spark, sf_dir):
+    d = documents_with_tokens(spark, sf_dir)
+    t = tp.tokenized(d, tp.vocabulary(d))
+    p = tp.padded_batches(tp.shuffled_batches(d, epochs=TRAIN_EPOCHS), t)
+    return p.select("epoch", "batch_id", "pos_in_batch", "doc_id", tp.as_text("input_ids").alias("input_ids"),
+                    tp.as_text("attention_mask").alias("attention_mask"), tp.as_text("labels").alias("labels"))
+
+
+# ------------------------------------------------- sources, sinks, HTML ----
+
+def q_filing_manifest_join(spark, sf_dir):
+    f = src.derived_filings(spark, sf_dir).withColumn(
+        "path", F.concat(F.lit("filings/"), F.col("filing_id"), F.lit(".txt")))
+    j = src.join_manifest(f, src.derived_manifest(spark, sf_dir), "path")
+    return j.select("filing_id", "path", "cik", "filing_date", "item_number",
+                    F.length("text").cast("long").alias("n_chars"))
+
+
+def csv_source_frame(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.select(c.c_custkey.cast("string").alias("c_custkey"), "c_name",
+                    c.c_nationkey.cast("string").alias("c_nationkey"),
+                    colops.value_text(c.c_acctbal, c.schema["c_acctbal"].dataType).alias("c_acctbal"),
+                    F.when(c.c_mktsegment == "HOUSEHOLD", F.lit("NA")).otherwise(c.c_mktsegment).alias("c_mktsegment"))
+
+
+def q_csv_all_string(spark, sf_dir):
+    import uuid
+    path = scratch_dir(spark, f"csv-customer-{uuid.uuid4().hex}")
+    csvio.write_csv(csv_source_frame(spark, sf_dir), path)
+    return csvio.read_csv_all_strings(spark, path)
+
+
+def q_v1_table_names(spark, sf_dir):
+    st = tb.csv_table_status(src.derived_csv_answers(spark, sf_dir)).where(F.col("status") == "ok")
+    fields = fo.filing_fields(src.derived_filings(spark, sf_dir))
+    return tb.v1_table_names(st.join(fields, "filing_id"))
+
+
+def _filing_files(spark, sf_dir):
+    """Write the pages as one text file per page under the scratch area."""
+    import uuid
+    path = scratch_dir(spark, f"filing-files-{uuid.uuid4().hex}")
+    src.pages_as_filings(spark, sf_dir).write.partitionBy("filing_id").text(path)
+    return path
+
+
+def q_filing_scan(spark, sf_dir):
+    path = _filing_files(spark, sf_dir)
+    s = src.scan_filing_folder(spark, path, recursive=True)
+    fid = F.regexp_extract("path", r"filing_id=([^/]+)/", 1)
+    t = fo.html_to_text(s.withColumn("filing_id", fid))
+    return t.select("filing_id", F.length("html").cast("long").alias("n_chars"),
+                    F.size(F.split("text", "\n")).cast("long").alias("n_nodes"))
+
+
+def q_filing_stream(spark, sf_dir):
+    import uuid
+    from ledgerlens.streaming import filings as sf
+    path = _filing_files(spark, sf_dir)
+    run = uuid.uuid4().hex
+    sink, ck = scratch_dir(spark, f"stream-out-{run}"), scratch_dir(spark, f"stream-ck-{run}")
+    sf.start(spark, path, sink, ck, available_now=True).awaitTermination()
+    return spark.read.parquet(sink)
+
+
+def q_html_table_cells(spark, sf_dir):
+    return ht.html_table_cells(src.derived_html_filings(spark, sf_dir))
+
+
+def q_canonical_columns(spark, sf_dir):
+    return ht.canonical_columns(ht.html_table_cells(src.derived_html_filings(spark, sf_dir)))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "filing_manifest_join": q_filing_manifest_join,
+        "csv_all_string": q_csv_all_string,
+        "v1_table_names": q_v1_table_names,
+        "filing_scan": q_filing_scan,
+        "filing_stream": q_filing_stream,
+        "html_table_cells": q_html_table_cells,
+        "canonical_columns": q_canonical_columns,
+        "tokenized_docs": q_tokenized_docs,
+        "shuffled_batches": q_shuffled_batches,
+        "padded_batches": q_padded_batches,
         "embed_documents": q_embed_documents,
         "pool_mean": _pool("mean"),
         "pool_first": _pool("first"),

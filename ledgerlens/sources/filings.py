@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 from ledgerlens.sources.tables import table
 
 
-def scan_filing_folder(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+def scan_filing_folder(spark: SparkSession, path: str, suffix: str = ".txt",
+                       recursive: bool = False) -> DataFrame:
     """Whole-file scan of a folder: ``(filing_id, path, html)``.
 
-    Only names ending in ``suffix`` (case-sensitive), not recursive. The
-    ``wholetext`` option must be given to ``.text()`` itself: the method's own
-    default would otherwise split files into lines.
+    Only names ending in ``suffix`` (case-sensitive); not recursive unless
+    asked. The ``wholetext`` option must be given to ``.text()`` itself: the
+    method's own default would otherwise split files into lines. One file is
+    one row, read by one task; nothing is listed or read on the driver.
     """
     df = (spark.read.option("pathGlobFilter", f"*{suffix}")
+          .option("recursiveFileLookup", recursive)
           .text(path, wholetext=True)
           .select(F.col("_metadata.file_name").alias("filing_id"),
                   F.col("_metadata.file_path").alias("path"),
@@ -160,3 +163,42 @@ def derived_csv_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ans = F.concat(F.lit("\n"), t1, F.lit("\n---TABLE---\n"), t2, bad)
     return (o.join(body, o.o_orderkey == body.l_orderkey, "left")
             .select(o.o_orderkey.cast("string").alias("filing_id"), ans.alias("answer")))
+
+
+def derived_html_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTML filings with a print-style repurchase table per order:
+    ``(filing_id, html)``. Stacked header rows with ``colspan=3`` over
+    spacer cells (as filings lay them out), then one data row per lineitem
+    with the currency sign in its own cell."""
+    o = table(spark, sf_dir, "orders")
+    sp = "<td>&nbsp;</td>"
+
+    head = ("<tr><td width=\"50%\">&nbsp;</td>" + sp * 8 + "</tr>"
+            + "<tr><td>&nbsp;</td>" + "".join(f"{sp}<td colspan=\"3\"><b>{x}</b></td>" for x in
+                                              ("Total Number", "Average", "Total Number of Shares")) + "</tr>"
+            + "<tr><td><b>Period</b></td>" + "".join(f"{sp}<td colspan=\"3\"><b>{x}</b></td>" for x in
+                                                     ("of Shares Purchased", "Price Paid per Share",
+                                                      "Purchased as Part of Programs")) + "</tr>")
+    body = _order_lines(spark, sf_dir, lambda li: F.concat(
+        F.lit("<tr><td>"), _d(li.l_shipdate), F.lit("</td>" + sp + "<td>&nbsp;</td><td>"),
+        _money(li.l_quantity), F.lit("</td><td>&nbsp;</td>" + sp + "<td>$</td><td>"),
+        _money(li.l_extendedprice), F.lit("</td><td>&nbsp;</td>" + sp + "<td>&nbsp;</td><td>"),
+        li.l_linenumber.cast("string"), F.lit("</td><td>&nbsp;</td></tr>")))
+    html = F.concat(
+        F.lit("<html><head><style>td{padding:0}</style><script>var x='<table>';</script></head><body>"
+              "<p>PART II &#151; OTHER INFORMATION</p>"
+              "<p><b>ITEM 2. UNREGISTERED SALES OF EQUITY SECURITIES AND USE OF PROCEEDS</b></p>"
+              "<table cellspacing=\"0\"><!-- Begin Table Head -->"), F.lit(head),
+        F.lit("<!-- End Table Head -->"), F.coalesce(F.col("body"), F.lit("")),
+        F.lit("</table><p>Total "), _money(o.o_totalprice), F.lit("</p></body></html>"))
+    return (o.join(body, o.o_orderkey == body.l_orderkey, "left")
+            .select(o.o_orderkey.cast("string").alias("filing_id"), html.alias("html")))
+
+
+def derived_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filing manifest per order: ``(path, cik, filing_date, item_number)``."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.concat(F.lit("filings/"), o.o_orderkey.cast("string"), F.lit(".txt")).alias("path"),
+                    F.lpad(o.o_custkey.cast("string"), 10, "0").alias("cik"),
+                    _d(o.o_orderdate).alias("filing_date"),
+                    F.when(o.o_orderpriority.startswith("1"), F.lit("5")).otherwise(F.lit("2")).alias("item_number"))
