@@ -120,18 +120,33 @@ def _codepoint_char(n: Column) -> Column:
     return F.when(invalid, F.lit("")).otherwise(ch)
 
 
-def decode_entities(c) -> Column:
-    """Decode named (fixed set) and numeric character references."""
+MARKUP_CODES = (38, 60, 62)  # '&', '<', '>'
+
+
+def decode_entities(c, keep_markup: bool = False) -> Column:
+    """Decode named (fixed set) and numeric character references.
+
+    ``keep_markup`` leaves the references of ``& < >`` encoded, so a whole
+    table can be decoded once before its tags are split off (the remaining
+    three are decoded per cell afterwards).
+    """
     raw = col_(c)
     s = raw
+
+    def char(n):
+        ch = _codepoint_char(n)
+        return ch if not keep_markup else F.when(n.isin(*MARKUP_CODES), F.lit(None)).otherwise(ch)
+
     dec = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#([0-9]{1,8});"), 1))
-    s = F.aggregate(dec, s, lambda acc, d: F.replace(
-        acc, F.concat(F.lit("&#"), d, F.lit(";")), _codepoint_char(d.cast("long"))))
+    s = F.aggregate(dec, s, lambda acc, d: F.coalesce(F.replace(
+        acc, F.concat(F.lit("&#"), d, F.lit(";")), char(d.cast("long"))), acc))
     hx = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#([xX][0-9a-fA-F]{1,6});"), 1))
-    s = F.aggregate(hx, s, lambda acc, h: F.replace(
+    s = F.aggregate(hx, s, lambda acc, h: F.coalesce(F.replace(
         acc, F.concat(F.lit("&#"), h, F.lit(";")),
-        _codepoint_char(F.conv(F.substring(h, 2, 8), 16, 10).cast("long"))))
+        char(F.conv(F.substring(h, 2, 8), 16, 10).cast("long"))), acc))
     for name, ch in NAMED_ENTITIES:
+        if keep_markup and name in ("amp", "lt", "gt"):
+            continue
         s = F.replace(s, F.lit("&" + name + ";"), F.lit(ch))
     return F.when(F.instr(raw, "&") > 0, s).otherwise(raw)
 

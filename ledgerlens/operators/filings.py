@@ -145,8 +145,8 @@ def best_chunk_lev(df: DataFrame, text_col: str = "text", header: str = HEADER_R
     init = F.struct(F.lit(-1).alias("pos"), F.lit(0.0).alias("score"))
     best = F.aggregate(scored, init, lambda acc, x: F.when(x["score"] > acc["score"], x).otherwise(acc))
     ok = (F.col("_best.pos") >= 0) & (F.col("_best.score") >= threshold)
-    return (df.select("filing_id", tx.clean_lines(text_col).alias("_lines"))
-            .withColumn("_best", best)
+    d = tx.with_once(df.select("filing_id", text_col), _lines=tx.clean_lines(text_col))
+    return (tx.with_once(d, _best=best)
             .select("filing_id",
                     F.when(ok, F.col("_best.pos")).alias("best_pos"),
                     F.when(ok, F.col("_best.score")).alias("best_score"),

@@ -11,10 +11,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
     """``spark.read.parquet`` of ``{sf_dir}/{name}.parquet``.
 
-    Column pruning and filter pushdown happen at this scan: callers select
-    only what they use and Catalyst narrows ``ReadSchema`` accordingly.
+    Column pruning and filter pushdown happen at this scan (callers select
+    only what they use; Catalyst narrows ``ReadSchema`` and pushes filters
+    through the optional round-robin repartition below).
+
+    Scan parallelism guard: a file with a single row group is read by one
+    task. When the scan has fewer splits than ``min_partitions`` (default:
+    the cluster's default parallelism) the rows are spread round-robin so
+    the row-local work after the scan uses every core. On large inputs the
+    scan already has more splits than cores and this is a no-op.
     """
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    target = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
+    return df
