@@ -97,27 +97,30 @@ def normalize_number(c, mode: str = "reference") -> Column:
 
 
 def py_float_text(c) -> Column:
-    """Python ``str(float)`` of a double column.
-
-    Positional form for 1e-4 <= |x| < 1e16 and 0 (via the shortest decimal
-    that Spark's double->decimal conversion yields), exponent form
-    ``1e+16`` / ``1.5e-05`` outside, ``inf`` / ``nan`` spelled the Python way.
+    """Python ``str(float)`` (the shortest round-tripping spelling) of a
+    double column ``c`` (pass a column reference: it is used several times).
+
+    The shortest spelling has at most 17 significant digits: the first of
+    15, 16, 17 digits that reads back as the same double is it (15 digits
+    always map back uniquely). It is printed positionally for
+    1e-4 <= |x| < 1e16 and 0, else as ``1.5e-05`` / ``1e+16``; ``inf`` and
+    ``nan`` are spelled the Python way.
     """
     x = col_(c)
     a = F.abs(x)
+    sci = [F.format_string(f"%.{p - 1}e", x) for p in (15, 16, 17)]
+    best = (F.when(sci[0].try_cast("double") == x, sci[0])
+            .when(sci[1].try_cast("double") == x, sci[1]).otherwise(sci[2]))
     positional = F.regexp_replace(
-        F.regexp_replace(x.cast("decimal(38,20)").cast("string"), r"0+$", ""), r"\.$", ".0")
-    jstr = x.cast("string")  # e.g. 1.0E16, 1.2345E-5
-    mant = F.regexp_replace(F.regexp_extract(jstr, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
-    expo = F.regexp_extract(jstr, r"E(-?[0-9]+)$", 1).cast("int")
-    expo_txt = F.concat(F.when(expo < 0, F.lit("-")).otherwise(F.lit("+")),
-                        F.lpad(F.abs(expo).cast("string"), 2, "0"))
-    exponent_form = F.concat(mant, F.lit("e"), expo_txt)
+        F.regexp_replace(best.try_cast("decimal(38,20)").cast("string"), r"0+$", ""), r"\.$", ".0")
+    mant = F.regexp_replace(F.regexp_replace(F.regexp_extract(best, r"^(-?[0-9.]+)e", 1), r"0+$", ""), r"\.$", "")
+    exponent_form = F.concat(mant, F.lit("e"), F.regexp_extract(best, r"e([+-][0-9]+)$", 1))
     return (F.when(x.isNull(), F.lit(None).cast("string"))
             .when(F.isnan(x), F.lit("nan"))
             .when(x == F.lit(float("inf")), F.lit("inf"))
             .when(x == F.lit(float("-inf")), F.lit("-inf"))
-            .when((a == 0) | ((a >= 1e-4) & (a < 1e16)), positional)
+            .when(a == 0, F.when(F.format_string("%s", x).startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
+            .when((a >= 1e-4) & (a < 1e16), positional)
             .otherwise(exponent_form))
 
 
