@@ -106,22 +106,32 @@ def py_float_text(c) -> Column:
     1e-4 <= |x| < 1e16 and 0, else as ``1.5e-05`` / ``1e+16``; ``inf`` and
     ``nan`` are spelled the Python way.
     """
-    x = col_(c)
-    a = F.abs(x)
-    sci = [F.format_string(f"%.{p - 1}e", x) for p in (15, 16, 17)]
-    best = (F.when(sci[0].try_cast("double") == x, sci[0])
-            .when(sci[1].try_cast("double") == x, sci[1]).otherwise(sci[2]))
-    positional = F.regexp_replace(
-        F.regexp_replace(best.try_cast("decimal(38,20)").cast("string"), r"0+$", ""), r"\.$", ".0")
-    mant = F.regexp_replace(F.regexp_replace(F.regexp_extract(best, r"^(-?[0-9.]+)e", 1), r"0+$", ""), r"\.$", "")
-    exponent_form = F.concat(mant, F.lit("e"), F.regexp_extract(best, r"e([+-][0-9]+)$", 1))
-    return (F.when(x.isNull(), F.lit(None).cast("string"))
-            .when(F.isnan(x), F.lit("nan"))
-            .when(x == F.lit(float("inf")), F.lit("inf"))
-            .when(x == F.lit(float("-inf")), F.lit("-inf"))
-            .when(a == 0, F.when(F.format_string("%s", x).startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
-            .when((a >= 1e-4) & (a < 1e16), positional)
-            .otherwise(exponent_form))
+    x0 = col_(c)
+    sci = [F.format_string(f"%.{p - 1}e", x0) for p in (15, 16, 17)]
+    best0 = (F.when(sci[0].try_cast("double") == x0, sci[0])
+             .when(sci[1].try_cast("double") == x0, sci[1]).otherwise(sci[2]))
+
+    # the value and its spelling are bound once as lambda variables, so the
+    # (large) spelling expression is evaluated and generated only once
+    def spell(v):
+        x, best = v["x"], v["best"]
+        a = F.abs(x)
+        positional = F.regexp_replace(
+            F.regexp_replace(best.try_cast("decimal(38,20)").cast("string"), r"0+$", ""), r"\.$", ".0")
+        mant = F.regexp_replace(F.regexp_replace(F.regexp_extract(best, r"^(-?[0-9.]+)e", 1), r"0+$", ""),
+                                r"\.$", "")
+        exponent_form = F.concat(mant, F.lit("e"), F.regexp_extract(best, r"e([+-][0-9]+)$", 1))
+        return (F.when(x.isNull(), F.lit(None).cast("string"))
+                .when(F.isnan(x), F.lit("nan"))
+                .when(x == F.lit(float("inf")), F.lit("inf"))
+                .when(x == F.lit(float("-inf")), F.lit("-inf"))
+                .when(a == 0, F.when(best.startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
+                .when((a >= 1e-4) & (a < 1e16), positional)
+                .otherwise(exponent_form))
+
+    packed = F.array(F.struct(x0.cast("double").alias("x"),
+                              F.when(x0.isNull() | F.isnan(x0), F.lit(None)).otherwise(best0).alias("best")))
+    return F.element_at(F.transform(packed, spell), 1)
 
 
 def normalized_cell_text(number, raw) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.text import shorten
 from ledgerlens.operators import retrieval as rt
 from ledgerlens.operators import vectors as vx
+from ledgerlens.session import ensure_checkpoint_dir
 
 # --- fixed values: prompt wording of the cell encoder -----------------------
 TARGET_PREFIX = "Target column: "
@@ -30,15 +31,25 @@ PIPELINE_K = 3
 # --------------------------------------------------------------------------
 
 
-def column_index(docs: DataFrame, encoder=None, weights: DataFrame | None = None) -> DataFrame:
+def column_index(docs: DataFrame, encoder=None, weights: DataFrame | None = None,
+                 materialize: bool = True) -> DataFrame:
     """``(id, table_name, name, doc, vec)`` - ids by (table, column) order
-    (one row per column: the window over the whole set is small)."""
+    (one row per column: the window over the whole set is small).
+
+    The index is read several times (size check, broadcast, metadata,
+    target documents); it is checkpointed once to the cluster's checkpoint
+    folder so the sampling behind it is not recomputed for every read.
+    """
     w = Window.orderBy("table_name", "column_name")
     d = docs.withColumn("id", (F.row_number().over(w) - 1).cast("long"))
     d = vx.embed(d, "doc", encoder, out="vec")
     if weights is not None:
         d = vx.project(d, "vec", weights, out="vec")
-    return d.select("id", "table_name", F.col("column_name").alias("name"), "doc", "vec")
+    out = d.select("id", "table_name", F.col("column_name").alias("name"), "doc", "vec")
+    if materialize:
+        ensure_checkpoint_dir(out.sparkSession)
+        out = out.checkpoint()
+    return out
 
 
 def _embed_distinct(df: DataFrame, text_col: str, encoder, weights) -> DataFrame:

@@ -90,9 +90,8 @@ def topk_search(queries: DataFrame, index: DataFrame, k: int = DEFAULT_K, floor:
                        F.col(query_vec).cast("array<double>").alias("qv"))
     ix = index.select(F.col(index_id).cast("long").alias("id"),
                       F.col(index_vec).cast("array<double>").alias("iv"))
-    n_index = ix.count()
-    first = ix.where(F.col("iv").isNotNull()).select(F.size("iv")).limit(1).collect()
-    dim = first[0][0] if first else 0
+    stats = ix.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("iv")).alias("d")).first()
+    n_index, dim = stats["n"], stats["d"] or 0
     if strategy == "auto":
         strategy = "broadcast" if n_index * max(dim, 1) * 8 <= broadcast_bytes else "blocked"
     if strategy == "broadcast":
