@@ -11,8 +11,11 @@ adds per-partition offsets (the ``zipWithIndex`` scheme, in DataFrames).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.functions.hashing import hash_key
 from ledgerlens.operators.vectors import tokens
@@ -62,11 +65,38 @@ def vocabulary(docs: DataFrame, text_col: str = "text", max_length: int = MAX_LE
 
 
 def tokenized(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              max_length: int = MAX_LENGTH) -> DataFrame:
-    """TRN1: ``(doc_id, n_tokens, input_ids array<long>, attention_mask)``."""
-    pos = docs.select(id_col, F.posexplode(tokens(F.col(text_col), max_length)).alias("pos", "token"))
-    ids = pos.join(vocab.select("token", "token_id"), "token")
-    g = ids.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s"))
+              max_length: int = MAX_LENGTH, broadcast_max_tokens: int = 2_000_000) -> DataFrame:
+    """TRN1: ``(doc_id, n_tokens, input_ids array<long>, attention_mask)``.
+
+    Vocabulary up to ``broadcast_max_tokens`` entries (counted first): it is
+    broadcast once and ids are looked up row-locally in an Arrow UDF - the
+    documents never shuffle. Larger vocabularies: tokens are exploded with
+    their positions, joined to the vocabulary and regrouped per document.
+    """
+    toks = tokens(F.col(text_col), max_length)
+    n_vocab = vocab.count()
+    if n_vocab <= broadcast_max_tokens:
+        pdf = vocab.select("token", "token_id").toPandas()  # size checked above
+        bc = docs.sparkSession.sparkContext.broadcast(dict(zip(pdf["token"], pdf["token_id"].astype("int64"))))
+
+        @F.arrow_udf(T.ArrayType(T.LongType()))
+        def _ids(arr: pa.Array) -> pa.Array:
+            lookup = bc.value
+            if isinstance(arr, pa.ChunkedArray):
+                arr = arr.combine_chunks()
+            flat = pa.compute.list_flatten(arr).to_pylist()
+            vals = pa.array([lookup[t] for t in flat], type=pa.int64())
+            lens = arr.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            offs = np.zeros(len(lens) + 1, dtype=np.int32)
+            np.cumsum(lens, out=offs[1:])
+            return pa.ListArray.from_arrays(pa.array(offs), vals)
+
+        ids = _ids(toks)
+        return docs.select(id_col, F.size(toks).cast("long").alias("n_tokens"), ids.alias("input_ids"),
+                           F.array_repeat(F.lit(1), F.size(toks)).alias("attention_mask")).where(F.col("n_tokens") > 0)
+    pos = docs.select(id_col, F.posexplode(toks).alias("pos", "token"))
+    j = pos.join(vocab.select("token", "token_id"), "token")
+    g = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s"))
     arr = F.transform("_s", lambda x: x["token_id"])
     return g.select(id_col, F.size("_s").cast("long").alias("n_tokens"), arr.alias("input_ids"),
                     F.array_repeat(F.lit(1), F.size("_s")).alias("attention_mask"))

@@ -50,7 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local mode: a machine-local folder is useless to other executors.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    current = (sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+               or spark.conf.get("spark.checkpoint.dir", None))
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
