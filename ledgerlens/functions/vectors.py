@@ -31,15 +31,24 @@ def l2_norm(v) -> Column:
 
 def l2_normalize(v, mode: str = "batch") -> Column:
     """Unit vector. ``batch``: divide by max(norm, 1e-9); ``single``: divide
-    only when norm > 0. A zero vector stays zero in both."""
+    only when norm > 0. A zero vector stays zero in both.
+
+    The vector and its norm are bound once as lambda variables: a lambda
+    that mentions an outer expression would re-evaluate it per element.
+    """
+    if mode not in ("batch", "single"):
+        raise ValueError(f"unknown normalisation mode {mode!r}")
     arr = as_double(v)
-    n = l2_norm(arr)
-    if mode == "batch":
-        d = F.greatest(n, F.lit(EPS))
-        return F.transform(arr, lambda x: x / d)
-    if mode == "single":
-        return F.when(n > 0, F.transform(arr, lambda x: x / n)).otherwise(arr)
-    raise ValueError(f"unknown normalisation mode {mode!r}")
+    packed = F.array(F.struct(arr.alias("a")))
+
+    def unit(s):
+        a = s["a"]
+        sq = F.aggregate(a, F.lit(0.0).cast("double"), lambda acc, x: acc + x * x)
+        return F.aggregate(F.array(F.sqrt(sq)), a, lambda a2, n: (
+            F.transform(a2, lambda x: x / F.greatest(n, F.lit(EPS))) if mode == "batch"
+            else F.when(n > 0, F.transform(a2, lambda x: x / n)).otherwise(a2)))
+
+    return F.element_at(F.transform(packed, unit), 1)
 
 
 def round_half(x, digits: int = 6) -> Column:
