@@ -98,7 +98,14 @@ def parse_table_grid(t: str) -> list[dict]:
         for k in range(1, len(parts) - 1, 2):
             m = _SPAN_RE.search(parts[k])
             span = max(int(m.group(1)) if m else 1, 1)
-            text = " ".join(html.unescape(_TAG_RE.sub(" ", _CELL_END.sub("", parts[k + 1]))).split())
+            text = parts[k + 1]
+            if "</" in text:
+                text = _CELL_END.sub("", text)
+            if "<" in text:
+                text = _TAG_RE.sub(" ", text)
+            if "&" in text:
+                text = html.unescape(text)
+            text = " ".join(text.split())
             cells.append((start, span, text))
             start += span
         if any(c[2] for c in cells):
