@@ -35,6 +35,9 @@ from ledgerlens.operators.filings import CANONICAL_COLUMNS
 
 NUMERIC_CELL = r"^[$(]*\s*-?[0-9][0-9,]*(\.[0-9]+)?\)?%?$"
 CELL_TAG = r"(?i)<t[dh]\b[^>]*>"
+# comments, scripts and styles removed in one pass over the document
+NON_TEXT = (r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)"
+            r"|<style\b[^>]*>.*?(?:</style\s*>|\z)")
 
 
 def _cell_text(body: Column) -> Column:
@@ -66,9 +69,7 @@ def _with_starts(cells: Column) -> Column:
 
 def _innermost_tables(df: DataFrame, html_col: str) -> DataFrame:
     """``(filing_id, table_no, t)``: body of every innermost table (built-ins)."""
-    html = F.regexp_replace(F.col(html_col), tx.COMMENT, "")
-    for t in ("script", "style"):
-        html = F.regexp_replace(html, rf"(?is)<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)", "")
+    html = F.regexp_replace(F.col(html_col), NON_TEXT, "")
     pieces = df.select("filing_id", F.posexplode(F.split(html, r"(?i)<table\b")).alias("i", "p"))
     return (pieces.where((F.col("i") > 0) & F.col("p").rlike(r"(?i)</table"))
             .select("filing_id", F.col("i").cast("long").alias("table_no"),
@@ -159,9 +160,7 @@ def html_table_cells(df: DataFrame, html_col: str = "html") -> DataFrame:
 
 def html_table_cells_native(df: DataFrame, html_col: str = "html") -> DataFrame:
     """TAB8 with built-in functions only (same rules, fixed entity set)."""
-    html = F.regexp_replace(F.col(html_col), tx.COMMENT, "")
-    for t in ("script", "style"):
-        html = F.regexp_replace(html, rf"(?is)<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)", "")
+    html = F.regexp_replace(F.col(html_col), NON_TEXT, "")
     pieces = df.select("filing_id", F.posexplode(F.split(html, r"(?i)<table\b")).alias("i", "p"))
     tables = (pieces.where((F.col("i") > 0) & F.col("p").rlike(r"(?i)</table"))
               .select("filing_id", F.col("i").cast("long").alias("table_no"),
