@@ -143,7 +143,12 @@ FROM j"""
     manifest = ("SELECT 'filings/' || CAST(o_orderkey AS VARCHAR) || '.txt' AS path, "
                 "lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, strftime(o_orderdate, '%Y-%m-%d') AS filing_date, "
                 "CASE WHEN starts_with(o_orderpriority, '1') THEN '5' ELSE '2' END AS item_number FROM orders")
-    mj = (f"SELECT f.filing_id, m.path, m.cik, m.filing_date, m.item_number, CAST(length(f.text) AS BIGINT) AS n_chars "
+    ws = S.WS
+    sec = " ".join(f"WHEN m.item_number = '{it}' THEN regexp_extract(f.text, "
+                   f"{S.q(rf'(?is)(Part{ws}+II.*Item{ws}+{it}.*?)(?:Item{ws}+' + chr(92) + 'd|' + chr(92) + 'n?' + chr(92) + 'z)')}, 1)"
+                   for it in ("2", "5"))
+    mj = (f"SELECT f.filing_id, m.path, m.cik, m.filing_date, m.item_number, CAST(length(f.text) AS BIGINT) AS n_chars, "
+          f"CAST(length(CASE {sec} ELSE '' END) AS BIGINT) AS section_chars "
           f"FROM ({OF.derived_filings()}) f JOIN ({manifest}) m ON m.path = 'filings/' || f.filing_id || '.txt'")
     csv = (f"SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
            f"{S.float_text('c_acctbal')} AS c_acctbal, "

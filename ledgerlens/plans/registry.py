@@ -279,8 +279,10 @@ def q_filing_manifest_join(spark, sf_dir):
     f = src.derived_filings(spark, sf_dir).withColumn(
         "path", F.concat(F.lit("filings/"), F.col("filing_id"), F.lit(".txt")))
     j = src.join_manifest(f, src.derived_manifest(spark, sf_dir), "path")
+    j = fo.item_section(j, item_col="item_number")
     return j.select("filing_id", "path", "cik", "filing_date", "item_number",
-                    F.length("text").cast("long").alias("n_chars"))
+                    F.length("text").cast("long").alias("n_chars"),
+                    F.length("section").cast("long").alias("section_chars"))
 
 
 def csv_source_frame(spark, sf_dir):
