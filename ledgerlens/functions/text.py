@@ -105,6 +105,9 @@ CP1252_C1 = [0x20AC, 0x81, 0x201A, 0x0192, 0x201E, 0x2026, 0x2020, 0x2021,
 TAG = r"""</?[A-Za-z][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*>"""
 COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 DECL = r"<![^>]*>|<\?[^>]*>"
+NON_TEXT = ("(?is)<!--.*?(?:-->|\\z)"
+            + "".join(rf"|<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "template"))
+            + r"|<![^>]*>|<\?[^>]*>")
 
 
 def _codepoint_char(n: Column) -> Column:
@@ -158,11 +161,8 @@ def html_text_nodes(c) -> Column:
     contents of script/style/template are not text; every other run of
     characters between tags is one node (entities still encoded).
     """
-    s = col_(c)
-    s = F.regexp_replace(s, COMMENT, "")
-    for t in ("script", "style", "template"):
-        s = F.regexp_replace(s, rf"(?is)<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)", "")
-    s = F.regexp_replace(s, DECL, "")
+    # comments, script/style/template bodies and declarations: one pass
+    s = F.regexp_replace(col_(c), NON_TEXT, "")
     return F.filter(F.split(s, TAG), lambda x: x != F.lit(""))
 
 
