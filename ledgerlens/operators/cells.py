@@ -6,8 +6,8 @@ One DataFrame plan for all columns of all tables:
     cells (second sample, numbers normalised) -> embed -> project
         -> top-k against the column index -> prompt -> embed -> project
 
-Cells with identical text are embedded once (``distinct`` before the
-encoder, joined back). The column index has one row per column, so its
+With a costly encoder (a model) cells and prompts with identical text are
+embedded once (``distinct`` before the encoder, joined back). The column index has one row per column, so its
 size is bounded by the schema and the search uses the broadcast strategy.
 """
 
@@ -52,17 +52,25 @@ def column_index(docs: DataFrame, encoder=None, weights: DataFrame | None = None
     return out
 
 
-def _embed_distinct(df: DataFrame, text_col: str, encoder, weights) -> DataFrame:
-    """Embed each distinct text once; ``(text_col, vec)``."""
-    u = df.select(text_col).distinct()
-    u = vx.embed(u, text_col, encoder, out="vec")
+def _embed_rows(df: DataFrame, text_col: str, encoder, weights, dedupe: bool | None) -> DataFrame:
+    """Add ``vec`` (embedding of ``text_col``, projected when weights are
+    given). With ``dedupe`` each distinct text is embedded once and joined
+    back - worth its shuffle only for costly encoders (a model), so by
+    default only ``ModelEncoder`` dedupes."""
+    enc = encoder or vx.HashTokenEncoder()
+    if dedupe is None:
+        dedupe = isinstance(enc, vx.ModelEncoder)
+    if not dedupe:
+        d = vx.embed(df, text_col, enc, out="vec")
+        return vx.project(d, "vec", weights, out="vec") if weights is not None else d
+    u = vx.embed(df.select(text_col).distinct(), text_col, enc, out="vec")
     if weights is not None:
         u = vx.project(u, "vec", weights, out="vec")
-    return u
+    return df.join(u, text_col)
 
 
 def cell_prompts(cells: DataFrame, index: DataFrame, encoder=None, weights: DataFrame | None = None,
-                 k: int = PIPELINE_K, floor: float = rt.DEFAULT_FLOOR) -> DataFrame:
+                 k: int = PIPELINE_K, floor: float = rt.DEFAULT_FLOOR, dedupe: bool | None = None) -> DataFrame:
     """VEC13: prompt per cell: target column document, up to ``k`` related
     columns (name + document shortened to 800 characters) retrieved with the
     cell's own embedding, then the cell.
@@ -71,8 +79,7 @@ def cell_prompts(cells: DataFrame, index: DataFrame, encoder=None, weights: Data
     ``index``: from ``column_index``. Returns cells + ``prompt``.
     """
     c = cells.withColumn("cell_id", F.xxhash64("table_name", "column_name", "rank"))
-    qv = _embed_distinct(c, "cell", encoder, weights)
-    q = c.join(qv, "cell")  # cells are a bounded sample (n per column)
+    q = _embed_rows(c, "cell", encoder, weights, dedupe)  # cells: a bounded sample (n per column)
     hits = rt.topk_search(q, index, k=k, floor=floor, query_id="cell_id", query_vec="vec")
     hits = rt.with_metadata(hits, index)
     related = (hits.groupBy("query_id")
@@ -88,7 +95,8 @@ def cell_prompts(cells: DataFrame, index: DataFrame, encoder=None, weights: Data
     return out.select("table_name", "column_name", "rank", "cell", prompt.alias("prompt"))
 
 
-def cell_embeddings(prompts: DataFrame, encoder=None, weights: DataFrame | None = None) -> DataFrame:
+def cell_embeddings(prompts: DataFrame, encoder=None, weights: DataFrame | None = None,
+                    dedupe: bool | None = None) -> DataFrame:
     """VEC14: embedding of every cell prompt (second encoder pass)."""
-    v = _embed_distinct(prompts, "prompt", encoder, weights)
-    return prompts.join(v, "prompt").select("table_name", "column_name", "rank", "cell", "vec")
+    v = _embed_rows(prompts, "prompt", encoder, weights, dedupe)
+    return v.select("table_name", "column_name", "rank", "cell", "vec")
