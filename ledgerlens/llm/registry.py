@@ -8,13 +8,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, outliers, secret_scan
+from ledgerlens.llm import bpe, html_extract, outliers, partenum, quality_model, secret_scan, tiling
 from ledgerlens.llm.common import read
 
 #: The vocabulary file of the BPE operator.
 VOCABULARY = "word_bpe_49k.json"
 
 
+#: Score from which a document is predicted to be good.
+GOOD = 0.3
+
+
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_model.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score",
+                         F.when(F.col("score") >= GOOD, 1).otherwise(0).alias("predicted"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tiling.find(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("found") > 0).alias("contaminated"),
+                        F.get("found", F.lit(0))["item"].alias("item_id"),
+                        F.get("found", F.lit(0))["coverage"].alias("coverage"), F.col("found.item").alias("item_ids"))
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = partenum.classes(read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = outliers.judge(read(spark, sf_dir, "documents"))
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -30,7 +56,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_quality_rules, op9_bpe, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_html_extract, op2_quality_classifier, op3_decontaminate, op4_ngram_join,
+                                   op7_quality_rules, op9_bpe, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
