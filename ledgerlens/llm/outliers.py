@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import SPACE, WORD, null_safe, written
+from ledgerlens.llm.common import SPACE, WORD, null_safe, split_by_filter, written
 
 #: Statistics of the vector.
 STATS = ("word_len", "symbol", "capital", "punct", "line")
@@ -236,3 +236,18 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= CUTOFF)
     return out.select("id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "distance", kept.alias("kept"), *X)
+
+
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+              source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all columns.
+
+    Equal rows are judged alike, so a row is recognised by its id, text, language and
+    source; what is rejected is joined back by their hash.
+    """
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in (id_col, text_col, lang_col, source_col)])
+    marked = docs.withColumn("__row", row)
+    judged = judge(marked, "__row", text_col, lang_col, source_col)
+    rejected = written(judged.where(~F.col("kept")).select(F.col("id").alias("__row")).distinct(), "quality-rejected")
+    some, rest = split_by_filter(marked, "__row", rejected, "__row")
+    return rest.unionByName(some.join(rejected, "__row", "left_anti")).select(*[f"`{c}`" for c in docs.columns])

@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, html_extract, outliers, partenum, quality_model, secret_scan, tiling
+from ledgerlens.llm import (bpe, fuzzy_lines, html_extract, outliers, partenum, pii, quality_model, secret_scan, tiling,
+                            token_counts)
 from ledgerlens.llm.common import read
 
 #: The vocabulary file of the BPE operator.
 VOCABULARY = "word_bpe_49k.json"
 
 
+#: The ranks of the token counts.
+RANKS = "byte_bpe_50k.tiktoken"
+#: The key of the surrogates; a deployment gives its own.
+PII_KEY = b"ledgerlens-test-key"
 #: Score from which a document is predicted to be good.
 GOOD = 0.3
 
@@ -41,12 +46,36 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of all texts, then three edits of each: a header put in front, the middle rewritten, a footer added."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    n = F.length(F.coalesce("text", F.lit("")))
+    middle = (n / 2).cast("int")
+    edit = lambda a, b, t: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"), t.alias("text"))
+    edits = F.array(edit(n, n, F.concat(F.lit("\n"), F.coalesce("source", F.lit("")))),
+                    edit(middle, middle + 24, F.lit(" it's rewritten, in 2 words ")),
+                    edit(F.lit(0), F.lit(0), F.concat(F.lit("["), F.coalesce("lang", F.lit("")), F.lit("] "))))
+    ranks = public_tokenizers.path(RANKS)
+    trees = token_counts.build(docs, ranks, public_tokenizers.PATTERN).withColumn("edits", edits)
+    out = token_counts.apply_edits(trees, ranks, public_tokenizers.PATTERN)
+    return out.select("doc_id", "edited.n_before", "edited.n_tokens", "edited.n_pieces", "edited.n_encoded")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.replace(read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return out.withColumn("n_entities", sum((F.col(f"n_{k}") for k in pii.KINDS), F.lit(0)).cast("long"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = outliers.judge(read(spark, sf_dir, "documents"))
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), with_ids=False)
 
@@ -57,7 +86,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_html_extract, op2_quality_classifier, op3_decontaminate, op4_ngram_join,
-                                   op7_quality_rules, op9_bpe, op10_secret_scan)}
+                                   op5_token_counts, op6_pii, op7_quality_rules, op8_line_dedup, op9_bpe, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
