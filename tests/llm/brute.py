@@ -28,3 +28,76 @@ def quality_counts(text):
     covered = {j for i, w in enumerate(wins) if n[w] > 1 for j in range(i, i + 5)}
     return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
             len(covered), len(words) < 10 or 100 * len(covered) > 20 * len(words))
+
+
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def shingles(text, size=4):
+    w = WORD.findall((text or "").translate(LOWER))
+    if len(w) < size:
+        return frozenset([tuple(w)]) if w else frozenset()
+    return frozenset(tuple(w[k:k + size]) for k in range(len(w) - size + 1))
+
+
+def components(sets, percent):
+    """Least key that is reachable by links, of each key of ``sets``."""
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    keys = sorted(sets)
+    for p, a in enumerate(keys):
+        for b in keys[p + 1:]:
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+def dropped_lines(texts, least=40, size=8, percent=80):
+    """Line numbers that go, by id."""
+    nodes, places = {}, []
+    for i in sorted(texts):
+        for k, x in enumerate((texts[i] or "").split("\n")):
+            x = x.strip("\t\n\x0b\x0c\r ")
+            if len(x) >= least:
+                places.append((i, k, x))
+                nodes.setdefault(x, frozenset(x[a:a + size] for a in range(len(x) - size + 1)))
+    comp = components(nodes, percent)
+    first, gone = set(), {}
+    for i, k, x in places:
+        if comp[x] in first:
+            gone.setdefault(i, set()).add(k)
+        first.add(comp[x])
+    return gone
+
+
+def without_lines(texts, gone):
+    return {i: t if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(i, ()))
+            for i, t in texts.items()}
+
+
+def tiled_share(item, text, least=5):
+    """Share of the item's words under greedy tiles, by trying all pairs of places."""
+    a, b = (WORD.findall((t or "").translate(LOWER)) for t in (item, text))
+    used_a, used_b, total = set(), set(), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and i + k not in used_a and j + k not in used_b:
+                    k += 1
+                if k > best[0]:
+                    best = (k, i, j)
+        k, i, j = best
+        if k < least:
+            return total / len(a) if a else 0.0
+        used_a |= set(range(i, i + k))
+        used_b |= set(range(j, j + k))
+        total += k
