@@ -23,12 +23,3 @@ def hash_key(*parts) -> Column:
 def hex_prefix_int(hex_col: Column, start: int = 1, width: int = 8) -> Column:
     """Unsigned integer value of ``width`` hex digits starting at ``start``."""
     return F.conv(F.substring(hex_col, start, width), 16, 10).cast("long")
-
-
-def unit_interval(hex_col: Column, start: int = 1) -> Column:
-    """A number in [0, 1) from 8 hex digits of an md5."""
-    return hex_prefix_int(hex_col, start, 8) / F.lit(4294967296.0)
-
-
-def lit_str(x) -> Column:
-    return F.lit(str(x))

@@ -132,9 +132,3 @@ def py_float_text(c) -> Column:
     packed = F.array(F.struct(x0.cast("double").alias("x"),
                               F.when(x0.isNull() | F.isnan(x0), F.lit(None)).otherwise(best0).alias("best")))
     return F.element_at(F.transform(packed, spell), 1)
-
-
-def normalized_cell_text(number, raw) -> Column:
-    """NUM3: ``str(number)`` when the cell parsed, else the cell itself
-    (``number`` should be a column reference)."""
-    return F.coalesce(py_float_text(number), col_(raw))

@@ -9,6 +9,8 @@ crosses into Python.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,24 +77,7 @@ def ws_tokens(c) -> Column:
 
 # ---------------------------------------------------------------- HTML -----
 
-# --- fixed values: HTML named entities decoded by the text extractor --------
-# (name, character); `&amp;` is applied last so "&amp;lt;" stays "&lt;".
-NAMED_ENTITIES = [
-    ("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"),
-    ("copy", "©"), ("reg", "®"), ("trade", "™"), ("middot", "·"),
-    ("mdash", "—"), ("ndash", "–"), ("hellip", "…"), ("bull", "•"),
-    ("lsquo", "‘"), ("rsquo", "’"), ("sbquo", "‚"), ("ldquo", "“"),
-    ("rdquo", "”"), ("bdquo", "„"), ("laquo", "«"), ("raquo", "»"),
-    ("euro", "€"), ("pound", "£"), ("cent", "¢"), ("yen", "¥"),
-    ("sect", "§"), ("para", "¶"), ("deg", "°"), ("plusmn", "±"),
-    ("times", "×"), ("divide", "÷"), ("frac12", "½"), ("frac14", "¼"),
-    ("frac34", "¾"), ("sup2", "²"), ("sup3", "³"), ("micro", "µ"),
-    ("shy", "\u00ad"), ("ensp", " "), ("emsp", " "), ("thinsp", " "),
-    ("dagger", "†"), ("Dagger", "‡"), ("permil", "‰"), ("iexcl", "¡"),
-    ("iquest", "¿"), ("ordf", "ª"), ("ordm", "º"), ("not", "¬"),
-    ("macr", "¯"), ("acute", "´"), ("cedil", "¸"), ("uml", "¨"),
-    ("amp", "&"),
-]
+# --- fixed values -----------------------------------------------------------
 # Windows-1252 reading of numeric references 128..159 (HTML5 rule).
 CP1252_C1 = [0x20AC, 0x81, 0x201A, 0x0192, 0x201E, 0x2026, 0x2020, 0x2021,
              0x02C6, 0x2030, 0x0160, 0x2039, 0x0152, 0x8D, 0x017D, 0x8F,
@@ -100,14 +85,16 @@ CP1252_C1 = [0x20AC, 0x81, 0x201A, 0x0192, 0x201E, 0x2026, 0x2020, 0x2021,
              0x02DC, 0x2122, 0x0161, 0x203A, 0x0153, 0x9D, 0x017E, 0x0178]
 # --------------------------------------------------------------------------
 
-# An HTML tag as the standard-library parser sees it: '<' or '</' followed by a
-# letter; quoted attribute values may contain '>'.
-TAG = r"""</?[A-Za-z][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*>"""
+# An HTML tag: '<' or '</' followed by a letter; quoted attribute values may
+# contain '>' but no '<'. Where quotes don't pair up, the tag ends at the first
+# '>'. Possessive throughout, so time is linear and no stack is used.
+TAG = r"""</?[A-Za-z](?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>|</?[A-Za-z][^<>]*+>"""
 COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 DECL = r"<![^>]*>|<\?[^>]*>"
 NON_TEXT = ("(?is)<!--.*?(?:-->|\\z)"
             + "".join(rf"|<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "template"))
-            + r"|<![^>]*>|<\?[^>]*>")
+            + r"|<!(?!\[CDATA\[)[^>]*>|<\?[^>]*>")
+CDATA = r"(?s)<!\[CDATA\[(.*?)(?:\]\]>|\z)"
 
 
 def _codepoint_char(n: Column) -> Column:
@@ -123,35 +110,52 @@ def _codepoint_char(n: Column) -> Column:
     return F.when(invalid, F.lit("")).otherwise(ch)
 
 
-MARKUP_CODES = (38, 60, 62)  # '&', '<', '>'
+# A character reference; a name or number without ';' is one too.
+REFERENCE = "&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]*+;?)"
+# Longest name that is read without ';', as a prefix of what follows '&'.
+_LONGEST_OPEN_NAME = max(len(n) for n in html5 if not n.endswith(";"))
+
+
+def _name_map(names: dict[str, str]) -> Column:
+    """Map literal of the standard library's table (folded to one constant)."""
+    pairs = "\ue001".join(f"{n}\ue000{c}" for n, c in names.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\ue001"), F.lit("\ue000"))
+
+
+def _reference_char(r: Column) -> Column:
+    """Text of one character reference; an unknown one stays as it is."""
+    dec = F.regexp_extract(r, "^&#0*+([0-9]*)", 1)
+    hexa = F.regexp_extract(r, "^&#[xX]0*+([0-9a-fA-F]*)", 1)
+    number = (F.when(r.rlike("^&#[xX]"), F.when(F.length(hexa) > 6, F.lit(1 << 22)).otherwise(
+                  F.coalesce(F.conv(F.concat(F.lit("0"), hexa), 16, 10).cast("long"), F.lit(0))))
+              .otherwise(F.when(F.length(dec) > 7, F.lit(1 << 22)).otherwise(
+                  F.concat(F.lit("0"), dec).cast("long"))))
+    name = F.substring(r, 2, 64)
+    common = F.when(name == "amp;", "&").when(name == "nbsp;", "\u00a0").when(name == "lt;", "<").when(name == "gt;", ">").when(name == "quot;", '"')
+    open_names = _name_map({n: c for n, c in html5.items() if not n.endswith(";")})
+    found = F.coalesce(common, F.try_element_at(_name_map({n: c for n, c in html5.items() if n.endswith(";")}), name),
+                       *[F.concat(F.try_element_at(open_names, F.substring(r, 2, k)), F.substring(r, k + 2, 1 << 20))
+                         for k in range(_LONGEST_OPEN_NAME, 1, -1)], r)
+    return F.when(F.substring(r, 2, 1) == "#", _codepoint_char(number)).otherwise(found)
 
 
 def decode_entities(c, keep_markup: bool = False) -> Column:
-    """Decode named (fixed set) and numeric character references.
+    """Decode character references (the HTML5 names and numbers), in one pass from left to right.
 
     ``keep_markup`` leaves the references of ``& < >`` encoded, so a whole
     table can be decoded once before its tags are split off (the remaining
     three are decoded per cell afterwards).
     """
-    raw = col_(c)
-    s = raw
-
-    def char(n):
-        ch = _codepoint_char(n)
-        return ch if not keep_markup else F.when(n.isin(*MARKUP_CODES), F.lit(None)).otherwise(ch)
-
-    dec = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#([0-9]{1,8});"), 1))
-    s = F.aggregate(dec, s, lambda acc, d: F.coalesce(F.replace(
-        acc, F.concat(F.lit("&#"), d, F.lit(";")), char(d.cast("long"))), acc))
-    hx = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#([xX][0-9a-fA-F]{1,6});"), 1))
-    s = F.aggregate(hx, s, lambda acc, h: F.coalesce(F.replace(
-        acc, F.concat(F.lit("&#"), h, F.lit(";")),
-        char(F.conv(F.substring(h, 2, 8), 16, 10).cast("long"))), acc))
-    for name, ch in NAMED_ENTITIES:
-        if keep_markup and name in ("amp", "lt", "gt"):
-            continue
-        s = F.replace(s, F.lit("&" + name + ";"), F.lit(ch))
-    return F.when(F.instr(raw, "&") > 0, s).otherwise(raw)
+    s = col_(c)
+
+    def char(r):
+        ch = _reference_char(r)
+        return F.when(F.substring(ch, 1, 1).isin("&", "<", ">"), r).otherwise(ch) if keep_markup else ch
+
+    found = F.transform(F.regexp_extract_all(s, F.lit(REFERENCE), F.lit(0)), char)
+    pieces = F.split(s, REFERENCE, -1)
+    both = F.zip_with(pieces, found, lambda p, r: F.concat(p, F.coalesce(r, F.lit(""))))
+    return F.when(F.instr(s, "&") > 0, F.array_join(both, "")).otherwise(s)
 
 
 def html_text_nodes(c) -> Column:
@@ -159,10 +163,13 @@ def html_text_nodes(c) -> Column:
 
     Comments, declarations (doctype), processing instructions and the
     contents of script/style/template are not text; every other run of
-    characters between tags is one node (entities still encoded).
+    characters between tags is one node (entities still encoded), that of a
+    CDATA section too.
     """
     # comments, script/style/template bodies and declarations: one pass
     s = F.regexp_replace(col_(c), NON_TEXT, "")
+    # a CDATA section is a node of its own
+    s = F.when(F.instr(s, "<![CDATA[") > 0, F.regexp_replace(s, CDATA, "<b>$1<b>")).otherwise(s)
     return F.filter(F.split(s, TAG), lambda x: x != F.lit(""))
 
 

@@ -18,11 +18,6 @@ def as_double(v) -> Column:
     return col_(v).cast("array<double>")
 
 
-def dot(a, b) -> Column:
-    """Inner product of two equal-length arrays."""
-    prods = F.zip_with(as_double(a), as_double(b), lambda x, y: x * y)
-    return F.aggregate(prods, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
 
 def l2_norm(v) -> Column:
     sq = F.aggregate(as_double(v), F.lit(0.0).cast("double"), lambda acc, x: acc + x * x)
@@ -57,7 +52,3 @@ def round_half(x, digits: int = 6) -> Column:
     shortest decimal spelling, which differs when that spelling ends in 5."""
     p = float(10 ** digits)
     return F.round(col_(x) * F.lit(p), 0) / F.lit(p)
-
-
-def round_vec(v, digits: int = 6) -> Column:
-    return F.transform(col_(v), lambda x: round_half(x, digits))

@@ -88,7 +88,7 @@ def cell_prompts(cells: DataFrame, index: DataFrame, encoder=None, weights: Data
         F.lit("Column: "), h["name"], F.lit("\n"), shorten(h["doc"], RELATED_DOC_WIDTH), F.lit("\n\n"))), ""))
     target = index.select("table_name", F.col("name").alias("column_name"), F.col("doc").alias("target_doc"))
     out = (c.join(related, c.cell_id == related.query_id, "left")
-           .join(F.broadcast(target), ["table_name", "column_name"]))
+           .join(target, ["table_name", "column_name"]))
     prompt = F.concat(F.lit(TARGET_PREFIX), F.col("column_name"), F.lit("\n"), F.col("target_doc"), F.lit("\n\n"),
                       F.when(F.size(F.coalesce("hits", F.array())) > 0, block).otherwise(F.lit("")),
                       F.lit(CELL_PREFIX), F.col("cell"), F.lit(CELL_SUFFIX))

@@ -46,9 +46,11 @@ def unpivot_columns(df: DataFrame, table_name: str, row_key: str,
     text; NA tokens become null (the all-string CSV read)."""
     cols = columns or [c for c in df.columns]
     types = {f.name: f.dataType for f in df.schema.fields}
-    typed = df.select(F.col(row_key).cast("string").alias("row_key"),
-                      *[value_text(F.col(c), types[c]).alias(c) for c in cols])
-    long = typed.unpivot(["row_key"], cols, "column_name", "value")
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    typed = df.select(F.col(quoted(row_key)).cast("string").alias("_key"),
+                      *[value_text(F.col(quoted(c)), types[c]).alias(f"_{i}") for i, c in enumerate(cols)])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("value")) for i, c in enumerate(cols)])
+    long = typed.select(F.col("_key").alias("row_key"), F.inline(pairs))
     return long.select(F.lit(table_name).alias("table_name"), "row_key", "column_name",
                        F.when(F.col("value").isin(NA_TOKENS), F.lit(None).cast("string"))
                        .otherwise(F.col("value")).alias("value"))

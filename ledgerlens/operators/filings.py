@@ -85,33 +85,29 @@ def fields_struct(text_col: str = "text") -> Column:
     return F.aggregate(tx.split_lines(text_col), init, _fields_step)
 
 
-def _section_expr(text: Column, item: str) -> Column:
+def _section_expr(text: Column, item: Column) -> Column:
     ws = tx.WS_CLASS
     start = F.regexp_instr(text, F.lit(rf"(?i)Part{ws}+II"))
     tail = F.substring(text, start, 1 << 30)
-    pat = rf"(?is)\APart{ws}+II.*Item{ws}+{item}.*?(?=Item{ws}+\d|\n?\z)"
-    return F.when(start > 0, F.regexp_extract(tail, pat, 0)).otherwise(F.lit(""))
+    literal = F.concat(F.lit("\\Q"), F.replace(item, F.lit("\\E"), F.lit("")), F.lit("\\E"))
+    pat = F.concat(F.lit(rf"(?is)\APart{ws}+II.*Item{ws}+"), literal, F.lit(rf".*?(?=Item{ws}+\d|\n?\z)"))
+    return F.when((start > 0) & (item != F.lit("")), F.call_function("regexp_extract", tail, pat, F.lit(0))).otherwise(F.lit(""))
 
 
 def item_section(df: DataFrame, item: str = "2", text_col: str = "text",
-                 out: str = "section", item_col: str | None = None,
-                 items: tuple[str, ...] = ("2", "5")) -> DataFrame:
+                 out: str = "section", item_col: str | None = None) -> DataFrame:
     """TXT4: the part II item section (empty string = not found).
 
-    Semantics of ``(?i)Part\\s+II.*Item\\s+{n}.*?(?=Item\\s+\\d|$)`` (DOTALL,
-    first match, Python ``\\s`` and ``$``). The text is first cut at the
-    first "Part II": the match must start there, and anchoring avoids the
-    quadratic retry from every later position when nothing matches.
-    With ``item_col`` the item number comes from each row (a manifest),
-    one of ``items`` (10-Q item 2, 10-K item 5 by default).
+    From the first "Part II" over the last heading of the item, in either
+    case, to the next item heading or the end (before one final line
+    break); white space and the end of the text as Python has them. The
+    text is first cut at "Part II", so a text without the item is not
+    tried again from every later place. With ``item_col`` the item number,
+    whatever it is, comes from each row (a manifest); a null or empty one
+    is not found.
     """
-    text = F.col(text_col)
-    if item_col is None:
-        return df.withColumn(out, _section_expr(text, item))
-    sec = F.lit("")
-    for it in reversed(items):
-        sec = F.when(F.col(item_col) == it, _section_expr(text, it)).otherwise(sec)
-    return df.withColumn(out, sec)
+    number = F.lit(item) if item_col is None else F.coalesce(F.col(item_col), F.lit(""))
+    return df.withColumn(out, _section_expr(F.col(text_col), number))
 
 
 def line_header_score(lines: DataFrame, header: str = HEADER_REFERENCE) -> DataFrame:

@@ -34,39 +34,38 @@ DEFAULT_K = 5
 DEFAULT_FLOOR = 0.5
 
 
-def _topk_rows(S: np.ndarray, ids: np.ndarray, k: int):
-    """Per row of ``S`` (queries x index): positions of the best ``k`` by
-    (score desc, id asc). Returns list of index arrays."""
+#: Bytes of the score matrix that is held at a time.
+SLICE_BYTES = 32 << 20
+
+
+def _slice_topk(S: np.ndarray, k: int, floor: float):
+    """(row, position, score, rank) of the best ``k`` of each row of ``S``; ties go to the earlier position."""
     n = S.shape[1]
-    kk = min(k, n)
-    if kk == 0:
-        return [np.zeros(0, dtype=np.int64)] * S.shape[0]
-    part = np.argpartition(-S, kk - 1, axis=1)[:, :kk]
-    kth = np.take_along_axis(S, part, axis=1).min(axis=1)
-    out = []
-    for r in range(S.shape[0]):
-        cand = np.nonzero(S[r] >= kth[r])[0]
-        order = np.lexsort((ids[cand], -S[r, cand]))[:kk]
-        out.append(cand[order])
-    return out
+    if n > k:
+        kth = np.partition(S, n - k, axis=1)[:, n - k]
+        row, pos = np.nonzero(S >= np.maximum(kth, floor)[:, None])
+    else:
+        row, pos = np.nonzero(S >= floor)
+    score = S[row, pos]
+    order = np.lexsort((pos, -score, row))
+    row, pos, score = row[order], pos[order], score[order]
+    first = np.searchsorted(row, row)
+    rank = np.arange(1, len(row) + 1) - first
+    keep = rank <= k
+    return row[keep], pos[keep], score[keep], rank[keep]
 
 
 def _local_topk(qids, Q, ids, I, k, floor, with_rank):
-    S = Q @ I.T
-    sel = _topk_rows(S, ids, k)
-    qi, ii, sc, rk = [], [], [], []
-    for r, pos in enumerate(sel):
-        s = S[r, pos]
-        keep = s >= floor
-        pos, s = pos[keep], s[keep]
-        qi.append(np.full(len(pos), qids[r], dtype=np.int64))
-        ii.append(ids[pos])
-        sc.append(s)
-        rk.append(np.arange(1, len(pos) + 1, dtype=np.int64))
-    cat = (lambda xs, dt: np.concatenate(xs) if xs else np.zeros(0, dtype=dt))
-    cols = {"query_id": cat(qi, np.int64), "id": cat(ii, np.int64), "score": cat(sc, np.float64)}
+    """Best ``k`` of each query among ``I`` (rows by ascending id), a slice of the score matrix at a time."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]
+    step = max(1, SLICE_BYTES // (8 * max(len(ids), 1)))
+    for a in range(0, len(qids) if len(ids) else 0, step):
+        row, pos, score, rank = _slice_topk(Q[a : a + step] @ I.T, k, floor)
+        out.append((qids[a + row], ids[pos], score, rank))
+    qi, ii, sc, rk = (np.concatenate(x) for x in zip(*out, strict=True))
+    cols = {"query_id": qi.astype(np.int64), "id": ii.astype(np.int64), "score": sc.astype(np.float64)}
     if with_rank:
-        cols["rank"] = cat(rk, np.int64)
+        cols["rank"] = rk.astype(np.int64)
     return cols
 
 

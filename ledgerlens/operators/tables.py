@@ -37,15 +37,25 @@ def _dedupe_names(names: Column, sep: str = "_", first_suffix: int = 2) -> Colum
                                  + F.lit(first_suffix - 1)).cast("string"))).otherwise(n))
 
 
-def pipe_fields(line: Column) -> Column:
-    """``[c.strip() for c in line.split("|")[1:-1]]``."""
-    parts = F.split(line, r"\|", -1)
-    return F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), tx.py_strip)
+def pipe_fields(line: Column, outer_pipes: str = "always") -> Column:
+    """Fields of a table line, stripped.
+
+    ``always``: what stands outside the first and the last pipe is not a field.
+    ``auto``: it is one unless it is blank, so lines without outer pipes are read too.
+    """
+    parts = F.transform(F.split(line, r"\|", -1), tx.py_strip)
+    inner = F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0)))
+    if outer_pipes == "always":
+        return inner
+    first, last = F.slice(parts, 1, 1), F.slice(parts, -1, 1)
+    drop_blank = lambda a: F.filter(a, lambda x: x != F.lit(""))
+    return F.when(F.size(parts) > 1, F.concat(drop_blank(first), inner, drop_blank(last))).otherwise(inner)
 
 
 def parse_pipe_answers(df: DataFrame, answer_col: str = "answer",
                        cut_at_end_marker: bool = True,
-                       dedupe_headers: bool = True) -> DataFrame:
+                       dedupe_headers: bool = True, outer_pipes: str = "always",
+                       keep: tuple[str, ...] = ()) -> DataFrame:
     """Per answer: ``(filing_id, header array, rows array<array>, status)``.
 
     Lines with ``|`` and without ``---`` are table lines; the first is the
@@ -58,8 +68,8 @@ def parse_pipe_answers(df: DataFrame, answer_col: str = "answer",
         i = F.instr(a, END_MARKER)
         a = F.when(i > 0, F.substring(a, F.lit(1), i - 1)).otherwise(a)
     lines = F.filter(F.split(a, "\n", -1), lambda l: l.contains("|") & ~l.contains("---"))
-    d = tx.with_once(df.select("filing_id", answer_col), _lines=lines)
-    d = tx.with_once(d, _fields=F.transform("_lines", pipe_fields))
+    d = tx.with_once(df.select("filing_id", answer_col, *[F.col(f"`{c}`") for c in keep]), _lines=lines)
+    d = tx.with_once(d, _fields=F.transform("_lines", lambda l: pipe_fields(l, outer_pipes)))
     d = tx.with_once(d, _header=F.coalesce(F.try_element_at("_fields", F.lit(1)), F.array().cast("array<string>")),
                      _rows=F.slice("_fields", 2, F.greatest(F.size("_fields") - 1, F.lit(0))))
     n = F.size("_header")
@@ -73,12 +83,19 @@ def parse_pipe_answers(df: DataFrame, answer_col: str = "answer",
               .otherwise(F.lit(STATUS_OK)))
     return d.select("filing_id",
                     (_dedupe_names(F.col("_header")) if dedupe_headers else F.col("_header")).alias("header"),
-                    padded.alias("rows"), status.alias("status"))
+                    padded.alias("rows"), status.alias("status"), *[F.col(f"`{c}`") for c in keep])
+
 
+def pipe_table_cells(df: DataFrame, answer_col: str = "answer", provenance: tuple[str, str] | None = None, **kw) -> DataFrame:
+    """TAB1: long cells of every successfully parsed pipe table.
 
-def pipe_table_cells(df: DataFrame, answer_col: str = "answer", **kw) -> DataFrame:
-    """TAB1: long cells of every successfully parsed pipe table."""
-    p = parse_pipe_answers(df, answer_col, **kw).where(F.col("status") == STATUS_OK)
+    ``provenance`` names two columns of ``df``, the filer id and the filing date: each row gets
+    them as its last two cells (TAB7), row-locally.
+    """
+    p = parse_pipe_answers(df, answer_col, keep=provenance or (), **kw).where(F.col("status") == STATUS_OK)
+    if provenance:
+        p = p.withColumn("header", F.concat("header", F.array(*map(F.lit, PROVENANCE_COLUMNS)))).withColumn(
+            "rows", F.transform("rows", lambda r: F.concat(r, F.array(*[F.col(f"`{c}`").cast("string") for c in provenance]))))
     r = p.select("filing_id", "header", F.posexplode("rows").alias("row_no", "row"))
     c = r.select("filing_id", "row_no", "header", F.posexplode("row").alias("col_no", "value"))
     return c.select("filing_id", F.lit(1).alias("table_no"), F.col("row_no").cast("long").alias("row_no"),
@@ -87,21 +104,15 @@ def pipe_table_cells(df: DataFrame, answer_col: str = "answer", **kw) -> DataFra
 
 
 def with_provenance(cells: DataFrame, fields: DataFrame) -> DataFrame:
-    """TAB7: append ``CIK`` and ``Filing Date`` cells to every table row.
+    """TAB7: append ``CIK`` and ``Filing Date`` cells to every row of any long cells.
 
-    ``fields`` holds one row per filing ``(filing_id, cik, filing_date)``; the
-    join is on the filing key (both sides shuffled on it, or broadcast by
-    AQE when the fields side is small at runtime).
+    ``fields`` holds one row per filing ``(filing_id, cik, filing_date)``. Where the answers are still at
+    hand, ``pipe_table_cells(..., provenance=...)`` does the same without a shuffle.
     """
-    rows = cells.select("filing_id", "table_no", "row_no", "col_no").groupBy(
-        "filing_id", "table_no", "row_no").agg(F.max("col_no").alias("last"))
-    extra = rows.join(fields, "filing_id").select(
-        "filing_id", "table_no", "row_no",
-        F.inline(F.array(
-            F.struct((F.col("last") + 1).alias("col_no"), F.lit(PROVENANCE_COLUMNS[0]).alias("col_name"),
-                     F.col("cik").alias("value")),
-            F.struct((F.col("last") + 2).alias("col_no"), F.lit(PROVENANCE_COLUMNS[1]).alias("col_name"),
-                     F.col("filing_date").alias("value")))))
+    rows = cells.groupBy("filing_id", "table_no", "row_no").agg(F.max("col_no").alias("last"))
+    more = [F.struct((F.col("last") + k).cast("long").alias("col_no"), F.lit(name).alias("col_name"), F.col(c).alias("value"))
+            for k, (name, c) in enumerate(zip(PROVENANCE_COLUMNS, ("cik", "filing_date"), strict=True), 1)]
+    extra = rows.join(fields, "filing_id", "left").select("filing_id", "table_no", "row_no", F.inline(F.array(*more)))
     return cells.unionByName(extra)
 
 
@@ -120,46 +131,77 @@ def extraction_status(responses: DataFrame, chunks: DataFrame | None = None,
                     .otherwise(F.coalesce("status", F.lit("empty_answer"))).alias("status")))
 
 
+def table_columns(cells: DataFrame) -> DataFrame:
+    """``(col_name, n)``: the column names that the tables have, with their cells (one aggregation)."""
+    return cells.groupBy("col_name").agg(F.count(F.lit(1)).alias("n"))
+
+
 def combine_tables(cells: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """TAB5: outer union of all filing tables by column name.
 
-    One pivot over the long cells (one shuffle on ``filing_id, table_no,
-    row_no``); missing columns are null. ``columns`` fixes the output
-    columns (default: the canonical eight plus provenance); names outside
-    the list stay available in the long form.
+    One aggregation over the long cells (one shuffle on ``filing_id,
+    table_no, row_no``). The canonical and provenance columns, or ``columns``,
+    are columns of the result, null where a table lacks them; every other
+    name that a table has is kept in the map ``other`` (name to value), so no
+    cell is lost however many names there are.
     """
     cols = columns or (CANONICAL_COLUMNS + PROVENANCE_COLUMNS)
-    return (cells.groupBy("filing_id", "table_no", "row_no")
-            .pivot("col_name", cols).agg(F.first("value")))
+    named = [F.first(F.when(F.col("col_name") == c, F.col("value")), ignorenulls=True).alias(c) for c in cols]
+    rest = F.collect_list(F.when(~F.col("col_name").isin(cols), F.struct("col_no", "col_name", "value")))
+    out = cells.groupBy("filing_id", "table_no", "row_no").agg(*named, rest.alias("_rest"))
+    out = out.withColumn("_rest", F.array_sort("_rest"))
+    once = F.filter("_rest", lambda x, i: ~F.exists(F.slice("_rest", 1, i), lambda y: y["col_name"] == x["col_name"]))
+    other = F.map_from_entries(F.transform(once, lambda x: F.struct(x["col_name"], x["value"])))
+    return out.withColumn("other", other).drop("_rest")
 
 
 # ------------------------------------------------------------ CSV tables ---
 
-CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
+# One field with what stands before it (a comma or a line break; the piece gets
+# one in front). A quoted field runs to its closing quote, over commas and line
+# breaks, with "" for a quote; without a closing quote it runs to the end.
+# Possessive, so a field may have any length.
+CSV_FIELD = r'''(,|\r?\n)("(?:[^"]++|"")*+(?:"[^,\r\n]*+|\z)|[^",\r\n][^,\r\n]*+|)'''
+
+
+def csv_value(field: Column) -> Column:
+    """Text of one field: quotes removed, doubled quotes unescaped."""
+    inner = F.regexp_extract(field, r'^"((?:[^"]++|"")*+)"', 1)
+    rest = F.regexp_extract(field, r'^"(?:[^"]++|"")*+"([^,\r\n]*+)\z', 1)
+    return F.when(field.startswith('"'), F.concat(F.replace(inner, F.lit('""'), F.lit('"')), rest)).otherwise(field)
 
 
-def csv_fields(line: Column) -> Column:
-    """Fields of one CSV line: quotes removed, doubled quotes unescaped."""
-    raw = F.regexp_extract_all(line, F.lit(CSV_FIELD), 1)
-    return F.transform(raw, lambda f: F.when(
-        f.startswith('"') & f.endswith('"') & (F.length(f) >= 2),
-        F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
+def csv_rows(d: DataFrame, body_col: str) -> DataFrame:
+    """Adds ``_rows`` (fields of each non-blank line) and ``_open`` (a quote that never closes) for CSV text."""
+    text = F.concat(F.lit("\n"), F.col(body_col))
+    d = tx.with_once(d, _seps=F.regexp_extract_all(text, F.lit(CSV_FIELD), F.lit(1)),
+                     _raw=F.regexp_extract_all(text, F.lit(CSV_FIELD), F.lit(2)))
+    # a quoted field without its closing quote: nothing but pairs of quotes after the first
+    unclosed = F.exists("_raw", lambda f: f.rlike(r'^"(?:[^"]++|"")*+\z'))
+    d = tx.with_once(d, _vals=F.transform("_raw", csv_value), _open=unclosed,
+                     _from=F.filter(F.transform("_seps", lambda s, i: F.when(s != ",", i)), lambda i: i.isNotNull()))
+    d = tx.with_once(d, _to=F.concat(F.slice("_from", 2, F.greatest(F.size("_from"), F.lit(1))), F.array(F.size("_vals"))))
+    rows = F.transform(F.arrays_zip(F.col("_from").alias("a"), F.col("_to").alias("b")),
+                       lambda x: F.slice("_vals", x["a"] + 1, x["b"] - x["a"]))
+    blank = lambda r: (F.size(r) == 1) & (tx.py_strip(F.get(r, F.lit(0))) == F.lit(""))
+    return d.withColumn("_rows", F.filter(rows, lambda r: ~blank(r))).drop("_seps", "_raw", "_vals", "_from", "_to")
 
 
 def csv_table_cells(df: DataFrame, answer_col: str = "answer") -> DataFrame:
     """TAB4: CSV tables split by ``---TABLE---`` into long cells.
 
     Each piece is stripped; blank lines are skipped; the first line is the
-    header (repeats renamed ``name.1``, ``name.2`` as pandas does). A piece
-    that is empty or has a row with more fields than the header is skipped
-    (reported by ``csv_table_status``). Missing trailing fields and NA
-    tokens are null. ``table_no`` counts pieces from 1.
+    header (repeats renamed ``name.1``, ``name.2`` as pandas does). Quoted
+    fields may hold commas, quotes and line breaks. Fields that the first row has beyond
+    the header make its leading fields an index, which is not a column, as in
+    pandas. A piece that is empty, leaves a quote open or has a later row with still
+    more fields has no cells; ``csv_table_status`` says so. Missing trailing
+    fields and NA tokens are null. ``table_no`` counts pieces from 1.
     """
     t = _csv_tables(df, answer_col).where(F.col("ok"))
-    r = t.select("filing_id", "table_no", "header", F.posexplode("rows").alias("row_no", "row"))
+    r = t.select("filing_id", "table_no", "header", "extra", F.posexplode("rows").alias("row_no", "row"))
     c = r.select("filing_id", "table_no", "row_no", "header",
-                 F.posexplode(F.transform(F.sequence(F.lit(1), F.size("header")),
-                                          lambda k: F.element_at("row", k))).alias("col_no", "value"))
+                 F.posexplode(F.transform("header", lambda h, k: F.get("row", k + F.col("extra")))).alias("col_no", "value"))
     return c.select("filing_id", "table_no", F.col("row_no").cast("long").alias("row_no"),
                     F.col("col_no").cast("long").alias("col_no"),
                     F.element_at("header", F.col("col_no") + 1).alias("col_name"),
@@ -175,16 +217,15 @@ def csv_table_status(df: DataFrame, answer_col: str = "answer") -> DataFrame:
 def _csv_tables(df: DataFrame, answer_col: str) -> DataFrame:
     pieces = df.select("filing_id", F.posexplode(F.split(F.col(answer_col), TABLE_SEPARATOR, -1))
                        .alias("i", "piece"))
-    body = tx.py_strip(F.col("piece"))
-    lines = F.filter(F.split(body, r"\r?\n", -1), lambda l: tx.py_strip(l) != F.lit(""))
-    d = tx.with_once(pieces, _lines=lines)
-    d = tx.with_once(d, _fields=F.transform("_lines", csv_fields))
-    d = tx.with_once(d, _header=F.coalesce(F.try_element_at("_fields", F.lit(1)), F.array().cast("array<string>")),
-                     _rows=F.slice("_fields", 2, F.greatest(F.size("_fields") - 1, F.lit(0))))
-    ok = (F.size("_lines") > 0) & ~F.exists("_rows", lambda r: F.size(r) > F.size("_header"))
+    d = csv_rows(tx.with_once(pieces, _body=tx.py_strip(F.col("piece"))), "_body")
+    d = tx.with_once(d, _header=F.coalesce(F.get("_rows", F.lit(0)), F.array().cast("array<string>")),
+                     _data=F.slice("_rows", 2, F.greatest(F.size("_rows") - 1, F.lit(0))))
+    extra = F.greatest(F.coalesce(F.size(F.get("_data", F.lit(0))), F.lit(0)) - F.size("_header"), F.lit(0))
+    d = tx.with_once(d, _extra=extra)
+    ok = (F.size("_rows") > 0) & ~F.col("_open") & ~F.exists("_data", lambda r: F.size(r) > F.size("_header") + F.col("_extra"))
     return d.select("filing_id", (F.col("i") + 1).cast("long").alias("table_no"),
-                    _dedupe_names(F.col("_header"), ".", 1).alias("header"), F.col("_rows").alias("rows"),
-                    ok.alias("ok"))
+                    _dedupe_names(F.col("_header"), ".", 1).alias("header"), F.col("_data").alias("rows"),
+                    F.col("_extra").alias("extra"), ok.alias("ok"))
 
 
 def v1_table_names(tables: DataFrame, item: str = "2") -> DataFrame:

@@ -11,11 +11,8 @@ adds per-partition offsets (the ``zipWithIndex`` scheme, in DataFrames).
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlens.functions.hashing import hash_key
 from ledgerlens.operators.vectors import tokens
@@ -26,6 +23,7 @@ MAX_LENGTH = 1024
 BATCH_SIZE = 2
 EPOCHS = 1
 PAD_ID = 0
+UNKNOWN_ID = -1
 # --------------------------------------------------------------------------
 
 
@@ -65,40 +63,20 @@ def vocabulary(docs: DataFrame, text_col: str = "text", max_length: int = MAX_LE
 
 
 def tokenized(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              max_length: int = MAX_LENGTH, broadcast_max_tokens: int = 2_000_000) -> DataFrame:
-    """TRN1: ``(doc_id, n_tokens, input_ids array<long>, attention_mask)``.
-
-    Vocabulary up to ``broadcast_max_tokens`` entries (counted first): it is
-    broadcast once and ids are looked up row-locally in an Arrow UDF - the
-    documents never shuffle. Larger vocabularies: tokens are exploded with
-    their positions, joined to the vocabulary and regrouped per document.
+              max_length: int = MAX_LENGTH, unknown_id: int = UNKNOWN_ID) -> DataFrame:
+    """TRN1: ``(doc_id, n_tokens, input_ids array<long>, attention_mask)`` of every document.
+
+    One plan at any vocabulary size: tokens with their positions are joined
+    to the vocabulary by token (Spark broadcasts it by its true size or splits
+    the frequent tokens) and gathered per document, of at most
+    ``max_length`` tokens. A token that the vocabulary lacks gets
+    ``unknown_id``; a document without tokens has empty arrays.
     """
-    toks = tokens(F.col(text_col), max_length)
-    n_vocab = vocab.count()
-    if n_vocab <= broadcast_max_tokens:
-        pdf = vocab.select("token", "token_id").toPandas()  # size checked above
-        bc = docs.sparkSession.sparkContext.broadcast(dict(zip(pdf["token"], pdf["token_id"].astype("int64"))))
-
-        @F.arrow_udf(T.ArrayType(T.LongType()))
-        def _ids(arr: pa.Array) -> pa.Array:
-            lookup = bc.value
-            if isinstance(arr, pa.ChunkedArray):
-                arr = arr.combine_chunks()
-            flat = pa.compute.list_flatten(arr).to_pylist()
-            vals = pa.array([lookup[t] for t in flat], type=pa.int64())
-            lens = arr.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            offs = np.zeros(len(lens) + 1, dtype=np.int32)
-            np.cumsum(lens, out=offs[1:])
-            return pa.ListArray.from_arrays(pa.array(offs), vals)
-
-        ids = _ids(toks)
-        return docs.select(id_col, F.size(toks).cast("long").alias("n_tokens"), ids.alias("input_ids"),
-                           F.array_repeat(F.lit(1), F.size(toks)).alias("attention_mask")).where(F.col("n_tokens") > 0)
-    pos = docs.select(id_col, F.posexplode(toks).alias("pos", "token"))
-    j = pos.join(vocab.select("token", "token_id"), "token")
-    g = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s"))
-    arr = F.transform("_s", lambda x: x["token_id"])
-    return g.select(id_col, F.size("_s").cast("long").alias("n_tokens"), arr.alias("input_ids"),
+    pos = docs.select(id_col, F.posexplode_outer(tokens(F.col(text_col), max_length)).alias("pos", "token"))
+    j = pos.join(vocab.select("token", "token_id"), "token", "left")
+    item = F.when(F.col("token").isNotNull(), F.struct("pos", F.coalesce("token_id", F.lit(unknown_id)).cast("long").alias("token_id")))
+    g = j.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("_s"))
+    return g.select(id_col, F.size("_s").cast("long").alias("n_tokens"), F.transform("_s", lambda x: x["token_id"]).alias("input_ids"),
                     F.array_repeat(F.lit(1), F.size("_s")).alias("attention_mask"))
 
 
@@ -122,10 +100,11 @@ def padded_batches(batches: DataFrame, tok: DataFrame, id_col: str = "doc_id",
     """TRN4/TRN5: pad ids (with ``pad_id``) and masks (with 0) to the batch's
     longest sequence; labels copy the padded ids (or -100 on padding when
     ``ignore_padding_in_labels``). Batch groups hold ``batch_size`` rows."""
-    j = batches.join(tok, id_col)
+    # the longest of a batch from narrow rows; ids travel once, to their batch row
+    size = batches.join(tok.select(id_col, "n_tokens"), id_col)
     w = Window.partitionBy("epoch", "batch_id")
-    j = j.withColumn("_max", F.max("n_tokens").over(w))
-    pad = F.greatest(F.col("_max") - F.col("n_tokens"), F.lit(0)).cast("int")
+    j = size.withColumn("_max", F.max("n_tokens").over(w)).drop("n_tokens").join(tok, id_col)
+    pad = (F.col("_max") - F.col("n_tokens")).cast("int")
     ids = F.concat("input_ids", F.array_repeat(F.lit(pad_id).cast("long"), pad))
     mask = F.concat("attention_mask", F.array_repeat(F.lit(0), pad))
     labels = (F.concat("input_ids", F.array_repeat(F.lit(-100).cast("long"), pad))

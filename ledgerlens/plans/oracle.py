@@ -92,14 +92,20 @@ def normalize_numbers_sql(mode: str) -> str:
     return f"SELECT id, raw, round(n, 6) AS number FROM ({src})"
 
 
-COMBINED_COLUMNS = ["Start Date", "End Date", "Class of Shares", "Number of Shares",
-                    "Dollar Value of Shares Repurchased", "Average Price per Share"]
+COMBINED_COLUMNS = ["Start Date", "End Date", "Class of Shares", "Number of Shares", "Average Price per Share",
+                    "CIK", "Filing Date"]
 
 
 def oracle_sql() -> dict[str, str]:
     from ledgerlens.plans import oracle_vectors as OV
     pt = OF.PAGES_TEXT
-    docs = f"SELECT doc_id AS id, text FROM documents"
+    blank = "SELECT CAST(-1 - r_regionkey AS BIGINT) AS doc_id, ' ' || chr(10) AS text FROM region"
+    all_docs = f"(SELECT doc_id, text FROM documents UNION ALL {blank})"
+    docs = f"SELECT doc_id AS id, text FROM {all_docs}"
+
+    def pooled_docs(how="mean", normalize=True):
+        zero = f"SELECT doc_id AS id, CAST(j AS BIGINT) AS dim, 0.0 AS value FROM ({blank}), range(0, 32) r(j)"
+        return f"SELECT * FROM ({OV.pooled(docs, 'text', how, normalize=normalize)}) UNION ALL {zero}"
 
     def by(col, long):
         return f"SELECT id AS {col}, dim, round(value, 6) AS value FROM ({long})"
@@ -110,35 +116,34 @@ def oracle_sql() -> dict[str, str]:
             + emb + ") e JOIN embeddings x ON x.vec_id = e.id GROUP BY x.label, e.dim) c "
             "ON c.label = x.label AND c.dim = e.dim")
     ix = OV.column_index_src()
-    col_vecs = OV.pooled(f"SELECT id, doc FROM ({ix})", "doc")
-    cell_vecs = OV.pooled(f"SELECT cid AS id, cell FROM ({OV.cells_src()})", "cell")
-    dims = ", ".join(f"round(max(value) FILTER (WHERE dim = {i}), 6) AS dim_{i}" for i in range(32))
+    col_vecs = OV.projected(OV.pooled(f"SELECT id, doc FROM ({ix})", "doc"), 32)
+    dims = ", ".join(f"round(max(value) FILTER (WHERE dim = {i}), 6) AS dim_{i}" for i in range(256))
     merge = f"""
-SELECT 'column' AS type, ix.name, CAST(ix.id AS BIGINT) AS row_index, {dims}
-FROM ({col_vecs}) v JOIN ({ix}) ix ON ix.id = v.id GROUP BY ix.name, ix.id
+SELECT 'column' AS type, ix.table_name, ix.name, CAST(ix.id AS BIGINT) AS row_index, {dims}
+FROM ({col_vecs}) v JOIN ({ix}) ix ON ix.id = v.id GROUP BY ix.table_name, ix.name, ix.id
 UNION ALL
-SELECT 'cell' AS type, c.column_name AS name, CAST(c.rank - 1 AS BIGINT) AS row_index, {dims}
-FROM ({cell_vecs}) v JOIN ({OV.cells_src()}) c ON c.cid = v.id GROUP BY c.column_name, c.rank"""
+SELECT 'cell' AS type, table_name, column_name AS name, CAST(rank - 1 AS BIGINT) AS row_index, {dims}
+FROM ({OV.cell_embeddings()}) GROUP BY table_name, column_name, rank"""
     toks = OV.tokens("text")
     tok = f"""
-WITH d AS (SELECT doc_id, {toks} AS toks FROM documents WHERE len({toks}) > 0),
+WITH d AS (SELECT doc_id, {toks} AS toks FROM {all_docs}),
 t AS (SELECT doc_id, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos FROM d),
 v AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) AS token_id FROM t GROUP BY token)
-SELECT doc_id, count(*) AS n_tokens, string_agg(CAST(token_id AS VARCHAR), ',' ORDER BY pos) AS input_ids
-FROM t JOIN v USING (token) GROUP BY doc_id"""
+SELECT d.doc_id, count(token_id) AS n_tokens, coalesce(string_agg(CAST(token_id AS VARCHAR), ',' ORDER BY pos), '') AS input_ids
+FROM d LEFT JOIN (t JOIN v USING (token)) u ON u.doc_id = d.doc_id GROUP BY d.doc_id"""
     batches = f"""
 SELECT CAST(epoch AS BIGINT) AS epoch, CAST((rn - 1) // 2 AS BIGINT) AS batch_id, doc_id, CAST((rn - 1) % 2 AS BIGINT) AS pos_in_batch
 FROM (SELECT epoch, doc_id, row_number() OVER (PARTITION BY epoch ORDER BY
         md5(concat_ws('|', '42', CAST(epoch AS VARCHAR), CAST(doc_id AS VARCHAR))), doc_id) AS rn
-      FROM documents, range(0, 2) r(epoch) WHERE len({toks}) > 0)"""
+      FROM {all_docs}, range(0, 2) r(epoch))"""
     padded = f"""
 WITH t AS ({tok}), b AS ({batches}),
 j AS (SELECT b.*, t.n_tokens, t.input_ids, max(t.n_tokens) OVER (PARTITION BY b.epoch, b.batch_id) AS mx
       FROM b JOIN t USING (doc_id))
 SELECT epoch, batch_id, pos_in_batch, doc_id,
-       input_ids || repeat(',0', CAST(mx - n_tokens AS INTEGER)) AS input_ids,
-       array_to_string(list_transform(range(n_tokens), lambda z: '1'), ',') || repeat(',0', CAST(mx - n_tokens AS INTEGER)) AS attention_mask,
-       input_ids || repeat(',0', CAST(mx - n_tokens AS INTEGER)) AS labels
+       ltrim(input_ids || repeat(',0', CAST(mx - n_tokens AS INTEGER)), ',') AS input_ids,
+       ltrim(array_to_string(list_transform(range(n_tokens), lambda z: '1'), ',') || repeat(',0', CAST(mx - n_tokens AS INTEGER)), ',') AS attention_mask,
+       ltrim(input_ids || repeat(',0', CAST(mx - n_tokens AS INTEGER)), ',') AS labels
 FROM j"""
     manifest = ("SELECT 'filings/' || CAST(o_orderkey AS VARCHAR) || '.txt' AS path, "
                 "lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, strftime(o_orderdate, '%Y-%m-%d') AS filing_date, "
@@ -164,10 +169,10 @@ FROM j"""
         "tokenized_docs": tok,
         "shuffled_batches": batches,
         "padded_batches": padded,
-        "embed_documents": by("doc_id", OV.pooled(docs, "text")),
-        "pool_mean": by("doc_id", OV.pooled(docs, "text", "mean", normalize=False)),
-        "pool_first": by("doc_id", OV.pooled(docs, "text", "first", normalize=False)),
-        "pool_max": by("doc_id", OV.pooled(docs, "text", "max", normalize=False)),
+        "embed_documents": by("doc_id", pooled_docs()),
+        "pool_mean": by("doc_id", pooled_docs("mean", False)),
+        "pool_first": by("doc_id", pooled_docs("first", False)),
+        "pool_max": by("doc_id", pooled_docs("max", False)),
         "l2_normalize": by("vec_id", OV.normalized(emb)),
         "project_vectors": by("vec_id", OV.projected(emb, 64, 256)),
         "ensemble_vectors": by("vec_id", OV.normalized(cent)),
@@ -194,6 +199,10 @@ FROM j"""
         "extraction_status": OF.extraction_status(),
         "combine_tables": OF.combine_tables(COMBINED_COLUMNS),
         "csv_tables_cells": OF.csv_tables(),
+        "tables_with_provenance": OF.tables_with_provenance(),
+        "csv_edge_cells": OF.csv_edge_cells(),
+        "csv_edge_status": OF.csv_edge_status(),
+        "decode_references": OF.DECODE_REFERENCES,
         "unpivot_columns": f"SELECT * FROM ({long_sql(['part'])})",
         "sample_per_column": sample_sql(100, "docs"),
         "column_documents": column_documents_sql(),

@@ -12,20 +12,20 @@ q = S.q
 NL = "chr(10)"
 
 
+# The patterns of the SQL side are its own.
+_REF = "&(?:#[0-9]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+_TAG = """</?[A-Za-z](?:[^<>"']|"[^"<]*"|'[^'<]*')*>|</?[A-Za-z][^<>]*>"""
+#: What the references of the given and rendered texts stand for.
+_CHARS = {"&amp;": "&", "&amp": "&", "&copy;": "©", "&middot;": "·", "&quot;": '"', "&lt;": "<", "&gt;": ">",
+          "&nbsp;": "\u00a0", "&#151;": "—", "&#160;": "\u00a0", "&#8212;": "—", "&#8217;": "’"}
+
+
 def decode_entities(x: str) -> str:
-    cp1252 = "[" + ", ".join(str(c) for c in tx.CP1252_C1) + "]"
-    n = "CAST(d AS BIGINT)"
-    cp = (f"(CASE WHEN {n} BETWEEN 128 AND 159 THEN {cp1252}[{n} - 127] "
-          f"WHEN {n} = 0 OR {n} BETWEEN 55296 AND 57343 OR {n} > 1114111 THEN 65533 ELSE {n} END)")
-    ch = (f"(CASE WHEN {cp} BETWEEN 1 AND 8 OR {cp} = 11 OR {cp} BETWEEN 14 AND 31 "
-          f"OR ({cp} BETWEEN 127 AND 159 AND {n} >= 160) OR {cp} BETWEEN 64976 AND 65007 "
-          f"OR ({cp} % 65536) >= 65534 THEN '' ELSE chr(CAST({cp} AS INTEGER)) END)")
-    dec = (f"list_reduce(list_distinct(regexp_extract_all({x}, '&#([0-9]{{1,8}});', 1)), "
-           f"lambda acc, d: replace(acc, '&#' || d || ';', {ch}), {x})")
-    s = f"(CASE WHEN strpos({x}, '&#') > 0 THEN {dec} ELSE {x} END)"
-    for name, c in tx.NAMED_ENTITIES:
-        s = f"replace({s}, {q('&' + name + ';')}, {q(c)})"
-    return s
+    one = "CASE r " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in _CHARS.items()) + " ELSE r END"
+    refs = f"list_transform(regexp_extract_all({x}, {q(_REF)}), lambda r: {one})"
+    pieces = f"string_split_regex({x}, {q(_REF)})"
+    joined = f"array_to_string(list_transform(list_zip({pieces}, {refs}), lambda p: p[1] || coalesce(p[2], '')), '')"
+    return f"(CASE WHEN strpos({x}, '&') > 0 THEN {joined} ELSE {x} END)"
 
 
 def html_to_text(x: str) -> str:
@@ -33,7 +33,7 @@ def html_to_text(x: str) -> str:
     for t in ("script", "style", "template"):
         s = f"regexp_replace({s}, {q(rf'(?is)<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)')}, '', 'g')"
     s = f"regexp_replace({s}, {q(tx.DECL)}, '', 'g')"
-    nodes = f"list_filter(string_split_regex({s}, {q(tx.TAG)}), lambda z: z <> '')"
+    nodes = f"list_filter(string_split_regex({s}, {q(_TAG)}), lambda z: z <> '')"
     return decode_entities(f"array_to_string({nodes}, {NL})")
 
 
@@ -225,9 +225,47 @@ def extraction_status() -> str:
     return f"SELECT filing_id, status FROM ({parse_pipe(answers_sql())})"
 
 
+def tables_with_provenance() -> str:
+    """Cells of the pipe tables with two more in each row, straight from the filings' fields."""
+    return f"""
+WITH c AS ({pipe_table_cells()}), f AS ({filing_fields()}),
+w AS (SELECT filing_id, table_no, row_no, max(col_no) AS last FROM c GROUP BY ALL)
+SELECT filing_id, table_no, row_no, col_no, col_name, value FROM c
+UNION ALL SELECT w.filing_id, table_no, row_no, last + 1, 'CIK', cik FROM w LEFT JOIN f ON w.filing_id = f.filing_id
+UNION ALL SELECT w.filing_id, table_no, row_no, last + 2, 'Filing Date', filing_date FROM w LEFT JOIN f ON w.filing_id = f.filing_id"""
+
+
 def combine_tables(columns: list[str]) -> str:
     sel = ", ".join(f"max(value) FILTER (WHERE col_name = {q(c)}) AS \"{c}\"" for c in columns)
-    return f"SELECT filing_id, table_no, row_no, {sel} FROM ({pipe_table_cells()}) GROUP BY filing_id, table_no, row_no"
+    names = ", ".join(q(c) for c in columns)
+    other = ("'{' || coalesce(string_agg('\"' || col_name || '\":\"' || value || '\"', ',' ORDER BY col_no) "
+             f"FILTER (WHERE col_name NOT IN ({names})), '') || '}}'")
+    return (f"SELECT filing_id, table_no, row_no, {sel}, {other} AS other FROM ({tables_with_provenance()}) "
+            "GROUP BY filing_id, table_no, row_no")
+
+
+def csv_edge_cells() -> str:
+    """The cells that the rendered text was made from."""
+    key = "CAST(o_orderkey AS VARCHAR)"
+    long = "CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN repeat('x', 50000) ELSE 'x' END"
+    cells = [(1, 0, "key", "NULL"), (1, 0, "name", key), (1, 0, "note", "'b'"),
+             (1, 1, "key", key), (1, 1, "name", "NULL"), (1, 1, "note", "NULL"),
+             (1, 2, "key", "'1'"), (1, 2, "name", f"'p \"' || {key} || '\"' || chr(10) || 'q, r'"), (1, 2, "note", long),
+             (2, 0, "a", key), (2, 0, "b", "'3'"), (2, 1, "a", "NULL"), (2, 1, "b", "NULL")]
+    cols = {1: ["key", "name", "note"], 2: ["a", "b"]}
+    return " UNION ALL ".join(
+        f"SELECT {key} AS filing_id, CAST({t} AS BIGINT) AS table_no, CAST({r} AS BIGINT) AS row_no, "
+        f"CAST({cols[t].index(c)} AS BIGINT) AS col_no, {q(c)} AS col_name, CAST({v} AS VARCHAR) AS value FROM orders"
+        for t, r, c, v in cells)
+
+
+def csv_edge_status() -> str:
+    return " UNION ALL ".join(f"SELECT CAST(o_orderkey AS VARCHAR) AS filing_id, CAST({t} AS BIGINT) AS table_no, {q(s)} AS status FROM orders"
+                              for t, s in ((1, "ok"), (2, "ok"), (3, "unparsable"), (4, "unparsable")))
+
+
+DECODE_REFERENCES = ("SELECT c_custkey, '&lt;b&gt; é' || chr(160) || ' x© ' || c_name || ' — y 😀 ¬it; & &am & ½ ' || chr(65533) || "
+                     "chr(65533) || ' &unknown; &amp; ♥' AS text FROM customer")
 
 
 CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
@@ -242,8 +280,9 @@ WITH pc AS (SELECT filing_id, unnest(ps) AS piece, generate_subscripts(ps, 1) AS
 t AS (SELECT filing_id, table_no, list_filter(regexp_split_to_array({S.strip('piece')}, '\\r?\\n'),
              lambda l: {S.strip('l')} <> '') AS ls FROM pc),
 f AS (SELECT filing_id, table_no, ls, list_transform(ls, lambda l: {fields}) AS fs FROM t),
-g AS (SELECT filing_id, table_no, fs[1] AS header, fs[2:] AS rows,
-             len(ls) > 0 AND len(list_filter(fs[2:], lambda r: len(r) > len(fs[1]))) = 0 AS ok FROM f),
+e AS (SELECT *, greatest(coalesce(len(fs[2]), 0) - len(fs[1]), 0) AS extra FROM f),
+g AS (SELECT filing_id, table_no, fs[1] AS header, list_transform(fs[2:], lambda r: r[extra + 1:]) AS rows,
+             len(ls) > 0 AND len(list_filter(fs[2:], lambda r: len(r) > len(fs[1]) + extra)) = 0 AS ok FROM e),
 ok AS (SELECT filing_id, CAST(table_no AS BIGINT) AS table_no, {dedupe('header', '.', 1)} AS header, rows FROM g WHERE ok),
 {{tail}}
 """

@@ -25,6 +25,7 @@ from ledgerlens.session import scratch_dir
 from ledgerlens.sources import filings as src
 from ledgerlens.plans.profiles import profiled_columns, profiled_long
 from ledgerlens.sources.tables import table
+from ledgerlens.functions.text import decode_entities
 from ledgerlens.functions.vectors import round_half
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,12 +151,40 @@ def q_extraction_status(spark, sf_dir):
     return tb.extraction_status(answers(spark, sf_dir))
 
 
-COMBINED_COLUMNS = ["Start Date", "End Date", "Class of Shares", "Number of Shares",
-                    "Dollar Value of Shares Repurchased", "Average Price per Share"]
+# "Dollar Value of Shares Repurchased" is not listed: its cells have to come in ``other``
+COMBINED_COLUMNS = ["Start Date", "End Date", "Class of Shares", "Number of Shares", "Average Price per Share",
+                    "CIK", "Filing Date"]
+
+
+def answers_with_fields(spark, sf_dir):
+    fields = fo.filing_fields(src.derived_filings(spark, sf_dir))
+    return answers(spark, sf_dir).join(fields, "filing_id", "left")
+
+
+def q_tables_with_provenance(spark, sf_dir):
+    return tb.pipe_table_cells(answers_with_fields(spark, sf_dir), provenance=("cik", "filing_date"))
 
 
 def q_combine_tables(spark, sf_dir):
-    return tb.combine_tables(tb.pipe_table_cells(answers(spark, sf_dir)), COMBINED_COLUMNS)
+    wide = tb.combine_tables(q_tables_with_provenance(spark, sf_dir), COMBINED_COLUMNS)
+    return wide.withColumn("other", F.to_json("other"))
+
+
+def q_csv_edge_cells(spark, sf_dir):
+    """Cells of CSV text with empty leading fields, short rows, quoted line breaks and very long fields."""
+    return tb.csv_table_cells(src.derived_csv_edges(spark, sf_dir))
+
+
+def q_csv_edge_status(spark, sf_dir):
+    return tb.csv_table_status(src.derived_csv_edges(spark, sf_dir))
+
+
+def q_decode_references(spark, sf_dir):
+    """Character references of every kind around each customer's name."""
+    c = table(spark, sf_dir, "customer")
+    text = F.concat(F.lit("&#38;lt;b&#38;gt; &eacute;&nbsp x&copy "), F.col("c_name"),
+                    F.lit(" &#151 y &#x1F600; &notit; &AMP &am & &frac12; &#0;&#9999999999; &unknown; &amp;amp; &hearts;"))
+    return c.select("c_custkey", decode_entities(text).alias("text"))
 
 
 def q_csv_tables_cells(spark, sf_dir):
@@ -168,19 +197,20 @@ ENC_DIM = 32
 PROJ_DIM = 256
 
 
-def documents_with_tokens(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return d.where(F.size(vx.tokens(F.col("text"))) > 0)
+def documents(spark, sf_dir):
+    """All documents, and a blank one for each region (ids below zero)."""
+    blank = table(spark, sf_dir, "region").select((-1 - F.col("r_regionkey")).cast("long").alias("doc_id"), F.lit(" \n").alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(blank)
 
 
 def q_embed_documents(spark, sf_dir):
-    d = vx.embed(documents_with_tokens(spark, sf_dir), "text", vx.HashTokenEncoder(ENC_DIM))
+    d = vx.embed(documents(spark, sf_dir), "text", vx.HashTokenEncoder(ENC_DIM))
     return vx.vectors_long(d, ["doc_id"])
 
 
 def _pool(how):
     def run(spark, sf_dir):
-        d = vx.pool(documents_with_tokens(spark, sf_dir), "text", how, ENC_DIM)
+        d = vx.pool(documents(spark, sf_dir), "text", how, ENC_DIM)
         return vx.vectors_long(d, ["doc_id"])
     return run
 
@@ -226,19 +256,20 @@ def cells(spark, sf_dir):
 
 
 def q_merge_embeddings(spark, sf_dir):
-    enc = vx.HashTokenEncoder(ENC_DIM)
-    idx = ce.column_index(column_docs(spark, sf_dir), enc)
-    cols = idx.select("name", "vec", F.col("id").alias("rank"))
-    cv = vx.embed(cells(spark, sf_dir), "cell", enc).select(F.col("column_name").alias("name"), "vec", "rank")
-    m = vx.merge_embeddings(cols, cv, ENC_DIM)
-    return m.select("type", "name", "row_index", *[round_half(f"dim_{i}", 6).alias(f"dim_{i}") for i in range(ENC_DIM)])
+    """The whole second plan: column index, cells, prompts and their projected embeddings, merged."""
+    p, idx, enc, w = _cell_prompts(spark, sf_dir)
+    cols = idx.select("table_name", "name", "vec", F.col("id").alias("rank"))
+    cv = ce.cell_embeddings(p, enc, w).select("table_name", F.col("column_name").alias("name"), "vec", "rank")
+    m = vx.merge_embeddings(cols, cv, PROJ_DIM)
+    return m.select("type", "table_name", "name", "row_index",
+                    *[round_half(f"dim_{i}", 6).alias(f"dim_{i}") for i in range(PROJ_DIM)])
 
 
 def _cell_prompts(spark, sf_dir):
     enc = vx.HashTokenEncoder(ENC_DIM)
     w = vx.projection_weights(spark, ENC_DIM, PROJ_DIM)
     idx = ce.column_index(column_docs(spark, sf_dir), enc, w)
-    return ce.cell_prompts(cells(spark, sf_dir).select("table_name", "column_name", "rank", "cell"), idx, enc, w), enc, w
+    return ce.cell_prompts(cells(spark, sf_dir).select("table_name", "column_name", "rank", "cell"), idx, enc, w), idx, enc, w
 
 
 def q_cell_prompts(spark, sf_dir):
@@ -246,7 +277,7 @@ def q_cell_prompts(spark, sf_dir):
 
 
 def q_cell_embeddings(spark, sf_dir):
-    p, enc, w = _cell_prompts(spark, sf_dir)
+    p, _, enc, w = _cell_prompts(spark, sf_dir)
     return vx.vectors_long(ce.cell_embeddings(p, enc, w), ["table_name", "column_name", "rank"])
 
 
@@ -256,17 +287,17 @@ TRAIN_EPOCHS = 2
 
 
 def q_tokenized_docs(spark, sf_dir):
-    d = documents_with_tokens(spark, sf_dir)
+    d = documents(spark, sf_dir)
     t = tp.tokenized(d, tp.vocabulary(d))
     return t.select("doc_id", "n_tokens", tp.as_text("input_ids").alias("input_ids"))
 
 
 def q_shuffled_batches(spark, sf_dir):
-    return tp.shuffled_batches(documents_with_tokens(spark, sf_dir), epochs=TRAIN_EPOCHS)
+    return tp.shuffled_batches(documents(spark, sf_dir), epochs=TRAIN_EPOCHS)
 
 
 def q_padded_batches(spark, sf_dir):
-    d = documents_with_tokens(spark, sf_dir)
+    d = documents(spark, sf_dir)
     t = tp.tokenized(d, tp.vocabulary(d))
     p = tp.padded_batches(tp.shuffled_batches(d, epochs=TRAIN_EPOCHS), t)
     return p.select("epoch", "batch_id", "pos_in_batch", "doc_id", tp.as_text("input_ids").alias("input_ids"),
@@ -381,6 +412,10 @@ def queries() -> dict[str, Query]:
         "pipe_table_cells": q_pipe_table_cells,
         "extraction_status": q_extraction_status,
         "combine_tables": q_combine_tables,
+        "tables_with_provenance": q_tables_with_provenance,
+        "csv_edge_cells": q_csv_edge_cells,
+        "csv_edge_status": q_csv_edge_status,
+        "decode_references": q_decode_references,
         "csv_tables_cells": q_csv_tables_cells,
         "unpivot_columns": q_unpivot_columns,
         "sample_per_column": q_sample_per_column,

@@ -165,6 +165,20 @@ def derived_csv_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(o.o_orderkey.cast("string").alias("filing_id"), ans.alias("answer")))
 
 
+def derived_csv_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers whose CSV has an empty first field, a short row, quotes with commas, quotes and line breaks
+    inside, a field of 50,000 characters (for some), a row that is too long and a quote that never closes."""
+    o = table(spark, sf_dir, "orders")
+    key = o.o_orderkey.cast("string")
+    long = F.when((o.o_orderpriority == "1-URGENT") & (o.o_orderstatus == "P"), F.rpad(F.lit("x"), 50000, "x")).otherwise(F.lit("x"))
+    t1 = F.concat(F.lit("key,name,note\n,"), key, F.lit(",b\n"), key, F.lit('\n1,"p ""'), key, F.lit('""\nq, r",'), F.lit('"'), long, F.lit('"\n'))
+    t2 = F.concat(F.lit("a,b\n1,"), key, F.lit(",3\n4\n"))
+    t3 = F.concat(F.lit("a,b\n1,2\n1,2,"), key)
+    t4 = F.concat(F.lit('a,b\n1,"never closed '), key)
+    sep = F.lit("\n---TABLE---\n")
+    return o.select(key.alias("filing_id"), F.concat(t1, sep, t2, sep, t3, sep, t4).alias("answer"))
+
+
 def derived_html_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HTML filings with a print-style repurchase table per order:
     ``(filing_id, html)``. Stacked header rows with ``colspan=3`` over

@@ -5,31 +5,24 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
+#: A scan of fewer splits than this is dealt to all cores.
+FEW_SPLITS = 8
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``spark.read.parquet`` of ``{sf_dir}/{name}.parquet``.
 
     Column pruning and filter pushdown happen at this scan (callers select
-    only what they use; Catalyst narrows ``ReadSchema`` and, when the guard
-    below is inactive, pushes filters into the parquet reader).
-
-    Scan parallelism guard: a file with a single row group is read by one
-    task. When the scan has fewer splits than ``min_partitions`` (default:
-    the cluster's default parallelism) the rows are spread round-robin so
-    the row-local work after the scan uses every core. On large inputs the
-    scan already has more splits than cores and this is a no-op.
+    only what they use). A table of fewer than ``FEW_SPLITS`` splits, at
+    most a file or two, is dealt to all cores, because one row group is one
+    task; anything larger is read as it lies.
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    target = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        # The always-true partition-id filter keeps later (possibly heavy)
-        # row predicates above the spread: Catalyst does not push a filter
-        # below a non-deterministic one. Column pruning still reaches the scan.
-        df = df.repartition(target).where(F.spark_partition_id() >= 0)
-    return df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(FEW_SPLITS, cores) else df

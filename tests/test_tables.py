@@ -51,6 +51,34 @@ def test_csv_tables(spark):
     got = sorted((c.table_no, c.row_no, c.col_name, c.value) for c in cells)
     assert got == [(1, 0, "x", "1"), (1, 0, "y", "a,b"), (1, 1, "x", "2"), (1, 1, "y", 'say "hi"'),
                    (2, 0, "k", "list"), (2, 0, "v", "a;b"), (2, 1, "k", None), (2, 1, "v", None),
-                   (5, 0, "h", "1"), (5, 0, "h.1", "2")]
+                   (3, 0, "a", "2"), (3, 0, "b", "3"), (5, 0, "h", "1"), (5, 0, "h.1", "2")]
     st = {r.table_no: r.status for r in tb.csv_table_status(df).collect()}
-    assert st == {1: "ok", 2: "ok", 3: "unparsable", 4: "unparsable", 5: "ok"}
+    assert st == {1: "ok", 2: "ok", 3: "ok", 4: "unparsable", 5: "ok"}
+
+
+def test_csv_edges(spark):
+    """Empty first fields, short rows, line breaks and very long fields in quotes, rows too long, open quotes."""
+    long = "y" * 50_000
+    ans = f'a,b,c\n,x,\n1\n2,"q ""r"", s\nt","{long}"\n"z"w,v,u'
+    bad = ["a,b\n1,2\n1,2,3", 'a,b\n1,"open', "h\n"]
+    df = _answers(spark, [("f", ans)] + [(str(k), b) for k, b in enumerate(bad)])
+    got = {(c.filing_id, c.row_no, c.col_name): c.value for c in tb.csv_table_cells(df).collect()}
+    assert got == {("f", 0, "a"): None, ("f", 0, "b"): "x", ("f", 0, "c"): None, ("f", 1, "a"): "1", ("f", 1, "b"): None,
+                   ("f", 1, "c"): None, ("f", 2, "a"): "2", ("f", 2, "b"): 'q "r", s\nt', ("f", 2, "c"): long,
+                   ("f", 3, "a"): "zw", ("f", 3, "b"): "v", ("f", 3, "c"): "u"}
+    st = {r.filing_id: r.status for r in tb.csv_table_status(df).collect()}
+    assert st == {"f": "ok", "0": "unparsable", "1": "unparsable", "2": "ok"}
+
+
+def test_outer_pipes_and_provenance(spark):
+    df = spark.createDataFrame([("f", "A | B\n---|---\n1 | 2\n| 3 | 4 |", "77", "2020-01-02")], "filing_id string, answer string, cik string, day string")
+    cells = tb.pipe_table_cells(df, outer_pipes="auto", provenance=("cik", "day")).collect()
+    got = {(c.row_no, c.col_no, c.col_name): c.value for c in cells}
+    assert got == {(0, 0, "A"): "1", (0, 1, "B"): "2", (0, 2, "CIK"): "77", (0, 3, "Filing Date"): "2020-01-02",
+                   (1, 0, "A"): "3", (1, 1, "B"): "4", (1, 2, "CIK"): "77", (1, 3, "Filing Date"): "2020-01-02"}
+
+
+def test_combined_tables_keep_unlisted_columns(spark):
+    cells = tb.pipe_table_cells(_answers(spark, [("a", "| A | Shares Bought |\n| 1 | 2 |")]))
+    row = tb.combine_tables(cells, ["A"]).first()
+    assert row.A == "1" and row.other == {"Shares Bought": "2"}

@@ -104,3 +104,29 @@ def test_answer_text(spark):
     df = spark.createDataFrame([(v,) for v in vals], "r string")
     got = [r.a for r in df.select(fo.answer_text("r").alias("a")).collect()]
     assert got == ["| a |", "no marker here ", "x OUTPUTT: y", ""]
+
+
+def test_character_references_and_tags(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    from ledgerlens.functions import text as tx
+    r = random.Random(1)
+    names = list(html5)
+    texts = ["&#38;lt;b&#38;gt;", "&eacute;&nbsp x&copy &#151 y&#x1F600;&#99999999999; &notit; &AMP&am & &; &#; &#x; &#0; &#128;", "", "&amp;lt;"]
+    texts += ["".join(r.choice(["&", "&" + r.choice(names), "x", ";", f"&#{r.randint(0, 70000)};", f"&#x{r.randint(0, 99999):x}"])
+                      for _ in range(12)) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert all(x.d == html.unescape(x.t) for x in df.select("t", tx.decode_entities("t").alias("d")).collect())
+    pages = ['<p title="x>' + "<td width=\"5%\" b='q'>c" * 5000, "a<b title='x>y'>c</b>d<p t='z>don't <i>", "<p>a<![CDATA[b & c]]>d"]
+    nodes = [x.n for x in spark.createDataFrame([(t,) for t in pages], "t string").select(tx.html_text_nodes("t").alias("n")).collect()]
+    assert nodes == [["c"] * 5000, ["a", "c", "d", "don't "], ["a", "b & c", "d"]]
+
+
+def test_section_of_any_item(spark):
+    from ledgerlens.operators import filings as fo
+    t = "x Part II a Item 7 b Item 8 c"
+    df = spark.createDataFrame([(t, "7"), (t, "8"), (t, "9"), (t, None), (t, ""), ("Part II Item 7.* z", "7.*")], "text string, item string")
+    got = [r.section for r in fo.item_section(df, item_col="item").collect()]
+    assert got == ["Part II a Item 7 b ", "Part II a Item 7 b Item 8 c", "", "", "", "Part II Item 7.* z"]
