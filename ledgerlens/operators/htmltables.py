@@ -4,17 +4,21 @@ Filings lay tables out for print: stacked header rows, ``colspan`` over
 spacer columns, ``&nbsp;`` fillers, currency signs in their own cells. The
 rules here, all row-local (one filing's tables never leave its task):
 
-1. innermost tables: the text after each ``<table`` up to the first
-   ``</table`` (a piece that opens another table first is an outer table);
+1. every table is read, a nested one on its own and not as text of the
+   table around it; tables are numbered as they open;
 2. rows ``<tr``..``</tr``; cells ``<td|th ...>``..``</td|th``; cell text =
-   tags removed, entities decoded, whitespace collapsed;
-3. each cell covers grid columns ``[start, start+colspan)``, ``start`` being
-   the running sum of the spans before it;
-4. header rows = rows before the first row with a numeric cell; the label
-   of a grid column = the texts of the header cells covering it, top to
-   bottom, joined by a space;
-5. a data cell belongs to the label at its start column; non-blank cells
-   with the same label in a row are joined by a space (``$`` + ``12.50``).
+   tags removed, references decoded, whitespace collapsed;
+3. each cell covers ``colspan`` grid columns from the first one that the
+   cells before it and the cells reaching down (``rowspan``) leave free;
+4. header rows = rows before the first row with a numeric cell, where a row
+   whose numbers are all years, with another row to follow, is a header too; without
+   any numeric row the first row is the header, or, where cells span columns as in stacked heads,
+   all rows are. The label of a grid column = the texts of the
+   header cells covering it, top to bottom, joined by a space;
+5. a data cell belongs to the column group of its start: the grid columns
+   that the same header cells cover; non-blank cells of one group in a row are
+   joined by a space (``$`` + ``12.50``). Groups with equal labels are told
+   apart by ``_2``, ``_3``.
 
 Output: ``(filing_id, table_no, row_no, col_no, col_name, value)``.
 """
@@ -26,7 +30,7 @@ import re
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,171 +38,134 @@ from ledgerlens.functions import text as tx
 from ledgerlens.operators.filings import CANONICAL_COLUMNS
 
 NUMERIC_CELL = r"^[$(]*\s*-?[0-9][0-9,]*(\.[0-9]+)?\)?%?$"
-CELL_TAG = r"(?i)<t[dh]\b[^>]*>"
 # comments, scripts and styles removed in one pass over the document
 NON_TEXT = (r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)"
             r"|<style\b[^>]*>.*?(?:</style\s*>|\z)")
 
 
-def _cell_text(body: Column) -> Column:
-    no_tags = F.regexp_replace(body, tx.TAG, " ")
-    return tx.collapse_ws(tx.decode_entities(no_tags))
-
-
-def _row_cells(row: Column) -> Column:
-    """array<struct<span int, text string>> of one ``<tr>`` body."""
-    tags = F.regexp_extract_all(row, F.lit(CELL_TAG), 0)
-    bodies = F.slice(F.split(row, CELL_TAG), 2, 1 << 20)
-    z = F.arrays_zip(tags.alias("tag"), bodies.alias("body"))
-    return F.transform(z, lambda c: F.struct(
-        F.greatest(F.coalesce(F.regexp_extract(c["tag"], r"""(?i)colspan\s*=\s*["']?([0-9]+)""", 1)
-                              .try_cast("int"), F.lit(1)), F.lit(1)).alias("span"),
-        _cell_text(F.regexp_replace(c["body"], r"(?is)</t[dh]\s*>.*", "")).alias("text")))
-
-
-def _with_starts(cells: Column) -> Column:
-    """Add the running start column to each cell (one pass over the cells)."""
-    item = "struct<start:int,span:int,text:string>"
-    init = F.struct(F.array().cast(f"array<{item}>").alias("items"), F.lit(0).alias("nxt"))
-    res = F.aggregate(cells, init, lambda acc, c: F.struct(
-        F.concat(acc["items"], F.array(F.struct(acc["nxt"].alias("start"), c["span"].cast("int").alias("span"),
-                                                c["text"].alias("text")))).alias("items"),
-        (acc["nxt"] + c["span"]).alias("nxt")))
-    return res["items"]
-
-
-def _innermost_tables(df: DataFrame, html_col: str) -> DataFrame:
-    """``(filing_id, table_no, t)``: body of every innermost table (built-ins)."""
-    html = F.regexp_replace(F.col(html_col), NON_TEXT, "")
-    pieces = df.select("filing_id", F.posexplode(F.split(html, r"(?i)<table\b")).alias("i", "p"))
-    return (pieces.where((F.col("i") > 0) & F.col("p").rlike(r"(?i)</table"))
-            .select("filing_id", F.col("i").cast("long").alias("table_no"),
-                    F.regexp_replace(F.split(F.col("p"), r"(?i)</table").getItem(0), r"^[^>]*>", "").alias("t")))
-
-
 GRID_CELL = T.ArrayType(T.StructType([
     T.StructField("row_no", T.LongType()), T.StructField("col_no", T.LongType()),
     T.StructField("col_name", T.StringType()), T.StructField("value", T.StringType())]))
 
-_ROW_RE = re.compile(r"(?is)<tr\b[^>]*>")
+TABLES = T.ArrayType(T.StructType([T.StructField("table_no", T.LongType()), T.StructField("cells", GRID_CELL)]))
+
+_TABLE_RE = re.compile(r"(?i)<(/?)table\b[^>]*>")
+_ROW_RE = re.compile(r"(?i)<tr\b[^>]*>")
 _ROW_END = re.compile(r"(?is)</tr\s*>.*")
 _CELL_RE = re.compile(r"(?i)<t[dh]\b([^>]*)>")
 _CELL_END = re.compile(r"(?is)</t[dh]\s*>.*")
-_SPAN_RE = re.compile(r"""(?i)colspan\s*=\s*["']?([0-9]+)""")
+_SPAN_RE = re.compile(r"""(?i)\b(col|row)span\s*=\s*["']?([0-9]+)""")
 _TAG_RE = re.compile(tx.TAG)
 _NUM_RE = re.compile(NUMERIC_CELL)
-
-
-def parse_table_grid(t: str) -> list[dict]:
-    """Rules 2-5 of the module doc for one table body (plain Python)."""
-    rows = []
+_YEAR_RE = re.compile(r"(?:19|20)[0-9]{2}$")
+#: Rows and columns that a span can cover.
+MOST_SPAN = 1000
+
+Cell = tuple[int, int, str]  # first grid column, columns, text
+
+
+def table_bodies(h: str) -> list[tuple[int, str]]:
+    """(number, markup) of every table, without the tables nested in it."""
+    out, open_, number, at = [], [], 0, 0
+    for m in _TABLE_RE.finditer(h):
+        if open_:
+            open_[-1][1].append(h[at : m.start()])
+        at = m.end()
+        if not m[1]:
+            number += 1
+            open_.append((number, []))
+        elif open_:
+            out.append(open_.pop())
+    if open_:
+        open_[-1][1].append(h[at:])
+    return sorted((n, " ".join(parts)) for n, parts in out + open_)
+
+
+def grid_rows(t: str) -> list[list[Cell]]:
+    """Rows with any text; a cell that reaches down stands in each of its rows."""
+    rows, reach = [], {}  # reach: grid column -> (rows left, cell)
     for piece in _ROW_RE.split(t)[1:]:
-        body = _ROW_END.sub("", piece)
-        parts = _CELL_RE.split(body)  # [pre, attrs1, body1, attrs2, body2, ...]
-        cells, start = [], 0
+        parts = _CELL_RE.split(_ROW_END.sub("", piece))  # [before, attributes, body, attributes, body, ...]
+        cells, at = [c for p, (_, c) in reach.items() if p == c[0]], 0
+        reach = {p: (n - 1, c) for p, (n, c) in reach.items()}
+        down = {}
         for k in range(1, len(parts) - 1, 2):
-            m = _SPAN_RE.search(parts[k])
-            span = max(int(m.group(1)) if m else 1, 1)
-            text = parts[k + 1]
-            if "</" in text:
-                text = _CELL_END.sub("", text)
-            if "<" in text:
-                text = _TAG_RE.sub(" ", text)
-            if "&" in text:
-                text = html.unescape(text)
-            text = " ".join(text.split())
-            cells.append((start, span, text))
-            start += span
+            spans = {m[0].lower(): min(max(int(m[1]), 1), MOST_SPAN) for m in _SPAN_RE.findall(parts[k])}
+            text = _CELL_END.sub("", parts[k + 1])
+            text = " ".join(html.unescape(_TAG_RE.sub(" ", text) if "<" in text else text).split())
+            while at in reach:
+                at += 1
+            cell = (at, spans.get("col", 1), text)
+            cells.append(cell)
+            if (more := spans.get("row", 1) - 1):
+                down |= {p: (more, cell) for p in range(at, at + cell[1])}
+            at += cell[1]
+        reach = {p: x for p, x in reach.items() if x[0] > 0} | down
         if any(c[2] for c in cells):
-            rows.append(cells)
-    first = next((i for i, r in enumerate(rows) if any(_NUM_RE.match(c[2]) for c in r)), None)
-    if first is None:
-        return []
-    headers = rows[:first]
-    labels: dict[int, str] = {}
-
-    def label(p: int) -> str:
-        if p not in labels:
-            texts = []
-            for r in headers:
-                hit = next((c[2] for c in r if c[0] <= p < c[0] + c[1]), "")
-                if hit:
-                    texts.append(hit)
-            labels[p] = " ".join(texts) or f"col_{p}"
-        return labels[p]
+            rows.append(sorted(cells))
+    return rows
+
+
+def _first_data_row(rows: list[list[Cell]]) -> int:
+    for i, r in enumerate(rows):
+        numbers = [c[2] for c in r if _NUM_RE.match(c[2])]
+        if numbers and not (all(map(_YEAR_RE.match, numbers)) and i + 1 < len(rows) and not _NUM_RE.match(r[0][2])
+                            and any(_NUM_RE.match(c[2]) for c in rows[i + 1])):
+            return i
+    return len(rows) if any(c[1] > 1 for r in rows for c in r) else 1
 
+
+def parse_table_grid(t: str) -> list[dict]:
+    """Rules 2-5 of the module doc for one table body (plain Python)."""
+    rows = grid_rows(t)
+    first = _first_data_row(rows)
+    headers, groups, names = rows[:first], {}, {}
+
+    def name(p: int) -> tuple:
+        """Column group of grid column ``p``; names are given in the order of first use from the left."""
+        if p not in groups:
+            over = tuple(dict.fromkeys(c for r in headers for c in r if c[0] <= p < c[0] + c[1] and c[2]))
+            groups[p] = over or (p,)
+        return groups[p]
+
+    for p in sorted({c[0] for r in rows[first:] for c in r if c[2]}):
+        g = name(p)
+        if g not in names:
+            label = " ".join(c[2] for c in g if isinstance(c, tuple)) or f"col_{p}"
+            same = sum(x == label for x, _ in names.values())
+            names[g] = (label, label if not same else f"{label}_{same + 1}")
     out = []
     for rn, r in enumerate(rows[first:]):
-        groups: dict[str, list] = {}
-        for s0, _, text in r:
+        found: dict[tuple, tuple[int, list[str]]] = {}
+        for start, _, text in r:
             if text:
-                g = groups.setdefault(label(s0), [s0, []])
-                g[1].append(text)
-        for lab, (s0, texts) in groups.items():
-            out.append({"row_no": rn, "col_no": s0, "col_name": lab, "value": " ".join(texts)})
+                found.setdefault(name(start), (start, []))[1].append(text)
+        out += [{"row_no": rn, "col_no": start, "col_name": names[g][1], "value": " ".join(texts)}
+                for g, (start, texts) in found.items()]
     return out
 
 
-@F.pandas_udf(GRID_CELL)
-def _grid_udf(tables: pd.Series) -> pd.Series:
-    return pd.Series([parse_table_grid(t) if t is not None else [] for t in tables])
+@F.pandas_udf(TABLES)
+def _tables_udf(pages: pd.Series) -> pd.Series:
+    return pd.Series([[{"table_no": n, "cells": parse_table_grid(t)} for n, t in table_bodies(h or "")] for h in pages])
+
+
+def _tables(df: DataFrame, html_col: str) -> DataFrame:
+    page = F.regexp_replace(F.col(html_col), NON_TEXT, "")
+    return df.select("filing_id", F.explode(_tables_udf(page)).alias("t")).select("filing_id", "t.table_no", "t.cells")
 
 
 def html_table_cells(df: DataFrame, html_col: str = "html") -> DataFrame:
-    """TAB8 (see module doc).
-
-    Tables are found and cut out with built-in regex functions; the grid
-    rules (running colspan starts, stacked header labels) run per table in
-    an Arrow-batched pandas UDF. Measured at sf0.001 this is about 30x
-    faster than ``html_table_cells_native``, whose nested higher-order
-    functions are interpreted row by row (no code generation).
-    """
-    tables = _innermost_tables(df, html_col)
-    return (tables.select("filing_id", "table_no", F.explode(_grid_udf(F.col("t"))).alias("c"))
+    """TAB8 (see module doc): comments, scripts and styles go by one regex, the grid rules run in an
+    Arrow-batched pandas UDF over the filings of a task. ``html_table_status`` has a row for each table."""
+    return (_tables(df, html_col).select("filing_id", "table_no", F.explode("cells").alias("c"))
             .select("filing_id", "table_no", "c.row_no", "c.col_no", "c.col_name", "c.value"))
 
 
-def html_table_cells_native(df: DataFrame, html_col: str = "html") -> DataFrame:
-    """TAB8 with built-in functions only (same rules, fixed entity set)."""
-    html = F.regexp_replace(F.col(html_col), NON_TEXT, "")
-    pieces = df.select("filing_id", F.posexplode(F.split(html, r"(?i)<table\b")).alias("i", "p"))
-    tables = (pieces.where((F.col("i") > 0) & F.col("p").rlike(r"(?i)</table"))
-              .select("filing_id", F.col("i").cast("long").alias("table_no"),
-                      F.split(F.col("p"), r"(?i)</table").getItem(0).alias("t")))
-    # entities other than & < > decoded once per table; those three per cell
-    t = tx.decode_entities(F.regexp_replace(F.col("t"), r"^[^>]*>", ""), keep_markup=True)
-    rows = F.transform(F.slice(F.split(t, r"(?i)<tr\b"), 2, 1 << 20),
-                       lambda r: _with_starts(_row_cells(F.split(F.regexp_replace(r, r"^[^>]*>", ""),
-                                                                 r"(?i)</tr\s*>").getItem(0))))
-    rows = F.filter(rows, lambda r: F.exists(r, lambda c: c["text"] != F.lit("")))
-    # each parsed table is produced once by a generator: later steps refer to
-    # it many times (per cell), and a generator output is never re-inlined
-    tb = tables.select("filing_id", "table_no", F.explode(F.array(rows)).alias("rows"))
-    is_data = F.transform("rows", lambda r: F.exists(r, lambda c: c["text"].rlike(NUMERIC_CELL)))
-    first = F.array_position(is_data, True)
-    tb = tb.select("*", F.explode(F.array(first)).alias("_first")).where(F.col("_first") > 0)
-    headers = F.slice("rows", 1, F.greatest(F.col("_first") - 1, F.lit(0)))
-
-    def label_at(p: Column) -> Column:
-        texts = F.transform(headers, lambda r: F.coalesce(F.element_at(F.filter(
-            r, lambda c: (c["start"] <= p) & (p < c["start"] + c["span"])), 1)["text"], F.lit("")))
-        lab = F.array_join(F.filter(texts, lambda x: x != F.lit("")), " ")
-        return F.when(lab == F.lit(""), F.concat(F.lit("col_"), p.cast("string"))).otherwise(lab)
-
-    data = F.slice("rows", F.col("_first"), 1 << 20)
-    labeled = F.transform(data, lambda r: F.transform(
-        F.filter(r, lambda c: c["text"] != F.lit("")),
-        lambda c: F.struct(label_at(c["start"]).alias("label"), c["start"].alias("start"), c["text"].alias("text"))))
-    grouped = F.transform(labeled, lambda r: F.transform(
-        F.array_distinct(F.transform(r, lambda c: c["label"])), lambda lab: F.struct(
-            lab.alias("col_name"),
-            F.aggregate(F.filter(r, lambda c: c["label"] == lab), F.lit(1 << 30),
-                        lambda a, c: F.least(a, c["start"])).cast("long").alias("col_no"),
-            F.array_join(F.transform(F.filter(r, lambda c: c["label"] == lab), lambda c: c["text"]), " ")
-            .alias("value"))))
-    out = tb.select("filing_id", "table_no", F.posexplode(grouped).alias("row_no", "cells"))
-    return out.select("filing_id", "table_no", F.col("row_no").cast("long").alias("row_no"),
-                      F.inline("cells")).select("filing_id", "table_no", "row_no", "col_no", "col_name", "value")
+def html_table_status(df: DataFrame, html_col: str = "html") -> DataFrame:
+    """``(filing_id, table_no, status)`` of every table: ``ok``, or ``no_data`` without a data row."""
+    return _tables(df, html_col).select(
+        "filing_id", "table_no", F.when(F.size("cells") > 0, F.lit("ok")).otherwise(F.lit("no_data")).alias("status"))
 
 
 CANON_SCHEMA = T.StructType([T.StructField("canonical", T.StringType()),

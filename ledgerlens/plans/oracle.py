@@ -201,6 +201,7 @@ FROM j"""
         "csv_tables_cells": OF.csv_tables(),
         "tables_with_provenance": OF.tables_with_provenance(),
         "csv_edge_cells": OF.csv_edge_cells(),
+        "html_table_cells": OF.html_table_cells(),
         "csv_edge_status": OF.csv_edge_status(),
         "decode_references": OF.DECODE_REFERENCES,
         "unpivot_columns": f"SELECT * FROM ({long_sql(['part'])})",

@@ -299,3 +299,17 @@ SELECT filing_id, table_no, CAST(rn - 1 AS BIGINT) AS row_no, CAST(cn - 1 AS BIG
 
 def csv_ok_tables() -> str:
     return _csv_base().replace("{tail}", "x AS (SELECT 1)\nSELECT filing_id, table_no FROM ok")
+
+
+def html_table_cells() -> str:
+    """Four cells for each line item, straight from the table."""
+    row = (f"{_d('l_shipdate')} || '</td><td>&nbsp;</td><td>&nbsp;</td><td>' || {_money('l_quantity')} || '</td><td>&nbsp;</td><td>&nbsp;</td>"
+           f"<td>$</td><td>' || {_money('l_extendedprice')} || '</td><td>&nbsp;</td><td>&nbsp;</td><td>&nbsp;</td><td>' || CAST(l_linenumber AS VARCHAR)")
+    cells = [(0, "Period", _d("l_shipdate")), (3, "Total Number of Shares Purchased", _money("l_quantity")),
+             (6, "Average Price Paid per Share", f"'$ ' || {_money('l_extendedprice')}"),
+             (11, "Total Number of Shares Purchased as Part of Programs", "CAST(l_linenumber AS VARCHAR)")]
+    lines = (f"SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, {row}) - 1 AS row_no "
+             "FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)")
+    return f"WITH l AS ({lines}) " + " UNION ALL ".join(
+        f"SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, CAST(1 AS BIGINT) AS table_no, row_no, CAST({c} AS BIGINT) AS col_no, "
+        f"{q(n)} AS col_name, {v} AS value FROM l" for c, n, v in cells)

@@ -27,11 +27,33 @@ def test_stacked_header_table(spark):
     assert inner == [("col_0", "1"), ("col_1", "2")]
 
 
-def test_native_and_arrow_paths_agree(spark):
-    df = spark.createDataFrame([("f", DOC), ("g", DOC.replace("12.50", "7"))], "filing_id string, html string")
-    a = sorted(map(tuple, ht.html_table_cells(df).collect()))
-    b = sorted(map(tuple, ht.html_table_cells_native(df).collect()))
-    assert a == b
+def _tables(spark, html):
+    df = spark.createDataFrame([("f", html)], "filing_id string, html string")
+    got = {}
+    for c in ht.html_table_cells(df).collect():
+        got.setdefault(c.table_no, {}).setdefault(c.row_no, {})[c.col_name] = c.value
+    return got, {r.table_no: r.status for r in ht.html_table_status(df).collect()}
+
+
+def _rows(*rows):
+    return "".join("<tr>" + "".join(c if c.startswith("<") else f"<td>{c}</td>" for c in r) + "</tr>" for r in rows)
+
+
+def test_spans_years_repeats_nesting_and_text_tables(spark):
+    spans = _rows(["<th rowspan=2>Period</th>", "<th colspan=2>Total</th>"], ["Shares", "Price"], ["May", "5", "6"])
+    years = _rows(["Item", "2011", "2010"], ["Cash", "5", "6"])
+    repeats = _rows(["K", "Price", "Price"], ["a", "5", "6"])
+    names = _rows(["Name", "Title"], ["Ann", "CEO"], ["Bob", "CFO"])
+    nested = _rows(["K", "V"], ["a", "1"], ["<td><table>" + _rows(["x", "9"]) + "</table></td>", ""], ["b", "2"])
+    html = "".join(f"<table>{t}</table>" for t in (spans, years, repeats, names, nested)) + "<table><tr><td>alone</td></tr>"
+    got, status = _tables(spark, html)
+    assert got == {1: {0: {"Period": "May", "Total Shares": "5", "Total Price": "6"}},
+                   2: {0: {"Item": "Cash", "2011": "5", "2010": "6"}},
+                   3: {0: {"K": "a", "Price": "5", "Price_2": "6"}},
+                   4: {0: {"Name": "Ann", "Title": "CEO"}, 1: {"Name": "Bob", "Title": "CFO"}},
+                   5: {0: {"K": "a", "V": "1"}, 1: {"K": "b", "V": "2"}},
+                   6: {0: {"col_0": "x", "col_1": "9"}}}
+    assert status == {1: "ok", 2: "ok", 3: "ok", 4: "ok", 5: "ok", 6: "ok", 7: "no_data"}
 
 
 def test_canonical_mapping(spark):
