@@ -38,16 +38,18 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def links_in_buckets(rows: DataFrame, sizes: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                     ratio: float) -> DataFrame:
+                     percent: int) -> DataFrame:
     """Verified links (a, b) whose components are those of all pairs of ids in a common bucket that link.
 
     ``rows`` are distinct (sig, id) of signatures that two or more ids hold,
-    ``sizes`` (id, n); ``verify`` keeps the pairs (a, b) that really link; ids whose
-    sizes differ by more than ``ratio`` never do. Two star rounds try each id against the least id of its
+    ``sizes`` (id, n, sketch) their sets' sizes and parity sketches; ``verify`` keeps the pairs (a, b) that
+    really link, which takes a Jaccard similarity of ``percent``. Two star rounds try each id against the least id of its
     buckets, then against the least one of another component; that joins large groups of near
     copies with a pair an id. What is left are buckets that hold several
     components: there every pair of ids in different components is tried, in a join
-    split by bucket. No pair of a bucket is left out unless a chain of links joins it already.
+    split by bucket, whose condition passes over pairs that cannot link by their sizes or
+    by the distance of their sketches, a lower bound on that of the sets. No other pair of a bucket is
+    left out unless a chain of links joins it already.
     """
     hubs = written(rows.groupBy("sig").agg(F.min("id").alias("hub")), "hubs")
     star = (rows.join(hubs, "sig").where(F.col("id") != F.col("hub"))
@@ -63,10 +65,14 @@ def links_in_buckets(rows: DataFrame, sizes: DataFrame, verify: Callable[[DataFr
                 .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
         links = written(links.unionByName(verify(written(star, "star-pairs"))), "links")
         rows = rest.select("sig", "id")
-    rest = written(_mixed(rows, components(links)).join(sizes.select("id", "n"), "id"), "bucket-rest")
-    left, right = (rest.select("sig", *[F.col(c).alias(f"{c}{k}") for c in ("id", "comp", "n")]) for k in (1, 2))
-    fit = (F.least("n1", "n2") >= F.greatest("n1", "n2") * ratio) & (F.col("comp1") < F.col("comp2"))
-    pairs = (left.join(right, "sig").where(fit)
+    rest = written(_mixed(rows, components(links)).join(sizes.select("id", "n", "sketch"), "id"), "bucket-rest")
+    left, right = (rest.select("sig", *[F.col(c).alias(f"{c}{k}") for c in ("id", "comp", "n", "sketch")]) for k in (1, 2))
+    apart = F.aggregate(F.zip_with("sketch1", "sketch2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    # sets with that similarity differ in so many features at most
+    bound = F.floor((F.col("n1") + F.col("n2")) * (100 - percent) / (100 + percent))
+    fit = (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent) & (F.col("comp1") < F.col("comp2"))
+    near = F.when(F.size("sketch1") == F.size("sketch2"), apart <= bound).otherwise(F.lit(True))
+    pairs = (left.join(right, "sig").where(fit & near)
              .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct())
     return written(links.unionByName(verify(written(pairs, "cross-pairs"))), "links")
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import maybe_in, only, partitions, split_by_filter, written
 from ledgerlens.llm.components import components, links_in_buckets, verifier
 from ledgerlens.llm.packed import PACKED, pack, shared_signatures
-from ledgerlens.llm.textarrays import _BASE, _INVERSE, _power, mix, runs
+from ledgerlens.llm.textarrays import _BASE, _INVERSE, _power, mix, runs, sketch
 
 MIN_CHARS = 40
 SHINGLE = 8
@@ -154,8 +154,9 @@ def _line_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             lines = Lines([p for _, p in want])
             h, n = lines.shingles(lines.a, lines.b)
             cut = np.cumsum(n)[:-1]
-            sets = [np.unique(s).view(np.int64) for s in np.split(h, cut)]
-            yield pd.DataFrame({"id": [i for i, _ in want], "n": [len(s) for s in sets], "set": sets})
+            sets = [np.unique(s) for s in np.split(h, cut)]
+            yield pd.DataFrame({"id": [i for i, _ in want], "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets],
+                                "set": [s.view(np.int64) for s in sets]})
 
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -173,8 +174,8 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                      .groupBy(F.col("first.doc").alias("id")).agg(F.collect_list(F.struct(
                          "lid", F.col("first.no").alias("no"))).alias("wanted")), "line-wanted")
     near = maybe_in(d, "id", wanted, "id").join(wanted, "id").dropDuplicates(["id"])
-    sets = written(near.select("text", "wanted").mapInPandas(_line_sets, "id long, n long, set array<long>"), "line-sets")
-    comps = written(components(links_in_buckets(rows, sets, verifier(sets, PERCENT), PERCENT / 100)), "line-components")
+    sets = written(near.select("text", "wanted").mapInPandas(_line_sets, "id long, n long, sketch array<long>, set array<long>"), "line-sets")
+    comps = written(components(links_in_buckets(rows, sets, verifier(sets, PERCENT), PERCENT)), "line-components")
     several = (first.join(comps.select(F.col("id").alias("lid"), "comp"), "lid", "left")
                .where((F.col("times") > 1) | F.col("comp").isNotNull())
                .select("lid", F.coalesce("comp", "lid").alias("comp"), "first"))

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import maybe_in, only, partitions, written
 from ledgerlens.llm.components import components, links_in_buckets, verifier
 from ledgerlens.llm.packed import pack, shared_signatures
-from ledgerlens.llm.textarrays import mix, runs, shingle_sets
+from ledgerlens.llm.textarrays import mix, runs, shingle_sets, sketch
 
 SHINGLE = 4
 PERCENT = 85
@@ -135,7 +135,7 @@ def _sets(size: int):
             for first, last in runs(texts):
                 sets = shingle_sets(texts[first:last], size)
                 yield pd.DataFrame({"id": pdf["id"].to_numpy()[first:last], "n": [len(s) for s in sets],
-                                    "set": [s.view(np.int64) for s in sets]})
+                                    "sketch": [sketch(s) for s in sets], "set": [s.view(np.int64) for s in sets]})
 
     return work
 
@@ -171,8 +171,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     rows = written(rows.join(many, "sig"), "buckets")
     wanted = written(rows.select("id").distinct(), "wanted")
     near = maybe_in(d, "id", wanted, "id").join(wanted, "id", "left_semi")
-    sets = written(near.mapInPandas(_sets(size), "id long, n long, set array<long>").dropDuplicates(["id"]), "sets")
-    links = links_in_buckets(rows, sets, verifier(sets, percent), percent / 100)
+    sets = written(near.mapInPandas(_sets(size), "id long, n long, sketch array<long>, set array<long>").dropDuplicates(["id"]), "sets")
+    links = links_in_buckets(rows, sets, verifier(sets, percent), percent)
     return info.select("id", "n"), links.unionByName(copies.select(F.col("rep").alias("a"), F.col("id").alias("b")))
 
 

@@ -112,3 +112,15 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+#: Most bits of a parity sketch.
+SKETCH_BITS = 4096
+
+
+def sketch(features: np.ndarray) -> np.ndarray:
+    """Parities of the features dealt to as many bits as the set's size, rounded up to a power of two, has (64 to
+    SKETCH_BITS), as 64-bit integers. Sketches of one length differ in no more bits than the sets in features."""
+    bits = min(max(64, 1 << len(features).bit_length()), SKETCH_BITS)
+    place = mix(features + np.uint64(0x60642E2A34326F15)) & np.uint64(bits - 1)
+    return np.packbits((np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(bool)).view(np.int64)
