@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import (bpe, fuzzy_lines, html_extract, outliers, partenum, pii, quality_model, secret_scan, tiling,
+from ledgerlens.llm import (bpe, fuzzy_lines, html_extract, oracle, outliers, partenum, pii, quality_model, secret_scan, tiling,
                             token_counts)
 from ledgerlens.llm.common import read
 
@@ -90,4 +90,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where SQL can express the operator; the others are held against plain Python in the tests."""
+    return {"op4_ngram_join": oracle.ngram_join(), "op8_line_dedup": oracle.line_dedup(), "op10_secret_scan": oracle.secret_scan()}
