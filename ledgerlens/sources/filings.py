@@ -12,15 +12,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import quote, urlsplit
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.sources.tables import table
 
 
+def relative_id(path: str) -> Column:
+    """Path of a scanned file below the folder ``path``: equal names in two sub-folders stay apart."""
+    root = quote(urlsplit(path).path.rstrip("/"), safe="/%:@!$&'()*+,;=~") + "/"
+    full, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    at = F.instr(full, root)
+    return F.when(at > 0, F.url_decode(F.replace(F.substring(full, at + len(root), F.lit(1 << 20)), F.lit("+"), F.lit("%2B")))).otherwise(name)
+
+
 def scan_filing_folder(spark: SparkSession, path: str, suffix: str = ".txt",
                        recursive: bool = False) -> DataFrame:
-    """Whole-file scan of a folder: ``(filing_id, path, html)``.
+    """Whole-file scan of a folder: ``(filing_id, path, html)``; the id is the path below the folder.
 
     Only names ending in ``suffix`` (case-sensitive); not recursive unless
     asked. The ``wholetext`` option must be given to ``.text()`` itself: the
@@ -30,7 +40,7 @@ def scan_filing_folder(spark: SparkSession, path: str, suffix: str = ".txt",
     df = (spark.read.option("pathGlobFilter", f"*{suffix}")
           .option("recursiveFileLookup", recursive)
           .text(path, wholetext=True)
-          .select(F.col("_metadata.file_name").alias("filing_id"),
+          .select(relative_id(path).alias("filing_id"),
                   F.col("_metadata.file_path").alias("path"),
                   F.col("value").alias("html")))
     return df.where(F.col("filing_id").endswith(suffix))

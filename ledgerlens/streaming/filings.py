@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.functions import text as tx
 from ledgerlens.operators import filings as fo
+from ledgerlens.sources.filings import relative_id
 
 
 def filing_stream(spark: SparkSession, path: str, suffix: str = ".txt",
@@ -24,7 +25,7 @@ def filing_stream(spark: SparkSession, path: str, suffix: str = ".txt",
     df = (spark.readStream.format("text").option("wholetext", True)
           .option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", recursive)
           .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
-    return df.select(F.col("_metadata.file_name").alias("filing_id"),
+    return df.select(relative_id(path).alias("filing_id"),
                      F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
 
 

@@ -18,9 +18,11 @@ def test_scan_folder_keeps_txt_only(spark):
     _write(d, "c.html", "not a filing")
     os.makedirs(os.path.join(d, "sub"))
     _write(os.path.join(d, "sub"), "d.txt", "nested, skipped unless recursive")
+    os.makedirs(os.path.join(d, "a b+c"))
+    _write(os.path.join(d, "a b+c"), "a.txt", "an equal name in another folder")
     got = {r.filing_id: r.html for r in src.scan_filing_folder(spark, d).collect()}
     assert set(got) == {"a.txt"} and got["a.txt"].startswith("<p>CIK 12</p>\n")
-    assert {r.filing_id for r in src.scan_filing_folder(spark, d, recursive=True).collect()} == {"a.txt", "d.txt"}
+    assert {r.filing_id for r in src.scan_filing_folder(spark, d, recursive=True).collect()} == {"a.txt", "sub/d.txt", "a b+c/a.txt"}
 
 
 def test_stream_equals_batch(spark):
