@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,16 +20,23 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table under ``spark.checkpoint.dir`` and read it back.
 
     This cuts the lineage: a lost executor costs only the tasks of the current
     step, and the reader knows the table's true size when it plans a join. The
     folder belongs to the application and goes with ``clear_scratch``.
+
+    Nothing needs the step's shuffle files any more, but Spark keeps them
+    until the driver's garbage is collected; ``release`` asks for that after a
+    step that shuffled much.
     """
     spark = df.sparkSession
     path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import written
+from ledgerlens.llm.common import maybe_in, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -67,12 +67,8 @@ def links_in_buckets(rows: DataFrame, sizes: DataFrame, verify: Callable[[DataFr
         rows = rest.select("sig", "id")
     rest = written(_mixed(rows, components(links)).join(sizes.select("id", "n", "sketch"), "id"), "bucket-rest")
     left, right = (rest.select("sig", *[F.col(c).alias(f"{c}{k}") for c in ("id", "comp", "n", "sketch")]) for k in (1, 2))
-    apart = F.aggregate(F.zip_with("sketch1", "sketch2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    # sets with that similarity differ in so many features at most
-    bound = F.floor((F.col("n1") + F.col("n2")) * (100 - percent) / (100 + percent))
-    fit = (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent) & (F.col("comp1") < F.col("comp2"))
-    near = F.when(F.size("sketch1") == F.size("sketch2"), apart <= bound).otherwise(F.lit(True))
-    pairs = (left.join(right, "sig").where(fit & near)
+    fit = (F.col("comp1") < F.col("comp2")) & _may_link(percent)
+    pairs = (left.join(right, "sig").where(fit)
              .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct())
     return written(links.unionByName(verify(written(pairs, "cross-pairs"))), "links")
 
@@ -85,14 +81,31 @@ def _mixed(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return written(known.join(mixed, "sig"), "bucket-rows")
 
 
+def _may_link(percent: int) -> Column:
+    """Whether sets of sizes n1, n2 with parity sketches sketch1, sketch2 can have that similarity."""
+    apart = F.aggregate(F.zip_with("sketch1", "sketch2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    # sets with that similarity differ in so many features at most
+    bound = F.floor((F.col("n1") + F.col("n2")) * (100 - percent) / (100 + percent))
+    near = F.when(F.size("sketch1") == F.size("sketch2"), apart <= bound).otherwise(F.lit(True))
+    return (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent) & near
+
+
 def verifier(sets: DataFrame, percent: int) -> Callable[[DataFrame], DataFrame]:
-    """Keeps the pairs whose sets satisfy 100 * intersection >= percent * union; ``sets`` is (id, set array<long>)."""
+    """Keeps the pairs whose sets satisfy 100 * intersection >= percent * union.
+
+    ``sets`` is (id, n, sketch, set array<long>). Sizes and sketches, narrow rows, decide most
+    pairs; only the sets of the pairs that are left are moved.
+    """
+    def side(k: int, key: str) -> DataFrame:
+        return sets.select(F.col("id").alias(key), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"sketch{k}"))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        one = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
-        two = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
-        both = pairs.join(one, "b").join(two, "a")
+        close = written(pairs.join(side(1, "b"), "b").join(side(2, "a"), "a").where(_may_link(percent)).select("a", "b"), "close-pairs")
+        one = maybe_in(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b", close, "b")
+        two = maybe_in(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a", close, "a")
+        both = close.join(one, "b").join(two, "a")
         common = F.size(F.array_intersect("x", "y")).cast("long")
         union = F.size("x") + F.size("y") - F.col("i")
-        return written(both.withColumn("i", common).where(F.col("i") * 100 >= union * percent).select("a", "b"), "verified")
+        return written(both.withColumn("i", common).where(F.col("i") * 100 >= union * percent).select("a", "b"), "verified", release=True)
 
     return verify

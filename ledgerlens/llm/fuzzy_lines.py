@@ -148,14 +148,16 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _line_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
+        ids, pieces = [], []
         for text, wanted in zip(pdf["text"], pdf["wanted"], strict=True):
-            pieces = text.split("\n")
-            want = [(w["lid"], pieces[w["no"]]) for w in wanted if w["no"] < len(pieces)]
-            lines = Lines([p for _, p in want])
+            lines = text.split("\n")
+            ids += [w["lid"] for w in wanted if w["no"] < len(lines)]
+            pieces += [lines[w["no"]] for w in wanted if w["no"] < len(lines)]
+        for first, last in runs(pieces):
+            lines = Lines(pieces[first:last])
             h, n = lines.shingles(lines.a, lines.b)
-            cut = np.cumsum(n)[:-1]
-            sets = [np.unique(s) for s in np.split(h, cut)]
-            yield pd.DataFrame({"id": [i for i, _ in want], "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets],
+            sets = [np.unique(s) for s in np.split(h, np.cumsum(n)[:-1])]
+            yield pd.DataFrame({"id": ids[first:last], "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets],
                                 "set": [s.view(np.int64) for s in sets]})
 
 
@@ -165,7 +167,7 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     d = (only(docs, id_col, text_col).toDF("id", "text").where(F.col("id").isNotNull() & F.col("text").isNotNull())
          .withColumn("id", F.col("id").cast("long")))
-    found = written(shared_signatures(d.mapInPandas(_sign(partitions(spark)), PACKED)), "line-bands")
+    found = written(shared_signatures(d.mapInPandas(_sign(partitions(spark)), PACKED)), "line-bands", release=True)
     lines = written(found.where(F.col("info").isNotNull()).select("info").mapInPandas(
         _unpack, "lid long, doc long, no long"), "lines")
     rows = written(found.where(F.col("info").isNull()).select("sig", "id"), "line-buckets")
@@ -174,7 +176,7 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                      .groupBy(F.col("first.doc").alias("id")).agg(F.collect_list(F.struct(
                          "lid", F.col("first.no").alias("no"))).alias("wanted")), "line-wanted")
     near = maybe_in(d, "id", wanted, "id").join(wanted, "id").dropDuplicates(["id"])
-    sets = written(near.select("text", "wanted").mapInPandas(_line_sets, "id long, n long, sketch array<long>, set array<long>"), "line-sets")
+    sets = written(near.select("text", "wanted").mapInPandas(_line_sets, "id long, n long, sketch array<long>, set array<long>"), "line-sets", release=True)
     comps = written(components(links_in_buckets(rows, sets, verifier(sets, PERCENT), PERCENT)), "line-components")
     several = (first.join(comps.select(F.col("id").alias("lid"), "comp"), "lid", "left")
                .where((F.col("times") > 1) | F.col("comp").isNotNull())

@@ -156,7 +156,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     spark = docs.sparkSession
     d = only(docs, id_col, text_col).toDF("id", "text").where(F.col("id").isNotNull()).withColumn("id", F.col("id").cast("long"))
     packed = d.mapInPandas(_sign(partitions(spark), size, percent), "p int, sigs binary, ids binary, info binary")
-    found = written(shared_signatures(packed), "signatures")
+    found = written(shared_signatures(packed), "signatures", release=True)
     info = written(found.where(F.col("info").isNotNull()).select("info").mapInPandas(
         _unpack, "id long, n long, d1 long, d2 long"), "info")
     # equal sets: one class each, linked to its least id
@@ -171,7 +171,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     rows = written(rows.join(many, "sig"), "buckets")
     wanted = written(rows.select("id").distinct(), "wanted")
     near = maybe_in(d, "id", wanted, "id").join(wanted, "id", "left_semi")
-    sets = written(near.mapInPandas(_sets(size), "id long, n long, sketch array<long>, set array<long>").dropDuplicates(["id"]), "sets")
+    sets = written(near.mapInPandas(_sets(size), "id long, n long, sketch array<long>, set array<long>").dropDuplicates(["id"]), "sets", release=True)
     links = links_in_buckets(rows, sets, verifier(sets, percent), percent)
     return info.select("id", "n"), links.unionByName(copies.select(F.col("rep").alias("a"), F.col("id").alias("b")))
 
