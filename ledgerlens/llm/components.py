@@ -28,10 +28,10 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = (both.join(label.select(F.col("id").alias("b"), F.col("comp").alias("l")), "b")
                 .groupBy(F.col("a").alias("id")).agg(F.min("l").alias("l")))
-        hooked = written(near.join(label, "id").select("id", F.least("l", "comp").alias("l"), "comp"), "cc-hooked")
-        jump = written(label.select(F.col("id").alias("l"), F.col("comp").alias("j")), "cc-jump")
+        hooked = near.join(label, "id").select("id", F.least("l", "comp").alias("l"), F.col("comp").alias("was"))
+        jump = label.select(F.col("id").alias("l"), F.col("comp").alias("j"))
         nxt = written(hooked.join(jump, "l", "left").select(
-            "id", F.least("l", F.coalesce("j", "l")).alias("comp"), F.col("comp").alias("was")), "cc-next")
+            "id", F.least("l", F.coalesce("j", "l")).alias("comp"), "was"), "cc-next")
         label = nxt.select("id", "comp")
         if not nxt.where(F.col("comp") != F.col("was")).limit(1).count():
             return label
