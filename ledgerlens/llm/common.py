@@ -37,7 +37,15 @@ def written(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     if release:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that no later step reads: what was made of them has to be written itself."""
+    for t in tables:
+        _delete(t.sparkSession, t.written_to)
 
 
 def _folder(spark: SparkSession) -> str:
@@ -46,8 +54,11 @@ def _folder(spark: SparkSession) -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application (after its results are written)."""
-    jvm, folder = spark.sparkContext._jvm, _folder(spark)
-    path = jvm.org.apache.hadoop.fs.Path(folder)
+    _delete(spark, _folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -70,7 +70,7 @@ def links_in_buckets(rows: DataFrame, sizes: DataFrame, verify: Callable[[DataFr
     fit = (F.col("comp1") < F.col("comp2")) & _may_link(percent)
     pairs = (left.join(right, "sig").where(fit)
              .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct())
-    return written(links.unionByName(verify(written(pairs, "cross-pairs"))), "links")
+    return written(links.unionByName(verify(written(pairs, "cross-pairs", release=True))), "links")
 
 
 def _mixed(rows: DataFrame, comps: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def _mixed(rows: DataFrame, comps: DataFrame) -> DataFrame:
     known = written(rows.join(comps, "id", "left").select("sig", "id", F.coalesce("comp", "id").alias("comp")), "bucket-comps")
     mixed = written(known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                     .where(F.col("lo") < F.col("hi")).select("sig"), "bucket-mixed")
-    return written(known.join(mixed, "sig"), "bucket-rows")
+    return written(known.join(mixed, "sig"), "bucket-rows", release=True)
 
 
 def _may_link(percent: int) -> Column:

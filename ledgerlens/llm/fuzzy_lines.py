@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import maybe_in, only, partitions, split_by_filter, written
+from ledgerlens.llm.common import discard, maybe_in, only, partitions, split_by_filter, written
 from ledgerlens.llm.components import components, links_in_buckets, verifier
 from ledgerlens.llm.packed import PACKED, pack, shared_signatures
 from ledgerlens.llm.textarrays import _BASE, _INVERSE, _power, mix, runs, sketch
@@ -171,13 +171,16 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = written(found.where(F.col("info").isNotNull()).select("info").mapInPandas(
         _unpack, "lid long, doc long, no long"), "lines")
     rows = written(found.where(F.col("info").isNull()).select("sig", "id"), "line-buckets")
+    discard(found)
     first = written(lines.groupBy("lid").agg(F.min(F.struct("doc", "no")).alias("first"), F.count(F.lit(1)).alias("times")), "line-nodes")
     wanted = written(rows.select(F.col("id").alias("lid")).distinct().join(first, "lid")
                      .groupBy(F.col("first.doc").alias("id")).agg(F.collect_list(F.struct(
                          "lid", F.col("first.no").alias("no"))).alias("wanted")), "line-wanted")
     near = maybe_in(d, "id", wanted, "id").join(wanted, "id").dropDuplicates(["id"])
     sets = written(near.select("text", "wanted").mapInPandas(_line_sets, "id long, n long, sketch array<long>, set array<long>"), "line-sets", release=True)
-    comps = written(components(links_in_buckets(rows, sets, verifier(sets, PERCENT), PERCENT)), "line-components")
+    links = links_in_buckets(rows, sets, verifier(sets, PERCENT), PERCENT)
+    discard(sets, rows)
+    comps = written(components(links), "line-components")
     several = (first.join(comps.select(F.col("id").alias("lid"), "comp"), "lid", "left")
                .where((F.col("times") > 1) | F.col("comp").isNotNull())
                .select("lid", F.coalesce("comp", "lid").alias("comp"), "first"))
@@ -192,7 +195,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     lines, nodes = line_table(docs, id_col, text_col)
     gone = (lines.join(nodes, "lid").where((F.col("doc") != F.col("kept_doc")) | (F.col("no") != F.col("kept_no")))
             .groupBy("doc").agg(F.collect_set(F.col("no").cast("int")).alias("__gone")))
-    gone = written(gone, "lines-gone").withColumnRenamed("doc", "__doc")
+    gone = written(gone, "lines-gone", release=True).withColumnRenamed("doc", "__doc")
     changed, same = split_by_filter(docs, id_col, gone, "__doc")
     changed = changed.join(gone, F.col(f"`{id_col}`") == F.col("__doc"), "left").drop("__doc")
     text = F.col(f"`{text_col}`")

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import maybe_in, only, partitions, written
+from ledgerlens.llm.common import discard, maybe_in, only, partitions, written
 from ledgerlens.llm.components import components, links_in_buckets, verifier
 from ledgerlens.llm.packed import pack, shared_signatures
 from ledgerlens.llm.textarrays import mix, runs, shingle_sets, sketch
@@ -168,11 +168,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     rows = written(rows, "class-buckets")
     many = written(rows.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
                    .where(F.col("lo") < F.col("hi")).select("sig"), "shared")
-    rows = written(rows.join(many, "sig"), "buckets")
+    rows = written(rows.join(many, "sig"), "buckets", release=True)
+    discard(found)
     wanted = written(rows.select("id").distinct(), "wanted")
     near = maybe_in(d, "id", wanted, "id").join(wanted, "id", "left_semi")
     sets = written(near.mapInPandas(_sets(size), "id long, n long, sketch array<long>, set array<long>").dropDuplicates(["id"]), "sets", release=True)
     links = links_in_buckets(rows, sets, verifier(sets, percent), percent)
+    discard(sets, rows)
     return info.select("id", "n"), links.unionByName(copies.select(F.col("rep").alias("a"), F.col("id").alias("b")))
 
 
