@@ -52,7 +52,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document with digests of the ids and of the text decoded from them."""
-    return bpe.encode(docs, public_tokenizers.path(registry.VOCABULARY)).drop("decoded")
+    return bpe.encode(docs, public_tokenizers.path(registry.VOCABULARY), with_decoded=False)
 
 
 STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup), ("n-gram Jaccard join", ngram_join),

@@ -35,6 +35,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
+from ledgerlens.llm.textarrays import runs
+
 #: White space as the vocabulary's pattern language defines \s.
 _WS = r"\t-\r \x85\xa0  -     　"
 #: Fixed value: the pre-split pattern of the vocabulary.
@@ -47,7 +49,7 @@ _PLAIN_SPLIT = re.compile(r"[^\W\d_]+|'s|'t|'re|'ve|'m|'ll|'d|\d|(?:[^\w" + _WS
 _CONTROLS = re.compile("[\x1c-\x1f]")
 
 #: Encoded words kept in a worker, in each of two generations.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 
 
 def byte_symbols() -> list[str]:
@@ -219,28 +221,28 @@ def compiled(path: str) -> Automaton:
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-           with_ids: bool = True) -> DataFrame:
-    """Per row: id, n_tokens, ids_sha256, decoded_sha256 and, ``with_ids``, the ids and the decoded text."""
+           with_ids: bool = True, with_decoded: bool = True) -> DataFrame:
+    """Per row: id, n_tokens, ids_sha256, decoded_sha256 and, where asked for, the ids and the decoded text."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(compiled(path))
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    if with_ids:
-        schema += ", ids array<int>, decoded string"
+    schema += ", ids array<int>" * with_ids + ", decoded string" * with_decoded
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = Encoder(shared.value)
+        names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids + ["decoded"] * with_decoded
         for pdf in batches:
-            rows = []
-            for text in pdf[text_col]:
-                ids = enc.encode(text)
-                decoded = enc.decode(ids)
-                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(),
-                       hashlib.sha256(decoded.encode("utf-8")).hexdigest())
-                rows.append(row + (np.frombuffer(ids, "<i4"), decoded) if with_ids else row)
-            names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * with_ids
-            out = pd.DataFrame(rows, columns=names)
-            out.insert(0, id_col, pdf[id_col].reset_index(drop=True))
-            yield out
+            texts = pdf[text_col].tolist()
+            for first, last in runs(texts):  # ids and decoded texts of a few megabytes at a time
+                rows = []
+                for text in texts[first:last]:
+                    ids = enc.encode(text)
+                    decoded = enc.decode(ids)
+                    row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+                    rows.append(row + (np.frombuffer(ids, "<i4"),) * with_ids + (decoded,) * with_decoded)
+                out = pd.DataFrame(rows, columns=names)
+                out.insert(0, id_col, pdf[id_col].iloc[first:last].reset_index(drop=True))
+                yield out
 
     return docs.select(f"`{id_col}`", f"`{text_col}`").mapInPandas(work, schema)

@@ -77,7 +77,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), with_ids=False)
+    return bpe.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), with_ids=False, with_decoded=False)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
