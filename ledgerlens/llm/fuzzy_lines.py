@@ -37,7 +37,7 @@ MIN_CHARS = 40
 SHINGLE = 8
 PERCENT = 80
 BANDS, ROWS = 16, 6
-#: (fewest shingles, bins): lines near a bound sign on both of its sides.
+#: (fewest distinct shingles, bins): lines near a bound sign on both of its sides.
 CLASSES = ((1, 16), (64, 32), (200, 96))
 
 _VALUES = mix(np.arange(1 << 16, dtype=np.uint64) + np.uint64(0xA0761D6478BD642F))
@@ -86,6 +86,22 @@ class Lines:
         return mix(raw), n
 
 
+def _distinct(h: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """How many distinct shingles each line has; lines too short for the second class keep their number of places."""
+    n = each.copy()
+    long = each * 100 >= CLASSES[1][0] * PERCENT
+    rows = int(long.sum())
+    if rows:
+        # a line's number before the upper bits of its hashes: equal sets have equal counts
+        bits = rows.bit_length()
+        row = np.repeat(np.arange(rows, dtype=np.uint64), each[long])
+        key = np.sort(row << np.uint64(64 - bits) | h[np.repeat(long, each)] >> np.uint64(bits))
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        n[long] = np.bincount((key[new] >> np.uint64(64 - bits)).astype(np.int64), minlength=rows)
+    return n
+
+
 def _band_hashes(h: np.ndarray, n: np.ndarray, bins: int) -> np.ndarray:
     """Band hashes (lines x BANDS) of lines whose shingle hashes lie one after another in ``h``."""
     lines = len(n)
@@ -124,15 +140,15 @@ def _sign(n_parts: int):
                 info = np.column_stack([lid, ids[first:last][lines.text], lines.number])
                 node, at = np.unique(lid, return_index=True)
                 a, b = lines.a[at], lines.b[at]
-                n = b - a - SHINGLE + 1
+                h, each = lines.shingles(a, b)
+                n = _distinct(h, each)
                 sigs, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for k, (least, bins) in enumerate(CLASSES):
                     most = CLASSES[k + 1][0] if k + 1 < len(CLASSES) else 1 << 60
                     # so far over the bounds as a similar line can be
-                    mine = np.flatnonzero((n * 100 >= least * PERCENT) & (n * PERCENT < most * 100))
-                    if len(mine):
-                        h, each = lines.shingles(a[mine], b[mine])
-                        sigs.append(_band_hashes(h, each, bins).ravel())
+                    mine = (n * 100 >= least * PERCENT) & (n * PERCENT < most * 100)
+                    if mine.any():
+                        sigs.append(_band_hashes(h[np.repeat(mine, each)], each[mine], bins).ravel())
                         owner.append(np.repeat(node[mine], BANDS))
                 turn += 1
                 yield pack(np.concatenate(sigs), np.concatenate(owner), info, n_parts, turn)

@@ -110,3 +110,12 @@ def test_line_dedup_edges(spark, no_docs):
     got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in fuzzy_lines.dedup(df).collect()}
     assert got == {1: (f"{line}\nshort\nshort", 4, 1), 2: ("", 1, 1), 3: ("", 1, 0), 4: (None, 0, 0), None: (line, 1, 0)}
     assert fuzzy_lines.dedup(no_docs).collect() == []
+
+
+def test_lines_with_equal_sets_of_other_lengths_are_found(spark):
+    rows = [(1, "-" * 45), (2, "-" * 100), (3, "-" * 300), (4, "kalomi " * 8), (5, "kalomi " * 20), (6, "kalomi " * 60)]
+    texts = dict(rows)
+    gone = brute.dropped_lines(texts)
+    assert gone == {2: {0}, 3: {0}, 5: {0}, 6: {0}}
+    got = {r.doc_id: r.text for r in fuzzy_lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.without_lines(texts, gone)
