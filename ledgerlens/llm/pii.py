@@ -11,7 +11,10 @@ different entities of a format differ, with nothing to look up.
 
 Collisions are checked over the corpus: the distinct entities (combined on the map side) are
 written with their surrogates, and a surrogate that equals a real entity or another one's surrogate sends
-its entity to the next attempt of the permutation until none is left. Only documents that hold such an entity get
+its entity to the next attempt of the permutation until none is left. An entity without a character to
+permute, and one that finds no free image in ``ATTEMPTS`` rounds, gets a longer format: keyed characters are
+appended, more with each attempt, under the same check. As these get longer each time, an entity meets a taken
+one only finitely often and the rounds end. Only documents that hold such an entity get
 its attempt by a join; every other text is rewritten where it is read.
 
 Defined results: null texts stay null, empty ones empty. Rows are answered one for one, repeated rows
@@ -25,6 +28,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +67,7 @@ Span = tuple[int, int, str, str]
 
 def _luhn(digits: str) -> int:
     """Sum of the check-digit rule modulo 10: 0 if valid."""
+#: Rounds within the entity's own format.
     total = 0
     for i, c in enumerate(reversed(digits)):
         d = int(c) * (1 + i % 2)
@@ -120,7 +125,10 @@ def _permuted(values: list[int], bases: list[int], key: bytes, tweak: str) -> li
 
 
 def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
-    """The canonical form of the replacement; for each kind, format and attempt a bijection."""
+    """The canonical form of the replacement; for each kind, format and attempt below ATTEMPTS a bijection, where
+    the format has a character to permute."""
+    if attempt >= ATTEMPTS and kind != "given":
+        return _longer(kind, surrogate(kind, canon, key), canon, key, attempt - ATTEMPTS)
     tweak = f"{kind}|{attempt}"
     if kind == "ip":
         octets = [int(x) for x in canon.split(".")]
@@ -156,7 +164,7 @@ def _formatted(original: str, kind: str, canon: str) -> str:
     """The surrogate written as the original was."""
     if kind in ("phone", "ssn", "card"):
         digits = iter(canon)
-        return "".join(next(digits) if "0" <= c <= "9" else c for c in original)
+        return "".join(next(digits) if "0" <= c <= "9" else c for c in original) + "".join(digits)
     if original.isupper():
         return canon.upper()
     if len(canon) == len(original):
@@ -164,6 +172,28 @@ def _formatted(original: str, kind: str, canon: str) -> str:
     return canon.capitalize() if original[:1].isupper() else canon
 
 
+def _longer(kind: str, image: str, canon: str, key: bytes, turn: int) -> str:
+    """``image`` with keyed characters appended, more of them with each turn."""
+    n = 6 + turn
+    seed = b"".join(hashlib.blake2b(f"{kind}|{canon}|{turn}|{i}".encode(), key=key).digest() for i in range(n // 64 + 1))[:n]
+    if kind == "ip":
+        return ".".join([image, *map(str, seed)])
+    if kind == "card":
+        body = image + "".join(str(x % 10) for x in seed)
+        return body + str((10 - _luhn(body + "0")) % 10)
+    if kind in ("phone", "ssn"):
+        return image + "".join(str(x % 10) for x in seed)
+    script = next((a for a in (3, 5) for c in canon if c in CLASSES[a] + CLASSES[a + 1]), 1) if kind == "surname" else 1
+    letters = "".join((a := CLASSES[script + (i + 1) % 2])[x % len(a)] for i, x in enumerate(seed))
+    if kind != "email":
+        return image + letters
+    local, _, domain = image.rpartition("@")
+    dot = domain.rindex(".")
+    # a part without a character to permute would be the real one
+    fixed = not any(c in _PLACE for c in domain[:dot])
+    return f"{local}{letters}@{domain[:dot]}{letters if fixed else ''}{domain[dot:]}"
+
+
 def _rewriter(key: bytes):
     known: dict[tuple[str, str, int], str] = {}
 
@@ -185,6 +215,8 @@ def _rewriter(key: bytes):
 
 
 def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    if not at:
+        return _longer(kind, canon, canon, key, attempt)
     """(row, kind, canon): the entities of each text, by the text's 64-bit hash."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -205,20 +237,19 @@ def mapping(found: DataFrame, key: bytes) -> DataFrame:
         return pd.Series([surrogate(k, c, key, int(a)) for k, c, a in zip(kind, canon, attempt, strict=True)], dtype=object)
 
     # given names map within a closed list, so their images are real names and only have to differ from each other
-    taken, todo, done = real.where(F.col("kind") != "given"), real, None
-    for attempt in range(ATTEMPTS):
+    taken, todo, done = real.where(F.col("kind") != "given").select("kind", F.col("canon").alias("sur")), real, None
+    for attempt in itertools.count():
         new = written(todo.withColumn("attempt", F.lit(attempt)).withColumn("sur", made("kind", "canon", "attempt")), "pii-tried")
-        busy = taken.select("kind", F.col("canon").alias("sur"))
-        if done is not None:
-            busy = busy.unionByName(done.select("kind", "sur")).distinct()
+        busy = taken if done is None else taken.unionByName(done.select("kind", "sur"))
+        # of those taken, the ones that this round met
+        met = busy.join(new.select("kind", "sur").distinct(), ["kind", "sur"], "left_semi").distinct()
         firsts = new.groupBy("kind", "sur").agg(F.min("canon").alias("first"))
-        good = (new.join(firsts, ["kind", "sur"]).where(F.col("canon") == F.col("first")).drop("first")
-                .join(busy, ["kind", "sur"], "left_anti").select("kind", "canon", "attempt", "sur"))
-        done = written(good if done is None else done.unionByName(good), "pii-mapping")
-        todo = written(real.join(done.select("kind", "canon"), ["kind", "canon"], "left_anti"), "pii-open")
+        good = written(new.join(firsts, ["kind", "sur"]).where(F.col("canon") == F.col("first")).drop("first")
+                       .join(met, ["kind", "sur"], "left_anti").select("kind", "canon", "attempt", "sur"), "pii-mapping")
+        done = good if done is None else done.unionByName(good)
+        todo = written(new.select("kind", "canon").join(good.select("kind", "canon"), ["kind", "canon"], "left_anti"), "pii-open")
         if not todo.limit(1).count():
             return done
-    raise RuntimeError(f"entities without a free surrogate after {ATTEMPTS} attempts")
 
 
 def replace(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:

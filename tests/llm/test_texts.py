@@ -219,6 +219,31 @@ def test_permutations_are_bijections_and_collisions_move_on(spark):
     assert len(got) == 40 == len({r.sur for r in got}) and not real & {r.sur for r in got} and max(r.attempt for r in got) > 0
 
 
+def test_entities_without_a_free_image_get_a_longer_format(spark):
+    small = [a + b for a in "bcdfghjklmnpqrstvwxyz" for b in "aeiou"][:70]  # of the format's 105
+    rows = [(1, "email", e) for e in ("-@-.com", "%@-.org", "--@-.com", "-@a.com")] + [(2, "surname", s) for s in small]
+    got = pii.mapping(spark.createDataFrame(rows, "row long, kind string, canon string"), b"k").collect()
+    real = {(k, c) for _, k, c in rows}
+    assert {(r.kind, r.canon) for r in got} == real and len(got) == len(rows) == len({(r.kind, r.sur) for r in got})
+    assert not real & {(r.kind, r.sur) for r in got} and max(r.attempt for r in got) >= pii.ATTEMPTS
+    assert all(r.sur == pii.surrogate(r.kind, r.canon, b"k", r.attempt) for r in got)
+    for r in got:
+        if r.kind == "email":
+            assert [(x[2], x[3]) for x in pii.detect(r.sur)] == [("email", r.sur)]
+    df = spark.createDataFrame([(1, "to -@-.com, or %@-.org")], "doc_id long, text string")
+    out = pii.replace(df, b"k").collect()[0]
+    assert out.n_email == 2 and "-@-.com" not in out.text and "%@-.org" not in out.text
+
+
+def test_longer_formats_keep_their_kind():
+    for kind, canon in (("ssn", "123456789"), ("phone", "17295557725"), ("card", "4111111111111111"), ("ip", "10.1.2.3"), ("surname", "петров")):
+        turns = [pii.surrogate(kind, canon, b"k", pii.ATTEMPTS + t) for t in range(4)]
+        sizes = [x.count(".") if kind == "ip" else len(x) for x in turns]
+        assert sizes == list(range(sizes[0], sizes[0] + 4)) and len(turns[0]) > len(canon)
+    assert pii._luhn(pii.surrogate("card", "4111111111111111", b"k", pii.ATTEMPTS)) == 0
+    assert pii._formatted("123-45-6789", "ssn", "987654321000") == "987-65-4321000"
+
+
 def test_pii_of_the_documents(spark):
     before = {r.doc_id: r.text for r in read(spark, SF, "documents").collect()}
     pairs = {}
