@@ -6,8 +6,12 @@ name of the lexicon before a capitalised surname, or a surname after a title). A
 image of the entity's canonical form under a keyed permutation of its format: digits stay
 digits, vowels vowels, consonants consonants, in the same script and letter case; check digits
 are made valid where they were; a given name becomes another of its gender and script. So equal entities get equal
-surrogates in the whole corpus, parts of a name keep referring to each other, and
-different entities of a format differ, with nothing to look up.
+surrogates in the whole corpus, and different entities of a format differ, with nothing to look up.
+
+Names are read from whole runs of capitalised words ('Mr. John Michael Smith': the lexicon's names but the
+last word are given names, the others surnames; titles and initials stay). Each word so found is then
+replaced wherever the same text has it as a capitalised word of its own, so later mentions of parts of a name
+keep referring to it.
 
 Collisions are checked over the corpus: the distinct entities (combined on the map side) are
 written with their surrogates, and a surrogate that equals a real entity or another one's surrogate sends
@@ -24,11 +28,11 @@ alike. An empty table gives an empty result. Columns other than the text are pas
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,9 +61,13 @@ _IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0
 _PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\w)", re.ASCII)
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.ASCII)
 _CARD = re.compile(r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\w-])", re.ASCII)
-_NAME = re.compile(r"(?<!\w)([A-ZÀ-ÖØ-ÞΑ-ΩА-Я]\w+)(\.?)[ ]([A-ZÀ-ÖØ-ÞΑ-ΩА-Я][\w]+)")
+_CAPITAL = "[A-ZÀ-ÖØ-ÞΑ-ΩА-Я]"
+_NAMES = re.compile(rf"(?<!\w){_CAPITAL}\w*(?:(?:\.?[ ]|-){_CAPITAL}\w*)+")
+_TOKEN = re.compile(r"(\w+)(\.?)")
+_WORD = re.compile(rf"(?<!\w){_CAPITAL}\w+")
 
 KINDS = ("email", "ip", "phone", "ssn", "card", "given", "surname")
+#: Rounds within the entity's own format.
 ATTEMPTS = 32
 
 Span = tuple[int, int, str, str]
@@ -67,7 +75,6 @@ Span = tuple[int, int, str, str]
 
 def _luhn(digits: str) -> int:
     """Sum of the check-digit rule modulo 10: 0 if valid."""
-#: Rounds within the entity's own format.
     total = 0
     for i, c in enumerate(reversed(digits)):
         d = int(c) * (1 + i % 2)
@@ -94,18 +101,56 @@ def detect(text: str | None) -> list[Span]:
             d = _digits(m[0])
             if _luhn(d) == 0:
                 found.append((m.start(), m.end(), "card", d))
-    for m in _NAME.finditer(text):
-        if m[1] in TITLES:
-            found.append((m.start(3), m.end(3), "surname", m[3].lower()))
-        elif not m[2] and m[1].lower() in _GIVEN:
-            found.append((m.start(1), m.end(1), "given", m[1].lower()))
-            found.append((m.start(3), m.end(3), "surname", m[3].lower()))
+    found += _names(text)
     found.sort(key=lambda x: (x[0], -x[1]))
     out: list[Span] = []
     for x in found:
         if not out or x[0] >= out[-1][1]:
             out.append(x)
-    return out
+    return _with_mentions(text, out)
+
+
+def _names(text: str) -> list[Span]:
+    """Given names and surnames in the runs of capitalised words that hold a title or a given name before a word."""
+    found: list[Span] = []
+    for run in _NAMES.finditer(text):
+        named, titled, words = False, False, list(_TOKEN.finditer(run[0]))
+        for k, m in enumerate(words):
+            word, dot = m[1], m[2]
+            if word in TITLES:
+                titled = True
+                continue
+            if len(word) == 1:
+                continue  # an initial
+            # the run goes on to a further word of the name
+            more = not dot and any(len(x[1]) > 1 and x[1] not in TITLES for x in words[k + 1 : k + 2 + (
+                k + 1 < len(words) and len(words[k + 1][1]) == 1)])
+            given = more and word.lower() in _GIVEN
+            if given or named or titled:
+                at = run.start() + m.start(1)
+                found.append((at, at + len(word), "given" if given else "surname", word.lower()))
+                named = True
+            if dot:  # the end of a sentence
+                named = titled = False
+    return found
+
+
+def _with_mentions(text: str, spans: list[Span]) -> list[Span]:
+    """``spans`` and the other mentions of the names among them, in order."""
+    known = {x[3]: x[2] for x in spans if x[2] == "surname"} | {x[3]: x[2] for x in spans if x[2] == "given"}
+    if not known:
+        return spans
+    out, k = [], 0
+    for m in _WORD.finditer(text):
+        kind = known.get(m[0].lower())
+        if kind is None:
+            continue
+        while k < len(spans) and spans[k][1] <= m.start():
+            out.append(spans[k])
+            k += 1
+        if k == len(spans) or spans[k][0] >= m.end():
+            out.append((m.start(), m.end(), kind, m[0].lower()))
+    return out + spans[k:]
 
 
 def _permuted(values: list[int], bases: list[int], key: bytes, tweak: str) -> list[int]:
@@ -124,6 +169,28 @@ def _permuted(values: list[int], bases: list[int], key: bytes, tweak: str) -> li
     return left + right
 
 
+def _longer(kind: str, image: str, canon: str, key: bytes, turn: int) -> str:
+    """``image`` with keyed characters appended, more of them with each turn."""
+    n = 6 + turn
+    seed = b"".join(hashlib.blake2b(f"{kind}|{canon}|{turn}|{i}".encode(), key=key).digest() for i in range(n // 64 + 1))[:n]
+    if kind == "ip":
+        return ".".join([image, *map(str, seed)])
+    if kind == "card":
+        body = image + "".join(str(x % 10) for x in seed)
+        return body + str((10 - _luhn(body + "0")) % 10)
+    if kind in ("phone", "ssn"):
+        return image + "".join(str(x % 10) for x in seed)
+    script = next((a for a in (3, 5) for c in canon if c in CLASSES[a] + CLASSES[a + 1]), 1) if kind == "surname" else 1
+    letters = "".join((a := CLASSES[script + (i + 1) % 2])[x % len(a)] for i, x in enumerate(seed))
+    if kind != "email":
+        return image + letters
+    local, _, domain = image.rpartition("@")
+    dot = domain.rindex(".")
+    # a part without a character to permute would be the real one
+    fixed = not any(c in _PLACE for c in domain[:dot])
+    return f"{local}{letters}@{domain[:dot]}{letters if fixed else ''}{domain[dot:]}"
+
+
 def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     """The canonical form of the replacement; for each kind, format and attempt below ATTEMPTS a bijection, where
     the format has a character to permute."""
@@ -148,6 +215,8 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     if valid:
         body = canon[:-1]
     at = [i for i, c in enumerate(body) if c in _PLACE]
+    if not at:
+        return _longer(kind, canon, canon, key, attempt)
     bases = [len(CLASSES[_PLACE[body[i]][0]]) for i in at]
     shape = "".join(str(_PLACE[c][0]) if c in _PLACE else c for c in body)
     new = _permuted([_PLACE[body[i]][1] for i in at], bases, key, f"{tweak}|{shape}|{head}|{tail}")
@@ -172,28 +241,6 @@ def _formatted(original: str, kind: str, canon: str) -> str:
     return canon.capitalize() if original[:1].isupper() else canon
 
 
-def _longer(kind: str, image: str, canon: str, key: bytes, turn: int) -> str:
-    """``image`` with keyed characters appended, more of them with each turn."""
-    n = 6 + turn
-    seed = b"".join(hashlib.blake2b(f"{kind}|{canon}|{turn}|{i}".encode(), key=key).digest() for i in range(n // 64 + 1))[:n]
-    if kind == "ip":
-        return ".".join([image, *map(str, seed)])
-    if kind == "card":
-        body = image + "".join(str(x % 10) for x in seed)
-        return body + str((10 - _luhn(body + "0")) % 10)
-    if kind in ("phone", "ssn"):
-        return image + "".join(str(x % 10) for x in seed)
-    script = next((a for a in (3, 5) for c in canon if c in CLASSES[a] + CLASSES[a + 1]), 1) if kind == "surname" else 1
-    letters = "".join((a := CLASSES[script + (i + 1) % 2])[x % len(a)] for i, x in enumerate(seed))
-    if kind != "email":
-        return image + letters
-    local, _, domain = image.rpartition("@")
-    dot = domain.rindex(".")
-    # a part without a character to permute would be the real one
-    fixed = not any(c in _PLACE for c in domain[:dot])
-    return f"{local}{letters}@{domain[:dot]}{letters if fixed else ''}{domain[dot:]}"
-
-
 def _rewriter(key: bytes):
     known: dict[tuple[str, str, int], str] = {}
 
@@ -215,8 +262,6 @@ def _rewriter(key: bytes):
 
 
 def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    if not at:
-        return _longer(kind, canon, canon, key, attempt)
     """(row, kind, canon): the entities of each text, by the text's 64-bit hash."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

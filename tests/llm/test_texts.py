@@ -235,6 +235,25 @@ def test_entities_without_a_free_image_get_a_longer_format(spark):
     assert out.n_email == 2 and "-@-.com" not in out.text and "%@-.org" not in out.text
 
 
+@pytest.mark.parametrize("text, names", [
+    ("John Smith came. Smith said, and John agreed; SMITH's", "John Smith Smith John SMITH"),
+    ("When John Michael Smith left, Michael smiled.", "John Michael Smith Michael"),
+    ("Mr. John Smith met Dr. Anna M. Schmidt-Weber. The end of Weber and of Smithson", "John Smith Anna Schmidt Weber Weber"),
+    ("Prof. Dr. Jones, jones@mail.com and Jones@mail.com", "Jones"),
+    ("Smith wrote to John. Anna", ""),
+])
+def test_all_mentions_of_a_name(text, names):
+    spans = pii.detect(text)
+    assert [text[s:e] for s, e, k, _ in spans if k in ("given", "surname")] == names.split()
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    new = pii._rewriter(b"k")(text, spans, {})
+    assert [x[2] for x in pii.detect(new)] == [x[2] for x in spans]
+    for name in names.split():
+        assert name not in new.replace("Smithson", "")
+    pairs = {(x[2:], y[3]) for x, y in zip(spans, pii.detect(new), strict=True)}
+    assert len(pairs) == len({x[2:] for x in spans})
+
+
 def test_longer_formats_keep_their_kind():
     for kind, canon in (("ssn", "123456789"), ("phone", "17295557725"), ("card", "4111111111111111"), ("ip", "10.1.2.3"), ("surname", "петров")):
         turns = [pii.surrogate(kind, canon, b"k", pii.ATTEMPTS + t) for t in range(4)]
