@@ -3,9 +3,10 @@
 The standard library's parser is fed the whole page; its events build lines, one
 for each stretch of text between block tags, with the number of tags in it and
 the containers that it stands in. Lines inside containers that are never
-article text (menus, page headers and footers, asides, forms, scripts, and
-elements whose class, id or role says advert, notice, comments and the like) are
-set aside. On the others the ratio of text to tags is smoothed with a Gaussian,
+article text (menus, page headers and footers, asides, forms, scripts) are
+set aside, and so are those in elements whose class, id or role says advert, notice,
+comments and the like, articles too, unless the element holds most of the page's content (``post with-comments``) and no
+other article does. On the others the ratio of text to tags is smoothed with a Gaussian,
 and lines above the threshold (a share of the smoothed ratios' deviation)
 cluster into content. The content region is the deepest container that holds
 nearly all content; an ``article`` or ``main`` is taken whole, so that its short
@@ -51,11 +52,12 @@ REGION = 0.8
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: (text, tags, container number); containers: (parent, tag, whether set aside)."""
+    """Lines of a page: (text, tags, container number); containers: (parent, tag, whether set aside by tags, whether
+    its words, or for the articles in it its tag, say that it is no article text)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.containers: list[tuple[int, str, bool]] = [(-1, "", False)]
+        self.containers: list[tuple[int, str, bool, bool]] = [(-1, "", False, False)]
         self.open: list[int] = [0]
         self.lines: list[tuple[str, int, int]] = []
         self.text: list[str] = []
@@ -77,14 +79,15 @@ class _Lines(HTMLParser):
         up = self.open[-1]
         aside = self.containers[up][2]
         if tag in ("article", "main"):
-            # a form or the like around the whole page does not hide the article
-            aside = aside and self.containers[up][1] in ASIDE - {"form"}
+            # a form or the like around the whole page does not hide the article; hints, and tags by way of hints, may
+            aside = False
         elif not aside:
             aside = tag in ASIDE or (tag == "header" and not self._inside("article"))
-            if not aside and tag not in ("body", "td", "tr", "tbody"):
-                said = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-                aside = bool(said) and not HINTS.isdisjoint(_PARTS.findall(said.lower()))
-        self.containers.append((up, tag, aside))
+        hinted = tag in ASIDE - {"form"}
+        if not hinted and tag not in ("body", "td", "tr", "tbody"):
+            said = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
+            hinted = bool(said) and not HINTS.isdisjoint(_PARTS.findall(said.lower()))
+        self.containers.append((up, tag, aside, hinted))
         self.open.append(len(self.containers) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -125,6 +128,40 @@ def _smoothed(ratio: np.ndarray) -> np.ndarray:
     return np.convolve(padded, kernel, mode="valid")
 
 
+def _content(lines: list[tuple[str, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the lines, and which are content by their smoothed ratios."""
+    size = np.array([len(t) for t, _, _ in lines], float)
+    smooth = _smoothed(size / np.maximum([n for _, n, _ in lines], 1))
+    return size, smooth >= THRESHOLD * smooth.std()
+
+
+def _without_hinted(page: _Lines, lines: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The lines outside of containers whose hints count."""
+    if not lines or not any(c[3] for c in page.containers):
+        return lines
+    within: dict[int, list[int]] = {}
+    in_article: dict[int, bool] = {}
+    for c in {x[2] for x in lines}:
+        within[c], in_article[c], at = [], False, c
+        while at >= 0:
+            up, tag, _, hinted = page.containers[at]
+            if hinted:
+                within[c].append(at)
+            in_article[c] |= tag in ("article", "main")
+            at = up
+    weight: dict[int, float] = {}
+    total = free = 0.0
+    for (_, _, c), w, is_content in zip(lines, *_content(lines), strict=True):
+        if is_content:
+            total += w
+            free += w if in_article[c] and not within[c] else 0.0
+            for at in within[c]:
+                weight[at] = weight.get(at, 0.0) + w
+    # where another article holds content every hint counts, elsewhere none on most of the content
+    most = total if free > 0 and free >= (1 - REGION) * total else total / 2
+    return [x for x in lines if all(weight.get(at, 0.0) > most for at in within[x[2]])]
+
+
 def main_text(html: str | None) -> str:
     """Main text of one page."""
     if not html:
@@ -132,12 +169,10 @@ def main_text(html: str | None) -> str:
     page = _Lines()
     page.feed(html)
     page.close()
-    lines = [x for x in page.lines if not page.containers[x[2]][2]]
+    lines = _without_hinted(page, [x for x in page.lines if not page.containers[x[2]][2]])
     if not lines:
         return ""
-    size = np.array([len(t) for t, _, _ in lines], float)
-    smooth = _smoothed(size / np.maximum([n for _, n, _ in lines], 1))
-    content = smooth >= THRESHOLD * smooth.std()
+    size, content = _content(lines)
     weight: dict[int, float] = {}
     above: list[list[int]] = []
     for (_, _, c), w, is_content in zip(lines, size, content, strict=True):

@@ -42,6 +42,27 @@ def test_main_text(html):
     assert html_extract.main_text(html) == PAGES[html]
 
 
+LONG = "<p>" + "</p><p>".join(f"Paragraph {k} of an article that goes on for a while, with words enough to read." for k in range(6)) + "</p>"
+LONG_TEXT = " ".join(f"Paragraph {k} of an article that goes on for a while, with words enough to read." for k in range(6))
+REMARKS = "".join(f"<li><article class=comment><p>Remark {k}, which is as long as any paragraph of the article above.</p></article></li>" for k in range(5))
+HINTED = [
+    f'<body><div class="content has-sidebar">{LONG}</div>',
+    f'<body><div class="content has-sidebar"><div class=sidebar><p>links here and there</p></div>{LONG}</div>',
+    *[f'<body><nav>Home</nav><div class="{c}">{LONG}</div><div class=ad>Buy!</div>' for c in ("post with-comments", "page-banner", "search-results", "share-layout")],
+    f'<article class="post with-comments">{LONG}<section class=comments><p>First!</p></section></article>',
+    f"<article>{LONG}</article><div id=comments><ol>{REMARKS}</ol></div>",
+    f"<div class=post>{LONG}</div><div id=comments><ol>{REMARKS}</ol></div>",
+    f"<article>{LONG}</article>{REMARKS}",
+    f"<article>{LONG}{REMARKS}</article>",
+    f"<main>{LONG}</main><aside><div><article><p>A teaser of another article, quite long, to be read elsewhere.</p></article></div></aside>",
+]
+
+
+@pytest.mark.parametrize("html", HINTED)
+def test_hints_count_by_what_they_hold(html):
+    assert html_extract.main_text(html) == LONG_TEXT
+
+
 def test_long_page_and_rows(spark):
     body = "<p>" + "word " * 50_000 + "</p>"
     rows = [(1, "u", f"<nav>x</nav><article>{body}</article>", 5), (1, "u", None, 6), (2, None, "", 7)]
