@@ -51,29 +51,36 @@ THRESHOLD = 0.5
 REGION = 0.8
 
 
+Line = tuple[str, int, int, int, int]
+
+
 class _Lines(HTMLParser):
-    """Lines of a page: (text, tags, container number); containers: (parent, tag, whether set aside by tags, whether
+    """Lines of a page: (text, tags, container number, characters in links, links); containers: (parent, tag, whether set aside by tags, whether
     its words, or for the articles in it its tag, say that it is no article text)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.containers: list[tuple[int, str, bool, bool]] = [(-1, "", False, False)]
         self.open: list[int] = [0]
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[Line] = []
         self.text: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = self.links = 0
+        self.in_link = False
 
     def _end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self.open[-1]))
-            self.tags = 0
-        self.text = []
+            self.lines.append((text, self.tags, self.open[-1], self.linked, self.links))
+            self.tags = self.links = 0
+        self.text, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
             self._end_line()
         self.tags += 1
+        if tag == "a":
+            self.in_link = any(k == "href" for k, _ in attrs)
+            self.links += self.in_link
         if tag not in CONTAINERS:
             return
         up = self.open[-1]
@@ -99,6 +106,8 @@ class _Lines(HTMLParser):
         if tag in BLOCKS:
             self._end_line()
         self.tags += 1
+        if tag == "a":
+            self.in_link = False
         if tag in CONTAINERS:
             for at in range(len(self.open) - 1, 0, -1):
                 name = self.containers[self.open[at]][1]
@@ -114,6 +123,8 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.cdata_elem is None:
             self.text.append(data)
+            if self.in_link:
+                self.linked += len(data.strip())
 
     def close(self) -> None:
         super().close()
@@ -128,14 +139,32 @@ def _smoothed(ratio: np.ndarray) -> np.ndarray:
     return np.convolve(padded, kernel, mode="valid")
 
 
-def _content(lines: list[tuple[str, int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sizes of the lines, and which are content by their smoothed ratios."""
-    size = np.array([len(t) for t, _, _ in lines], float)
-    smooth = _smoothed(size / np.maximum([n for _, n, _ in lines], 1))
-    return size, smooth >= THRESHOLD * smooth.std()
-
-
-def _without_hinted(page: _Lines, lines: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+def _content(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the lines, which are content by their smoothed ratios, and which have half the mean ratio or more."""
+    size = np.array([len(x[0]) for x in lines], float)
+    ratio = size / np.maximum([x[1] for x in lines], 1)
+    smooth = _smoothed(ratio)
+    return size, smooth >= THRESHOLD * smooth.std(), ratio >= smooth.mean() / 2
+
+
+def _joined(lines: list[Line], high: np.ndarray, chosen: list[bool]) -> str:
+    """Text of the chosen lines without link lists."""
+    out: list[str] = []
+    links: list[Line] = []
+    for x, is_high, taken in [*zip(lines, high, chosen, strict=True), (("", 0, 0, 0, 0), True, True)]:
+        if not taken:
+            continue
+        if not is_high and 2 * x[3] > len(x[0]):
+            links.append(x)
+            continue
+        if sum(y[4] for y in links) < 2:
+            out += [y[0] for y in links]
+        links = []
+        out.append(x[0])
+    return " ".join(out[:-1])
+
+
+def _without_hinted(page: _Lines, lines: list[Line]) -> list[Line]:
     """The lines outside of containers whose hints count."""
     if not lines or not any(c[3] for c in page.containers):
         return lines
@@ -151,7 +180,7 @@ def _without_hinted(page: _Lines, lines: list[tuple[str, int, int]]) -> list[tup
             at = up
     weight: dict[int, float] = {}
     total = free = 0.0
-    for (_, _, c), w, is_content in zip(lines, *_content(lines), strict=True):
+    for (_, _, c, *_), w, is_content, _ in zip(lines, *_content(lines), strict=True):
         if is_content:
             total += w
             free += w if in_article[c] and not within[c] else 0.0
@@ -172,10 +201,10 @@ def main_text(html: str | None) -> str:
     lines = _without_hinted(page, [x for x in page.lines if not page.containers[x[2]][2]])
     if not lines:
         return ""
-    size, content = _content(lines)
+    size, content, high = _content(lines)
     weight: dict[int, float] = {}
     above: list[list[int]] = []
-    for (_, _, c), w, is_content in zip(lines, size, content, strict=True):
+    for (_, _, c, *_), w, is_content in zip(lines, size, content, strict=True):
         chain = []
         while c >= 0:
             chain.append(c)
@@ -193,16 +222,16 @@ def main_text(html: str | None) -> str:
             break
         region = best
     if page.containers[region][1] in ("article", "main"):
-        return " ".join(t for (t, _, _), chain in zip(lines, above, strict=True) if region in chain)
+        return _joined(lines, high, [region in chain for chain in above])
     # several articles side by side, or none: from the first content line to the last
     articles = {c for c in weight if page.containers[c][1] in ("article", "main")}
     if articles:
-        return " ".join(t for (t, _, _), chain in zip(lines, above, strict=True) if not articles.isdisjoint(chain))
+        return _joined(lines, high, [not articles.isdisjoint(chain) for chain in above])
     inside = np.array([region in chain for chain in above])
     at = np.flatnonzero(content & inside)
     if not len(at):
         return ""
-    return " ".join(t for k, (t, _, _) in enumerate(lines) if at[0] <= k <= at[-1] and inside[k])
+    return _joined(lines, high, [bool(at[0] <= k <= at[-1] and inside[k]) for k in range(len(lines))])
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

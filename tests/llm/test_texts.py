@@ -63,6 +63,21 @@ def test_hints_count_by_what_they_hold(html):
     assert html_extract.main_text(html) == LONG_TEXT
 
 
+LINKS = {
+    "<div class=bar><a href=f>Facebook</a> <a href=t>Twitter</a> <a href=m>Mail</a></div>": "",
+    "<ul><li><a href=1>One more</a></li><li><a href=2>And another</a></li><li><a href=3>A third</a></li></ul>": "",
+    "<h2><a href=h>A heading that links</a></h2>": " A heading that links",
+    "<h2>A heading</h2>": " A heading",
+    "<ul><li>milk</li><li>eggs</li><li>two <a href=p>pears</a> and bread</li><li>salt</li><li>tea</li></ul>": " milk eggs two pears and bread salt tea",
+}
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div class=x>{}</div>"])
+@pytest.mark.parametrize("extra", LINKS)
+def test_link_lists_inside_the_region_go(extra, around):
+    assert html_extract.main_text(around.format(LONG + extra + LONG)) == f"{LONG_TEXT}{LINKS[extra]} {LONG_TEXT}"
+
+
 def test_long_page_and_rows(spark):
     body = "<p>" + "word " * 50_000 + "</p>"
     rows = [(1, "u", f"<nav>x</nav><article>{body}</article>", 5), (1, "u", None, 6), (2, None, "", 7)]
