@@ -1,6 +1,6 @@
 """Fuzzy line dedup by MinHash over the whole corpus.
 
-Lines of ``MIN_CHARS`` code points or more (after stripping) have sets of
+Lines of ``MIN_CHARS`` code points or more (after stripping; the bound is an argument) have sets of
 ``SHINGLE``-character shingles. Each has MinHash values from one-permutation
 hashing (as many independent hashings as short lines need to fill their bins), and
 ``BANDS`` bands of ``ROWS`` values: lines with Jaccard 0.8 share a band in 99.2 %
@@ -128,14 +128,14 @@ def _band_hashes(h: np.ndarray, n: np.ndarray, bins: int) -> np.ndarray:
     return out
 
 
-def _sign(n_parts: int):
+def _sign(n_parts: int, least_chars: int):
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         turn = TaskContext.get().partitionId()
         for pdf in batches:
             texts, ids = pdf["text"].tolist(), pdf["id"].to_numpy(np.int64)
             for first, last in runs(texts):
                 lines = Lines(texts[first:last])
-                lines.select(np.flatnonzero(lines.b - lines.a >= MIN_CHARS))
+                lines.select(np.flatnonzero(lines.b - lines.a >= least_chars))
                 lid = lines.line_hashes().view(np.int64)
                 info = np.column_stack([lid, ids[first:last][lines.text], lines.number])
                 node, at = np.unique(lid, return_index=True)
@@ -177,13 +177,13 @@ def _line_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "set": [s.view(np.int64) for s in sets]})
 
 
-def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(lines, nodes): lines (lid, doc, no) of MIN_CHARS or more; nodes (lid, comp, doc, no): of each line that
+def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
+    """(lines, nodes): lines (lid, doc, no) of ``least_chars`` or more; nodes (lid, comp, doc, no): of each line that
     has a copy or a similar line, its component and the place of the component's first line."""
     spark = docs.sparkSession
     d = (only(docs, id_col, text_col).toDF("id", "text").where(F.col("id").isNotNull() & F.col("text").isNotNull())
          .withColumn("id", F.col("id").cast("long")))
-    found = written(shared_signatures(d.mapInPandas(_sign(partitions(spark)), PACKED)), "line-bands", release=True)
+    found = written(shared_signatures(d.mapInPandas(_sign(partitions(spark), max(least_chars, 1)), PACKED)), "line-bands", release=True)
     lines = written(found.where(F.col("info").isNotNull()).select("info").mapInPandas(
         _unpack, "lid long, doc long, no long"), "lines")
     rows = written(found.where(F.col("info").isNull()).select("sig", "id"), "line-buckets")
@@ -206,9 +206,12 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return lines, nodes
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the lines that repeat others, and n_lines and n_dropped (long) added."""
-    lines, nodes = line_table(docs, id_col, text_col)
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` without the lines that repeat others, and n_lines and n_dropped (long) added.
+
+    ``least_chars=1`` takes every line that holds a word; one shorter than a shingle is its own shingle.
+    """
+    lines, nodes = line_table(docs, id_col, text_col, least_chars)
     gone = (lines.join(nodes, "lid").where((F.col("doc") != F.col("kept_doc")) | (F.col("no") != F.col("kept_no")))
             .groupBy("doc").agg(F.collect_set(F.col("no").cast("int")).alias("__gone")))
     gone = written(gone, "lines-gone", release=True).withColumnRenamed("doc", "__doc")

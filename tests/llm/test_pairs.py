@@ -119,3 +119,13 @@ def test_lines_with_equal_sets_of_other_lengths_are_found(spark):
     assert gone == {2: {0}, 3: {0}, 5: {0}, 6: {0}}
     got = {r.doc_id: r.text for r in fuzzy_lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute.without_lines(texts, gone)
+
+
+def test_short_lines_are_found_where_asked_for(spark):
+    rows = [(1, "All rights reserved.\nok\n\n  \nThis line is of middling length"), (2, "ok\n All rights reserved.\nok.\n"),
+            (3, "This line is of middling length.\nx"), (4, "x\n\nAll rights reserved"), (5, None)]
+    texts = dict(rows)
+    gone = brute.dropped_lines(texts, least=1)
+    assert gone == {2: {0, 1}, 3: {0}, 4: {0, 2}}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in fuzzy_lines.dedup(df, least_chars=1).collect()} == brute.without_lines(texts, gone)
