@@ -87,3 +87,18 @@ kept AS (SELECT p.doc_id, coalesce(string_agg(raw, chr(10) ORDER BY p.no) FILTER
                 count(*) AS n_lines, count(g.no) AS n_dropped
          FROM p LEFT JOIN (SELECT doc_id AS gd, no FROM gone) g ON g.gd = p.doc_id AND g.no = p.no GROUP BY p.doc_id)
 SELECT d.doc_id, k.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped FROM documents d LEFT JOIN kept k USING (doc_id)"""
+
+
+def substring_dedup() -> str:
+    """DuckDB SQL of ``substrings.dedup``: every window by its text, no anchors."""
+    return r"""
+with doc as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+word as (select doc_id, len(w) as n, unnest(range(1, len(w) + 1)) as i, unnest(w) as word, w from doc),
+win as (select doc_id, i, word, case when i + 49 <= n then sha256(array_to_string(w[i:i + 49], ' ')) end as h from word),
+least as (select h, min(doc_id) as least from win where h is not null group by h),
+mark as (select win.doc_id, i, word, coalesce(least < win.doc_id, false) as hit from win left join least on win.h = least.h),
+kept as (select doc_id, i, word, max(hit) over (partition by doc_id order by i rows between 49 preceding and current row) as gone from mark),
+left_ as (select doc_id, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as text from kept group by doc_id)
+select doc.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(left_.text, '')) as kept_sha256
+from doc left join left_ on doc.doc_id = left_.doc_id
+"""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import (bpe, fuzzy_lines, html_extract, oracle, outliers, partenum, pii, quality_model, secret_scan, tiling,
-                            token_counts)
+from ledgerlens.llm import (bpe, fuzzy_lines, html_extract, oracle, outliers, partenum, pii, quality_model, secret_scan, substrings,
+                            tiling, token_counts)
 from ledgerlens.llm.common import read
 
 #: The vocabulary file of the BPE operator.
@@ -84,11 +84,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(read(spark, sf_dir, "documents")))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_html_extract, op2_quality_classifier, op3_decontaminate, op4_ngram_join,
-                                   op5_token_counts, op6_pii, op7_quality_rules, op8_line_dedup, op9_bpe, op10_secret_scan)}
+                                   op5_token_counts, op6_pii, op7_quality_rules, op8_line_dedup, op9_bpe, op10_secret_scan,
+                                   op11_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL where SQL can express the operator; the others are held against plain Python in the tests."""
-    return {"op4_ngram_join": oracle.ngram_join(), "op8_line_dedup": oracle.line_dedup(), "op10_secret_scan": oracle.secret_scan()}
+    return {"op4_ngram_join": oracle.ngram_join(), "op8_line_dedup": oracle.line_dedup(), "op10_secret_scan": oracle.secret_scan(),
+            "op11_substring_dedup": oracle.substring_dedup()}

@@ -124,3 +124,11 @@ def sketch(features: np.ndarray) -> np.ndarray:
     bits = min(max(64, 1 << len(features).bit_length()), SKETCH_BITS)
     place = mix(features + np.uint64(0x60642E2A34326F15)) & np.uint64(bits - 1)
     return np.packbits((np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(bool)).view(np.int64)
+
+
+def span_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run of words [start, end), from running sums: its cost does not grow with the runs' lengths."""
+    n = len(hashes) + 1
+    total = np.zeros(n, np.uint64)
+    np.cumsum(hashes * _power(_BASE, n)[: n - 1], out=total[1:])
+    return mix((total[ends] - total[starts]) * _power(_INVERSE, n)[starts] + (ends - starts).astype(np.uint64))

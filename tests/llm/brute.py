@@ -101,3 +101,19 @@ def tiled_share(item, text, least=5):
         used_a |= set(range(i, i + k))
         used_b |= set(range(j, j + k))
         total += k
+
+
+def substring_dedup(rows, window):
+    """(id, text) rows -> sorted (id, words, removed, kept text): every window of every row held against all smaller ids."""
+    words = [(i, WORD.findall(t or "")) for i, t in rows]
+    least = {}
+    for i, w in words:
+        for s in range(len(w) - window + 1):
+            key = tuple(w[s:s + window])
+            if i is not None:
+                least[key] = min(least.get(key, i), i)
+    out = []
+    for i, w in words:
+        gone = {j for s in range(len(w) - window + 1) if i is not None and least[tuple(w[s:s + window])] < i for j in range(s, s + window)}
+        out.append((i, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)))
+    return sorted(out, key=repr)
