@@ -102,3 +102,29 @@ left_ as (select doc_id, count(*) filter (gone) as n_removed, string_agg(word, '
 select doc.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(left_.text, '')) as kept_sha256
 from doc left join left_ on doc.doc_id = left_.doc_id
 """
+
+
+def vector_codes(rounds: int = 4) -> str:
+    """DuckDB SQL of ``vector_codes``: every part against every entry, four rounds written out. Doubles hold the products exactly."""
+    def assigned(k: int) -> str:
+        return f"""a{k} as materialized (select vec_id, p, any_value(x) as x, min({{'d': list_inner_product(c, c) - 2 * list_inner_product(part.x, c), 'e': e}}) as best
+from part join b{k} using (p) group by vec_id, p)"""
+
+    def updated(k: int) -> str:
+        return f"""s{k} as (select p, e, i, sum(v) as s, count(*) as n from (select p, best.e as e, unnest(range(1, len(x) + 1)) as i, unnest(x) as v from a{k}) group by p, e, i),
+m{k} as (select p, e, list(cast((cast(s as hugeint) - ((cast(s as hugeint) % n) + n) % n) // n as double) order by i) as c from s{k} group by p, e),
+b{k + 1} as materialized (select b{k}.p, b{k}.e, coalesce(m{k}.c, b{k}.c) as c from b{k} left join m{k} on b{k}.p = m{k}.p and b{k}.e = m{k}.e)"""
+    steps = ",\n".join(f"{assigned(k)},\n{updated(k)}" for k in range(rounds))
+    return f"""
+with kept as (select vec_id, label, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+part as materialized (select vec_id, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] as x from (select vec_id, v, unnest(range(4)) as p from kept)),
+b0 as materialized (select p, row_number() over (partition by p order by vec_id) - 1 as e, x as c from part qualify e < 256),
+{steps},
+{assigned(rounds)},
+code as (select vec_id, string_agg(printf('%02x', best.e), '' order by p) as code, cast(sum(best.d + list_inner_product(x, x)) as bigint) as error
+  from a{rounds} group by vec_id),
+book as (select sha256(string_agg(array_to_string(list_transform(c, lambda x: cast(cast(x as bigint) as varchar)), ','), ',' order by p, e)) as digest from b{rounds})
+select kept.vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, digest as codebooks_sha256
+from kept join code using (vec_id) cross join book
+"""

@@ -117,3 +117,28 @@ def substring_dedup(rows, window):
         gone = {j for s in range(len(w) - window + 1) if i is not None and least[tuple(w[s:s + window])] < i for j in range(s, s + window)}
         out.append((i, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)))
     return sorted(out, key=repr)
+
+
+def vector_codes(rows, entries=256, rounds=4):
+    """(id, vector, label) rows of one length -> ({id: (code, error, label_error)}, the books as flat integers), in Python integers."""
+    from fractions import Fraction
+    from math import floor, isfinite
+    kept = [(i, [floor(Fraction(x) * 1024) for x in v], lab) for i, v, lab in rows if v is not None and all(x is not None and isfinite(x) for x in v)]
+    width = len(kept[0][1]) // 4
+    cut = lambda v, p: v[p * width:(p + 1) * width]
+    start = sorted(kept, key=lambda r: r[:2])[:entries]
+    books = [[cut(v, p) for _, v, _ in start] for p in range(4)]
+    near = lambda x, book: min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), e) for e, c in enumerate(book))
+    for _ in range(rounds):
+        for p in range(4):
+            found = {}
+            for _, v, _ in kept:
+                found.setdefault(near(cut(v, p), books[p])[1], []).append(cut(v, p))
+            for e, xs in found.items():
+                books[p][e] = [sum(c) // len(xs) for c in zip(*xs, strict=True)]
+    out = {i: ([near(cut(v, p), books[p]) for p in range(4)], lab) for i, v, lab in kept}
+    total = Counter()
+    for best, lab in out.values():
+        total[lab] += sum(d for d, _ in best)
+    return ({i: ("".join(f"{e:02x}" for _, e in best), sum(d for d, _ in best), total[lab]) for i, (best, lab) in out.items()},
+            [x for book in books for c in book for x in c])
