@@ -128,3 +128,35 @@ book as (select sha256(string_agg(array_to_string(list_transform(c, lambda x: ca
 select kept.vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, digest as codebooks_sha256
 from kept join code using (vec_id) cross join book
 """
+
+
+def prefix_trie() -> str:
+    """DuckDB SQL of ``prefix_trie``: prefixes as lists of turns. crc32 is not a DuckDB function; its table is made by a recursion."""
+    return r"""
+with recursive step(i, k, v) as (select i, 0, i from range(256) t(i) union all
+  select i, k + 1, case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end from step where k < 8),
+crc_table as materialized (select list(v order by i) as t from step where k = 8),
+turn as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+  row_number() over (partition by conv_id order by turn nulls first, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as i
+  from conversations where conv_id is not null),
+own as (select conv_id, list({'role': role, 'text': text} order by i) as turns from turn group by conv_id),
+head as (select conv_id, list_reduce(list_prepend(4294967295, list_transform(string_split(cast(conv_id as varchar), ''), lambda ch: cast(ord(ch) as bigint))),
+  lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])) as c from own cross join crc_table),
+conv as materialized (select own.conv_id, list_concat(coalesce(first.turns[1:h], []), own.turns[h + 1:]) as turns
+  from (select own.*, xor(c, 4294967295) % 4 as h from own join head using (conv_id)) own left join own first on first.conv_id = own.conv_id - own.conv_id % 20),
+member as materialized (select conv_id, d, turns[1:d] as path, len(turns) as n from (select *, unnest(range(0, len(turns) + 1)) as d from conv)),
+node as materialized (select path, d, min(conv_id) as conv_id, count(*) as n_convs,
+  sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (n = d), '')) as ends_sha256,
+  case when d = 0 then 0 else len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) end as words from member group by path, d),
+above as (select node.d as d, node.conv_id as conv_id, up.d as up_d, up.conv_id as up_conv, node.n_convs, node.words
+  from node join member on member.conv_id = node.conv_id and member.d <= node.d join node up on up.path = member.path and up.d = member.d),
+kids as (select up_d, up_conv, count(*) as n from above where d = up_d + 1 group by up_d, up_conv),
+below as (select above.up_d, up_conv, cast(sum((n_convs - 1) * words) as bigint) as saved_tokens, count(*) filter (has.n is null) as n_leaves
+  from above left join (select up_d, up_conv as of, n from kids) has on has.up_d = above.d and has.of = above.conv_id group by above.up_d, up_conv),
+parent as (select d, conv_id, up_conv from above where up_d = d - 1)
+select node.conv_id, cast(node.d as bigint) as depth, parent.up_conv as parent_conv_id, n_convs, coalesce(kids.n, 0) as n_children,
+  n_leaves, saved_tokens, ends_sha256
+from node join below on below.up_d = node.d and below.up_conv = node.conv_id
+left join kids on kids.up_d = node.d and kids.up_conv = node.conv_id
+left join parent on parent.d = node.d and parent.conv_id = node.conv_id
+"""

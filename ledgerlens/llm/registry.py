@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import (bpe, fuzzy_lines, html_extract, oracle, outliers, partenum, pii, quality_model, secret_scan, substrings,
-                            tiling, token_counts, vector_codes)
+from ledgerlens.llm import (bpe, fuzzy_lines, html_extract, oracle, outliers, partenum, pii, prefix_trie, quality_model, secret_scan,
+                            substrings, tiling, token_counts, vector_codes)
 from ledgerlens.llm.common import read
 
 #: The vocabulary file of the BPE operator.
@@ -89,6 +89,10 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(prefix_trie.sequences(read(spark, sf_dir, "conversations"))).withColumnRenamed("sha", "ends_sha256")
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes, books = vector_codes.compress(read(spark, sf_dir, "embeddings"))
     return codes.select(F.col("id").alias("vec_id"), "code", "error", "label_error",
@@ -98,10 +102,11 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_html_extract, op2_quality_classifier, op3_decontaminate, op4_ngram_join,
                                    op5_token_counts, op6_pii, op7_quality_rules, op8_line_dedup, op9_bpe, op10_secret_scan,
-                                   op11_substring_dedup, op13_vector_codes)}
+                                   op11_substring_dedup, op12_prefix_trie, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL where SQL can express the operator; the others are held against plain Python in the tests."""
     return {"op4_ngram_join": oracle.ngram_join(), "op8_line_dedup": oracle.line_dedup(), "op10_secret_scan": oracle.secret_scan(),
-            "op11_substring_dedup": oracle.substring_dedup(), "op13_vector_codes": oracle.vector_codes()}
+            "op11_substring_dedup": oracle.substring_dedup(), "op12_prefix_trie": oracle.prefix_trie(),
+            "op13_vector_codes": oracle.vector_codes()}

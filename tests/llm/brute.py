@@ -142,3 +142,43 @@ def vector_codes(rows, entries=256, rounds=4):
         total[lab] += sum(d for d, _ in best)
     return ({i: ("".join(f"{e:02x}" for _, e in best), sum(d for d, _ in best), total[lab]) for i, (best, lab) in out.items()},
             [x for book in books for c in book for x in c])
+
+
+def rebuilt(rows, group=20, heads=4):
+    """(conv_id, turn, role, text) rows -> {conv_id: [(role, text), ...]} with the head of the group's first conversation (remainders as SQL has them)."""
+    import math
+    import zlib
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            order = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()[:16]
+            own.setdefault(c, []).append(((turn is not None, turn or 0, order), (role, text)))
+    own = {c: [t for _, t in sorted(ts)] for c, ts in own.items()}
+    out = {}
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % heads if group else 0
+        out[c] = own.get(c - int(math.fmod(c, group or 1)), [])[:h] + ts[h:]
+    return out
+
+
+def prefix_trie(convs):
+    """{conv_id: [(role, text), ...]} -> sorted (conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha)."""
+    members = {}
+    for c, ts in convs.items():
+        for d in range(len(ts) + 1):
+            members.setdefault(tuple(ts[:d]), []).append(c)
+    kids = {}
+    for path in members:
+        if path:
+            kids.setdefault(path[:-1], []).append(path)
+    saved, leaves = Counter(), Counter()
+    for path in sorted(members, key=len, reverse=True):
+        saved[path] += (len(members[path]) - 1) * len(WORD.findall(path[-1][1])) if path else 0
+        leaves[path] += 0 if path in kids else 1
+        if path:
+            saved[path[:-1]] += saved[path]
+            leaves[path[:-1]] += leaves[path]
+    return sorted(((min(m), len(path), min(members[path[:-1]]) if path else None, len(m), len(kids.get(path, [])), leaves[path], saved[path],
+                    hashlib.sha256(",".join(str(c) for c in sorted(m) if len(convs[c]) == len(path)).encode()).hexdigest())
+                   for path, m in members.items()), key=repr)
