@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import text as tx
-from ledgerlens.functions.similarity import best_line_udf, levenshtein_ratio, ratcliff_udf
+from ledgerlens.functions.similarity import best_line_udf, candidates, levenshtein_ratio, ratcliff_udf
 
 # --- fixed values (must equal the extractor's for equal prompts/results) ----
 HEADER_REFERENCE = "ITEM 2. UNREGISTERED SALES OF EQUITY SECURITIES AND USE OF PROCEEDS"
@@ -120,45 +120,46 @@ def line_header_lev(lines: DataFrame, header: str = HEADER_REFERENCE) -> DataFra
     return lines.withColumn("score", levenshtein_ratio(F.col("line"), header))
 
 
-def _chunk(lines: Column, pos: Column, max_lines: int, above: int) -> Column:
+def chunk_at(lines: Column, pos: Column, max_lines: int = CHUNK_MAX_LINES, above: int = LINES_ABOVE) -> Column:
+    """The chunk of ``lines`` that starts a few lines above the line at ``pos``."""
     start = F.greatest(pos - above, F.lit(0))
     return F.array_join(F.slice(lines, start + 1, max_lines), "\n")
 
 
-def best_chunk(df: DataFrame, text_col: str = "text", header: str = HEADER_REFERENCE,
-               threshold: float = SIMILARITY_THRESHOLD, max_lines: int = CHUNK_MAX_LINES,
-               above: int = LINES_ABOVE) -> DataFrame:
-    """TXT6: chunk of lines around the best-matching header line.
+def with_best_line(df: DataFrame, scorer: str = "ratcliff", header: str = HEADER_REFERENCE,
+                   threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
+    """Adds ``_best``, a struct of pos, score and error, from the lines in ``_lines``.
 
-    ``(filing_id, best_pos, best_score, chunk)``; chunk null when no line
-    reaches ``threshold``. Scoring and arg-max run row-locally in one Arrow
-    UDF call per batch of filings.
+    ``ratcliff``: bounds are built-in expressions; matching and arg-max run row-locally in one Arrow UDF call per
+    batch of filings, which gives a filing that it cannot score an ``error``. ``lev``: the Levenshtein ratio, the
+    arg-max a fold over the line array (first maximum wins), all JVM-side.
     """
-    best = best_line_udf(header, threshold)(F.col("_lines"))
-    return (df.select("filing_id", tx.clean_lines(text_col).alias("_lines"))
-            .withColumn("_best", best)
-            .select("filing_id",
-                    F.col("_best.pos").alias("best_pos"),
-                    F.col("_best.score").alias("best_score"),
-                    F.when(F.col("_best.pos").isNotNull(),
-                           _chunk(F.col("_lines"), F.col("_best.pos"), max_lines, above)).alias("chunk")))
-
-
-def best_chunk_lev(df: DataFrame, text_col: str = "text", header: str = HEADER_REFERENCE,
-                   threshold: float = SIMILARITY_THRESHOLD, max_lines: int = CHUNK_MAX_LINES,
-                   above: int = LINES_ABOVE) -> DataFrame:
-    """TXT6 with the Levenshtein ratio, entirely JVM-side: the arg-max is a
-    fold over the line array (first maximum wins), no explode/shuffle."""
+    if scorer == "ratcliff":
+        return df.withColumn("_best", best_line_udf(header, threshold)(candidates(F.col("_lines"), header, threshold)))
     scored = F.transform(F.col("_lines"), lambda l, i: F.struct(i.alias("pos"), levenshtein_ratio(l, header).alias("score")))
     init = F.struct(F.lit(-1).alias("pos"), F.lit(0.0).alias("score"))
-    best = F.aggregate(scored, init, lambda acc, x: F.when(x["score"] > acc["score"], x).otherwise(acc))
-    ok = (F.col("_best.pos") >= 0) & (F.col("_best.score") >= threshold)
+    top = F.aggregate(scored, init, lambda acc, x: F.when(x["score"] > acc["score"], x).otherwise(acc))
+    d = tx.with_once(df, _top=top)
+    ok = (F.col("_top.pos") >= 0) & (F.col("_top.score") >= threshold)
+    return d.withColumn("_best", F.struct(F.when(ok, F.col("_top.pos")).alias("pos"), F.when(ok, F.col("_top.score")).alias("score"),
+                                          F.lit(None).cast("string").alias("error"))).drop("_top")
+
+
+def best_chunk(df: DataFrame, text_col: str = "text", header: str = HEADER_REFERENCE,
+               threshold: float = SIMILARITY_THRESHOLD, max_lines: int = CHUNK_MAX_LINES,
+               above: int = LINES_ABOVE, scorer: str = "ratcliff") -> DataFrame:
+    """TXT6: chunk of lines around the best-matching header line: ``(filing_id, best_pos, best_score, chunk)``;
+    all three null when no line reaches ``threshold``. Row-local, see ``with_best_line``."""
     d = tx.with_once(df.select("filing_id", text_col), _lines=tx.clean_lines(text_col))
-    return (tx.with_once(d, _best=best)
-            .select("filing_id",
-                    F.when(ok, F.col("_best.pos")).alias("best_pos"),
-                    F.when(ok, F.col("_best.score")).alias("best_score"),
-                    F.when(ok, _chunk(F.col("_lines"), F.col("_best.pos"), max_lines, above)).alias("chunk")))
+    return (with_best_line(d, scorer, header, threshold)
+            .select("filing_id", F.col("_best.pos").alias("best_pos"), F.col("_best.score").alias("best_score"),
+                    F.when(F.col("_best.pos").isNotNull(),
+                           chunk_at(F.col("_lines"), F.col("_best.pos"), max_lines, above)).alias("chunk")))
+
+
+def best_chunk_lev(df: DataFrame, **kw) -> DataFrame:
+    """TXT6 with the Levenshtein ratio, entirely JVM-side."""
+    return best_chunk(df, scorer="lev", **kw)
 
 
 def prompt_v2(chunk) -> Column:

@@ -11,7 +11,7 @@ from ledgerlens.operators.tables import NA_TOKENS
 from ledgerlens.operators import filings as fo
 from ledgerlens.plans import oracle_filings as OF
 from ledgerlens.plans import sqltext as S
-from ledgerlens.plans.profiles import PROFILED
+from ledgerlens.plans.profiles import MAX_PAGE_BYTES, PROFILED
 
 SEED = "42"
 NA_LIST = "(" + ", ".join(S.q(t) for t in NA_TOKENS) + ")"
@@ -187,7 +187,12 @@ FROM j"""
         "item_section": OF.item_section(),
         "line_header_lev": f"SELECT filing_id, pos, line, round({OF.lev_ratio('line')}, 6) AS score "
                            f"FROM ({OF.filing_lines_sql(pt)})",
+        "line_header_score": OF.line_header_score(pt),
+        "best_chunk": OF.best_chunk(pt),
         "best_chunk_lev": OF.best_chunk_lev(pt),
+        "filing_scan": OF.filing_scan(),
+        "filing_stream": OF.filing_stream(),
+        "filing_outcomes": OF.filing_outcomes(MAX_PAGE_BYTES),
         "extraction_prompts": f"SELECT filing_id, {S.q(fo.PROMPT_V2_HEAD)} || chunk || {S.q(fo.PROMPT_V2_TAIL)} AS prompt "
                               f"FROM ({OF.best_chunk_lev(pt)}) WHERE chunk IS NOT NULL",
         "extraction_prompts_v1": f"SELECT filing_id, {S.q(fo.PROMPT_V1_HEAD)} || substr(section, 1, {fo.V1_TEXT_BUDGET}) || "

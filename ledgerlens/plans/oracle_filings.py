@@ -122,12 +122,7 @@ def last_ws_token(x: str) -> str:
 
 
 def filing_fields() -> str:
-    step = (f"CASE WHEN acc.cik <> 'N/A' AND acc.date <> 'N/A' THEN acc ELSE "
-            f"{{'cik': CASE WHEN contains(l, 'CIK') THEN regexp_replace(l, '[^\\p{{Nd}}]', '', 'g') ELSE acc.cik END, "
-            f"'date': CASE WHEN contains(l, 'Date') OR contains(l, 'Filed') THEN {last_ws_token('l')} ELSE acc.date END}} END")
-    fold = (f"list_reduce(regexp_split_to_array(text, {q(S.LINE_BREAK)}), lambda acc, l: {step}, "
-            f"{{'cik': 'N/A', 'date': 'N/A'}})")
-    return f"SELECT filing_id, r.cik AS cik, r.date AS filing_date FROM (SELECT filing_id, {fold} AS r FROM ({derived_filings()}))"
+    return fields(derived_filings())
 
 
 def item_section(item: str = "2") -> str:
@@ -148,18 +143,76 @@ def filing_lines_sql(src: str = PAGES_TEXT) -> str:
             f"SELECT filing_id, {S.clean_lines('text')} AS ls FROM ({src})))")
 
 
-def best_chunk_lev(src: str = PAGES_TEXT) -> str:
+def _longest_match(src: str) -> str:
+    """Adds the longest common block of ``a`` and ``b``: its length k, the first place i in a, and the first place j in b for that."""
+    lens = ("list_transform(range(1, length(a) + 1), lambda i: coalesce(list_max(list_filter("
+            "range(1, least(length(a) - i + 1, length(b)) + 1), lambda n: contains(b, substr(a, i, n)))), 0))")
+    return (f"SELECT line, a, b, k, i, strpos(b, substr(a, i, k)) AS j FROM ("
+            f"SELECT *, list_max(lens) AS k, list_position(lens, list_max(lens)) AS i FROM (SELECT *, {lens} AS lens FROM ({src})))")
+
+
+def ratcliff_scores(lines: str, header: str = fo.HEADER_REFERENCE) -> str:
+    """CTEs ending in ``score (line, score)``: matched blocks by recursion to the left and to the right of the longest one."""
+    base = _longest_match(f"SELECT line, lower(line) AS a, {q(header.lower())} AS b FROM (SELECT DISTINCT line FROM ({lines}))")
+    sides = ("SELECT line, unnest([substr(a, 1, i - 1), substr(a, i + k)]) AS a, unnest([substr(b, 1, j - 1), substr(b, j + k)]) AS b "
+             "FROM block WHERE k > 0")
+    more = _longest_match(f"SELECT * FROM ({sides}) WHERE a <> '' AND b <> ''")
+    return (f"block AS ({base} UNION ALL {more}), "
+            f"score AS (SELECT line, 2.0 * sum(k) / (length(lower(line)) + {len(header)}) AS score FROM block GROUP BY line)")
+
+
+def line_header_score(src: str = PAGES_TEXT) -> str:
+    return (f"WITH RECURSIVE l AS ({filing_lines_sql(src)}), {ratcliff_scores('SELECT line FROM l')} "
+            "SELECT filing_id, pos, l.line, CAST(score AS DOUBLE) AS score FROM l JOIN score ON score.line = l.line")
+
+
+def chunks(src: str, scored: str, rounded: bool = True) -> str:
+    """The chunk of each filing of ``src`` from ``scored``, a query of (filing_id, pos, score)."""
     return f"""
-WITH f AS (SELECT filing_id, {S.clean_lines('text')} AS ls FROM ({src})),
-l AS (SELECT filing_id, CAST(pos - 1 AS BIGINT) AS pos, {lev_ratio('line')} AS score FROM (
-        SELECT filing_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM f)),
-b AS (SELECT filing_id, pos, score FROM (
-        SELECT *, row_number() OVER (PARTITION BY filing_id ORDER BY score DESC, pos) AS rn FROM l) WHERE rn = 1
-        AND score > 0 AND score >= {fo.SIMILARITY_THRESHOLD})
-SELECT f.filing_id, b.pos AS best_pos, round(b.score, 6) AS best_score,
+SELECT f.filing_id, b.pos AS best_pos, {'round(b.score, 6)' if rounded else 'b.score'} AS best_score,
        CASE WHEN b.pos IS NOT NULL THEN array_to_string(list_slice(f.ls, greatest(b.pos - {fo.LINES_ABOVE}, 0) + 1,
-            greatest(b.pos - {fo.LINES_ABOVE}, 0) + {fo.CHUNK_MAX_LINES}), chr(10)) END AS chunk
-FROM f LEFT JOIN b USING (filing_id)"""
+            greatest(b.pos - {fo.LINES_ABOVE}, 0) + {fo.CHUNK_MAX_LINES}), chr(10)) END AS chunk, len(f.ls) AS n_lines
+FROM (SELECT filing_id, {S.clean_lines('text')} AS ls FROM ({src})) f LEFT JOIN (SELECT filing_id, pos, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY filing_id ORDER BY score DESC, pos) AS rn FROM ({scored})) WHERE rn = 1
+        AND score > 0 AND score >= {fo.SIMILARITY_THRESHOLD}) b USING (filing_id)"""
+
+
+def best_chunk_lev(src: str = PAGES_TEXT) -> str:
+    scored = f"SELECT filing_id, pos, {lev_ratio('line')} AS score FROM ({filing_lines_sql(src)})"
+    return f"SELECT filing_id, best_pos, best_score, chunk FROM ({chunks(src, scored)})"
+
+
+def best_chunk(src: str = PAGES_TEXT) -> str:
+    return f"SELECT filing_id, best_pos, best_score, chunk FROM ({chunks(src, line_header_score(src))})"
+
+
+def filing_scan() -> str:
+    """Pages as the text files that hold them: a line break at the end."""
+    html = "coalesce(html, '') || chr(10)"
+    return (f"SELECT filing_id, length(html) AS n_chars, len(string_split(text, chr(10))) AS n_nodes FROM ("
+            f"SELECT CAST(page_id AS VARCHAR) AS filing_id, {html} AS html, {html_to_text('(' + html + ')')} AS text FROM pages)")
+
+
+def fields(src: str) -> str:
+    step = (f"CASE WHEN acc.cik <> 'N/A' AND acc.date <> 'N/A' THEN acc ELSE "
+            f"{{'cik': CASE WHEN contains(l, 'CIK') THEN regexp_replace(l, '[^\\p{{Nd}}]', '', 'g') ELSE acc.cik END, "
+            f"'date': CASE WHEN contains(l, 'Date') OR contains(l, 'Filed') THEN {last_ws_token('l')} ELSE acc.date END}} END")
+    fold = (f"list_reduce(regexp_split_to_array(text, {q(S.LINE_BREAK)}), lambda acc, l: {step}, "
+            f"{{'cik': 'N/A', 'date': 'N/A'}})")
+    return f"SELECT filing_id, r.cik AS cik, r.date AS filing_date FROM (SELECT filing_id, {fold} AS r FROM ({src}))"
+
+
+def filing_stream() -> str:
+    bad = "CAST(filing_id AS BIGINT) % 50 = 7"
+    prompt = f"{q(fo.PROMPT_V2_HEAD)} || chunk || {q(fo.PROMPT_V2_TAIL)}"
+    page = "SELECT CAST(page_id AS VARCHAR) AS filing_id, text FROM (SELECT page_id, " + html_to_text("coalesce(html, '')") + " AS text FROM pages)"
+    return f"""
+SELECT filing_id, CASE WHEN {bad} THEN 'dead_letter' ELSE 'result' END AS outcome,
+  CASE WHEN {bad} THEN 'unreadable' WHEN best_pos IS NULL THEN 'no_section' ELSE 'prompted' END AS status,
+  CASE WHEN {bad} THEN 'not UTF-8' END AS reason, CASE WHEN NOT {bad} THEN cik END AS cik, CASE WHEN NOT {bad} THEN filing_date END AS filing_date,
+  CASE WHEN NOT {bad} THEN n_lines END AS n_lines, CASE WHEN NOT {bad} THEN best_pos END AS best_pos,
+  CASE WHEN NOT {bad} THEN best_score END AS best_score, CASE WHEN NOT {bad} THEN {prompt} END AS prompt
+FROM ({chunks(page, line_header_score(page))}) JOIN ({fields(page)}) USING (filing_id)"""
 
 
 def truncate_tokens(x: str, n: int) -> str:
@@ -313,3 +366,26 @@ def html_table_cells() -> str:
     return f"WITH l AS ({lines}) " + " UNION ALL ".join(
         f"SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, CAST(1 AS BIGINT) AS table_no, row_no, CAST({c} AS BIGINT) AS col_no, "
         f"{q(n)} AS col_name, {v} AS value FROM l" for c, n, v in cells)
+
+
+def filing_outcomes(max_bytes: int) -> str:
+    """Every outcome from the pages' own rules, the answers by key."""
+    page = ("SELECT page_id, CAST(page_id AS VARCHAR) AS filing_id, strlen(coalesce(html, '')) AS n_bytes, "
+            + html_to_text("(CASE WHEN page_id % 50 = 11 THEN ' ' || chr(10) ELSE coalesce(html, '') END)") + " AS text FROM pages")
+    dead = (f"CASE WHEN page_id % 50 <> 11 AND n_bytes + CASE WHEN page_id % 50 = 7 THEN 2 ELSE 0 END > {max_bytes} THEN 'too_large' "
+            "WHEN page_id % 50 = 7 THEN 'unreadable' WHEN best_pos IS NULL THEN 'no_section' END")
+    joined = f"""
+SELECT page.filing_id, page_id, {dead} AS before, n_bytes, cik, filing_date,
+  CASE WHEN CAST(page.filing_id AS BIGINT) % 40 = 3 AND a.filing_id IS NOT NULL THEN 'timeout' END AS failed, coalesce(a.answer, '') AS answer
+FROM ({page}) page JOIN ({chunks(page, line_header_score(page))}) c USING (filing_id) JOIN ({fields(page)}) f USING (filing_id)
+LEFT JOIN ({answers_sql()}) a USING (filing_id)"""
+    return f"""
+WITH d AS MATERIALIZED ({joined}), p AS (SELECT d.*, header, rows, status AS parsed FROM d JOIN ({parse_pipe("SELECT filing_id, answer FROM d")}) USING (filing_id)),
+s AS (SELECT *, coalesce(before, CASE WHEN failed IS NOT NULL THEN 'model_error' END, parsed) AS status, before IN ('too_large', 'unreadable') AS dead FROM p)
+SELECT filing_id, status, CASE before WHEN 'too_large' THEN CAST(n_bytes + CASE WHEN page_id % 50 = 7 THEN 2 ELSE 0 END AS VARCHAR) || ' bytes'
+    WHEN 'unreadable' THEN 'not UTF-8' WHEN 'no_section' THEN NULL ELSE failed END AS reason,
+  CASE WHEN dead THEN NULL ELSE cik END AS cik, CASE WHEN dead THEN NULL ELSE filing_date END AS filing_date,
+  CASE WHEN status = 'ok' THEN array_to_string({dedupe('header', '_', 2)} || ['CIK', 'Filing Date'], '|') END AS header,
+  CASE WHEN status = 'ok' THEN array_to_string(list_transform(rows, lambda r: array_to_string(
+    r || list_transform(range(greatest(len(header) - len(r), 0)), lambda z: 'N/A') || [cik, filing_date], '|')), chr(10)) END AS rows
+FROM s"""

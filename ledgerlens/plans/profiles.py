@@ -36,3 +36,7 @@ def profiled_long(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
 
 def profiled_columns(tables=None) -> list[tuple[str, str]]:
     return [(t, c) for t in (tables or PROFILED) for c, _ in PROFILED[t][1]]
+
+
+#: Pages over this many bytes are too large to be read in ``filing_outcomes``.
+MAX_PAGE_BYTES = 12000

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import columns as colops
+from ledgerlens.operators import extraction as ex
 from ledgerlens.operators import filings as fo
 from ledgerlens.operators import tables as tb
 from ledgerlens.operators import vectors as vx
@@ -23,7 +24,7 @@ from ledgerlens.operators import htmltables as ht
 from ledgerlens.sources import csvio
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources import filings as src
-from ledgerlens.plans.profiles import profiled_columns, profiled_long
+from ledgerlens.plans.profiles import MAX_PAGE_BYTES, profiled_columns, profiled_long
 from ledgerlens.sources.tables import table
 from ledgerlens.functions.text import decode_entities
 from ledgerlens.functions.vectors import round_half
@@ -337,31 +338,64 @@ def q_v1_table_names(spark, sf_dir):
     return tb.v1_table_names(st.join(fields, "filing_id"))
 
 
-def _filing_files(spark, sf_dir):
-    """Write the pages as one text file per page under the scratch area."""
+def _filing_files(spark, sf_dir, with_bad: bool = False):
+    """Write the pages as one text file per page under the scratch area; ``with_bad`` spoils some with bytes that are no UTF-8."""
     import uuid
     path = scratch_dir(spark, f"filing-files-{uuid.uuid4().hex}")
-    src.pages_as_filings(spark, sf_dir).write.partitionBy("filing_id").text(path)
+    pages = src.pages_as_filings(spark, sf_dir)
+    if with_bad:
+        spoiled = F.concat(F.coalesce("html", F.lit("")).cast("binary"), F.unhex(F.lit("FFFE"))).cast("string")
+        pages = pages.withColumn("html", F.when(F.col("filing_id").cast("long") % 50 == 7, spoiled).otherwise(F.col("html")))
+    pages.write.partitionBy("filing_id").text(path)
     return path
 
 
+def _page_id():
+    """Id of the page that a file written by ``_filing_files`` holds."""
+    return F.regexp_extract("path", r"filing_id=([^/]+)/", 1)
+
+
 def q_filing_scan(spark, sf_dir):
     path = _filing_files(spark, sf_dir)
     s = src.scan_filing_folder(spark, path, recursive=True)
-    fid = F.regexp_extract("path", r"filing_id=([^/]+)/", 1)
-    t = fo.html_to_text(s.withColumn("filing_id", fid))
+    t = fo.html_to_text(s.withColumn("filing_id", _page_id()))
     return t.select("filing_id", F.length("html").cast("long").alias("n_chars"),
                     F.size(F.split("text", "\n")).cast("long").alias("n_nodes"))
 
 
 def q_filing_stream(spark, sf_dir):
+    """Every page as a file, taken in by the stream in several micro-batches; unreadable ones come as dead letters."""
     import uuid
     from ledgerlens.streaming import filings as sf
-    path = _filing_files(spark, sf_dir)
+    path = _filing_files(spark, sf_dir, with_bad=True)
     run = uuid.uuid4().hex
     sink, ck = scratch_dir(spark, f"stream-out-{run}"), scratch_dir(spark, f"stream-ck-{run}")
-    sf.start(spark, path, sink, ck, available_now=True).awaitTermination()
-    return spark.read.parquet(sink)
+    sf.start_extraction(spark, path, sink, ck).awaitTermination()
+    return sf.outcomes(spark, sink).select(
+        _page_id().alias("filing_id"), "outcome", "status", "reason", "cik", "filing_date", "n_lines", "best_pos",
+        round_half("best_score", 6).alias("best_score"), "prompt")
+
+
+def page_files(spark, sf_dir):
+    """The pages as the binary file source gives files, a few of them spoiled or blank."""
+    n = F.col("page_id") % 50
+    html = F.coalesce("html", F.lit("")).cast("binary")
+    content = F.when(n == 7, F.concat(html, F.unhex(F.lit("FFFE")))).when(n == 11, F.lit(b" \n")).otherwise(html)
+    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("filing_id"), F.lit("pages").alias("path"),
+                                                F.length(content).cast("long").alias("length"), content.alias("content"))
+
+
+def page_responses(spark, sf_dir):
+    """The rendered answers, of which some are reports of a failed model call."""
+    failed = F.when(F.col("filing_id").cast("long") % 40 == 3, F.lit("timeout"))
+    return src.derived_responses(spark, sf_dir).withColumn("error", failed)
+
+
+def q_filing_outcomes(spark, sf_dir):
+    prompts = ex.filing_prompts(ex.readable(page_files(spark, sf_dir), max_bytes=MAX_PAGE_BYTES))
+    out = ex.filing_outcomes(prompts, page_responses(spark, sf_dir))
+    return out.select("filing_id", "status", "reason", "cik", "filing_date", F.array_join("header", "|").alias("header"),
+                      F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "\n").alias("rows"))
 
 
 def q_html_table_cells(spark, sf_dir):
@@ -379,6 +413,7 @@ def queries() -> dict[str, Query]:
         "v1_table_names": q_v1_table_names,
         "filing_scan": q_filing_scan,
         "filing_stream": q_filing_stream,
+        "filing_outcomes": q_filing_outcomes,
         "html_table_cells": q_html_table_cells,
         "canonical_columns": q_canonical_columns,
         "tokenized_docs": q_tokenized_docs,

@@ -46,6 +46,22 @@ def scan_filing_folder(spark: SparkSession, path: str, suffix: str = ".txt",
     return df.where(F.col("filing_id").endswith(suffix))
 
 
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
+def filing_files(spark: SparkSession, path: str, suffix: str = ".txt", recursive: bool = True,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """``(filing_id, path, length, content)`` of the files of a folder, as bytes, so that what is no text can be told from text.
+
+    A stream of new files if ``max_files_per_trigger`` is given, else a batch scan. Callers that filter by
+    ``length`` or do without ``content`` keep the source from loading it.
+    """
+    reader = spark.read if max_files_per_trigger is None else spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    df = (reader.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", f"*{suffix}")
+          .option("recursiveFileLookup", recursive).load(path))
+    return df.select(relative_id(path).alias("filing_id"), F.col("path"), "length", "content").where(F.col("path").endswith(suffix))
+
+
 def join_manifest(filings: DataFrame, manifest: DataFrame, key: str = "path",
                   broadcast_max_rows: int = 5_000_000) -> DataFrame:
     """Attach ``cik, filing_date, item_number`` from a manifest table.
