@@ -146,22 +146,23 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     hot = written(maybe_in(seeds, "a", shared, "a").join(shared, "a").where("mixed or d > least"), "shared-seeds", release=True)
     discard(seeds)
     mixed = hot.where("mixed").select("a", "e", "d", "t", "lo", "n")
-    classes = mixed.groupBy("a", "e").agg(F.min("d").alias("least"))
+    classes = written(mixed.groupBy("a", "e").agg(F.min("d").alias("least")), "reach-classes")
     rows = (hot.where("not mixed").select("d", "t", run.alias("run"), F.lit(False).alias("ask"))
             .unionByName(mixed.join(classes, ["a", "e"]).select("d", "t", run.alias("run"), (F.col("d") == F.col("least")).alias("ask"))))
     plan = written(rows.groupBy("d", "t").agg(F.collect_set(F.when(~F.col("ask"), F.col("run"))).alias("cut"),
                                               F.collect_set(F.when(F.col("ask"), F.col("run"))).alias("ask")), "reaches", release=True)
-    discard(hot, shared)
+    discard(hot, shared, classes)
     ask = plan.where(F.size("ask") > 0).select("d", "t", "ask")
     windows = written(maybe_in(named, "d", ask, "d").join(ask, ["d", "t"])
                       .mapInPandas(_windows(window), "w1 long, w2 long, d long, t long, lo int"), "windows", release=True)
     earlier = windows.groupBy("w1", "w2").agg(F.min("d").alias("least"), F.max("d").alias("last")).where("least < last").drop("last")
+    earlier = written(earlier, "shared-windows")
     more = windows.join(earlier, ["w1", "w2"]).where("d > least").select("d", "t", (F.shiftleft(F.col("lo").cast("long"), 16) + 1).alias("run"))
     more = more.groupBy("d", "t").agg(F.collect_set("run").alias("more"))
     cuts = (plan.where(F.size("cut") > 0).select("d", "t", "cut").join(more, ["d", "t"], "full")
             .select("d", "t", F.concat(F.coalesce("cut", F.array()), F.coalesce("more", F.array())).alias("cut")))
     cuts = written(cuts, "cuts", release=True)
-    discard(plan, windows)
+    discard(plan, windows, earlier)
     may, whole = split_by_filter(named, "d", cuts, "d")
     may = may.join(cuts, ["d", "t"], "left").select("d", "text", "cut")
     whole = whole.select("d", "text", F.lit(None).cast("array<long>").alias("cut"))
