@@ -187,37 +187,41 @@ def csv_rows(d: DataFrame, body_col: str) -> DataFrame:
     return d.withColumn("_rows", F.filter(rows, lambda r: ~blank(r))).drop("_seps", "_raw", "_vals", "_from", "_to")
 
 
-def csv_table_cells(df: DataFrame, answer_col: str = "answer") -> DataFrame:
+def csv_table_cells(df: DataFrame, answer_col: str = "answer", separator: str | None = TABLE_SEPARATOR) -> DataFrame:
     """TAB4: CSV tables split by ``---TABLE---`` into long cells.
 
-    Each piece is stripped; blank lines are skipped; the first line is the
+    Each piece is stripped (a whole text is not); blank lines are skipped; the first line is the
     header (repeats renamed ``name.1``, ``name.2`` as pandas does). Quoted
     fields may hold commas, quotes and line breaks. Fields that the first row has beyond
     the header make its leading fields an index, which is not a column, as in
     pandas. A piece that is empty, leaves a quote open or has a later row with still
     more fields has no cells; ``csv_table_status`` says so. Missing trailing
-    fields and NA tokens are null. ``table_no`` counts pieces from 1.
+    fields and NA tokens are null. ``table_no`` counts pieces from 1. Without a ``separator``
+    the whole text is one table.
     """
-    t = _csv_tables(df, answer_col).where(F.col("ok"))
-    r = t.select("filing_id", "table_no", "header", "extra", F.posexplode("rows").alias("row_no", "row"))
-    c = r.select("filing_id", "table_no", "row_no", "header",
-                 F.posexplode(F.transform("header", lambda h, k: F.get("row", k + F.col("extra")))).alias("col_no", "value"))
+    r = csv_table_rows(df, answer_col, separator).select("filing_id", "table_no", "header", F.posexplode("rows").alias("row_no", "row"))
+    c = r.select("filing_id", "table_no", "row_no", "header", F.posexplode("row").alias("col_no", "value"))
     return c.select("filing_id", "table_no", F.col("row_no").cast("long").alias("row_no"),
                     F.col("col_no").cast("long").alias("col_no"),
-                    F.element_at("header", F.col("col_no") + 1).alias("col_name"),
-                    F.when(F.col("value").isin(NA_TOKENS), F.lit(None).cast("string"))
-                    .otherwise(F.col("value")).alias("value"))
+                    F.element_at("header", F.col("col_no") + 1).alias("col_name"), "value")
+
+
+def csv_table_rows(df: DataFrame, answer_col: str = "answer", separator: str | None = TABLE_SEPARATOR) -> DataFrame:
+    """``(filing_id, table_no, header, rows)`` of each CSV table, a row a table; every row has the header's length."""
+    t = _csv_tables(df, answer_col, separator).where(F.col("ok"))
+    value = lambda v: F.when(~v.isin(NA_TOKENS), v)
+    rows = F.transform("rows", lambda r: F.transform("header", lambda h, k: value(F.get(r, k + F.col("extra")))))
+    return t.select("filing_id", "table_no", "header", rows.alias("rows"))
 
 
-def csv_table_status(df: DataFrame, answer_col: str = "answer") -> DataFrame:
-    return _csv_tables(df, answer_col).select(
+def csv_table_status(df: DataFrame, answer_col: str = "answer", separator: str | None = TABLE_SEPARATOR) -> DataFrame:
+    return _csv_tables(df, answer_col, separator).select(
         "filing_id", "table_no", F.when(F.col("ok"), F.lit(STATUS_OK)).otherwise(F.lit("unparsable")).alias("status"))
 
 
-def _csv_tables(df: DataFrame, answer_col: str) -> DataFrame:
-    pieces = df.select("filing_id", F.posexplode(F.split(F.col(answer_col), TABLE_SEPARATOR, -1))
-                       .alias("i", "piece"))
-    d = csv_rows(tx.with_once(pieces, _body=tx.py_strip(F.col("piece"))), "_body")
+def _csv_tables(df: DataFrame, answer_col: str, separator: str | None = TABLE_SEPARATOR) -> DataFrame:
+    parts = F.transform(F.split(F.col(answer_col), separator, -1), tx.py_strip) if separator else F.array(answer_col)
+    d = csv_rows(df.select("filing_id", F.posexplode(parts).alias("i", "_body")), "_body")
     d = tx.with_once(d, _header=F.coalesce(F.get("_rows", F.lit(0)), F.array().cast("array<string>")),
                      _data=F.slice("_rows", 2, F.greatest(F.size("_rows") - 1, F.lit(0))))
     extra = F.greatest(F.coalesce(F.size(F.get("_data", F.lit(0))), F.lit(0)) - F.size("_header"), F.lit(0))

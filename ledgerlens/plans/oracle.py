@@ -192,6 +192,8 @@ FROM j"""
         "best_chunk_lev": OF.best_chunk_lev(pt),
         "filing_scan": OF.filing_scan(),
         "filing_stream": OF.filing_stream(),
+        "parsed_files": OF.parsed_files(),
+        "v1_files": OF.v1_files(),
         "filing_outcomes": OF.filing_outcomes(MAX_PAGE_BYTES),
         "extraction_prompts": f"SELECT filing_id, {S.q(fo.PROMPT_V2_HEAD)} || chunk || {S.q(fo.PROMPT_V2_TAIL)} AS prompt "
                               f"FROM ({OF.best_chunk_lev(pt)}) WHERE chunk IS NOT NULL",

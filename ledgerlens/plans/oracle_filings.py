@@ -389,3 +389,27 @@ SELECT filing_id, status, CASE before WHEN 'too_large' THEN CAST(n_bytes + CASE
   CASE WHEN status = 'ok' THEN array_to_string(list_transform(rows, lambda r: array_to_string(
     r || list_transform(range(greatest(len(header) - len(r), 0)), lambda z: 'N/A') || [cik, filing_date], '|')), chr(10)) END AS rows
 FROM s"""
+
+
+def _na(x: str) -> str:
+    return f"CASE WHEN {x} IN (" + ", ".join(q(t) for t in NA_TOKENS) + f") THEN NULL ELSE {x} END"
+
+
+def parsed_files() -> str:
+    """The cells that went into the files: those of the pipe tables, missing values null."""
+    return (f"SELECT filing_id || '_parsed.csv' AS file_name, row_no, col_no, col_name, {_na('value')} AS value "
+            f"FROM ({tables_with_provenance()})")
+
+
+def v1_files() -> str:
+    """The cells of the CSV tables with two more in each row, under the tables' names; shared names have the filing in them."""
+    return f"""
+WITH c AS ({csv_tables()}), f AS ({filing_fields()}),
+w AS (SELECT filing_id, table_no, row_no, max(col_no) AS last FROM c GROUP BY ALL),
+every AS (SELECT * FROM c
+  UNION ALL SELECT w.filing_id, table_no, row_no, last + 1, 'CIK', {_na('cik')} FROM w JOIN f ON w.filing_id = f.filing_id
+  UNION ALL SELECT w.filing_id, table_no, row_no, last + 2, 'filing_date', {_na('filing_date')} FROM w JOIN f ON w.filing_id = f.filing_id),
+named AS (SELECT DISTINCT t.filing_id, table_no, cik || '_' || filing_date || '_item2_table' || CAST(table_no AS VARCHAR) AS base
+  FROM ({csv_ok_tables()}) t JOIN f ON t.filing_id = f.filing_id),
+file AS (SELECT *, base || CASE WHEN count(*) OVER (PARTITION BY base) > 1 THEN '_' || filing_id ELSE '' END || '.csv' AS file_name FROM named)
+SELECT file_name, row_no, col_no, col_name, value FROM every JOIN file USING (filing_id, table_no)"""

@@ -22,6 +22,7 @@ from ledgerlens.operators import cells as ce
 from ledgerlens.operators import trainprep as tp
 from ledgerlens.operators import htmltables as ht
 from ledgerlens.sources import csvio
+from ledgerlens.sources import widecsv as wide
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources import filings as src
 from ledgerlens.plans.profiles import MAX_PAGE_BYTES, profiled_columns, profiled_long
@@ -398,6 +399,29 @@ def q_filing_outcomes(spark, sf_dir):
                       F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "\n").alias("rows"))
 
 
+def _scratch(spark, name):
+    import uuid
+    return scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_parsed_files(spark, sf_dir):
+    """SNK1 there and back: a CSV file with its own header for each filing with a table, read again as cells."""
+    path = _scratch(spark, "parsed-files")
+    p = tb.parse_pipe_answers(answers_with_fields(spark, sf_dir), keep=("cik", "filing_date")).where(F.col("status") == tb.STATUS_OK)
+    more = F.array("cik", "filing_date")
+    wide.write_parsed(p.select("filing_id", "status", F.concat("header", F.array(*map(F.lit, fo.PROVENANCE_COLUMNS))).alias("header"),
+                               F.transform("rows", lambda r: F.concat(r, more)).alias("rows")), path)
+    return wide.read_tables(spark, path)
+
+
+def q_v1_files(spark, sf_dir):
+    """SNK3 there and back: a CSV file for each table of each answer, named by filer, date, item and number."""
+    path = _scratch(spark, "v1-files")
+    fields = fo.filing_fields(src.derived_filings(spark, sf_dir))
+    wide.write_tables(wide.csv_tables(src.derived_csv_answers(spark, sf_dir), fields), path)
+    return wide.read_tables(spark, path)
+
+
 def q_html_table_cells(spark, sf_dir):
     return ht.html_table_cells(src.derived_html_filings(spark, sf_dir))
 
@@ -414,6 +438,8 @@ def queries() -> dict[str, Query]:
         "filing_scan": q_filing_scan,
         "filing_stream": q_filing_stream,
         "filing_outcomes": q_filing_outcomes,
+        "parsed_files": q_parsed_files,
+        "v1_files": q_v1_files,
         "html_table_cells": q_html_table_cells,
         "canonical_columns": q_canonical_columns,
         "tokenized_docs": q_tokenized_docs,
