@@ -135,7 +135,8 @@ def with_best_line(df: DataFrame, scorer: str = "ratcliff", header: str = HEADER
     arg-max a fold over the line array (first maximum wins), all JVM-side.
     """
     if scorer == "ratcliff":
-        return df.withColumn("_best", best_line_udf(header, threshold)(candidates(F.col("_lines"), header, threshold)))
+        d = tx.with_once(df, _c=candidates(F.col("_lines"), header, threshold))
+        return d.withColumn("_best", best_line_udf(header, threshold)("_c.pos", "_c.line", "_c.bound")).drop("_c")
     scored = F.transform(F.col("_lines"), lambda l, i: F.struct(i.alias("pos"), levenshtein_ratio(l, header).alias("score")))
     init = F.struct(F.lit(-1).alias("pos"), F.lit(0.0).alias("score"))
     top = F.aggregate(scored, init, lambda acc, x: F.when(x["score"] > acc["score"], x).otherwise(acc))

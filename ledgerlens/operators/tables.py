@@ -86,6 +86,17 @@ def parse_pipe_answers(df: DataFrame, answer_col: str = "answer",
                     padded.alias("rows"), status.alias("status"), *[F.col(f"`{c}`") for c in keep])
 
 
+def provenance_rows(parsed: DataFrame, provenance: tuple[str, str]) -> DataFrame:
+    """TAB7: parsed tables (``header``, ``rows``) with the two named columns, filer id and filing date, at the end of
+    each row. A column that a table itself calls so is replaced, as an assignment to it would. Row-local."""
+    own = F.filter(F.transform("header", lambda h, i: F.when(~h.isin(PROVENANCE_COLUMNS), i)), lambda i: i.isNotNull())
+    d = tx.with_once(parsed, _own=own, _more=F.array(*[F.col(f"`{c}`").cast("string") for c in provenance]))
+    pick = lambda a: F.transform("_own", lambda i: F.get(a, i))
+    kept = lambda a: F.when(F.size("_own") == F.size("header"), a).otherwise(pick(a))
+    return d.withColumn("rows", F.transform("rows", lambda r: F.concat(kept(r), "_more"))).withColumn(
+        "header", F.concat(kept(F.col("header")), F.array(*map(F.lit, PROVENANCE_COLUMNS)))).drop("_own", "_more")
+
+
 def pipe_table_cells(df: DataFrame, answer_col: str = "answer", provenance: tuple[str, str] | None = None, **kw) -> DataFrame:
     """TAB1: long cells of every successfully parsed pipe table.
 
@@ -94,8 +105,7 @@ def pipe_table_cells(df: DataFrame, answer_col: str = "answer", provenance: tupl
     """
     p = parse_pipe_answers(df, answer_col, keep=provenance or (), **kw).where(F.col("status") == STATUS_OK)
     if provenance:
-        p = p.withColumn("header", F.concat("header", F.array(*map(F.lit, PROVENANCE_COLUMNS)))).withColumn(
-            "rows", F.transform("rows", lambda r: F.concat(r, F.array(*[F.col(f"`{c}`").cast("string") for c in provenance]))))
+        p = provenance_rows(p, provenance)
     r = p.select("filing_id", "header", F.posexplode("rows").alias("row_no", "row"))
     c = r.select("filing_id", "row_no", "header", F.posexplode("row").alias("col_no", "value"))
     return c.select("filing_id", F.lit(1).alias("table_no"), F.col("row_no").cast("long").alias("row_no"),
@@ -136,8 +146,28 @@ def table_columns(cells: DataFrame) -> DataFrame:
     return cells.groupBy("col_name").agg(F.count(F.lit(1)).alias("n"))
 
 
+def combine_rows(tables: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """TAB5, the outer union of all tables by column name, from parsed tables ``(filing_id, table_no, header, rows)``.
+
+    Row-local: each row's values are looked up by their place in its own table's header, which is found once a
+    table; no cell is made a row and nothing is shuffled. The canonical and provenance columns, or ``columns``, are columns of the
+    result, null where a table lacks them; every other name is kept in the map ``other`` (name to value). Of equal names the first counts.
+    """
+    cols = columns or (CANONICAL_COLUMNS + PROVENANCE_COLUMNS)
+    first = lambda h, i: F.array_position("header", h) == i + 1
+    rest = F.filter(F.transform("header", lambda h, i: F.when(first(h, i) & ~h.isin(cols), i)), lambda i: i.isNotNull())
+    at = F.array(*[F.array_position("header", F.lit(c)).cast("int") for c in cols])
+    d = tx.with_once(tables.select("filing_id", "table_no", "header", "rows"), _at=at, _rest=rest)
+    d = tx.with_once(d, _names=F.transform("_rest", lambda i: F.get("header", i)))
+    r = d.select("filing_id", "table_no", "_at", "_rest", "_names", F.posexplode("rows").alias("row_no", "_row"))
+    # an absent name has place 0, which is no index
+    named = [F.get("_row", F.get("_at", F.lit(k)) - 1).alias(c) for k, c in enumerate(cols)]
+    return r.select("filing_id", "table_no", F.col("row_no").cast("long").alias("row_no"), *named,
+                    F.map_from_arrays("_names", F.transform("_rest", lambda i: F.get("_row", i))).alias("other"))
+
+
 def combine_tables(cells: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """TAB5: outer union of all filing tables by column name.
+    """TAB5 from long cells, where the tables themselves (``combine_rows``) are no longer at hand.
 
     One aggregation over the long cells (one shuffle on ``filing_id,
     table_no, row_no``). The canonical and provenance columns, or ``columns``,
@@ -245,5 +275,5 @@ def answers_from_responses(df: DataFrame, resp_col: str = "response") -> DataFra
 
 
 __all__ = ["NA_TOKENS", "ANSWER_MARKER", "parse_pipe_answers", "pipe_table_cells",
-           "with_provenance", "extraction_status", "combine_tables", "csv_table_cells",
+           "with_provenance", "provenance_rows", "extraction_status", "combine_rows", "combine_tables", "csv_table_cells",
            "csv_table_status", "v1_table_names", "answers_from_responses"]

@@ -159,17 +159,25 @@ COMBINED_COLUMNS = ["Start Date", "End Date", "Class of Shares", "Number of Shar
 
 
 def answers_with_fields(spark, sf_dir):
-    fields = fo.filing_fields(src.derived_filings(spark, sf_dir))
-    return answers(spark, sf_dir).join(fields, "filing_id", "left")
+    """Answers beside the filer and date of the filing that they are for: row-local, the run keeps both in a row."""
+    e = src.derived_extractions(spark, sf_dir)
+    f = fo.fields_struct("text")
+    return e.select("filing_id", fo.answer_text("response").alias("answer"), f.alias("_f")).select(
+        "filing_id", "answer", F.col("_f.cik").alias("cik"), F.col("_f.date").alias("filing_date"))
 
 
 def q_tables_with_provenance(spark, sf_dir):
     return tb.pipe_table_cells(answers_with_fields(spark, sf_dir), provenance=("cik", "filing_date"))
 
 
+def parsed_with_provenance(spark, sf_dir):
+    p = tb.parse_pipe_answers(answers_with_fields(spark, sf_dir), keep=("cik", "filing_date")).where(F.col("status") == tb.STATUS_OK)
+    return tb.provenance_rows(p, ("cik", "filing_date"))
+
+
 def q_combine_tables(spark, sf_dir):
-    wide = tb.combine_tables(q_tables_with_provenance(spark, sf_dir), COMBINED_COLUMNS)
-    return wide.withColumn("other", F.to_json("other"))
+    tables = parsed_with_provenance(spark, sf_dir).withColumn("table_no", F.lit(1))
+    return tb.combine_rows(tables, COMBINED_COLUMNS).withColumn("other", F.to_json("other"))
 
 
 def q_csv_edge_cells(spark, sf_dir):
@@ -407,10 +415,7 @@ def _scratch(spark, name):
 def q_parsed_files(spark, sf_dir):
     """SNK1 there and back: a CSV file with its own header for each filing with a table, read again as cells."""
     path = _scratch(spark, "parsed-files")
-    p = tb.parse_pipe_answers(answers_with_fields(spark, sf_dir), keep=("cik", "filing_date")).where(F.col("status") == tb.STATUS_OK)
-    more = F.array("cik", "filing_date")
-    wide.write_parsed(p.select("filing_id", "status", F.concat("header", F.array(*map(F.lit, fo.PROVENANCE_COLUMNS))).alias("header"),
-                               F.transform("rows", lambda r: F.concat(r, more)).alias("rows")), path)
+    wide.write_parsed(parsed_with_provenance(spark, sf_dir), path)
     return wide.read_tables(spark, path)
 
 

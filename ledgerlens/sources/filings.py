@@ -89,17 +89,18 @@ def _money(c) -> F.Column:
     return c.cast("decimal(18,2)").cast("string")
 
 
-def _order_lines(spark: SparkSession, sf_dir: str, row_fmt) -> DataFrame:
-    """Per order: its lineitems rendered by ``row_fmt`` and joined by newline
+def _order_lines(spark: SparkSession, sf_dir: str, **row_fmts) -> DataFrame:
+    """Per order: its lineitems rendered by each of ``row_fmts`` and joined by newline
     in line-number order. One shuffle of lineitem by order key; groups are
     one order's lines (bounded)."""
     li = table(spark, sf_dir, "lineitem")
-    rows = li.select("l_orderkey", "l_linenumber", row_fmt(li).alias("row"))
-    # ties on the line number are ordered by the rendered row (stable result)
-    return (rows.groupBy("l_orderkey")
-            .agg(F.array_join(F.transform(
-                F.array_sort(F.collect_list(F.struct("l_linenumber", "row"))),
-                lambda x: x["row"]), "\n").alias("body")))
+    rows = li.select("l_orderkey", "l_linenumber", *[f(li).alias(n) for n, f in row_fmts.items()])
+
+    def joined(name):
+        # ties on the line number are ordered by the rendered row (stable result)
+        lines = F.array_sort(F.collect_list(F.struct("l_linenumber", F.col(name).alias("row"))))
+        return F.array_join(F.transform(lines, lambda x: x["row"]), "\n").alias(name)
+    return rows.groupBy("l_orderkey").agg(*[joined(n) for n in row_fmts])
 
 
 def derived_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +112,17 @@ def derived_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     line, a date of ``N/A``.
     """
     o = table(spark, sf_dir, "orders")
-    body = _order_lines(spark, sf_dir, lambda li: F.concat_ws(
-        " ", F.lit("Purchase"), li.l_linenumber.cast("string"), F.lit("of"),
-        _money(li.l_quantity), F.lit("shares at"), _money(li.l_extendedprice),
-        F.lit("on"), _d(li.l_shipdate)))
+    body = _order_lines(spark, sf_dir, body=_purchase_line)
+    return (o.join(body, o.o_orderkey == body.l_orderkey, "left")
+            .select(o.o_orderkey.cast("string").alias("filing_id"), _filing_text(o, F.col("body")).alias("text")))
+
+
+def _purchase_line(li: DataFrame) -> Column:
+    return F.concat_ws(" ", F.lit("Purchase"), li.l_linenumber.cast("string"), F.lit("of"), _money(li.l_quantity),
+                       F.lit("shares at"), _money(li.l_extendedprice), F.lit("on"), _d(li.l_shipdate))
+
+
+def _filing_text(o: DataFrame, body: Column) -> Column:
     pr = o.o_orderpriority
     part2 = (F.when(pr == "1-URGENT", F.lit(""))
              .when(pr == "2-HIGH", F.lit("PART\u00a0II. OTHER INFORMATION\n"))
@@ -124,7 +132,7 @@ def derived_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cik = F.when(pr == "5-LOW", F.lit("")).otherwise(
         F.concat(F.lit("CENTRAL INDEX KEY: CIK "), F.lpad(o.o_custkey.cast("string"), 10, "0"), F.lit("\n")))
     date = F.when(o.o_orderstatus == "P", F.lit("N/A")).otherwise(_d(o.o_orderdate))
-    text = F.concat(
+    return F.concat(
         F.lit("QUARTERLY REPORT "), o.o_orderkey.cast("string"), F.lit("\n"),
         cik,
         F.lit("FILED AS OF Date: "), date, F.lit("\n"),
@@ -133,10 +141,8 @@ def derived_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         part2,
         F.lit("Item 1. Legal Proceedings\nNone.\n"),
         item2, F.lit(". Unregistered Sales of Equity Securities and Use of Proceeds\n"),
-        F.coalesce(F.col("body"), F.lit("")), F.lit("\n"),
+        F.coalesce(body, F.lit("")), F.lit("\n"),
         tail)
-    return (o.join(body, o.o_orderkey == body.l_orderkey, "left")
-            .select(o.o_orderkey.cast("string").alias("filing_id"), text.alias("text")))
 
 
 def derived_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,30 +153,42 @@ def derived_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, empty answers and answers without the marker.
     """
     o = table(spark, sf_dir, "orders")
+    body = _order_lines(spark, sf_dir, body=_answer_line)
+    return (o.join(body, o.o_orderkey == body.l_orderkey, "left")
+            .select(o.o_orderkey.cast("string").alias("filing_id"), _response(o, F.col("body")).alias("response")))
+
+
+def derived_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filings with the answers that a model gave for them, as a run keeps them: ``(filing_id, text, response)``."""
+    o = table(spark, sf_dir, "orders")
+    body = _order_lines(spark, sf_dir, purchases=_purchase_line, answer=_answer_line)
+    return (o.join(body, o.o_orderkey == body.l_orderkey, "left")
+            .select(o.o_orderkey.cast("string").alias("filing_id"), _filing_text(o, F.col("purchases")).alias("text"),
+                    _response(o, F.col("answer")).alias("response")))
 
-    def row(li):
-        base = [F.lit(""), _d(li.l_shipdate), _d(F.date_add(li.l_shipdate, 30)),
-                F.concat(F.lit("Class "), li.l_returnflag), _money(li.l_quantity)]
-        full = F.concat_ws(" | ", *base, _money(li.l_extendedprice), F.lit(""))
-        short = F.concat_ws(" | ", *base, F.lit(""))
-        long = F.concat_ws(" | ", *base, _money(li.l_extendedprice), _money(li.l_tax), F.lit(""))
-        return (F.when(li.l_linestatus == "F", short)
-                .when((li.l_returnflag == "R") & (li.l_linenumber == 7), long)
-                .otherwise(full))
-
-    body = _order_lines(spark, sf_dir, lambda li: F.trim(row(li)))
+
+def _answer_line(li: DataFrame) -> Column:
+    base = [F.lit(""), _d(li.l_shipdate), _d(F.date_add(li.l_shipdate, 30)),
+            F.concat(F.lit("Class "), li.l_returnflag), _money(li.l_quantity)]
+    full = F.concat_ws(" | ", *base, _money(li.l_extendedprice), F.lit(""))
+    short = F.concat_ws(" | ", *base, F.lit(""))
+    long = F.concat_ws(" | ", *base, _money(li.l_extendedprice), _money(li.l_tax), F.lit(""))
+    return F.trim(F.when(li.l_linestatus == "F", short)
+                  .when((li.l_returnflag == "R") & (li.l_linenumber == 7), long)
+                  .otherwise(full))
+
+
+def _response(o: DataFrame, body: Column) -> Column:
     header = ("| Start Date | End Date | Class of Shares | Number of Shares | "
               "Dollar Value of Shares Repurchased |\n|---|---|---|---|---|\n")
-    table_txt = F.concat(F.lit(header), F.coalesce(F.col("body"), F.lit("")),
+    table_txt = F.concat(F.lit(header), F.coalesce(body, F.lit("")),
                          F.lit("\n<END_OF_TABLE>\n| trailing | junk |"))
     pr, st = o.o_orderpriority, o.o_orderstatus
-    resp = (F.when(st == "P", F.lit(""))
+    return (F.when(st == "P", F.lit(""))
             .when(pr == "1-URGENT", F.lit("Extract the table.\nOUTPUTT:\nNo repurchases were reported."))
             .when(pr == "2-HIGH", F.concat(F.lit("Extract the table.\nOUTPUTT:\n"), F.lit(header)))
             .when(pr == "5-LOW", table_txt)
             .otherwise(F.concat(F.lit("Extract the table.\nOUTPUTT:\n"), table_txt)))
-    return (o.join(body, o.o_orderkey == body.l_orderkey, "left")
-            .select(o.o_orderkey.cast("string").alias("filing_id"), resp.alias("response")))
 
 
 def derived_csv_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +196,7 @@ def derived_csv_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``---TABLE---``: a line table with a quoted comma and a ``;`` list cell,
     a summary table, and (for some orders) an unparsable fragment."""
     o = table(spark, sf_dir, "orders")
-    body = _order_lines(spark, sf_dir, lambda li: F.concat_ws(
+    body = _order_lines(spark, sf_dir, body=lambda li: F.concat_ws(
         ",", li.l_linenumber.cast("string"), _money(li.l_quantity),
         F.concat(F.lit('"'), li.l_returnflag, F.lit(","), li.l_linestatus, F.lit('"')),
         F.concat(_d(li.l_shipdate), F.lit(";"), _d(F.date_add(li.l_shipdate, 1)))))
@@ -219,7 +237,7 @@ def derived_html_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
             + "<tr><td><b>Period</b></td>" + "".join(f"{sp}<td colspan=\"3\"><b>{x}</b></td>" for x in
                                                      ("of Shares Purchased", "Price Paid per Share",
                                                       "Purchased as Part of Programs")) + "</tr>")
-    body = _order_lines(spark, sf_dir, lambda li: F.concat(
+    body = _order_lines(spark, sf_dir, body=lambda li: F.concat(
         F.lit("<tr><td>"), _d(li.l_shipdate), F.lit("</td>" + sp + "<td>&nbsp;</td><td>"),
         _money(li.l_quantity), F.lit("</td><td>&nbsp;</td>" + sp + "<td>$</td><td>"),
         _money(li.l_extendedprice), F.lit("</td><td>&nbsp;</td>" + sp + "<td>&nbsp;</td><td>"),

@@ -119,11 +119,13 @@ def test_every_outcome(spark):
 
 def test_error_of_one_filing_stays_its_own(spark):
     """A scorer that fails on one filing gives that filing an error, in the same Arrow batch as others."""
+    import numpy as np
     import pandas as pd
     from ledgerlens.functions import similarity as sim
     best = sim.best_line_udf(fo.HEADER_REFERENCE, 0.1).func
-    good = [{"pos": 0, "line": "Item 2. Unregistered sales", "bound": 0.9}]
-    got = best(pd.Series([good, [{"pos": 0, "line": 5, "bound": 0.9}], None, good]))
+    pos, bound = np.array([0]), np.array([0.9])
+    good, bad = np.array(["Item 2. Unregistered sales"], object), np.array([5], object)
+    got = best(pd.Series([pos, pos, None, pos]), pd.Series([good, bad, None, good]), pd.Series([bound, bound, None, bound]))
     assert got["pos"].isna().tolist() == [False, True, True, False]
     assert "AttributeError" in got["error"][1] and got["error"].isna().tolist() == [True, False, True, True]
 

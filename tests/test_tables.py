@@ -82,3 +82,18 @@ def test_combined_tables_keep_unlisted_columns(spark):
     cells = tb.pipe_table_cells(_answers(spark, [("a", "| A | Shares Bought |\n| 1 | 2 |")]))
     row = tb.combine_tables(cells, ["A"]).first()
     assert row.A == "1" and row.other == {"Shares Bought": "2"}
+
+
+def test_outer_union_is_row_local(spark):
+    tables = spark.createDataFrame([("f", 1, ["A", "X", "A", "X", "Y"], [["1", "x1", "2", "x2", "y"], ["3", "x3", "4", None, None]]), ("g", 1, ["B"], [["5"]]), ("h", 1, [], [])],
+                                   "filing_id string, table_no int, header array<string>, rows array<array<string>>")
+    out = tb.combine_rows(tables, ["A", "B", "CIK"])
+    got = sorted((r.filing_id, r.row_no, r.A, r.B, r.CIK, tuple(sorted(r.other.items()))) for r in out.collect())
+    assert got == [("f", 0, "1", None, None, (("X", "x1"), ("Y", "y"))), ("f", 1, "3", None, None, (("X", "x3"), ("Y", None))), ("g", 0, None, "5", None, ())]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString().replace("Scan ExistingRDD", "")
+
+
+def test_provenance_replaces_a_column_of_its_name(spark):
+    t = spark.createDataFrame([("f", ["A", "CIK", "B"], [["1", "own", "2"]], "77", "2011")], "filing_id string, header array<string>, rows array<array<string>>, cik string, day string")
+    r = tb.provenance_rows(t, ("cik", "day")).first()
+    assert r.header == ["A", "B", "CIK", "Filing Date"] and r.rows == [["1", "2", "77", "2011"]]
