@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.hashing import hash_key
+from ledgerlens.functions.text import with_once
+from ledgerlens.operators.dictionary import DICTIONARY_BYTES, freeze
 from ledgerlens.operators.vectors import tokens
 from ledgerlens.session import ensure_checkpoint_dir
 
@@ -63,15 +65,19 @@ def vocabulary(docs: DataFrame, text_col: str = "text", max_length: int = MAX_LE
 
 
 def tokenized(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              max_length: int = MAX_LENGTH, unknown_id: int = UNKNOWN_ID) -> DataFrame:
+              max_length: int = MAX_LENGTH, unknown_id: int = UNKNOWN_ID, dictionary_bytes: int = DICTIONARY_BYTES) -> DataFrame:
     """TRN1: ``(doc_id, n_tokens, input_ids array<long>, attention_mask)`` of every document.
 
-    One plan at any vocabulary size: tokens with their positions are joined
-    to the vocabulary by token (Spark broadcasts it by its true size or splits
-    the frequent tokens) and gathered per document, of at most
-    ``max_length`` tokens. A token that the vocabulary lacks gets
-    ``unknown_id``; a document without tokens has empty arrays.
+    Row-local where the vocabulary fits a frozen dictionary of ``dictionary_bytes`` (``dictionary.freeze``): no
+    token crosses a shuffle. Above it tokens with their positions are joined to the vocabulary by token (Spark
+    splits the frequent ones) and gathered per document, of at most ``max_length`` tokens. A token that the vocabulary
+    lacks gets ``unknown_id``; a document without tokens has empty arrays. Both ways give the same rows.
     """
+    d = freeze(vocab, dictionary_bytes)
+    if d is not None:
+        t = with_once(docs.select(id_col, text_col), _t=F.coalesce(tokens(F.col(text_col), max_length), F.array().cast("array<string>")))
+        return t.select(id_col, F.size("_t").cast("long").alias("n_tokens"), d.ids(F.col("_t"), unknown_id).alias("input_ids"),
+                        F.array_repeat(F.lit(1), F.size("_t")).alias("attention_mask"))
     pos = docs.select(id_col, F.posexplode_outer(tokens(F.col(text_col), max_length)).alias("pos", "token"))
     j = pos.join(vocab.select("token", "token_id"), "token", "left")
     item = F.when(F.col("token").isNotNull(), F.struct("pos", F.coalesce("token_id", F.lit(unknown_id)).cast("long").alias("token_id")))

@@ -31,3 +31,32 @@ def test_tokenize_batches_and_padding(spark):
     for r in p:
         by_batch.setdefault((r.epoch, r.batch_id), set()).add(len(r.input_ids))
     assert all(len(v) == 1 for v in by_batch.values())
+
+
+def test_row_local_ids_are_those_of_the_join(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b  c a", "B", "", None, " \n", "zeta a é 日本", "x " * 2000, "a b"])], "doc_id long, text string").repartition(3)
+    vocab = tp.vocabulary(docs.where("doc_id <> 5"))
+    def rows(df):
+        return sorted((r.doc_id, r.n_tokens, r.input_ids, r.attention_mask) for r in df.collect())
+    local, joined = tp.tokenized(docs, vocab), tp.tokenized(docs, vocab, dictionary_bytes=0)
+    assert rows(local) == rows(joined) and len(rows(local)) == 8
+    def plan(df):
+        return df.select("*")._jdf.queryExecution().executedPlan().toString()  # not run yet: the plan once
+    assert plan(local).count("Exchange") == plan(docs).count("Exchange") == 1 and plan(joined).count("Exchange") > 1
+    assert "Join" not in plan(local) and "Join" in plan(joined)
+    one = {r.doc_id: r.input_ids for r in local.collect()}
+    assert -1 in one[5] and len(one[6]) == tp.MAX_LENGTH
+
+
+def test_dictionary_tells_colliding_hashes_apart(spark):
+    import numpy as np
+    import pyarrow as pa
+    from ledgerlens.operators import dictionary as dic
+    h, g, ids = np.array([-5, 7, 7, 7, 9]), np.array([1, 1, 2, 3, 1]), np.array([10, 11, 12, 13, 14])
+    first, second = pa.array([[7, 7, 9], None, [], [7, -5, 8, 100, -100]]), pa.array([[3, 1, 1], None, [], [4, 1, 1, 1, 1]])
+    assert dic.search(h, g, ids, 3, first, second, -1).to_pylist() == [[13, 11, 14], [], [], [-1, 10, -1, -1, -1]]
+    assert dic.search(h[:0], g[:0], ids[:0], 1, first, second, -1).to_pylist() == [[-1] * 3, [], [], [-1] * 5]
+    vocab = spark.createDataFrame([(f"t{i}", i) for i in range(300)], "token string, token_id long")
+    assert dic.freeze(vocab, 300 * dic.BYTES_PER_TOKEN - 1) is None
+    assert dic.freeze(vocab, 300 * dic.BYTES_PER_TOKEN).longest_run == 1
+    assert dic.freeze(vocab.unionByName(vocab)) is None  # the same token twice cannot be told apart
