@@ -6,7 +6,9 @@ Result rows ``(query_id, id, score, rank)``: the best ``k`` by score (ties:
 lower id first), then rows with ``score < floor`` dropped - so a query may
 get fewer than ``k`` hits (the floor commutes with the top-k).
 
-Two physical strategies, chosen by a size check of the index:
+Vectors that are null, hold a null or differ in length from the index's longest have no hits and are none.
+
+Three physical strategies; without a choice a size check of the index takes one of the first two:
 
 * **broadcast** - index rows x dim x 8 bytes <= ``broadcast_bytes``: the
   index is shipped once to every executor; queries stay where they are and
@@ -16,6 +18,8 @@ Two physical strategies, chosen by a size check of the index:
   pair meets in one cogroup task that emits only its local top-k per
   query; a final ``row_number() <= k`` per query merges ``k * B``
   candidates. Task memory is bounded by the block sizes, never by a key.
+* **pruned** - the blocked search over *cells* of near vectors (``PrunedSearch``), which leaves out
+  the (query, cell) pairs whose bound cannot reach the query's ``k``-th score. Exact as well.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.session import ensure_checkpoint_dir
+
 HIT_SCHEMA = "query_id long, id long, score double, rank long"
 CAND_SCHEMA = "query_id long, id long, score double"
 DEFAULT_K = 5
@@ -91,6 +97,7 @@ def topk_search(queries: DataFrame, index: DataFrame, k: int = DEFAULT_K, floor:
                       F.col(index_vec).cast("array<double>").alias("iv"))
     stats = ix.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("iv")).alias("d")).first()
     n_index, dim = stats["n"], stats["d"] or 0
+    q, ix = (x.where((F.size(v) == dim) & ~F.exists(v, lambda e: e.isNull())) for x, v in ((q, "qv"), (ix, "iv")))
     if strategy == "auto":
         strategy = "broadcast" if n_index * max(dim, 1) * 8 <= broadcast_bytes else "blocked"
     if strategy == "broadcast":
@@ -99,6 +106,8 @@ def topk_search(queries: DataFrame, index: DataFrame, k: int = DEFAULT_K, floor:
         n_query = q.count()
         return _blocked_search(q, ix, k, floor, max(1, math.ceil(n_query / query_block)),
                                max(1, math.ceil(n_index / index_block)))
+    if strategy == "pruned":
+        return PrunedSearch(ix, k, floor, max(1, math.ceil(n_index / index_block)), query_block, index_block).hits(q)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -125,12 +134,8 @@ def _broadcast_search(q: DataFrame, ix: DataFrame, k: int, floor: float, size: i
     return q.mapInArrow(run, HIT_SCHEMA)
 
 
-def _blocked_search(q: DataFrame, ix: DataFrame, k: int, floor: float, nq: int, ni: int) -> DataFrame:
-    qr = (q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(nq)))
-          .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(ni - 1)))))
-    irr = (ix.withColumn("ib", F.pmod(F.xxhash64("id"), F.lit(ni)))
-           .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))))
-
+def _local_join(qr: DataFrame, irr: DataFrame, keys: list[str], k: int, floor: float) -> DataFrame:
+    """Local top-k of the queries and index rows that meet in a block."""
     def local(qpdf: pd.DataFrame, ipdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(ipdf) == 0:
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
@@ -138,15 +143,141 @@ def _blocked_search(q: DataFrame, ix: DataFrame, k: int, floor: float, nq: int,
         cols = _local_topk(qpdf["query_id"].to_numpy(), _matrix(list(qpdf["qv"])),
                            ipdf["id"].to_numpy(), _matrix(list(ipdf["iv"])), k, floor, False)
         return pd.DataFrame(cols)
+    return qr.groupBy(*keys).cogroup(irr.groupBy(*keys)).applyInPandas(local, CAND_SCHEMA)
+
 
-    cand = (qr.groupBy("qb", "ib").cogroup(irr.groupBy("qb", "ib"))
-            .applyInPandas(local, CAND_SCHEMA))
+def _ranked(cand: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
     return (cand.withColumn("rank", F.row_number().over(w).cast("long"))
             .where(F.col("rank") <= k)
             .select("query_id", "id", "score", "rank"))
 
 
+def _blocked_search(q: DataFrame, ix: DataFrame, k: int, floor: float, nq: int, ni: int) -> DataFrame:
+    qr = (q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(nq)))
+          .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(ni - 1)))))
+    irr = (ix.withColumn("ib", F.pmod(F.xxhash64("id"), F.lit(ni)))
+           .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))))
+    return _ranked(_local_join(qr, irr, ["qb", "ib"], k, floor), k)
+
+
+#: Index rows that the cells' centres are fitted on, at most (those of least id hash), and cells, at most.
+FIT_ROWS = 16384
+MAX_CELLS = 2048
+_FIT_ROUNDS = 8
+#: Slack for the rounding of bounds against that of scores.
+_SLACK = 1e-9
+
+
+def fit_centres(sample: np.ndarray, cells: int) -> np.ndarray:
+    """Centres of ``cells`` groups of the sample's rows: farthest-first starts, then a few Lloyd rounds."""
+    centres = sample[:1]
+    apart = ((sample - centres[0]) ** 2).sum(1)
+    while len(centres) < cells and apart.max() > 0:
+        centres = np.concatenate([centres, sample[[int(apart.argmax())]]])
+        apart = np.minimum(apart, ((sample - centres[-1]) ** 2).sum(1))
+    for _ in range(_FIT_ROUNDS):
+        at = nearest_centre(sample, centres)[0]
+        used = np.unique(at)
+        centres = np.stack([sample[at == c].mean(0) for c in used])
+    return centres
+
+
+def nearest_centre(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(centre, distance to it) of each row."""
+    d2 = (x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)[None, :]
+    at = d2.argmin(1)
+    return at, np.sqrt(((x - centres[at]) ** 2).sum(1))
+
+
+class PrunedSearch:
+    """Exact top-k over an index whose rows lie in cells with a centre and a radius.
+
+    Centres are fitted on at most ``FIT_ROWS`` rows; every row is put in the cell of its nearest centre, and a cell's
+    radius covers all its rows, so ``query . centre + |query| * radius`` bounds each score in the cell. A query first
+    searches the cell that promises most, which gives it ``k`` scores to beat (or the floor), and then only the cells whose
+    bound reaches the ``k``-th of them. Large cells, and cells that many queries ask, are cut into blocks, so a task holds
+    ``query_block`` queries and ``index_block`` rows whatever the data; the driver holds the centres and a row a cell.
+    """
+
+    def __init__(self, ix: DataFrame, k: int, floor: float, cells: int, query_block: int, index_block: int):
+        self.k, self.floor, self.query_block, self.index_block = k, floor, query_block, index_block
+        ensure_checkpoint_dir(ix.sparkSession)
+        sample = ix.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("iv").toArrow()
+        self.empty = sample.num_rows == 0
+        if self.empty:
+            return
+        centres = fit_centres(_matrix(sample.column("iv")), min(cells, MAX_CELLS, max(1, sample.num_rows // 4)))
+
+        def assign(batches):
+            for b in batches:
+                if b.num_rows:
+                    at, far = nearest_centre(_matrix(b.column("iv")), centres)
+                    yield pa.RecordBatch.from_arrays([b.column("id"), b.column("iv"), pa.array(at, pa.int32()), pa.array(far)], ["id", "iv", "cell", "far"])
+        self.rows = ix.mapInArrow(assign, "id long, iv array<double>, cell int, far double").checkpoint()
+        found = self.rows.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).orderBy("cell").collect()
+        self.cells = np.array([r.cell for r in found])
+        self.centres, self.radius = centres[self.cells], np.array([r.radius for r in found])
+        self.blocks = {r.cell: -(-r.n // index_block) for r in found}
+
+    def _ask(self, wanted: DataFrame) -> DataFrame:
+        """Candidates of (query_id, qv, cell) rows from their cells."""
+        wanted = wanted.checkpoint()
+        asked = {r.cell: -(-r["n"] // self.query_block) for r in wanted.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if not asked:
+            return wanted.select("query_id", F.lit(0).cast("long").alias("id"), F.lit(0.0).alias("score")).limit(0)
+        spark = wanted.sparkSession
+        plan = F.broadcast(spark.createDataFrame([(int(c), n, self.blocks[c]) for c, n in asked.items()], "cell int, nq int, ni int"))
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        part = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+        qr = wanted.join(plan, "cell").select("query_id", "qv", "cell", part("query_id", "nq").alias("qb"), each("ni").alias("ib"))
+        irr = self.rows.join(plan, "cell").select("id", "iv", "cell", part("id", "ni").alias("ib"), each("nq").alias("qb"))
+        return _local_join(qr, irr, ["cell", "qb", "ib"], self.k, self.floor)
+
+    def _wanted(self, q: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(candidates of each query's first cell, the further (query_id, qv, cell) rows that its bounds leave)."""
+        cells, centres, radius = self.cells, self.centres, self.radius
+
+        def bounds(b):
+            Q = _matrix(b.column("qv"))
+            return Q @ centres.T + np.sqrt((Q * Q).sum(1))[:, None] * radius[None, :]
+
+        def home(batches):
+            for b in batches:
+                if b.num_rows:
+                    at = cells[bounds(b).argmax(1)]
+                    yield pa.RecordBatch.from_arrays([b.column("query_id"), b.column("qv"), pa.array(at, pa.int32())], ["query_id", "qv", "cell"])
+
+        def reach(batches):
+            for b in batches:
+                if b.num_rows:
+                    least = b.column("least").to_numpy(zero_copy_only=False)
+                    row, cell = np.nonzero(bounds(b) >= (least - _SLACK * np.maximum(1.0, np.abs(least)))[:, None])
+                    other = cells[cell] != b.column("cell").to_numpy()[row]
+                    row, cell = row[other], cells[cell[other]]
+                    picked = pa.array(row)
+                    yield pa.RecordBatch.from_arrays([b.column("query_id").take(picked), b.column("qv").take(picked), pa.array(cell, pa.int32())],
+                                                     ["query_id", "qv", "cell"])
+        schema = "query_id long, qv array<double>, cell int"
+        first = q.mapInArrow(home, schema).checkpoint()
+        near = _ranked(self._ask(first), self.k).checkpoint()
+        least = near.where(F.col("rank") == self.k).select("query_id", F.col("score").alias("least")).distinct()
+        further = (first.join(least, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(float(self.floor))))
+                   .mapInArrow(reach, schema))
+        return near.drop("rank"), further
+
+    def hits(self, q: DataFrame) -> DataFrame:
+        if self.empty:
+            return q.select("query_id", F.lit(0).cast("long").alias("id"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("rank")).limit(0)
+        near, further = self._wanted(q)
+        return _ranked(near.unionByName(self._ask(further)), self.k)
+
+    def report(self, q: DataFrame) -> dict[str, int]:
+        """How many (query, cell) pairs there are, and how many of them are searched."""
+        n = q.count()
+        return {"pairs": 0, "searched": 0} if self.empty else {"pairs": n * len(self.cells), "searched": n + self._wanted(q)[1].count()}
+
+
 def with_metadata(hits: DataFrame, index: DataFrame, index_id: str = "id",
                   cols: tuple[str, ...] = ("name", "doc"), broadcast_rows: int = 1_000_000) -> DataFrame:
     """Attach index metadata to hits; the index side is broadcast only when

@@ -177,6 +177,7 @@ FROM j"""
         "project_vectors": by("vec_id", OV.projected(emb, 64, 256)),
         "ensemble_vectors": by("vec_id", OV.normalized(cent)),
         "topk_search": f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({OV.topk(emb, emb, 5, 0.5)})",
+        "topk_search_pruned": f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({OV.topk(emb, emb, 5, 0.0)})",
         "topk_search_blocked": f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({OV.topk(emb, emb, 5, 0.0)})",
         "merge_embeddings": merge,
         "cell_prompts": OV.cell_prompts(),

@@ -459,6 +459,7 @@ def queries() -> dict[str, Query]:
         "ensemble_vectors": q_ensemble_vectors,
         "topk_search": _search("auto", rt.DEFAULT_K, rt.DEFAULT_FLOOR),
         "topk_search_blocked": _search("blocked", rt.DEFAULT_K, 0.0, query_block=128, index_block=128),
+        "topk_search_pruned": _search("pruned", rt.DEFAULT_K, 0.0, query_block=128, index_block=32),
         "merge_embeddings": q_merge_embeddings,
         "cell_prompts": q_cell_prompts,
         "cell_embeddings": q_cell_embeddings,

@@ -67,7 +67,7 @@ def _brute(Q, qids, I, ids, k, floor):
     return out
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "blocked"])
+@pytest.mark.parametrize("strategy", ["broadcast", "blocked", "pruned"])
 def test_topk_equals_brute_force(spark, strategy):
     rng = np.random.default_rng(3)
     I = rng.normal(size=(60, 6))
@@ -85,6 +85,35 @@ def test_topk_equals_brute_force(spark, strategy):
         assert got == _brute(Q, qids, I, ids, k, floor)
 
 
+def test_pruned_search_skips_pairs_and_stays_exact(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 8))
+    I = np.concatenate([c + 0.02 * rng.normal(size=(40, 8)) for c in centres] + [np.repeat(centres[:1], 150, axis=0)])  # one common vector
+    I /= np.linalg.norm(I, axis=1, keepdims=True)
+    ids, qids = list(range(len(I))), list(range(0, len(I), 7))
+    ix = spark.createDataFrame([(i, I[i].tolist()) for i in ids], "id long, vec array<double>").repartition(3)
+    qd = spark.createDataFrame([(i, I[i].tolist()) for i in qids], "query_id long, vec array<double>").repartition(2)
+    hits = rt.topk_search(qd, ix, k=4, floor=0.2, strategy="pruned", query_block=10, index_block=30)
+    got = {(r.query_id, r.id, round(r.score, 9), r.rank) for r in hits.collect()}
+    assert got == _brute(I[qids], qids, I, ids, 4, 0.2)
+    search = rt.PrunedSearch(ix.selectExpr("id", "vec as iv"), 4, 0.2, 20, 10, 30)
+    assert max(search.blocks.values()) > 1 and sum(r["n"] for r in search.rows.groupBy("cell").count().withColumnRenamed("count", "n").collect()) == len(I)
+    report = search.report(qd.selectExpr("query_id", "vec as qv"))
+    assert report["pairs"] == len(qids) * len(search.cells) and report["searched"] < 0.5 * report["pairs"]
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "blocked", "pruned"])
+def test_vectors_that_are_none(spark, strategy):
+    good = [(1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    bad = [(3, None), (4, [1.0]), (5, [1.0, None]), (6, [])]
+    rows = spark.createDataFrame(good + bad, "id long, vec array<double>")
+    got = sorted((r.query_id, r.id) for r in rt.topk_search(rows, rows, k=5, floor=-2.0, query_id="id", strategy=strategy).collect())
+    assert got == [(1, 1), (1, 2), (2, 1), (2, 2)]
+    none = rows.limit(0)
+    assert rt.topk_search(none, rows, query_id="id", strategy=strategy).collect() == []
+    assert rt.topk_search(rows, none, query_id="id", strategy=strategy).collect() == []
+
+
 def test_floor_is_inclusive(spark):
     qd = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, vec array<double>")
     ix = spark.createDataFrame([(1, [0.5, 0.0]), (2, [0.4999, 0.0]), (3, [1.0, 0.0])], "id long, vec array<double>")
