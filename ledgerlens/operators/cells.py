@@ -13,12 +13,13 @@ size is bounded by the schema and the search uses the broadcast strategy.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.text import shorten
 from ledgerlens.operators import retrieval as rt
 from ledgerlens.operators import vectors as vx
+from ledgerlens.operators.trainprep import global_row_number
 from ledgerlens.session import ensure_checkpoint_dir
 
 # --- fixed values: prompt wording of the cell encoder -----------------------
@@ -33,15 +34,14 @@ PIPELINE_K = 3
 
 def column_index(docs: DataFrame, encoder=None, weights: DataFrame | None = None,
                  materialize: bool = True) -> DataFrame:
-    """``(id, table_name, name, doc, vec)`` - ids by (table, column) order
-    (one row per column: the window over the whole set is small).
+    """``(id, table_name, name, doc, vec)`` - ids by (table, column) order, numbered
+    over range partitions (``global_row_number``), so any number of columns will do.
 
     The index is read several times (size check, broadcast, metadata,
     target documents); it is checkpointed once to the cluster's checkpoint
     folder so the sampling behind it is not recomputed for every read.
     """
-    w = Window.orderBy("table_name", "column_name")
-    d = docs.withColumn("id", (F.row_number().over(w) - 1).cast("long"))
+    d = global_row_number(docs, [F.col("table_name"), F.col("column_name")], "id").withColumn("id", F.col("id") - 1)
     d = vx.embed(d, "doc", encoder, out="vec")
     if weights is not None:
         d = vx.project(d, "vec", weights, out="vec")

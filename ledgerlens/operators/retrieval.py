@@ -279,9 +279,10 @@ class PrunedSearch:
 
 
 def with_metadata(hits: DataFrame, index: DataFrame, index_id: str = "id",
-                  cols: tuple[str, ...] = ("name", "doc"), broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Attach index metadata to hits; the index side is broadcast only when
-    its row count is under ``broadcast_rows`` (checked)."""
+                  cols: tuple[str, ...] = ("name", "doc"), broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """Attach index metadata to hits; the index side is broadcast only when its ids and
+    texts together are at most ``broadcast_bytes`` (summed before)."""
     meta = index.select(F.col(index_id).cast("long").alias("id"), *cols)
-    n = meta.count()
-    return hits.join(F.broadcast(meta) if n <= broadcast_rows else meta, "id")
+    row = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in cols), F.lit(8 + 16 * len(cols)))
+    size = meta.agg(F.sum(row.cast("long"))).first()[0] or 0
+    return hits.join(F.broadcast(meta) if size <= broadcast_bytes else meta, "id")

@@ -180,6 +180,8 @@ FROM j"""
         "topk_search_pruned": f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({OV.topk(emb, emb, 5, 0.0)})",
         "topk_search_blocked": f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({OV.topk(emb, emb, 5, 0.0)})",
         "merge_embeddings": merge,
+        "merged_from_files": OV.merged_from_files(64),
+        "saved_status": OV.saved_status(),
         "cell_prompts": OV.cell_prompts(),
         "cell_embeddings": OV.cell_embeddings(),
         "html_to_text": pt,

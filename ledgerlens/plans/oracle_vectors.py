@@ -121,3 +121,27 @@ def cell_embeddings(dim: int = 32, out_dim: int = 256) -> str:
     v = projected(pooled(src, "prompt", dim=dim), dim, out_dim)
     return (f"SELECT split_part(id, '|', 1) AS table_name, split_part(id, '|', 2) AS column_name, "
             f"CAST(split_part(id, '|', 3) AS BIGINT) AS rank, dim, round(value, 6) AS value FROM ({v})")
+
+
+_SAVED = """SELECT vec_id, CAST(label * 5 + vec_id % 5 AS BIGINT) AS id, 'year/' || CAST(2000 + label AS VARCHAR) AS table_name,
+  'k=' || CAST(vec_id % 5 AS VARCHAR) AS name, CASE WHEN label % 2 = 0 THEN embedding ELSE embedding[1:16] END AS vec FROM embeddings"""
+
+
+def _saved_vectors() -> str:
+    return f"""
+SELECT 'column' AS type, id, table_name, name, id AS row_index, vec FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY vec_id) AS rn FROM ({_SAVED})) WHERE rn = 1 AND id % 7 <> 3
+UNION ALL SELECT 'cell', id, table_name, name, row_number() OVER (PARTITION BY id ORDER BY vec_id) - 1, vec FROM ({_SAVED}) WHERE id % 11 <> 5"""
+
+
+def merged_from_files(width: int) -> str:
+    dims = ", ".join(f"round(CAST(vec[{i + 1}] AS DOUBLE), 6) AS dim_{i}" for i in range(width))
+    return f"SELECT type, table_name, name, row_index, {dims} FROM ({_saved_vectors()})"
+
+
+def saved_status() -> str:
+    return f"""
+WITH found AS (SELECT id, type, count(*) AS n, min(len(vec)) AS least_width, max(len(vec)) AS width FROM ({_saved_vectors()}) GROUP BY id, type),
+asked AS (SELECT DISTINCT id, table_name, name, type FROM ({_SAVED}), (VALUES ('column'), ('cell')) t(type))
+SELECT id, table_name, name, type, CASE WHEN n IS NULL THEN 'missing' WHEN least_width < width THEN 'ragged' ELSE 'ok' END AS status,
+  coalesce(n, 0) AS n, least_width, width FROM asked LEFT JOIN found USING (id, type)"""

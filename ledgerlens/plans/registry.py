@@ -21,7 +21,7 @@ from ledgerlens.operators import retrieval as rt
 from ledgerlens.operators import cells as ce
 from ledgerlens.operators import trainprep as tp
 from ledgerlens.operators import htmltables as ht
-from ledgerlens.sources import csvio
+from ledgerlens.sources import csvio, saved
 from ledgerlens.sources import widecsv as wide
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources import filings as src
@@ -275,6 +275,35 @@ def q_merge_embeddings(spark, sf_dir):
                     *[round_half(f"dim_{i}", 6).alias(f"dim_{i}") for i in range(PROJ_DIM)])
 
 
+def saved_run(spark, sf_dir):
+    """The folder of a run over the embeddings: a column for each label and remainder of the id, under names with / and =,
+    half of them with shorter vectors; some columns without a vector of their own, some without cells."""
+    from pyspark.sql import Window
+    path = _scratch(spark, "saved-run")
+    e = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id"), (F.col("label") * 5 + F.col("vec_id") % 5).cast("long").alias("id"),
+        F.concat(F.lit("year/"), (2000 + F.col("label")).cast("string")).alias("table_name"),
+        F.concat(F.lit("k="), (F.col("vec_id") % 5).cast("string")).alias("name"),
+        F.when(F.col("label") % 2 == 0, F.col("embedding")).otherwise(F.slice("embedding", 1, 16)).cast("array<double>").alias("vec"))
+    own = F.min_by(F.when(F.col("id") % 7 != 3, F.col("vec")), "vec_id")
+    saved.save_index(e.groupBy("id", "table_name", "name").agg(own.alias("vec")).withColumn("doc", F.concat(F.lit("Column: "), "name")), path)
+    place = Window.partitionBy("id").orderBy("vec_id")
+    saved.save_cells(e.where(F.col("id") % 11 != 5).withColumn("row_index", (F.row_number().over(place) - 1).cast("long")), path)
+    return path
+
+
+SAVED_WIDTH = 64
+
+
+def q_merged_from_files(spark, sf_dir):
+    m = saved.merged(spark, saved_run(spark, sf_dir))
+    return m.select("type", "table_name", "name", "row_index", *[round_half(f"dim_{i}", 6).alias(f"dim_{i}") for i in range(SAVED_WIDTH)])
+
+
+def q_saved_status(spark, sf_dir):
+    return saved.status(spark, saved_run(spark, sf_dir))
+
+
 def _cell_prompts(spark, sf_dir):
     enc = vx.HashTokenEncoder(ENC_DIM)
     w = vx.projection_weights(spark, ENC_DIM, PROJ_DIM)
@@ -461,6 +490,8 @@ def queries() -> dict[str, Query]:
         "topk_search_blocked": _search("blocked", rt.DEFAULT_K, 0.0, query_block=128, index_block=128),
         "topk_search_pruned": _search("pruned", rt.DEFAULT_K, 0.0, query_block=128, index_block=32),
         "merge_embeddings": q_merge_embeddings,
+        "merged_from_files": q_merged_from_files,
+        "saved_status": q_saved_status,
         "cell_prompts": q_cell_prompts,
         "cell_embeddings": q_cell_embeddings,
         "html_to_text": q_html_to_text,
