@@ -14,6 +14,11 @@ Scale notes
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,14 +61,54 @@ def unpivot_columns(df: DataFrame, table_name: str, row_key: str,
                        .otherwise(F.col("value")).alias("value"))
 
 
+#: Above this many values a column the planner keeps no limit in front of the shuffle.
+PLANNED_LIMIT = 1000
+#: Rows that a task gathers of a column before it goes back to the ``n`` least.
+_SLACK = 16384
+
+
+def least_per_task(rows: DataFrame, groups: list[str], order: list[str], n: int) -> DataFrame:
+    """Of each group at most ``n`` rows a task, the least by ``order`` (text columns), before anything is shuffled.
+
+    Arrow batches are gathered by group; a group that passes ``n`` by some thousands is cut back to its ``n`` least, so a task
+    holds about ``n`` rows a group whatever it reads, and ``n`` rows a group and task go on.
+    """
+    def cut(t: pa.Table) -> pa.Table:
+        if t.num_rows <= n:
+            return t
+        return t.take(pc.sort_indices(t, sort_keys=[(c, "ascending") for c in order])[:n])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list[pa.Table]] = {}
+        size: dict[tuple, int] = {}
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            place = t.append_column("_at", pa.array(np.arange(t.num_rows))).group_by(groups).aggregate([("_at", "list")])
+            for key, at in zip(zip(*(place.column(g).to_pylist() for g in groups), strict=True), place.column("_at_list"), strict=True):
+                held.setdefault(key, []).append(t.take(at.values))
+                size[key] = size.get(key, 0) + len(at.values)
+                if size[key] > n + _SLACK:
+                    held[key] = [cut(pa.concat_tables(held[key]))]
+                    size[key] = n
+        for parts in held.values():
+            yield from cut(pa.concat_tables(parts)).to_batches()
+    return rows.mapInArrow(run, rows.schema)
+
+
 def sample_per_column(long: DataFrame, n: int = SAMPLE_PER_COLUMN, seed: int = DEFAULT_SEED,
                       purpose: str = "docs") -> DataFrame:
     """COL2: up to ``n`` non-null values per column without replacement
-    (duplicates kept), in a seeded hash order: ``(..., rank, value)``."""
+    (duplicates kept), in a seeded hash order: ``(..., rank, value)``.
+
+    Each task sends at most ``n`` rows of a column to the shuffle: by the planner's limit below
+    ``PLANNED_LIMIT``, by ``least_per_task`` above it.
+    """
     key = hash_key(seed, purpose, F.col("table_name"), F.col("column_name"), F.col("row_key"))
-    w = Window.partitionBy("table_name", "column_name").orderBy(key, F.col("row_key"))
-    return (long.where(F.col("value").isNotNull())
-            .withColumn("rank", F.row_number().over(w))
+    rows = long.where(F.col("value").isNotNull()).select("table_name", "column_name", "row_key", "value", key.alias("_key"))
+    if n > PLANNED_LIMIT:
+        rows = least_per_task(rows, ["table_name", "column_name"], ["_key", "row_key"], n)
+    w = Window.partitionBy("table_name", "column_name").orderBy("_key", F.col("row_key"))
+    return (rows.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= n)
             .select("table_name", "column_name", F.col("rank").cast("long").alias("rank"), "value"))
 

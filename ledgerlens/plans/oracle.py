@@ -11,7 +11,7 @@ from ledgerlens.operators.tables import NA_TOKENS
 from ledgerlens.operators import filings as fo
 from ledgerlens.plans import oracle_filings as OF
 from ledgerlens.plans import sqltext as S
-from ledgerlens.plans.profiles import MAX_PAGE_BYTES, PROFILED
+from ledgerlens.plans.profiles import LARGE_SAMPLE, MAX_PAGE_BYTES, PROFILED
 
 SEED = "42"
 NA_LIST = "(" + ", ".join(S.q(t) for t in NA_TOKENS) + ")"
@@ -216,6 +216,7 @@ FROM j"""
         "decode_references": OF.DECODE_REFERENCES,
         "unpivot_columns": f"SELECT * FROM ({long_sql(['part'])})",
         "sample_per_column": sample_sql(100, "docs"),
+        "sample_large": sample_sql(LARGE_SAMPLE, "large"),
         "column_documents": column_documents_sql(),
         "normalized_cells": normalized_cells_sql(),
         "normalize_numbers": normalize_numbers_sql("reference"),

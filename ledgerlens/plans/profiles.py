@@ -40,3 +40,5 @@ def profiled_columns(tables=None) -> list[tuple[str, str]]:
 
 #: Pages over this many bytes are too large to be read in ``filing_outcomes``.
 MAX_PAGE_BYTES = 12000
+#: Values a column in ``sample_large``.
+LARGE_SAMPLE = 1500

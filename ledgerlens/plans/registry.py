@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import columns as colops
 from ledgerlens.operators import extraction as ex
 from ledgerlens.operators import filings as fo
+from ledgerlens.operators import models
 from ledgerlens.operators import tables as tb
 from ledgerlens.operators import vectors as vx
 from ledgerlens.operators import retrieval as rt
@@ -25,7 +26,7 @@ from ledgerlens.sources import csvio, saved
 from ledgerlens.sources import widecsv as wide
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources import filings as src
-from ledgerlens.plans.profiles import MAX_PAGE_BYTES, profiled_columns, profiled_long
+from ledgerlens.plans.profiles import LARGE_SAMPLE, MAX_PAGE_BYTES, profiled_columns, profiled_long
 from ledgerlens.sources.tables import table
 from ledgerlens.functions.text import decode_entities
 from ledgerlens.functions.vectors import round_half
@@ -41,6 +42,11 @@ def q_sample_per_column(spark, sf_dir):
     return colops.sample_per_column(profiled_long(spark, sf_dir), n=colops.SAMPLE_PER_COLUMN)
 
 
+def q_sample_large(spark, sf_dir):
+    """COL2 with more values a column than the planner limits before a shuffle."""
+    return colops.sample_per_column(profiled_long(spark, sf_dir), n=LARGE_SAMPLE, purpose="large")
+
+
 def q_column_documents(spark, sf_dir):
     return colops.column_documents(spark, profiled_long(spark, sf_dir), profiled_columns())
 
@@ -218,6 +224,13 @@ def q_embed_documents(spark, sf_dir):
     return vx.vectors_long(d, ["doc_id"])
 
 
+def q_embed_model(spark, sf_dir):
+    """Documents through a model with attention masks, in batches by length."""
+    enc = models.MaskedEncoder(models.SeededEncoder)
+    d = vx.embed(documents(spark, sf_dir), "text", enc)
+    return vx.vectors_long(d, ["doc_id"], digits=5)
+
+
 def _pool(how):
     def run(spark, sf_dir):
         d = vx.pool(documents(spark, sf_dir), "text", how, ENC_DIM)
@@ -480,6 +493,7 @@ def queries() -> dict[str, Query]:
         "shuffled_batches": q_shuffled_batches,
         "padded_batches": q_padded_batches,
         "embed_documents": q_embed_documents,
+        "embed_model": q_embed_model,
         "pool_mean": _pool("mean"),
         "pool_first": _pool("first"),
         "pool_max": _pool("max"),
@@ -517,6 +531,7 @@ def queries() -> dict[str, Query]:
         "csv_tables_cells": q_csv_tables_cells,
         "unpivot_columns": q_unpivot_columns,
         "sample_per_column": q_sample_per_column,
+        "sample_large": q_sample_large,
         "column_documents": q_column_documents,
         "normalized_cells": q_normalized_cells,
         "normalize_numbers": _numbers("reference"),

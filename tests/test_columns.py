@@ -45,3 +45,25 @@ def test_value_text_of_doubles(spark):
     df = spark.createDataFrame([("1", 12345678.0), ("2", 0.1), ("3", None)], "k string, d double")
     got = {r.row_key: r.value for r in co.unpivot_columns(df, "t", "k", ["d"]).collect()}
     assert got == {"1": "12345678.0", "2": "0.1", "3": None}
+
+
+def test_large_samples_move_few_rows(spark):
+    from ledgerlens.operators import columns as co
+    n, tasks = 5000, 4
+    long = (spark.range(0, 120_000, numPartitions=tasks)
+            .selectExpr("'t' as table_name", "case when id % 3 < 2 then 'hot' else concat('c', id % 5) end as column_name", "cast(id as string) as row_key",
+                        "case when id % 11 > 0 then concat('v', id % 97) end as value"))
+    key = co.hash_key(42, "docs", co.F.col("table_name"), co.F.col("column_name"), co.F.col("row_key"))
+    rows = long.where("value is not null").withColumn("_key", key)
+    moved = {(r.column_name, r.pid): r["count"] for r in
+             co.least_per_task(rows, ["table_name", "column_name"], ["_key", "row_key"], n).withColumn("pid", co.F.spark_partition_id()).groupBy("column_name", "pid").count().collect()}
+    assert max(moved.values()) == n and len(moved) <= 6 * tasks and sum(moved.values()) < rows.count()
+    got = {(r.column_name, r.rank): r.value for r in co.sample_per_column(long, n=n).collect()}
+    # the same as a plain sort
+    want = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.column_name, r._key, r.row_key)):
+        k = want.get((r.column_name, "n"), 0) + 1
+        want[r.column_name, "n"] = k
+        if k <= n:
+            want[r.column_name, k] = r.value
+    assert got == {k: v for k, v in want.items() if k[1] != "n"}
