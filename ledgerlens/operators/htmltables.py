@@ -10,7 +10,8 @@ rules here, all row-local (one filing's tables never leave its task):
    tags removed, references decoded, whitespace collapsed;
 3. each cell covers ``colspan`` grid columns from the first one that the
    cells before it and the cells reaching down (``rowspan``) leave free;
-4. header rows = rows before the first row with a numeric cell, where a row
+4. header rows = rows before the first data row: one with a numeric cell, or one that has a label
+   in its first cell and nothing but marks of a missing value (a dash, ``N/A``, ``none``) after it, where a row
    whose numbers are all years, with another row to follow, is a header too; without
    any numeric row the first row is the header, or, where cells span columns as in stacked heads,
    all rows are. The label of a grid column = the texts of the
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions import text as tx
+from ledgerlens.functions.assignment import assign
 from ledgerlens.operators.filings import CANONICAL_COLUMNS
 
 NUMERIC_CELL = r"^[$(]*\s*-?[0-9][0-9,]*(\.[0-9]+)?\)?%?$"
@@ -57,6 +59,8 @@ _CELL_END = re.compile(r"(?is)</t[dh]\s*>.*")
 _SPAN_RE = re.compile(r"""(?i)\b(col|row)span\s*=\s*["']?([0-9]+)""")
 _TAG_RE = re.compile(tx.TAG)
 _NUM_RE = re.compile(NUMERIC_CELL)
+_MISSING_RE = re.compile(r"(?i)(?:\(?[-\u2010-\u2015\u2212]+\)?|n/?a|nil|none)%?$")
+_UNIT_RE = re.compile(r"[$\u20ac\u00a3\u00a5%)(]+$")
 _YEAR_RE = re.compile(r"(?:19|20)[0-9]{2}$")
 #: Rows and columns that a span can cover.
 MOST_SPAN = 1000
@@ -106,8 +110,17 @@ def grid_rows(t: str) -> list[list[Cell]]:
     return rows
 
 
+def _all_missing(r: list[Cell]) -> bool:
+    """A label, and after it marks of missing values alone, at least one."""
+    label, *rest = (c[2] for c in r)
+    values = [x for x in rest if x and not _UNIT_RE.match(x)]
+    return bool(label) and not _MISSING_RE.match(label) and bool(values) and all(map(_MISSING_RE.match, values))
+
+
 def _first_data_row(rows: list[list[Cell]]) -> int:
     for i, r in enumerate(rows):
+        if i and _all_missing(r):
+            return i
         numbers = [c[2] for c in r if _NUM_RE.match(c[2])]
         if numbers and not (all(map(_YEAR_RE.match, numbers)) and i + 1 < len(rows) and not _NUM_RE.match(r[0][2])
                             and any(_NUM_RE.match(c[2]) for c in rows[i + 1])):
@@ -172,6 +185,15 @@ CANON_SCHEMA = T.StructType([T.StructField("canonical", T.StringType()),
                              T.StructField("score", T.DoubleType())])
 
 
+def _scores(header: str, low: list[str]) -> list[float]:
+    sm = SequenceMatcher(None, header.lower(), "")
+    out = []
+    for n in low:
+        sm.set_seq2(n)
+        out.append(sm.ratio())
+    return out
+
+
 def canonical_header_udf(names: list[str] = CANONICAL_COLUMNS, threshold: float = 0.5):
     """pandas UDF: free header text -> (best canonical name or null, score)
     by the Ratcliff/Obershelp ratio of lower-cased strings; the canonical
@@ -186,11 +208,7 @@ def canonical_header_udf(names: list[str] = CANONICAL_COLUMNS, threshold: float
                 best_n.append(None)
                 best_s.append(None)
                 continue
-            sm = SequenceMatcher(None, s.lower(), "")
-            scores = []
-            for n in low:
-                sm.set_seq2(n)
-                scores.append(sm.ratio())
+            scores = _scores(s, low)
             k = max(range(len(scores)), key=lambda j: (scores[j], -j))
             best_n.append(names[k] if scores[k] >= threshold else None)
             best_s.append(scores[k])
@@ -204,3 +222,45 @@ def canonical_columns(cells: DataFrame, threshold: float = 0.5) -> DataFrame:
     names = cells.select("col_name").distinct()
     m = canonical_header_udf(threshold=threshold)(F.col("col_name"))
     return names.select("col_name", m["canonical"].alias("canonical"), m["score"].alias("score"))
+
+
+def assigned_names_udf(names: list[str] = CANONICAL_COLUMNS, threshold: float = 0.5):
+    """pandas UDF: the headers of a table -> the names that its columns take.
+
+    Headers and canonical names are matched one to one with the greatest sum of ratios (``assignment.assign``, which says
+    what ties do); a header without a match keeps its own name, with ``_2``, ``_3`` if that is taken.
+    """
+    low = [n.lower() for n in names]
+
+    @F.pandas_udf("array<string>")
+    def _assign(tables: pd.Series) -> pd.Series:
+        memo: dict[str, list[float]] = {}
+        known: dict[tuple, list[str]] = {}
+        out = []
+        for headers in tables:
+            key = tuple(headers)
+            if key not in known:
+                for h in key:
+                    memo.setdefault(h, _scores(h, low))
+                taken = [names[j] if j is not None else None for j in assign([memo[h] for h in key], threshold)]
+                used = {t for t in taken if t}
+                for k, h in enumerate(key):
+                    if taken[k] is None:
+                        free = next(x for x in (h, *(f"{h}_{i}" for i in range(2, len(key) + 2 + len(names)))) if x not in used)
+                        taken[k] = free
+                        used.add(free)
+                known[key] = taken
+            out.append(known[key])
+        return pd.Series(out, dtype=object)
+
+    return _assign
+
+
+def canonical_cells(df: DataFrame, html_col: str = "html", names: list[str] = CANONICAL_COLUMNS, threshold: float = 0.5) -> DataFrame:
+    """TAB8 with TAB9 applied: cells under canonical names, and the ``header`` each had, so that ``combine_tables`` gets
+    canonical columns. Row-local: a table's headers are assigned together before its cells become rows."""
+    t = _tables(df, html_col).withColumn("_headers", F.array_distinct(F.transform("cells", lambda c: c["col_name"])))
+    t = t.withColumn("_names", assigned_names_udf(names, threshold)("_headers"))
+    c = t.select("filing_id", "table_no", "_headers", "_names", F.explode("cells").alias("c"))
+    return c.select("filing_id", "table_no", "c.row_no", "c.col_no", F.col("c.col_name").alias("header"),
+                    F.element_at("_names", F.array_position("_headers", F.col("c.col_name")).cast("int")).alias("col_name"), "c.value")

@@ -193,6 +193,8 @@ FROM j"""
         "line_header_score": OF.line_header_score(pt),
         "best_chunk": OF.best_chunk(pt),
         "best_chunk_lev": OF.best_chunk_lev(pt),
+        "canonical_columns": OF.canonical_columns(),
+        "canonical_cells": OF.canonical_cells(),
         "filing_scan": OF.filing_scan(),
         "filing_stream": OF.filing_stream(),
         "parsed_files": OF.parsed_files(),

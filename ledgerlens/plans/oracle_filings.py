@@ -361,11 +361,52 @@ def html_table_cells() -> str:
     cells = [(0, "Period", _d("l_shipdate")), (3, "Total Number of Shares Purchased", _money("l_quantity")),
              (6, "Average Price Paid per Share", f"'$ ' || {_money('l_extendedprice')}"),
              (11, "Total Number of Shares Purchased as Part of Programs", "CAST(l_linenumber AS VARCHAR)")]
-    lines = (f"SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, {row}) - 1 AS row_no "
-             "FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)")
-    return f"WITH l AS ({lines}) " + " UNION ALL ".join(
+    urgent = "o_orderpriority = '1-URGENT'"
+    lines = (f"SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, {row}) - 1 + CASE WHEN {urgent} THEN 1 ELSE 0 END AS row_no "
+             "FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+    # the row without numbers that urgent orders open with
+    first = [(0, "Opening"), (3, "N/A"), (6, "$ —"), (11, "-")]
+    opening = [f"SELECT CAST(o_orderkey AS VARCHAR), 1, 0, {c}, {q(cells[k][1])}, {q(v)} FROM orders WHERE {urgent}" for k, (c, v) in enumerate(first)]
+    return f"WITH l AS ({lines}) " + " UNION ALL ".join([
         f"SELECT CAST(l_orderkey AS VARCHAR) AS filing_id, CAST(1 AS BIGINT) AS table_no, row_no, CAST({c} AS BIGINT) AS col_no, "
-        f"{q(n)} AS col_name, {v} AS value FROM l" for c, n, v in cells)
+        f"{q(n)} AS col_name, {v} AS value FROM l" for c, n, v in cells] + opening)
+
+
+def _header_scores(headers: str) -> str:
+    """CTEs ending in ``pair (line, canonical, k, score)`` for distinct ``headers (line)``, by the ratio's recursion."""
+    names = ", ".join(f"({k}, {q(n)})" for k, n in enumerate(fo.CANONICAL_COLUMNS))
+    # the recursion's line carries both names
+    both = "line || chr(0) || canonical"
+    base = _longest_match(f"SELECT {both} AS line, lower(line) AS a, lower(canonical) AS b FROM (SELECT DISTINCT line FROM ({headers})) CROSS JOIN canon")
+    sides = ("SELECT line, unnest([substr(a, 1, i - 1), substr(a, i + k)]) AS a, unnest([substr(b, 1, j - 1), substr(b, j + k)]) AS b "
+             "FROM block WHERE k > 0")
+    more = _longest_match(f"SELECT * FROM ({sides}) WHERE a <> '' AND b <> ''")
+    return (f"canon (k, canonical) AS (VALUES {names}), block AS ({base} UNION ALL {more}), "
+            f"total AS (SELECT line AS pair_key, sum(k) AS m FROM block GROUP BY line), "
+            f"pair AS (SELECT h.line, canonical, canon.k, 2.0 * m / (length(lower(h.line)) + length(canonical)) AS score "
+            f"FROM (SELECT DISTINCT line FROM ({headers})) h CROSS JOIN canon JOIN total ON pair_key = h.line || chr(0) || canonical)")
+
+
+def canonical_columns(threshold: float = 0.5) -> str:
+    return (f"WITH RECURSIVE {_header_scores('SELECT col_name AS line FROM (' + html_table_cells() + ')')}, "
+            "best AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY score DESC, k) AS rn FROM pair) "
+            f"SELECT line AS col_name, CASE WHEN score >= {threshold} THEN canonical END AS canonical, CAST(score AS DOUBLE) AS score FROM best WHERE rn = 1")
+
+
+def canonical_cells(threshold: float = 0.5) -> str:
+    """The tables' four headers against all ways to give them different names: the best sum, then the least names in turn."""
+    heads = ["Period", "Total Number of Shares Purchased", "Average Price Paid per Share", "Total Number of Shares Purchased as Part of Programs"]
+    n = len(fo.CANONICAL_COLUMNS)
+    way = ", ".join(f"w{i} AS (SELECT k, round(score * 1e9) AS s FROM pair WHERE line = {q(h)} AND score >= {threshold} UNION ALL SELECT {n}, 0)"
+                    for i, h in enumerate(heads))
+    differ = " AND ".join(f"(w{i}.k <> w{j}.k OR w{i}.k = {n})" for j in range(4) for i in range(j))
+    total = " + ".join(f"w{i}.s" for i in range(4))
+    ks = ", ".join(f"w{i}.k AS k{i}" for i in range(4))
+    named = " UNION ALL ".join(f"SELECT {q(h)} AS header, k{i} AS k FROM best" for i, h in enumerate(heads))
+    return (f"WITH RECURSIVE {_header_scores(' UNION ALL '.join(f'SELECT {q(h)} AS line' for h in heads))}, {way}, "
+            f"best AS (SELECT {ks} FROM w0, w1, w2, w3 WHERE {differ} ORDER BY {total} DESC, k0, k1, k2, k3 LIMIT 1), "
+            f"name AS (SELECT header, coalesce(canonical, header) AS col_name FROM ({named}) LEFT JOIN canon USING (k)) "
+            f"SELECT filing_id, table_no, row_no, col_no, header, name.col_name, value FROM ({html_table_cells()}) c JOIN name ON c.col_name = header")
 
 
 def filing_outcomes(max_bytes: int) -> str:

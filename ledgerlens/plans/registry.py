@@ -477,6 +477,10 @@ def q_canonical_columns(spark, sf_dir):
     return ht.canonical_columns(ht.html_table_cells(src.derived_html_filings(spark, sf_dir)))
 
 
+def q_canonical_cells(spark, sf_dir):
+    return ht.canonical_cells(src.derived_html_filings(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "filing_manifest_join": q_filing_manifest_join,
@@ -489,6 +493,7 @@ def queries() -> dict[str, Query]:
         "v1_files": q_v1_files,
         "html_table_cells": q_html_table_cells,
         "canonical_columns": q_canonical_columns,
+        "canonical_cells": q_canonical_cells,
         "tokenized_docs": q_tokenized_docs,
         "shuffled_batches": q_shuffled_batches,
         "padded_batches": q_padded_batches,

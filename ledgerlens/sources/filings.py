@@ -227,7 +227,7 @@ def derived_html_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HTML filings with a print-style repurchase table per order:
     ``(filing_id, html)``. Stacked header rows with ``colspan=3`` over
     spacer cells (as filings lay them out), then one data row per lineitem
-    with the currency sign in its own cell."""
+    with the currency sign in its own cell; urgent orders open with a row without numbers."""
     o = table(spark, sf_dir, "orders")
     sp = "<td>&nbsp;</td>"
 
@@ -237,6 +237,8 @@ def derived_html_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
             + "<tr><td><b>Period</b></td>" + "".join(f"{sp}<td colspan=\"3\"><b>{x}</b></td>" for x in
                                                      ("of Shares Purchased", "Price Paid per Share",
                                                       "Purchased as Part of Programs")) + "</tr>")
+    opening = ("<tr><td>Opening</td>" + sp + "<td>&nbsp;</td><td>N/A</td><td>&nbsp;</td>" + sp + "<td>$</td><td>&#151;</td><td>&nbsp;</td>"
+               + sp + "<td>&nbsp;</td><td>-</td><td>&nbsp;</td></tr>")
     body = _order_lines(spark, sf_dir, body=lambda li: F.concat(
         F.lit("<tr><td>"), _d(li.l_shipdate), F.lit("</td>" + sp + "<td>&nbsp;</td><td>"),
         _money(li.l_quantity), F.lit("</td><td>&nbsp;</td>" + sp + "<td>$</td><td>"),
@@ -247,7 +249,8 @@ def derived_html_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
               "<p>PART II &#151; OTHER INFORMATION</p>"
               "<p><b>ITEM 2. UNREGISTERED SALES OF EQUITY SECURITIES AND USE OF PROCEEDS</b></p>"
               "<table cellspacing=\"0\"><!-- Begin Table Head -->"), F.lit(head),
-        F.lit("<!-- End Table Head -->"), F.coalesce(F.col("body"), F.lit("")),
+        F.lit("<!-- End Table Head -->"), F.when(o.o_orderpriority == "1-URGENT", F.lit(opening)).otherwise(F.lit("")),
+        F.coalesce(F.col("body"), F.lit("")),
         F.lit("</table><p>Total "), _money(o.o_totalprice), F.lit("</p></body></html>"))
     return (o.join(body, o.o_orderkey == body.l_orderkey, "left")
             .select(o.o_orderkey.cast("string").alias("filing_id"), html.alias("html")))

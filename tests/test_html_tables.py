@@ -61,3 +61,39 @@ def test_canonical_mapping(spark):
     got = {r.col_name: r.canonical for r in ht.canonical_columns(df).collect()}
     assert got["Average Price Paid per Share"] == "Average Price per Share"
     assert got["zz"] is None
+
+
+def _table(*rows):
+    return "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+
+
+def test_rows_without_numbers_are_data():
+    got = ht.parse_table_grid(_table(("Period", "Shares"), ("Jan", "N/A"), ("Feb", "1,000")))
+    assert [(c["row_no"], c["col_name"], c["value"]) for c in got] == [
+        (0, "Period", "Jan"), (0, "Shares", "N/A"), (1, "Period", "Feb"), (1, "Shares", "1,000")]
+    got = ht.parse_table_grid(_table(("Period", "Shares", "Price"), ("Oct", "&#8212;", "$"), ("Nov", "-", "none"), ("Dec", "5", "$ 2")))
+    assert max(c["row_no"] for c in got) == 2 and {c["col_name"] for c in got} == {"Period", "Shares", "Price"}
+    # a stacked head stays a head: words after the label, or no label at all
+    got = ht.parse_table_grid(_table(("", "Total", "Average"), ("Period", "Shares", "Price"), ("Jan", "1", "2")))
+    assert {c["col_name"] for c in got} == {"Period", "Total Shares", "Average Price"} and max(c["row_no"] for c in got) == 0
+
+
+def test_assignment_is_the_best_of_all():
+    import itertools
+    import random
+    from ledgerlens.functions.assignment import assign
+    r = random.Random(6)
+    for _ in range(300):
+        n, m = r.randint(0, 4), r.randint(1, 4)
+        scores = [[r.choice([0.2, 0.5, 0.5, 0.7, 0.9, r.random()]) for _ in range(m)] for _ in range(n)]
+        ways = (w for w in itertools.product(range(m + 1), repeat=n)
+                if all(a == m or a != b for i, b in enumerate(w) for a in w[:i] if b != m) and all(j == m or scores[i][j] >= 0.5 for i, j in enumerate(w)))
+        best = min(ways, key=lambda w: (-sum(round(scores[i][j] * 10 ** 9) for i, j in enumerate(w) if j < m), w))
+        assert assign(scores, 0.5) == [j if j < m else None for j in best]
+
+
+def test_two_headers_never_take_one_name(spark):
+    page = _table(("Number of Shares", "Number of Shares Sold", "Something else"), ("1", "2", "3"))
+    got = {r.header: r.col_name for r in ht.canonical_cells(spark.createDataFrame([("f", page)], "filing_id string, html string")).collect()}
+    assert got["Number of Shares"] == "Number of Shares" and got["Something else"] == "Something else"
+    assert len(set(got.values())) == 3
