@@ -169,6 +169,9 @@ FROM j"""
         "tokenized_docs": tok,
         "shuffled_batches": batches,
         "padded_batches": padded,
+        "dataset_items": f"SELECT idx, length, doc_id, n_tokens, input_ids FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx, "
+                         f"count(*) OVER () AS length FROM ({tok})) WHERE idx % 100 = 0",
+        "extraction_run": OF.extraction_run(COMBINED_COLUMNS),
         "embed_documents": by("doc_id", pooled_docs()),
         "pool_mean": by("doc_id", pooled_docs("mean", False)),
         "pool_first": by("doc_id", pooled_docs("first", False)),

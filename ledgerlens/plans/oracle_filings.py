@@ -454,3 +454,20 @@ named AS (SELECT DISTINCT t.filing_id, table_no, cik || '_' || filing_date || '_
   FROM ({csv_ok_tables()}) t JOIN f ON t.filing_id = f.filing_id),
 file AS (SELECT *, base || CASE WHEN count(*) OVER (PARTITION BY base) > 1 THEN '_' || filing_id ELSE '' END || '.csv' AS file_name FROM named)
 SELECT file_name, row_no, col_no, col_name, value FROM every JOIN file USING (filing_id, table_no)"""
+
+
+def extraction_run(columns: list[str]) -> str:
+    """The combined table: rows of every page that could be read, has a chunk and got a table for an answer."""
+    page = ("SELECT CAST(page_id AS VARCHAR) AS filing_id, " + html_to_text("coalesce(html, '')") + " AS text FROM pages WHERE page_id % 50 <> 7")
+    src = f"""SELECT a.filing_id, a.answer FROM ({answers_sql()}) a JOIN ({chunks(page, line_header_score(page))}) c USING (filing_id)
+WHERE best_pos IS NOT NULL AND CAST(a.filing_id AS BIGINT) % 40 <> 3"""
+    own = "(" + ", ".join(q(c) for c in columns) + ")"
+    pick = ", ".join(f"nullif(row[list_position(header, {q(c)})], '') AS \"{c}\"" for c in columns)
+    rest = (f"'{{' || array_to_string(list_transform(list_filter(range(1, len(header) + 1), lambda i: header[i] NOT IN {own}), "
+            "lambda i: '\"' || header[i] || '\":\"' || row[i] || '\"'), ',') || '}'")
+    return f"""
+WITH p AS (SELECT filing_id, {dedupe('header', '_', 2)} || ['CIK', 'Filing Date'] AS header, rows, cik, filing_date, len(header) AS n
+  FROM ({parse_pipe(src)}) JOIN ({fields(page)}) USING (filing_id) WHERE status = 'ok'),
+r AS (SELECT filing_id, header, cik, filing_date, n, unnest(rows) AS row, generate_subscripts(rows, 1) AS rn FROM p),
+f AS (SELECT filing_id, header, rn, row || list_transform(range(greatest(n - len(row), 0)), lambda z: 'N/A') || [cik, filing_date] AS row FROM r)
+SELECT filing_id, CAST(rn - 1 AS BIGINT) AS row_no, {pick}, {rest} AS other FROM f"""

@@ -22,10 +22,11 @@ from ledgerlens.operators import retrieval as rt
 from ledgerlens.operators import cells as ce
 from ledgerlens.operators import trainprep as tp
 from ledgerlens.operators import htmltables as ht
-from ledgerlens.sources import csvio, saved
+from ledgerlens.sources import csvio, dataset, saved
 from ledgerlens.sources import widecsv as wide
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources import filings as src
+from ledgerlens.plans import extraction_run
 from ledgerlens.plans.profiles import LARGE_SAMPLE, MAX_PAGE_BYTES, profiled_columns, profiled_long
 from ledgerlens.sources.tables import table
 from ledgerlens.functions.text import decode_entities
@@ -356,6 +357,20 @@ def q_padded_batches(spark, sf_dir):
                     tp.as_text("attention_mask").alias("attention_mask"), tp.as_text("labels").alias("labels"))
 
 
+def q_dataset_items(spark, sf_dir):
+    """Tokenised documents written with a manifest; every hundredth item read back through it, beside the length."""
+    d = documents(spark, sf_dir)
+    t = tp.tokenized(d, tp.vocabulary(d))
+    path = _scratch(spark, "dataset")
+    dataset.write_dataset(t, path, [F.col("doc_id")], file_rows=DATASET_FILE_ROWS)
+    ds = dataset.IndexedDataset(spark, path)
+    n = len(ds)
+    return ds.items(range(0, n, 100)).select("idx", F.lit(n).cast("long").alias("length"), "doc_id", "n_tokens", tp.as_text("input_ids").alias("input_ids"))
+
+
+DATASET_FILE_ROWS = 250
+
+
 # ------------------------------------------------- sources, sinks, HTML ----
 
 def q_filing_manifest_join(spark, sf_dir):
@@ -454,6 +469,19 @@ def _scratch(spark, name):
     return scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+def q_extraction_run(spark, sf_dir):
+    """The whole run over the pages as files, with the rendered answers for the model: its combined table, read again."""
+    folder, out = _filing_files(spark, sf_dir, with_bad=True), _scratch(spark, "extraction-run")
+    page = F.regexp_extract("filing_id", r"filing_id=([^/]+)/", 1)
+
+    def ask(prompts):
+        answers = page_responses(spark, sf_dir).withColumnRenamed("filing_id", "page")
+        return prompts.select("filing_id", page.alias("page")).join(answers, "page").select("filing_id", "response", "error")
+    extraction_run.run(spark, folder, out, ask, columns=COMBINED_COLUMNS)
+    back = csvio.read_csv_all_strings(spark, f"{out}/combined", na_tokens=[""])
+    return back.select(page.alias("filing_id"), F.col("row_no").cast("long").alias("row_no"), *COMBINED_COLUMNS, "other")
+
+
 def q_parsed_files(spark, sf_dir):
     """SNK1 there and back: a CSV file with its own header for each filing with a table, read again as cells."""
     path = _scratch(spark, "parsed-files")
@@ -497,6 +525,8 @@ def queries() -> dict[str, Query]:
         "tokenized_docs": q_tokenized_docs,
         "shuffled_batches": q_shuffled_batches,
         "padded_batches": q_padded_batches,
+        "dataset_items": q_dataset_items,
+        "extraction_run": q_extraction_run,
         "embed_documents": q_embed_documents,
         "embed_model": q_embed_model,
         "pool_mean": _pool("mean"),

@@ -137,3 +137,25 @@ def test_bound_is_never_below_the_ratio(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string").select("line", sim.shared_bound("line", fo.HEADER_REFERENCE).alias("b"))
     for r in df.collect():
         assert r.b >= SequenceMatcher(None, r.line.lower(), fo.HEADER_REFERENCE.lower()).ratio() - 1e-12
+
+
+def test_run_in_one_call(spark, folder, tmp_path):
+    from ledgerlens.plans import extraction_run
+    from ledgerlens.sources import csvio
+    answers = {"2011/QTR2/f1.txt": "OUTPUTT: | A | CIK |\n| 1 | own |", "2011/QTR1/f2.txt": "| A | B |\n| 2 | 3 |\n| 4 |", "2011/QTR2/f3.txt": "none", "2011/QTR1/f4.txt": None}
+    asked = []
+
+    def ask(prompts):
+        asked.extend(r.filing_id for r in prompts.collect())
+        return spark.createDataFrame([(k, v, "timeout" if k.endswith("f3.txt") else None) for k, v in answers.items()], "filing_id string, response string, error string")
+    out = str(tmp_path / "run")
+    got = {r.filing_id: r.status for r in extraction_run.run(spark, folder, out, ask, columns=["A", "CIK"]).collect()}
+    assert got == {"2011/QTR2/f1.txt": "ok", "2011/QTR1/f2.txt": "ok", "2011/QTR2/f3.txt": "model_error", "2011/QTR1/f4.txt": "empty_answer",
+                   "2011/QTR2/f5.txt": "empty_answer", "2011/QTR1/f6.txt": "empty_answer", "2011/QTR1/bad.txt": "unreadable", "2011/QTR1/blank.txt": "no_section"}
+    assert sorted(asked) == [f"2011/QTR1/f{i}.txt" for i in (2, 4, 6)] + [f"2011/QTR2/f{i}.txt" for i in (1, 3, 5)]
+    assert open(f"{out}/tables/2011/QTR2/f1_parsed.csv").read() == "A,CIK,Filing Date\n1,001,2011-01-01\n"
+    back = csvio.read_csv_all_strings(spark, f"{out}/combined", na_tokens=[""])
+    assert sorted((r.filing_id, r.A, r.CIK, r.other) for r in back.collect()) == [
+        ("2011/QTR1/f2.txt", "2", "002", '{"B":"3","Filing Date":"2011-01-02"}'), ("2011/QTR1/f2.txt", "4", "002", '{"B":"N/A","Filing Date":"2011-01-02"}'),
+        ("2011/QTR2/f1.txt", "1", "001", '{"Filing Date":"2011-01-01"}')]
+    assert {r.status: r.n for r in extraction_run.counts(spark.read.parquet(f"{out}/outcomes")).collect()}["empty_answer"] == 3
