@@ -132,3 +132,19 @@ def test_group_centroids(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (0, [3.0, 4.0]), (1, [5.0, 5.0])], "g int, vec array<double>")
     got = {r.g: r.vec for r in vx.group_centroids(df, "g", "vec").collect()}
     assert got == {0: [2.0, 3.0], 1: [5.0, 5.0]}
+
+
+def test_blocked_projection_is_the_broadcast_one(spark):
+    rng = np.random.default_rng(9)
+    v = [rng.normal(size=20).tolist() for _ in range(37)] + [[0.0] * 20]
+    df = spark.createDataFrame([(i, x, "kept") for i, x in enumerate(v)], "id long, vec array<double>, n string").repartition(3)
+    w = vx.projection_weights(spark, 20, 11)
+    dense = {r.id: np.array(r.p) for r in vx.project(df, "vec", w, out="p").collect()}
+    blocked = vx.project_blocked(df, "vec", vx.projection_weights(spark, 20, 11), out="p", row_block=8, side=7)
+    got = {r.id: np.array(r.p) for r in blocked.collect()}
+    assert got.keys() == dense.keys() and blocked.columns == ["id", "vec", "n", "p"]
+    for i, x in dense.items():
+        np.testing.assert_allclose(got[i], x, atol=1e-12)
+    # the size alone decides
+    plan = vx.project(df, "vec", vx.projection_weights(spark, 20, 11), max_bytes=100)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" in plan
