@@ -56,8 +56,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     edit(middle, middle + 24, F.lit(" it's rewritten, in 2 words ")),
                     edit(F.lit(0), F.lit(0), F.concat(F.lit("["), F.coalesce("lang", F.lit("")), F.lit("] "))))
     ranks = public_tokenizers.path(RANKS)
-    trees = token_counts.build(docs, ranks, public_tokenizers.PATTERN).withColumn("edits", edits)
-    out = token_counts.apply_edits(trees, ranks, public_tokenizers.PATTERN)
+    out = token_counts.build_and_edit(docs.withColumn("edits", edits), ranks, public_tokenizers.PATTERN, with_tree=False)
     return out.select("doc_id", "edited.n_before", "edited.n_tokens", "edited.n_pieces", "edited.n_encoded")
 
 

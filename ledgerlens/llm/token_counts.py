@@ -13,7 +13,8 @@ and apply batches of edits to it. Everything is local to a row, no shuffle.
 
 Defined results: a null text is an empty text with an empty tree. Null or empty
 edit lists change nothing; null replacements insert nothing; positions beyond the text are taken as its
-end. Rows are answered one for one; further columns are ignored.
+end. Rows are answered one for one, repeated ones alike, so ties cannot arise; an empty table gives no rows. A very long text takes
+about a hundred bytes of lists a piece. Further columns pass; those named ``tree`` or ``edited`` are replaced.
 """
 
 from __future__ import annotations
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 LEAF = 64
 #: Characters behind a piece that its match can depend on.
 LOOK = 3
-#: Counted pieces kept in a worker.
-CACHE_PIECES = 300_000
+#: Bytes of counted pieces kept in a worker, with what an entry of a dictionary takes besides its text.
+CACHE_BYTES = 16 << 20
+ENTRY_BYTES = 160
 
 TREE = "struct<chars:binary,tokens:binary,leaves:array<int>,sum_chars:array<int>,sum_tokens:array<int>>"
 EDITS = "array<struct<start:int,end:int,text:string>>"
@@ -44,13 +46,16 @@ class Counter(dict):
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = regex.compile(pattern)
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.held = 0
 
     def __missing__(self, piece: str) -> int:
         n = len(self.encoding.encode_ordinary(piece))
         if len(piece) <= 64:
-            if len(self) >= CACHE_PIECES:
+            if self.held >= CACHE_BYTES:
                 self.clear()
+                self.held = 0
             self[piece] = n
+            self.held += ENTRY_BYTES + len(piece)
         return n
 
 
@@ -203,6 +208,42 @@ def build(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text"
     return docs.withColumn("tree", trees.asNondeterministic()(F.col(f"`{text_col}`")))
 
 
+def _edited(tree: TokenTree, text: str | None, edits, counter: Counter) -> tuple[str, int]:
+    """The text after the edits, and the pieces that were encoded for them; the tree follows."""
+    text, n = text or "", 0
+    for e in (() if edits is None else edits):
+        text, k = tree.edit(text, e["start"] or 0, len(text) if e["end"] is None else e["end"], e["text"] or "", counter)
+        n += k
+    return text, n
+
+
+_COUNTS = ["n_before", "n_tokens", "n_pieces", "n_encoded"]
+
+
+def build_and_edit(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", edits_col: str = "edits",
+                   with_tree: bool = True) -> DataFrame:
+    """``docs`` with ``edited``, as ``apply_edits`` of ``build`` gives it, in one pass with one counter a worker.
+
+    Each tree is built, edited and, without ``with_tree``, dropped in its task: only the counts leave it.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((read_ranks(ranks_path), pattern))
+    kept = ["text", "tree"] if with_tree else []
+
+    @F.pandas_udf((f"text string, tree {TREE}, " if with_tree else "") + ", ".join(f"{c} long" for c in _COUNTS))
+    def edited(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        counter = _counter(shared)
+        for texts, edits in batches:
+            out = []
+            for text, todo in zip(texts, edits, strict=True):
+                tree = tree_of(text, counter)
+                before = tree.n_tokens
+                text, n = _edited(tree, text, todo, counter)
+                out.append((*((text, tree.packed()) if with_tree else ()), before, tree.n_tokens, tree.n_pieces, n))
+            yield pd.DataFrame(out, columns=kept + _COUNTS)
+
+    return docs.withColumn("edited", edited.asNondeterministic()(F.col(f"`{text_col}`"), F.col(f"`{edits_col}`")))
+
+
 def apply_edits(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", tree_col: str = "tree",
                 edits_col: str = "edits") -> DataFrame:
     """``docs`` with ``edited``: the text after the edits, its tree, and how many pieces were encoded anew.
@@ -218,12 +259,10 @@ def apply_edits(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
         for texts, trees, edits in batches:
             out = []
             for text, packed, todo in zip(texts, trees.to_dict("records"), edits, strict=True):
-                tree, text, n = TokenTree.unpacked(packed), text or "", 0
+                tree = TokenTree.unpacked(packed)
                 before = tree.n_tokens
-                for e in (() if todo is None else todo):
-                    text, k = tree.edit(text, e["start"] or 0, len(text) if e["end"] is None else e["end"], e["text"] or "", counter)
-                    n += k
+                text, n = _edited(tree, text, todo, counter)
                 out.append((text, tree.packed(), before, tree.n_tokens, tree.n_pieces, n))
-            yield pd.DataFrame(out, columns=["text", "tree", "n_before", "n_tokens", "n_pieces", "n_encoded"])
+            yield pd.DataFrame(out, columns=["text", "tree", *_COUNTS])
 
     return docs.withColumn("edited", edited.asNondeterministic()(F.col(f"`{text_col}`"), F.col(tree_col), F.col(edits_col)))
