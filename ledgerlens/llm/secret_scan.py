@@ -40,30 +40,75 @@ LIVE_REPOS = 2
 OPAQUE_DISTINCT = 12
 
 
-def _spans(text: Column, pattern: str, kind: str, order: int) -> Column:
-    """Array of (start, kind order, end, kind, match) of all matches, in code points.
+_SPANS = "array<struct<s:int,k:int,e:int,kind:string,m:string>>"
+#: Elements that a fold gathers at a time.
+CHUNK = 256
+#: Greater than any place in a text.
+_BEYOND = (1 << 31) - 1
+
+
+def _once(df: DataFrame, **cols: Column) -> DataFrame:
+    """``df`` with columns that are worked out once a row: lambdas would evaluate them again for each element."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
+def _matches(text: Column, pattern: str) -> tuple[Column, Column]:
+    """All matches, and the lengths of the stretches between them."""
+    some = text.rlike(pattern)
+    return (F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")),
+            F.when(some, F.transform(F.split(text, pattern, -1), F.length)).otherwise(F.array().cast("array<int>")))
+
+
+def _chunks(array: Column) -> Column:
+    """The array in pieces of ``CHUNK``: folds that gather their results copy no more than a piece at each step."""
+    n = F.size(array)
+    starts = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int")))
+    return F.coalesce(F.transform(starts, lambda k: F.slice(array, k * CHUNK + 1, CHUNK)), F.array())
+
+
+def _pairs(found: str, gaps: str) -> Column:
+    """(match, stretch before it) in chunks."""
+    return _chunks(F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("m"), g.alias("gap"))))
+
+
+def _spans(chunks: str, kind: str, order: int) -> Column:
+    """Array of (start, kind order, end, kind, match) of the matches, in code points.
 
     Splitting by the pattern gives the stretches between the matches, so a
     match starts after all earlier stretches and matches.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    lengths = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x["gap"] + F.length(x["m"])))
+    starts = F.transform(lengths, lambda n, k: F.aggregate(F.slice(lengths, 1, k), F.lit(0), lambda a, x: a + x))
 
-    def at(m: Column, i: Column) -> Column:
-        return F.struct(m.alias("m"), F.length(m).alias("n"), F.element_at(gaps, i + 1).alias("gap"))
+    def step(acc: Column, x: Column) -> Column:
+        s = acc["at"] + x["gap"]
+        e = s + F.length(x["m"])
+        one = F.struct(s.alias("s"), F.lit(order).alias("k"), e.alias("e"), F.lit(kind).alias("kind"), x["m"].alias("m"))
+        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"),
-                    F.array().cast("array<struct<s:int,k:int,e:int,kind:string,m:string>>").alias("out"))
+    def walk(c: Column, at: Column) -> Column:
+        zero = F.struct(at.alias("at"), F.array().cast(_SPANS).alias("out"))
+        return F.aggregate(c, zero, step, lambda a: a["out"])
+    return F.when(F.size(chunks) == 0, F.array().cast(_SPANS)).otherwise(F.flatten(F.zip_with(chunks, starts, walk)))
+
+
+def _walk_apart(chunks: str, backwards: bool) -> Column:
+    """The spans in ``chunks``, sorted from the left or ``backwards`` from the right, without the opaque ones that the base
+    spans on their way reach into."""
+    base = lambda x: x["k"] <= 2
+    own, far, none = ("s", F.least, _BEYOND) if backwards else ("e", F.greatest, 0)
+    reach = F.transform(chunks, lambda c: F.aggregate(c, F.lit(none), lambda a, x: F.when(base(x), far(a, x[own])).otherwise(a)))
+    edges = F.transform(reach, lambda r, k: F.aggregate(F.slice(reach, 1, k), F.lit(none), lambda a, x: far(a, x)))
 
     def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["gap"]
-        one = F.struct(s.alias("s"), F.lit(order).alias("k"), (s + x["n"]).alias("e"),
-                       F.lit(kind).alias("kind"), x["m"].alias("m"))
-        return F.struct((s + x["n"]).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        stays = base(x) | ((acc["edge"] >= x["e"]) if backwards else (x["s"] >= acc["edge"]))
+        return F.struct(F.when(base(x), far(acc["edge"], x[own])).otherwise(acc["edge"]).alias("edge"),
+                        F.when(stays, F.concat(acc["out"], F.array(x))).otherwise(acc["out"]).alias("out"))
 
-    empty = F.array().cast("array<struct<s:int,k:int,e:int,kind:string,m:string>>")
-    return F.when(text.rlike(pattern),
-                  F.aggregate(F.transform(found, at), zero, step, lambda a: a["out"])).otherwise(empty)
+    def walk(c: Column, edge: Column) -> Column:
+        zero = F.struct(edge.alias("edge"), F.array().cast(_SPANS).alias("out"))
+        return F.aggregate(c, zero, step, lambda a: a["out"])
+    return F.when(F.size(chunks) == 0, F.array().cast(_SPANS)).otherwise(F.flatten(F.zip_with(chunks, edges, walk)))
 
 
 def _value(x: Column) -> Column:
@@ -81,17 +126,21 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner: Column, repo:
     text = null_safe(F.col(f"`{text_col}`"))
     base = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"),
                        null_safe(owner).alias("owner"), null_safe(repo).alias("repo"))
-    parts = base.select(
-        "id", "owner", "repo",
-        F.filter(_spans(F.col("text"), ASSIGN, "assign", 0),
-                 lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 8).alias("a"),
-        _spans(F.col("text"), ACCESS, "access", 1).alias("c"),
-        _spans(F.col("text"), HEX, "hex", 2).alias("h"),
-        F.filter(_spans(F.col("text"), OPAQUE, "opaque", 3), lambda x: _looks_live(x["m"])).alias("o"))
+    found = {}
+    for name, pattern in zip("acho", (ASSIGN, ACCESS, HEX, OPAQUE), strict=True):
+        found[f"{name}_m"], found[f"{name}_g"] = _matches(F.col("text"), pattern)
+    parts = _once(base, **found).drop("text")
+    parts = _once(parts, **{f"{name}_p": _pairs(f"{name}_m", f"{name}_g") for name in "acho"})
+    parts = _once(parts, **{name: _spans(f"{name}_p", kind, k) for k, (name, kind) in enumerate(zip("acho", KINDS, strict=True))})
+    kept = F.concat(F.filter("a", lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 8), "c", "h",
+                    F.filter("o", lambda x: _looks_live(x["m"])))
     # an opaque run inside a base span is the same secret
-    extra = F.filter("o", lambda x: ~F.exists(F.concat("a", "c", "h"), lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
-    parts = parts.select("id", "owner", "repo", F.concat("a", "c", "h", extra).alias("all"))
-    with_hash = F.transform(F.array_sort("all"), lambda x: F.struct(
+    parts = _once(parts.select("id", "owner", "repo", "a", "c", "h", "o"), every=F.array_sort(kept))
+    parts = _once(parts, lot=_chunks(F.col("every")))
+    parts = _once(parts.select("id", "owner", "repo", "lot"), clear=F.reverse(_walk_apart("lot", False)))
+    parts = _once(parts, lot2=_chunks(F.col("clear")))
+    parts = _once(parts.select("id", "owner", "repo", "lot2"), apart=F.reverse(_walk_apart("lot2", True)))
+    with_hash = F.transform("apart", lambda x: F.struct(
         x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), x["kind"].alias("kind"),
         F.sha2(_value(x), 256).alias("value")))
     return parts.select("id", "owner", "repo", with_hash.alias("cands"))

@@ -108,3 +108,19 @@ def test_ownership(spark, no_docs):
     three = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     assert {r.doc_id: r.spans for r in secret_scan.report(secret_scan.scan(three)).collect()}[102] == ""
     assert secret_scan.report(secret_scan.scan(no_docs)).collect() == []
+
+
+def test_many_matches_in_one_text(spark):
+    """A file of checksums: work in proportion to the matches."""
+    import hashlib
+    import time
+    sums = [hashlib.md5(str(i).encode()).hexdigest() for i in range(20_000)]
+    mixed = [f"Aa{i:05d}bcDEfghIJkl+/mnOP" for i in range(3_000)]
+    text = "\n".join(f"{x}  file{i}" for i, x in enumerate(sums)) + "\n" + " ".join(mixed) + " password=Aa0Bb1Cc2Dd3Ee4Ff5Gg6 " + "Zz" + "0123456789abcdef" * 2 + "Yy"
+    df = spark.createDataFrame([(1, text, "s", "en")], "doc_id long, text string, source string, lang string")
+    start = time.time()
+    r = secret_scan.report(secret_scan.scan(df)).first()
+    took = time.time() - start
+    assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == brute.secrets_of(text) and r.n_hex == 20_001
+    # the opaque runs around the password and the last hash are the same secrets
+    assert r.spans.count("opaque:") == 3_000 and took < 60
