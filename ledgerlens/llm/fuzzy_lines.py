@@ -162,19 +162,27 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(np.frombuffer(x, np.int64).reshape(-1, 3), columns=["lid", "doc", "no"])
 
 
+#: Characters of lines whose sets are made at a time; sets take some hundred bytes a character while they are sorted.
+SET_CHARS = 1 << 18
+
+
 def _line_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        ids, pieces = [], []
-        for text, wanted in zip(pdf["text"], pdf["wanted"], strict=True):
-            lines = text.split("\n")
-            ids += [w["lid"] for w in wanted if w["no"] < len(lines)]
-            pieces += [lines[w["no"]] for w in wanted if w["no"] < len(lines)]
-        for first, last in runs(pieces):
-            lines = Lines(pieces[first:last])
-            h, n = lines.shingles(lines.a, lines.b)
-            sets = [np.unique(s) for s in np.split(h, np.cumsum(n)[:-1])]
-            yield pd.DataFrame({"id": ids[first:last], "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets],
-                                "set": [s.view(np.int64) for s in sets]})
+        texts = pdf["text"].tolist()
+        for a, b in runs(texts):
+            ids, pieces = [], []
+            for text, lids, places in zip(texts[a:b], pdf["lids"].iloc[a:b], pdf["places"].iloc[a:b], strict=True):
+                lines = text.split("\n")
+                for lid, no in zip(lids.tolist(), places.tolist(), strict=True):
+                    if no < len(lines):
+                        ids.append(lid)
+                        pieces.append(lines[no])
+            for first, last in runs(pieces, SET_CHARS):
+                lines = Lines(pieces[first:last])
+                h, n = lines.shingles(lines.a, lines.b)
+                sets = [np.unique(s) for s in np.split(h, np.cumsum(n)[:-1])]
+                yield pd.DataFrame({"id": ids[first:last], "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets],
+                                    "set": [s.view(np.int64) for s in sets]})
 
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
@@ -193,7 +201,7 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .groupBy(F.col("first.doc").alias("id")).agg(F.collect_list(F.struct(
                          "lid", F.col("first.no").alias("no"))).alias("wanted")), "line-wanted")
     near = maybe_in(d, "id", wanted, "id").join(wanted, "id").dropDuplicates(["id"])
-    sets = written(near.select("text", "wanted").mapInPandas(_line_sets, "id long, n long, sketch array<long>, set array<long>"), "line-sets", release=True)
+    sets = written(near.select("text", F.col("wanted.lid").alias("lids"), F.col("wanted.no").alias("places")).mapInPandas(_line_sets, "id long, n long, sketch array<long>, set array<long>"), "line-sets", release=True)
     links = links_in_buckets(rows, sets, verifier(sets, PERCENT), PERCENT)
     discard(sets, rows)
     comps = written(components(links), "line-components")

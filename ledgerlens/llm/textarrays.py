@@ -45,11 +45,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """(first, last) index ranges of texts of about RUN_BYTES together."""
+def runs(texts: list[str | None], most: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
+    """(first, last) index ranges of texts of about ``most`` characters together."""
     first, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + (n := len(t or "")) > RUN_BYTES:
+        if size and size + (n := len(t or "")) > most:
             yield first, i
             first, size = i, 0
         size += len(t or "")
