@@ -12,7 +12,7 @@ The tree is a column of plain arrays: build it once, write it with the table,
 and apply batches of edits to it. Everything is local to a row, no shuffle.
 
 Defined results: a null text is an empty text with an empty tree. Null or empty
-edit lists change nothing; null replacements insert nothing; positions beyond the text are taken as its
+edit lists change nothing; null replacements insert nothing; a null start is the text's beginning, and a null end or a position beyond the text its
 end. Rows are answered one for one, repeated ones alike, so ties cannot arise; an empty table gives no rows. A very long text takes
 about a hundred bytes of lists a piece. Further columns pass; those named ``tree`` or ``edited`` are replaced.
 """
@@ -208,11 +208,16 @@ def build(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text"
     return docs.withColumn("tree", trees.asNondeterministic()(F.col(f"`{text_col}`")))
 
 
+def _place(x: float | None, missing: int) -> int:
+    """A position as pandas hands it over: beside a null one, integers come as floats and the null as NaN."""
+    return missing if x is None or x != x else int(x)
+
+
 def _edited(tree: TokenTree, text: str | None, edits, counter: Counter) -> tuple[str, int]:
     """The text after the edits, and the pieces that were encoded for them; the tree follows."""
     text, n = text or "", 0
     for e in (() if edits is None else edits):
-        text, k = tree.edit(text, e["start"] or 0, len(text) if e["end"] is None else e["end"], e["text"] or "", counter)
+        text, k = tree.edit(text, _place(e["start"], 0), _place(e["end"], len(text)), e["text"] or "", counter)
         n += k
     return text, n
 

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import bpe, html_extract, pii, quality_model, registry, tiling, token_counts
@@ -196,7 +197,6 @@ def test_edited_trees_are_those_of_the_edited_text():
 
 
 def test_token_counts_of_rows(spark, docs, no_docs):
-    from pyspark.sql import functions as F
 
     ranks = public_tokenizers.path(registry.RANKS)
     edits = F.when(F.col("doc_id") > 5, F.expr("array(named_struct('start', 3, 'end', 9, 'text', 'new text'),"
@@ -335,3 +335,17 @@ def test_bpe_rows(spark, docs, corpus, no_docs):
         assert (got[i].n_tokens, got[i].ids_sha256, got[i].ids) == (len(ids), digest, ids)
         assert got[i].decoded == t.decode(ids, skip_special_tokens=False)
     assert bpe.encode(no_docs, VOCABULARY).collect() == []
+
+
+def test_one_pass_counts_are_those_of_two(docs, no_docs):
+    ranks = public_tokenizers.path(registry.RANKS)
+    edits = F.array(F.struct(F.lit(0).alias("start"), F.lit(2).alias("end"), F.lit("New ").alias("text")),
+                    F.struct(F.lit(9).alias("start"), F.lit(None).cast("int").alias("end"), F.lit(" it's").alias("text")))
+    d = docs.withColumn("edits", F.when(F.col("doc_id") % 5 > 0, edits))
+    two = token_counts.apply_edits(token_counts.build(d, ranks, public_tokenizers.PATTERN), ranks, public_tokenizers.PATTERN)
+    one = token_counts.build_and_edit(d, ranks, public_tokenizers.PATTERN)
+    bare = token_counts.build_and_edit(d, ranks, public_tokenizers.PATTERN, with_tree=False)
+    full, counts = "edited.text edited.tree.tokens edited.n_before edited.n_tokens edited.n_pieces edited.n_encoded".split(), "edited.n_before edited.n_tokens edited.n_pieces edited.n_encoded".split()
+    rows = lambda df, cols: sorted((tuple(r) for r in df.select("doc_id", *cols).collect()), key=repr)
+    assert rows(one, full) == rows(two, full) and rows(bare, counts) == rows(two, counts)
+    assert token_counts.build_and_edit(no_docs.withColumn("edits", edits), ranks, public_tokenizers.PATTERN).collect() == []
