@@ -148,3 +148,37 @@ def test_blocked_projection_is_the_broadcast_one(spark):
     # the size alone decides
     plan = vx.project(df, "vec", vx.projection_weights(spark, 20, 11), max_bytes=100)._jdf.queryExecution().executedPlan().toString()
     assert "CoGroup" in plan
+
+
+def test_blocks_grow_with_the_table():
+    rows = 100_000
+    for least in (32, 128):
+        held = rt.block_rows(rows, least, 64)
+        assert -(-rows // held) <= rt.BLOCKS and held * 64 * 8 <= rt.BLOCK_BYTES  # copies of a row: 782 and 3,125 with blocks of ``least``
+    assert rt.block_rows(20, 128, 64) == 128 and rt.block_rows(10 ** 9, 32, 64) * 64 * 8 == rt.BLOCK_BYTES
+
+
+def test_pruned_search_sends_a_query_once_a_tile(spark):
+    """Vectors that no bound tells apart: the (query, cell) pairs are all wanted, and a query still travels once a tile."""
+    rng = np.random.default_rng(6)
+    I = rng.normal(size=(400, 16))
+    I /= np.linalg.norm(I, axis=1, keepdims=True)
+    ids = list(range(400))
+    ix = spark.createDataFrame([(i, I[i].tolist()) for i in ids], "id long, vec array<double>").repartition(3)
+    search = rt.PrunedSearch(ix.selectExpr("id", "vec as iv"), 3, -1.0, 100, 5, 4)
+    wanted = search._wanted(ix.selectExpr("id as query_id", "vec as qv"))
+    assert wanted.count() <= 400 * len(search.tiles) and wanted.selectExpr("sum(n_cells)").first()[0] > 20 * 400
+    assert len(search.tiles) <= rt.BLOCKS + 1 and wanted.groupBy("query_id", "tile").count().where("count > 1").count() == 0
+    hits = rt.topk_search(ix, ix, k=3, floor=-1.0, query_id="id", strategy="pruned", query_block=5, index_block=4)
+    assert {(r.query_id, r.id, round(r.score, 9), r.rank) for r in hits.collect()} == _brute(I, ids, I, ids, 3, -1.0)
+
+
+def test_blocks_meet_in_any_number_of_partitions(spark):
+    rng = np.random.default_rng(8)
+    ix = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(120)], "id long, vec array<double>")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hits = rt.topk_search(ix, ix, k=5, floor=-9.0, query_id="id", strategy="blocked", query_block=10, index_block=10)
+        assert hits.count() == 600
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
