@@ -67,3 +67,17 @@ def test_large_samples_move_few_rows(spark):
         if k <= n:
             want[r.column_name, k] = r.value
     assert got == {k: v for k, v in want.items() if k[1] != "n"}
+
+
+def test_sampling_sorts_few_rows(spark):
+    from ledgerlens.operators import columns as co
+    n = 50
+    long = spark.range(0, 60_000).selectExpr("'t' as table_name", "case when id < 20 then 'few' else 'many' end as column_name", "cast(id as string) as row_key", "cast(id as string) as value")
+    key = co.hash_key(42, "docs", co.F.col("table_name"), co.F.col("column_name"), co.F.col("row_key"))
+    rows = long.withColumn("_key", key)
+    left = co.least_buckets(rows, ["table_name", "column_name"], n).collect()
+    assert sum(r.column_name == "few" for r in left) == 20 and n <= sum(r.column_name == "many" for r in left) < 3 * n
+    want = sorted(r._key for r in rows.where("column_name = 'many'").collect())[:n]
+    assert sorted(r._key for r in left if r.column_name == "many")[:n] == want
+    same = long.withColumn("row_key", co.F.lit("k"))  # one key: its bucket is whole
+    assert co.sample_per_column(same, n=n).groupBy("column_name").count().collect() and co.sample_per_column(same, n=n).count() == n + 20
