@@ -182,3 +182,21 @@ def test_blocks_meet_in_any_number_of_partitions(spark):
         assert hits.count() == 600
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("how", vx.POOLINGS)
+def test_pooling_holds_few_tokens_at_a_time(how):
+    import hashlib
+    import tracemalloc
+
+    import pyarrow as pa
+    lengths = [1024, 0, None, 3, *[512] * 600, 200_000, 7]
+    h = [hashlib.md5(str(i).encode()).hexdigest() for i in range(64)]
+    batch = pa.array([None if n is None else (h * (n // 64 + 1))[:n] for n in lengths], pa.list_(pa.string()))[1:]
+    whole = vx.pool_digits(*vx._flat_hex_digits(batch), 32, how)
+    tracemalloc.start()
+    got = vx.pool_hashes(batch, 32, how)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, whole)
+    assert peak < 200_000 * 32 * 8 * 3.5, peak  # the longest row's; the batch has 507,210 tokens
