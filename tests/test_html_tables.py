@@ -97,3 +97,14 @@ def test_two_headers_never_take_one_name(spark):
     got = {r.header: r.col_name for r in ht.canonical_cells(spark.createDataFrame([("f", page)], "filing_id string, html string")).collect()}
     assert got["Number of Shares"] == "Number of Shares" and got["Something else"] == "Something else"
     assert len(set(got.values())) == 3
+
+
+def test_only_cells_with_references_are_decoded(monkeypatch):
+    asked = []
+    decode = ht.html.unescape
+    monkeypatch.setattr(ht.html, "unescape", lambda s: asked.append(s) or decode(s))
+    rows = "".join(f"<tr><td>row {i}</td><td>&nbsp;</td><td>{i}.50</td><td>&nbsp;x&nbsp;</td></tr>" for i in range(50))
+    cells = ht.parse_table_grid("<tr><td>a &amp; b</td><td></td><TH>n</TH ><td>&amp;nbsp;</td></tr>" + rows)
+    assert asked == ["a &amp; b", "&amp;nbsp;"]
+    assert [c["value"] for c in cells[:3]] == ["row 0", "0.50", "x"]
+    assert [c["col_name"] for c in cells[:3]] == ["a & b", "n", "&nbsp;"]
