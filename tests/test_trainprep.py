@@ -60,3 +60,21 @@ def test_dictionary_tells_colliding_hashes_apart(spark):
     assert dic.freeze(vocab, 300 * dic.BYTES_PER_TOKEN - 1) is None
     assert dic.freeze(vocab, 300 * dic.BYTES_PER_TOKEN).longest_run == 1
     assert dic.freeze(vocab.unionByName(vocab)) is None  # the same token twice cannot be told apart
+
+
+def test_every_occurrence_of_a_token_is_not_moved(spark, tmp_path, monkeypatch):
+    """Without a dictionary the distinct tokens of a chunk are joined, not each position; rows with equal ids stay apart."""
+    docs = spark.createDataFrame([(k % 40 if k else None, " ".join(f"w{(k * j) % 23}é" for j in range(k % 60)) if k % 9 else None) for k in range(200)],
+                                 "doc_id long, text string").repartition(4)
+    vocab = tp.vocabulary(docs.where("doc_id > 3")).where("token <> 'w5é'")
+    monkeypatch.setattr(tp, "CHUNK_DOCS", 50)
+    monkeypatch.setattr(tp, "CHUNK_TOKENS", 100)
+    def rows(df):
+        return sorted((str(r.doc_id), r.n_tokens, r.input_ids, r.attention_mask) for r in df.collect())
+    joined = tp.tokenized(docs, vocab, dictionary_bytes=0)
+    assert rows(joined) == rows(tp.tokenized(docs, vocab)) and joined.count() == 200
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "posexplode" not in plan and "Distinct" in plan or "Deduplicate" in plan
+    one = tp.tokenized(docs.where("text is null"), vocab, dictionary_bytes=0).collect()
+    assert one and all(r.n_tokens == 0 and r.input_ids == [] for r in one)
+    assert tp.tokenized(docs.limit(0), vocab, dictionary_bytes=0).collect() == []
