@@ -130,6 +130,25 @@ def test_error_of_one_filing_stays_its_own(spark):
     assert "AttributeError" in got["error"][1] and got["error"].isna().tolist() == [True, False, True, True]
 
 
+def test_best_chunk_does_not_pass_over_a_failed_filing(spark, monkeypatch):
+    """best_chunk has no status column: a filing that cannot be scored ends it; filing_prompts reports it."""
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+    bad = F.array(F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("line"), F.lit(1.0).alias("bound")))
+    whole = fo.candidates
+    monkeypatch.setattr(fo, "candidates", lambda lines, *a: F.when(F.get(lines, F.lit(0)) == "bad", bad).otherwise(whole(lines, *a)))
+    df = spark.createDataFrame([("good", f"{fo.HEADER_REFERENCE}\nx"), ("none", ""), ("bad", "bad")], "filing_id string, text string")
+    got = {r.filing_id: r.best_pos for r in fo.best_chunk(df.where("filing_id <> 'bad'")).collect()}
+    assert got == {"good": 0, "none": None}
+    for column in ("best_pos", "best_score", "chunk"):
+        with pytest.raises(PySparkException, match="filing bad was not scored: AttributeError"):
+            fo.best_chunk(df).select("filing_id", column).collect()
+    with pytest.raises(PySparkException, match="filing bad was not scored"):
+        fo.extraction_prompts(df).collect()
+    prompts = ex.filing_prompts(df.selectExpr("filing_id", "'p' as path", "text as html"))
+    assert {r.filing_id: r.status for r in prompts.collect()} == {"good": "prompted", "none": "no_section", "bad": "error"}
+
+
 def test_bound_is_never_below_the_ratio(spark):
     from difflib import SequenceMatcher
     from ledgerlens.functions import similarity as sim
