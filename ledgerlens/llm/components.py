@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import maybe_in, written
+from ledgerlens.llm.bucket_pairs import candidates
+from ledgerlens.llm.common import discard, maybe_in, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -37,48 +38,46 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def links_in_buckets(rows: DataFrame, sizes: DataFrame, verify: Callable[[DataFrame], DataFrame],
+def links_in_buckets(rows: DataFrame, sizes: DataFrame, verify: Callable[..., DataFrame],
                      percent: int) -> DataFrame:
     """Verified links (a, b) whose components are those of all pairs of ids in a common bucket that link.
 
     ``rows`` are distinct (sig, id) of signatures that two or more ids hold,
     ``sizes`` (id, n, sketch) their sets' sizes and parity sketches; ``verify`` keeps the pairs (a, b) that
-    really link, which takes a Jaccard similarity of ``percent``. Two star rounds try each id against the least id of its
-    buckets, then against the least one of another component; that joins large groups of near
-    copies with a pair an id. What is left are buckets that hold several
-    components: there every pair of ids in different components is tried, in a join
-    split by bucket, whose condition passes over pairs that cannot link by their sizes or
-    by the distance of their sketches, a lower bound on that of the sets. No other pair of a bucket is
+    really link, which takes a Jaccard similarity of ``percent``. First each id is tried against the least id of its
+    buckets; that joins large groups of near copies with a pair an id. In buckets that still hold several components
+    the pairs of a spanning forest of these are tried, the nearest by their sketches; that joins the groups
+    whose members link to each other but not to the least one, without a row for each of their pairs.
+    What is left are buckets of components that did not link: there every pair of ids in different components is tried
+    that can link by its sizes and by the distance of its sketches, a lower bound on that of the sets. No other pair of a bucket is
     left out unless a chain of links joins it already.
     """
     hubs = written(rows.groupBy("sig").agg(F.min("id").alias("hub")), "hubs")
     star = (rows.join(hubs, "sig").where(F.col("id") != F.col("hub"))
             .groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a")))
-    links = verify(written(star.select("a", "b"), "star-pairs"))
-    for _ in range(2):
+    tried = [written(star.select("a", "b"), "star-pairs", release=True)]
+    links = verify(tried[0])
+    for forest in (True, False):
         rest = _mixed(rows, components(links))
-        ends = F.struct("comp", "id")
-        two = written(rest.groupBy("sig").agg(F.min(ends).alias("lo"), F.max(ends).alias("hi")), "two-hubs")
-        other = F.when(F.col("comp") != F.col("lo.comp"), F.col("lo.id")).otherwise(F.col("hi.id"))
-        star = (rest.join(two, "sig").select("id", other.alias("hub"))
-                .groupBy("id").agg(F.min("hub").alias("hub"))
-                .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
-        links = written(links.unionByName(verify(written(star, "star-pairs"))), "links")
+        full = written(rest.join(sizes.select("id", "n", "sketch"), "id"), "bucket-rest", release=True)
+        pairs = candidates(full, percent, forest)
+        for t in tried:
+            pairs = pairs.join(t, ["a", "b"], "left_anti")
+        tried.append(written(pairs, "bucket-pairs", release=True))
+        discard(full)
+        links = written(links.unionByName(verify(tried[-1], sketched=True)), "links")
         rows = rest.select("sig", "id")
-    rest = written(_mixed(rows, components(links)).join(sizes.select("id", "n", "sketch"), "id"), "bucket-rest")
-    left, right = (rest.select("sig", *[F.col(c).alias(f"{c}{k}") for c in ("id", "comp", "n", "sketch")]) for k in (1, 2))
-    fit = (F.col("comp1") < F.col("comp2")) & _may_link(percent)
-    pairs = (left.join(right, "sig").where(fit)
-             .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct())
-    return written(links.unionByName(verify(written(pairs, "cross-pairs", release=True))), "links")
+    return links
 
 
 def _mixed(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    """(sig, id, comp) of the buckets that hold ids of several components."""
+    """(sig, id, comp, k) of the buckets that hold ids of several components, and of how many ids."""
     known = written(rows.join(comps, "id", "left").select("sig", "id", F.coalesce("comp", "id").alias("comp")), "bucket-comps")
-    mixed = written(known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                    .where(F.col("lo") < F.col("hi")).select("sig"), "bucket-mixed")
-    return written(known.join(mixed, "sig"), "bucket-rows", release=True)
+    mixed = written(known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"))
+                    .where(F.col("lo") < F.col("hi")).select("sig", "k"), "bucket-mixed")
+    out = written(known.join(mixed, "sig"), "bucket-rows", release=True)
+    discard(known, mixed)
+    return out
 
 
 def _may_link(percent: int) -> Column:
@@ -99,8 +98,10 @@ def verifier(sets: DataFrame, percent: int) -> Callable[[DataFrame], DataFrame]:
     def side(k: int, key: str) -> DataFrame:
         return sets.select(F.col("id").alias(key), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"sketch{k}"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        close = written(pairs.join(side(1, "b"), "b").join(side(2, "a"), "a").where(_may_link(percent)).select("a", "b"), "close-pairs")
+    def verify(pairs: DataFrame, sketched: bool = False) -> DataFrame:
+        """``pairs`` that link; ``sketched``: their sizes and sketches were looked at already."""
+        close = pairs if sketched else written(
+            pairs.join(side(1, "b"), "b").join(side(2, "a"), "a").where(_may_link(percent)).select("a", "b"), "close-pairs")
         one = maybe_in(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b", close, "b")
         two = maybe_in(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a", close, "a")
         both = close.join(one, "b").join(two, "a")
