@@ -25,16 +25,18 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
                    .where(F.col("a") != F.col("b")).distinct(), "cc-edges")
-    label = written(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("comp")), "cc-label")
+    label = nxt = written(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("comp")), "cc-label")
     while True:
         near = (both.join(label.select(F.col("id").alias("b"), F.col("comp").alias("l")), "b")
                 .groupBy(F.col("a").alias("id")).agg(F.min("l").alias("l")))
         hooked = near.join(label, "id").select("id", F.least("l", "comp").alias("l"), F.col("comp").alias("was"))
         jump = label.select(F.col("id").alias("l"), F.col("comp").alias("j"))
-        nxt = written(hooked.join(jump, "l", "left").select(
-            "id", F.least("l", F.coalesce("j", "l")).alias("comp"), "was"), "cc-next")
+        was, nxt = nxt, written(hooked.join(jump, "l", "left").select(
+            "id", F.least("l", F.coalesce("j", "l")).alias("comp"), "was"), "cc-next", release=True)
+        discard(was)
         label = nxt.select("id", "comp")
         if not nxt.where(F.col("comp") != F.col("was")).limit(1).count():
+            discard(both)
             return label
 
 
@@ -57,6 +59,7 @@ def links_in_buckets(rows: DataFrame, sizes: DataFrame, verify: Callable[..., Da
             .groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a")))
     tried = [written(star.select("a", "b"), "star-pairs", release=True)]
     links = verify(tried[0])
+    discard(hubs)
     for forest in (True, False):
         rest = _mixed(rows, components(links))
         full = written(rest.join(sizes.select("id", "n", "sketch"), "id"), "bucket-rest", release=True)
@@ -72,7 +75,7 @@ def links_in_buckets(rows: DataFrame, sizes: DataFrame, verify: Callable[..., Da
 
 def _mixed(rows: DataFrame, comps: DataFrame) -> DataFrame:
     """(sig, id, comp, k) of the buckets that hold ids of several components, and of how many ids."""
-    known = written(rows.join(comps, "id", "left").select("sig", "id", F.coalesce("comp", "id").alias("comp")), "bucket-comps")
+    known = written(rows.join(comps, "id", "left").select("sig", "id", F.coalesce("comp", "id").alias("comp")), "bucket-comps", release=True)
     mixed = written(known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"))
                     .where(F.col("lo") < F.col("hi")).select("sig", "k"), "bucket-mixed")
     out = written(known.join(mixed, "sig"), "bucket-rows", release=True)
@@ -101,7 +104,7 @@ def verifier(sets: DataFrame, percent: int) -> Callable[[DataFrame], DataFrame]:
     def verify(pairs: DataFrame, sketched: bool = False) -> DataFrame:
         """``pairs`` that link; ``sketched``: their sizes and sketches were looked at already."""
         close = pairs if sketched else written(
-            pairs.join(side(1, "b"), "b").join(side(2, "a"), "a").where(_may_link(percent)).select("a", "b"), "close-pairs")
+            pairs.join(side(1, "b"), "b").join(side(2, "a"), "a").where(_may_link(percent)).select("a", "b"), "close-pairs", release=True)
         one = maybe_in(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b", close, "b")
         two = maybe_in(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a", close, "a")
         both = close.join(one, "b").join(two, "a")

@@ -196,21 +196,21 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _unpack, "lid long, doc long, no long"), "lines")
     rows = written(found.where(F.col("info").isNull()).select("sig", "id"), "line-buckets")
     discard(found)
-    first = written(lines.groupBy("lid").agg(F.min(F.struct("doc", "no")).alias("first"), F.count(F.lit(1)).alias("times")), "line-nodes")
+    first = written(lines.groupBy("lid").agg(F.min(F.struct("doc", "no")).alias("first"), F.count(F.lit(1)).alias("times")), "line-nodes", release=True)
     wanted = written(rows.select(F.col("id").alias("lid")).distinct().join(first, "lid")
                      .groupBy(F.col("first.doc").alias("id")).agg(F.collect_list(F.struct(
-                         "lid", F.col("first.no").alias("no"))).alias("wanted")), "line-wanted")
+                         "lid", F.col("first.no").alias("no"))).alias("wanted")), "line-wanted", release=True)
     near = maybe_in(d, "id", wanted, "id").join(wanted, "id").dropDuplicates(["id"])
     sets = written(near.select("text", F.col("wanted.lid").alias("lids"), F.col("wanted.no").alias("places")).mapInPandas(_line_sets, "id long, n long, sketch array<long>, set array<long>"), "line-sets", release=True)
     links = links_in_buckets(rows, sets, verifier(sets, PERCENT), PERCENT)
-    discard(sets, rows)
+    discard(sets, rows, wanted)
     comps = written(components(links), "line-components")
     several = (first.join(comps.select(F.col("id").alias("lid"), "comp"), "lid", "left")
                .where((F.col("times") > 1) | F.col("comp").isNotNull())
                .select("lid", F.coalesce("comp", "lid").alias("comp"), "first"))
-    several = written(several, "line-several")
-    keep = written(several.groupBy("comp").agg(F.min("first").alias("keep")), "line-keep")
-    nodes = written(several.join(keep, "comp").select("lid", "comp", F.col("keep.doc").alias("kept_doc"), F.col("keep.no").alias("kept_no")), "line-classes")
+    several = written(several, "line-several", release=True)
+    keep = written(several.groupBy("comp").agg(F.min("first").alias("keep")), "line-keep", release=True)
+    nodes = written(several.join(keep, "comp").select("lid", "comp", F.col("keep.doc").alias("kept_doc"), F.col("keep.no").alias("kept_no")), "line-classes", release=True)
     return lines, nodes
 
 

@@ -99,3 +99,14 @@ def test_links_of_a_dense_group_stay_in_proportion(spark):
     want = components({i: set(s.tolist()) for i, s in sets.items()}, 80)
     assert {i: got.get(i, i) for i in sets} == want
     assert checked[0] + checked[1] < 2 * len(sets) and len(links) < 2 * len(sets)
+
+
+def test_rounds_leave_their_last_table_only(spark):
+    import os
+
+    from ledgerlens.llm.common import _folder
+    chain = spark.createDataFrame([(k, k + 1) for k in range(30)], "a long, b long")
+    before = set(os.listdir(_folder(spark))) if os.path.isdir(_folder(spark)) else set()
+    assert C.components(chain).agg(F.max("comp")).first()[0] == 0
+    new = sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(_folder(spark))) - before)
+    assert new == ["cc-next"]
