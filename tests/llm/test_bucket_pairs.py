@@ -106,7 +106,8 @@ def test_rounds_leave_their_last_table_only(spark):
 
     from ledgerlens.llm.common import _folder
     chain = spark.createDataFrame([(k, k + 1) for k in range(30)], "a long, b long")
-    before = set(os.listdir(_folder(spark))) if os.path.isdir(_folder(spark)) else set()
+    folder = _folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     assert C.components(chain).agg(F.max("comp")).first()[0] == 0
-    new = sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(_folder(spark))) - before)
+    new = sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before)
     assert new == ["cc-next"]
